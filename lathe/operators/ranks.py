@@ -303,3 +303,32 @@ def qcut_code(x: F.Column, edges: F.Column) -> F.Column:
     code = F.when(n == 2, F.lit(0)).otherwise(F.size(F.filter(inner, lambda e: e < x)))
     ok = x.isNotNull() & (n >= 2) & (x >= F.element_at(edges, 1)) & (x <= F.element_at(edges, -1))
     return F.when(ok, code.cast("int"))
+
+
+def safe_stratify_bins(df: DataFrame, col: str, max_q: int = 12, min_q: int = 5, n_splits: int = 5,
+                       out: str = "bin", mode: str = "auto") -> DataFrame:
+    """Quantile-bin codes with the largest ``q`` in ``[min_q, max_q]`` whose bins all hold at
+    least ``n_splits`` rows, else ``min_q`` (missing codes -> 0 in the fallback).
+
+    All candidate edges come from one quantile job (the union of the ``i/q``
+    grids), all candidate bin sizes from one aggregation; the choice is made
+    from ``max_q - min_q + 1`` small rows."""
+    qs = list(range(min_q, max_q + 1))
+    probs = sorted({round(i / q, 12) for q in qs for i in range(q + 1)})
+    vals = {round(r["prob"], 12): r["value"] for r in quantiles(df, [col], probs, mode=mode).collect()}
+    edges = {q: sorted({vals.get(round(i / q, 12)) for i in range(q + 1)} - {None}) for q in qs}
+    x = F.col(col).cast("double")
+    codes = F.array(*[F.struct(F.lit(q).alias("q"),
+                               qcut_code(x, F.array(*[F.lit(float(e)) for e in edges[q]])).alias("b")) for q in qs
+                      if len(edges[q]) >= 2])
+    counts = (df.select(F.explode(codes).alias("_c")).groupBy("_c.q", "_c.b").agg(F.count(F.lit(1)).alias("n"))
+              .groupBy("q").agg(F.min(F.when(F.col("b").isNotNull(), F.col("n"))).alias("mn"),
+                                F.count_if(F.col("b").isNull()).alias("nulls")).collect())
+    ok = [r["q"] for r in counts if r["nulls"] == 0 and r["mn"] is not None and r["mn"] >= n_splits]
+    if ok:
+        q = max(ok)
+        return df.withColumn(out, qcut_code(x, F.array(*[F.lit(float(e)) for e in edges[q]])))
+    e = edges[min_q]
+    if len(e) < 2:
+        return df.withColumn(out, F.lit(0))
+    return df.withColumn(out, F.coalesce(qcut_code(x, F.array(*[F.lit(float(v)) for v in e])), F.lit(0)))
