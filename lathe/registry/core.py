@@ -205,9 +205,9 @@ def t2_ordinal(spark, sf):
 
 
 @register("t1_target_mean_encode_oof", """WITH d AS (SELECT o_orderkey, o_orderpriority AS c, CAST(o_orderkey % 5 AS INT) AS fold, o_totalprice AS y FROM orders),
-cf AS (SELECT c, fold, sum(y) AS s, count(y) AS n FROM d GROUP BY 1, 2), ct AS (SELECT c, sum(y) AS S, count(y) AS N FROM d GROUP BY 1),
+cf AS (SELECT c, fold, sum(y) AS s, count(y) AS n FROM d GROUP BY 1, 2), ct AS (SELECT c, sum(y) AS tot_s, count(y) AS tot_n FROM d GROUP BY 1),
 ft AS (SELECT fold, sum(y) AS fs, count(y) AS fn FROM d GROUP BY 1), gt AS (SELECT sum(y) AS gs, count(y) AS gn FROM d)
-SELECT o_orderkey, round(CASE WHEN N - n > 0 THEN (S - s) / (N - n) ELSE (gs - fs) / (gn - fn) END, 4) + 0.0 AS te
+SELECT o_orderkey, round(CASE WHEN tot_n - n > 0 THEN (tot_s - s) / (tot_n - n) ELSE (gs - fs) / (gn - fn) END, 4) + 0.0 AS te
 FROM d JOIN cf USING (c, fold) JOIN ct USING (c) JOIN ft USING (fold), gt""")
 def t1_te(spark, sf):
     o = table(spark, sf, "orders").select("o_orderkey", "o_orderpriority", (F.col("o_orderkey") % 5).cast("int").alias("fold"), "o_totalprice")
