@@ -67,15 +67,10 @@ def estimator(family: str, task: str, label: str, seed=42, prediction: str = "pr
     """M1-M3, M6: one model family. ``task`` is ``binary`` or ``regression``."""
     common = dict(featuresCol=FEATURES, labelCol=label, predictionCol=prediction)
     if task == "binary":
-        if family == "gbt":
-            return GBTClassifier(seed=seed, probabilityCol=f"{prediction}__prob", rawPredictionCol=f"{prediction}__raw",
-                                 **common, **params)
-        if family == "rf":
-            return RandomForestClassifier(seed=seed, probabilityCol=f"{prediction}__prob",
-                                          rawPredictionCol=f"{prediction}__raw", **common, **params)
-        if family == "lr":
-            return LogisticRegression(probabilityCol=f"{prediction}__prob", rawPredictionCol=f"{prediction}__raw",
-                                      **common, **params)
+        cls = {"gbt": GBTClassifier, "rf": RandomForestClassifier, "lr": LogisticRegression}.get(family)
+        if cls is not None:
+            est = cls(**common, **params) if family == "lr" else cls(seed=seed, **common, **params)
+            return est.setProbabilityCol(f"{prediction}__prob").setRawPredictionCol(f"{prediction}__raw")
     else:
         if family == "gbt":
             return GBTRegressor(seed=seed, **common, **params)
