@@ -4,5 +4,5 @@ from lathe.registry.base import QUERIES, ORACLES  # noqa: F401
 
 
 def load_all():
-    from lathe.registry import fitting, scalars, profiling, relations, core, routes, composites, modeling  # noqa: F401
+    from lathe.registry import fitting, scalars, profiling, relations, core, routes, composites, modeling, streams  # noqa: F401
     return QUERIES, ORACLES
