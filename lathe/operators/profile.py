@@ -126,14 +126,25 @@ def pearson_matrix(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     return wide.select(F.explode(arr).alias("_p")).select("_p.*")
 
 
+def _has_nulls(df: DataFrame, cols: list[str]) -> bool:
+    row = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols]).first()
+    return any(row[c] for c in cols)
+
+
 def spearman_matrix(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     """Spearman rho for every pair ``a < b``: Pearson on average ranks computed over the
-    rows where both columns are present. Ranks come from the bucketed rank plan per
-    (pair, side), so no task ever sees a whole column."""
+    rows where both columns are present. Ranks come from the bucketed rank plan, so no
+    task ever sees a whole column. Without missing values every column is ranked once;
+    with them each pair is ranked over its own complete rows."""
     cols = sorted(cols or numeric_columns(df))
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
     if not pairs:
         return df.sparkSession.createDataFrame([], "a string, b string, rho double")
+    if not _has_nulls(df, cols):
+        from lathe.operators.ranks import with_rank_columns
+        r = with_rank_columns(df.select(*cols), cols)
+        m = pearson_matrix(r.select(*[F.col(f"{c}__rank").alias(c) for c in cols]), cols)
+        return m.withColumnRenamed("r", "rho")
     arr = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"),
                              F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y"))
                     for a, b in pairs])
@@ -152,6 +163,13 @@ def _spearman_long(long_df: DataFrame, keys: list[str]) -> DataFrame:
 
 def spearman_with_target(df: DataFrame, cols: list[str], target: str) -> DataFrame:
     """``(feature, rho)``: Spearman of each feature with the target over rows where both are present."""
+    if not _has_nulls(df, cols + [target]):
+        from lathe.operators.ranks import with_rank_columns
+        r = with_rank_columns(df.select(*set(cols + [target])), list(dict.fromkeys(cols + [target])))
+        aggs = [safe_corr(F.col(f"{c}__rank"), F.col(f"{target}__rank")).alias(c) for c in cols]
+        wide = r.agg(*aggs)
+        arr = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"`{c}`").alias("rho")) for c in cols])
+        return wide.select(F.explode(arr).alias("_p")).select("_p.*")
     arr = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("x")) for c in cols])
     long_df = df.select(F.col(target).cast("double").alias("y"), F.explode(arr).alias("_p")) \
                 .select("_p.feature", "_p.x", "y").where(F.col("x").isNotNull() & F.col("y").isNotNull())

@@ -27,11 +27,12 @@ from pyspark.sql import functions as F
 
 # rows of one (key, bucket) window partition the planner aims for
 TARGET_BUCKET_ROWS = 1_000_000
-MAX_BUCKETS = 1024
+MIN_BUCKET_ROWS = 50_000
+MAX_BUCKETS = 4096
 # above this many distinct values per column, `percentile` (which keeps a map
 # of all distinct values of a group in one aggregation buffer) is replaced by
 # the bucketed rank plan
-EXACT_PERCENTILE_MAX_DISTINCT = 500_000
+EXACT_PERCENTILE_MAX_DISTINCT = 2_000_000
 # hex digits of the md5 used as hash buckets for folds and samples (16^4 buckets)
 HASH_PREFIX = 4
 
@@ -64,40 +65,42 @@ def value_histogram(long_df: DataFrame, keys, value: str = "value",
 
 
 def _bucket_count(hist: DataFrame, keys: list[str]) -> int:
-    """Number of range buckets per key, from the largest distinct count (one tiny job)."""
+    """Number of range buckets per key, from the largest distinct count (one small job): enough
+    buckets that one (key, bucket) window partition holds about ``TARGET_BUCKET_ROWS`` distinct
+    values, and at least as many as the cluster's default parallelism for large keys."""
     if keys:
         row = hist.groupBy(*keys).count().agg(F.max("count")).first()
     else:
         row = hist.agg(F.count(F.lit(1))).first()
     nd = int(row[0] or 0)
-    return max(1, min(MAX_BUCKETS, math.ceil(nd / TARGET_BUCKET_ROWS)))
+    par = hist.sparkSession.sparkContext.defaultParallelism
+    want = max(math.ceil(nd / TARGET_BUCKET_ROWS), min(par, nd // MIN_BUCKET_ROWS))
+    return max(1, min(MAX_BUCKETS, want))
 
 
-def rank_distinct(hist: DataFrame, keys, value: str = "value", n_col: str = "n",
-                  buckets: int | None = None) -> DataFrame:
-    """Add ``cum_before``, ``rank_lo``, ``rank_hi``, ``avg_rank`` and ``bucket`` to a value histogram.
-
-    ``avg_rank`` is the average 1-based rank of the tied rows holding ``value``
-    (pandas ``rank(method='average')``), computed per key.
-    """
+def bucketize(hist: DataFrame, keys, value: str = "value", n_col: str = "n",
+              buckets: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """Steps 2-3 of the rank plan: ``(hist + bucket, offsets)`` where ``offsets`` has one row per
+    (key, bucket) with ``_off`` (rows before the bucket) and ``_bn`` (rows in it)."""
     keys = _keys(keys)
     b = buckets if buckets is not None else _bucket_count(hist, keys)
     if b > 1:
         probs = [i / b for i in range(1, b)]
         acc = max(10_000, 20 * b)
-        cuts = hist.groupBy(*keys).agg(
-            F.percentile_approx(F.col(value), probs, acc).alias("_cuts"))
-        cut_join = cuts if not keys else cuts
-        hb = (hist.crossJoin(F.broadcast(cut_join)) if not keys
-              else hist.join(cut_join, keys))
+        cuts = hist.groupBy(*keys).agg(F.percentile_approx(F.col(value), probs, acc).alias("_cuts"))
+        # one row of at most MAX_BUCKETS cut points per key
+        hb = hist.crossJoin(F.broadcast(cuts)) if not keys else hist.join(F.broadcast(cuts), keys)
         hb = hb.withColumn("bucket", F.size(F.filter("_cuts", lambda c: c < F.col(value)))).drop("_cuts")
     else:
         hb = hist.withColumn("bucket", F.lit(0))
     sizes = hb.groupBy(*keys, "bucket").agg(F.sum(n_col).alias("_bn"))
     w_off = Window.partitionBy(*keys).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(*keys, "bucket",
-                           F.coalesce(F.sum("_bn").over(w_off), F.lit(0)).alias("_off"))
-    ranked = hb.join(offsets, keys + ["bucket"])
+    offsets = sizes.select(*keys, "bucket", "_bn", F.coalesce(F.sum("_bn").over(w_off), F.lit(0)).alias("_off"))
+    return hb, offsets
+
+
+def _rank_within(hb: DataFrame, offsets: DataFrame, keys: list[str], value: str, n_col: str) -> DataFrame:
+    ranked = hb.join(offsets.select(*keys, "bucket", "_off"), keys + ["bucket"])
     w_in = Window.partitionBy(*keys, "bucket").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
     cum = (F.col("_off") + F.coalesce(F.sum(n_col).over(w_in), F.lit(0))).cast("long")
     ranked = ranked.withColumn("cum_before", cum).drop("_off")
@@ -107,6 +110,18 @@ def rank_distinct(hist: DataFrame, keys, value: str = "value", n_col: str = "n",
             .withColumn("avg_rank", F.col("cum_before") + (F.col(n_col) + 1) / 2.0))
 
 
+def rank_distinct(hist: DataFrame, keys, value: str = "value", n_col: str = "n",
+                  buckets: int | None = None) -> DataFrame:
+    """Add ``cum_before``, ``rank_lo``, ``rank_hi``, ``avg_rank`` and ``bucket`` to a value histogram.
+
+    ``avg_rank`` is the average 1-based rank of the tied rows holding ``value``
+    (pandas ``rank(method='average')``), computed per key.
+    """
+    keys = _keys(keys)
+    hb, offsets = bucketize(hist, keys, value, n_col, buckets)
+    return _rank_within(hb, offsets, keys, value, n_col)
+
+
 def avg_rank_column(df: DataFrame, col: str, out: str | None = None, by=None) -> DataFrame:
     """``df`` with the average rank of ``col`` (within ``by`` groups) as a new column.
 
@@ -136,8 +151,8 @@ def _quantiles_percentile(df: DataFrame, cols: list[str], probs: list[float], by
 def _quantiles_rank(df: DataFrame, cols: list[str], probs: list[float], by: list[str]) -> DataFrame:
     keys = by + ["column"]
     long_df = unpivot_values(df, cols, keep=by)
-    ranked = rank_distinct(value_histogram(long_df, keys), keys)
-    totals = ranked.groupBy(*keys).agg(F.sum("n").alias("_N"))
+    hb, offsets = bucketize(value_histogram(long_df, keys), keys)
+    totals = offsets.groupBy(*keys).agg(F.sum("_bn").alias("_N"))
     # target positions (1-based) of the two neighbours of h = (N-1) q
     pr = F.explode(F.array(*[F.struct(F.lit(i).alias("q_index"), F.lit(float(p)).alias("prob"))
                              for i, p in enumerate(probs)])).alias("_p")
@@ -146,12 +161,14 @@ def _quantiles_rank(df: DataFrame, cols: list[str], probs: list[float], by: list
            .withColumn("_frac", F.col("_h") - F.floor("_h")) \
            .withColumn("_side", F.explode(F.array(F.lit(0), F.lit(1)))) \
            .withColumn("_pos", F.when(F.col("_side") == 0, F.floor("_h")).otherwise(F.ceil("_h")).cast("long") + 1)
-    # bucket holding each target position, from the per-bucket ranges (small)
-    branges = ranked.groupBy(*keys, "bucket").agg(F.min("rank_lo").alias("_blo"), F.max("rank_hi").alias("_bhi"))
-    tgb = tg.join(branges, keys).where((F.col("_pos") >= F.col("_blo")) & (F.col("_pos") <= F.col("_bhi"))) \
-            .drop("_blo", "_bhi")
-    hit = ranked.select(*keys, "bucket", "value", "rank_lo", "rank_hi").join(
-        tgb, keys + ["bucket"]).where((F.col("_pos") >= F.col("rank_lo")) & (F.col("_pos") <= F.col("rank_hi")))
+    # the bucket holding each target position comes from the (small) offsets table, and only
+    # those buckets are ranked value by value
+    tgb = tg.join(offsets, keys).where((F.col("_pos") > F.col("_off")) & (F.col("_pos") <= F.col("_off") + F.col("_bn"))) \
+            .select(*keys, "bucket", "q_index", "prob", "_frac", "_side", "_pos")
+    need = tgb.select(*keys, "bucket").distinct()
+    ranked = _rank_within(hb.join(F.broadcast(need), keys + ["bucket"], "left_semi"), offsets, keys, "value", "n")
+    hit = ranked.select(*keys, "bucket", "value", "rank_lo", "rank_hi").join(F.broadcast(tgb), keys + ["bucket"]) \
+                .where((F.col("_pos") >= F.col("rank_lo")) & (F.col("_pos") <= F.col("rank_hi")))
     res = hit.groupBy(*keys, "q_index", "prob").agg(
         F.max(F.when(F.col("_side") == 0, F.col("value"))).alias("_lo"),
         F.max(F.when(F.col("_side") == 1, F.col("value"))).alias("_hi"),
@@ -332,3 +349,17 @@ def safe_stratify_bins(df: DataFrame, col: str, max_q: int = 12, min_q: int = 5,
     if len(e) < 2:
         return df.withColumn(out, F.lit(0))
     return df.withColumn(out, F.coalesce(qcut_code(x, F.array(*[F.lit(float(v)) for v in e])), F.lit(0)))
+
+
+def with_rank_columns(df: DataFrame, cols: list[str], suffix: str = "__rank") -> DataFrame:
+    """``df`` plus the average rank of each column in ``cols`` (over its non-null values).
+
+    All columns are ranked in one bucketed rank plan keyed by column name, then
+    each rank table is joined back on the value (small ones are broadcast by AQE)."""
+    long_df = unpivot_values(df, cols)
+    ranked = rank_distinct(value_histogram(long_df, "column"), "column").select("column", "value", "avg_rank")
+    out = df
+    for c in cols:
+        r = ranked.where(F.col("column") == c).select(F.col("value").alias(f"_v_{c}"), F.col("avg_rank").alias(f"{c}{suffix}"))
+        out = out.join(r, F.col(c).cast("double") == F.col(f"_v_{c}"), "left").drop(f"_v_{c}")
+    return out
