@@ -80,7 +80,7 @@ def missing_summary(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     cols = cols or df.columns
     return per_column_stats(df, cols, {
         "missing": lambda c: F.count_if(c.isNull()),
-        "missing_pct": lambda c: F.count_if(c.isNull()) * 100.0 / F.count(F.lit(1))},
+        "missing_pct": lambda c: F.try_divide(F.count_if(c.isNull()) * 100.0, F.count(F.lit(1)))},
         {"missing": "long"})
 
 

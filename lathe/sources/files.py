@@ -22,14 +22,27 @@ def nan_to_null(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     return df.select(*out)
 
 
-def read_parquet(spark: SparkSession, path: str, clean_nan: bool = True) -> DataFrame:
+def read_parquet(spark: SparkSession, path: str, clean_nan: bool = True, where=None,
+                 columns: list[str] | None = None) -> DataFrame:
+    """Parquet with NaN turned into NULL.
+
+    ``nan_to_null`` wraps float columns in ``nanvl``, which Catalyst cannot push
+    into the scan, so a row filter on a float column belongs in ``where``: it
+    is applied to the raw columns first and reaches the Parquet reader as a
+    pushed filter (a NaN compares as the largest value there). Filters on
+    other types push down either way; column pruning always does."""
     df = spark.read.parquet(path)
+    if columns is not None:
+        df = df.select(*columns)
+    if where is not None:
+        df = df.where(where)
     return nan_to_null(df) if clean_nan else df
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str, clean_nan: bool = True) -> DataFrame:
+def read_table(spark: SparkSession, sf_dir: str, name: str, clean_nan: bool = True, where=None,
+               columns: list[str] | None = None) -> DataFrame:
     """One of the driver tables under ``sf_dir``."""
-    return read_parquet(spark, f"{sf_dir.rstrip('/')}/{name}.parquet", clean_nan)
+    return read_parquet(spark, f"{sf_dir.rstrip('/')}/{name}.parquet", clean_nan, where, columns)
 
 
 def read_table_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
