@@ -242,6 +242,21 @@ def adjusted_count(df: DataFrame, repaired: F.Column, original: F.Column) -> Dat
     return df.agg(F.count_if(repaired != original).cast("long").alias("adjusted"))
 
 
+def top_k_per_group(df: DataFrame, group: list[str], order: list, k: int, spread_col: str,
+                    spread: int = 256) -> DataFrame:
+    """The first ``k`` rows of each group under ``order``, with a ``rank`` column.
+
+    Two levels, so no group is sorted whole in one task: the top ``k`` within
+    (group, hash(spread_col) mod ``spread``) first, then the top ``k`` of those
+    at most ``k * spread`` survivors per group."""
+    from pyspark.sql import Window
+    sub = F.pmod(F.hash(F.col(spread_col)), F.lit(spread))
+    w1 = Window.partitionBy(*group, sub).orderBy(*order)
+    local = df.withColumn("_r1", F.row_number().over(w1)).where(F.col("_r1") <= k).drop("_r1")
+    w2 = Window.partitionBy(*group).orderBy(*order)
+    return local.withColumn("rank", F.row_number().over(w2)).where(F.col("rank") <= k)
+
+
 def profile_table(df: DataFrame, mode: str = "auto", max_top: int = 5) -> dict[str, DataFrame]:
     """The full report as tables: per-column overview (type, n, missing, distinct,
     zeros, numeric moments and quantiles), top values, duplicate rows, correlations."""
@@ -260,9 +275,7 @@ def profile_table(df: DataFrame, mode: str = "auto", max_top: int = 5) -> dict[s
     out = {"overview": overview, "duplicates": duplicate_row_count(df)}
     if cats:
         vc = category_counts(df, cats)
-        from pyspark.sql import Window
-        w = Window.partitionBy("column").orderBy(F.desc("n"), "value")
-        out["top_values"] = vc.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= max_top)
+        out["top_values"] = top_k_per_group(vc, ["column"], [F.desc("n"), F.asc("value")], max_top, "value")
     if len(num) > 1:
         out["correlations"] = pearson_matrix(df, num)
     return out

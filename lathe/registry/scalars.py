@@ -267,3 +267,43 @@ def f31_pairs(spark, sf):
 def t4_equivalence(spark, sf):
     o = table(spark, sf, "orders")
     return o.select("o_orderkey", r6(S.equivalence_error(F.col("o_totalprice") * 0.9, "o_totalprice"), 4).alias("err"))
+
+
+@register("f14_floored_clipped_ratio", """WITH f AS (SELECT quantile_cont(l_tax, 0.05) AS fl FROM lineitem),
+r AS (SELECT l_orderkey, l_linenumber, l_quantity / greatest(l_tax, fl + 1e-9) AS ratio FROM lineitem, f),
+b AS (SELECT quantile_cont(ratio, 0.01) AS lo, quantile_cont(ratio, 0.99) AS hi FROM r)
+SELECT l_orderkey, l_linenumber, round(least(greatest(ratio, lo), hi), 4) + 0.0 AS v2i,
+  round(ln(1 + least(greatest(ratio, lo), hi)), 6) + 0.0 AS v2i_log1p, round(asinh(least(greatest(ratio, lo), hi)), 6) + 0.0 AS v2i_asinh FROM r, b""")
+def f14_floored_ratio(spark, sf):
+    from lathe.operators.ranks import quantile_map
+    li = _li(spark, sf)
+    floor = quantile_map(li, ["l_tax"], [0.05])[("l_tax", 0.05)]
+    raw = F.try_divide(F.col("l_quantity"), F.greatest(F.col("l_tax"), F.lit(floor + S.EPS)))
+    b = quantile_map(li.select(raw.alias("r")), ["r"], [0.01, 0.99])
+    v = S.floored_ratio("l_quantity", "l_tax", floor, b[("r", 0.01)], b[("r", 0.99)])
+    return li.select("l_orderkey", "l_linenumber", r6(v, 4).alias("v2i"), r6(F.log1p(v)).alias("v2i_log1p"),
+                     r6(S.asinh(v)).alias("v2i_asinh"))
+
+
+@register("f20_robust_scale", """WITH q AS (SELECT quantile_cont(l_extendedprice, 0.5) AS med, quantile_cont(l_extendedprice, 0.75) - quantile_cont(l_extendedprice, 0.25) AS iqr,
+  quantile_cont(l_tax, 0.5) AS tmed, quantile_cont(l_tax, 0.75) - quantile_cont(l_tax, 0.25) AS tiqr FROM lineitem)
+SELECT l_orderkey, l_linenumber, round((l_extendedprice - med) / CASE WHEN iqr = 0 THEN 1.0 ELSE iqr END, 6) + 0.0 AS price_scaled,
+  round((l_tax - tmed) / (tiqr + 1e-9), 6) + 0.0 AS tax_scaled_eps FROM lineitem, q""")
+def f20_robust(spark, sf):
+    from lathe.operators.stats import RobustScaler
+    li = _li(spark, sf)
+    m = RobustScaler(["l_extendedprice"]).fit(li)
+    m2 = RobustScaler(["l_tax"], eps=1e-9).fit(li)
+    return li.select("l_orderkey", "l_linenumber", r6(m.scaled("l_extendedprice")).alias("price_scaled"),
+                     r6(m2.scaled("l_tax")).alias("tax_scaled_eps"))
+
+
+@register("f22_quantile_bin_labels", """WITH q AS (SELECT list_sort(list_distinct(quantile_cont(o_totalprice, [0.0, 0.25, 0.75, 1.0]))) AS e FROM orders)
+SELECT o_orderkey, CASE WHEN o_totalprice >= e[1] AND o_totalprice <= e[2] THEN 'low' WHEN o_totalprice > e[2] AND o_totalprice <= e[3] THEN 'medium'
+  WHEN o_totalprice > e[3] AND o_totalprice <= e[4] THEN 'high' END AS price_band, 'medium' AS status_band FROM orders, q""")
+def f22_bins(spark, sf):
+    from lathe.plans.road import fit_quantile_binner
+    o = table(spark, sf, "orders").withColumn("_const", F.lit(7.0))
+    b = fit_quantile_binner(o, "o_totalprice")
+    c = fit_quantile_binner(o, "_const")     # < 2 distinct values: every row gets the middle label
+    return o.select("o_orderkey", b.expr().alias("price_band"), c.expr().alias("status_band"))
