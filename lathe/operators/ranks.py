@@ -33,6 +33,10 @@ MAX_BUCKETS = 4096
 # of all distinct values of a group in one aggregation buffer) is replaced by
 # the bucketed rank plan
 EXACT_PERCENTILE_MAX_DISTINCT = 2_000_000
+# whole-table quantiles: sketch accuracy of the bracket pass and the largest bracket
+# (values per target) collected in the second pass
+BRACKET_ACCURACY = 10_000
+BRACKET_MAX_VALUES = 1_000_000
 # hex digits of the md5 used as hash buckets for folds and samples (16^4 buckets)
 HASH_PREFIX = 4
 
@@ -186,8 +190,9 @@ def quantiles(df: DataFrame, cols: list[str], probs: list[float], by=None, mode:
     ``mode``: ``"exact"`` = Spark ``percentile`` (one aggregation, memory grows with
     distinct values per group), ``"rank"`` = the bucketed rank plan (same answer,
     bounded memory per task), ``"approx"`` = ``percentile_approx`` (data values,
-    not interpolated), ``"auto"`` = ``percentile`` for columns whose estimated
-    distinct count per group is small, rank plan for the others.
+    not interpolated), ``"auto"`` = whole-table quantiles by the two-pass bracket
+    plan (falling back to the rank plan), grouped quantiles by ``percentile`` for
+    columns whose estimated distinct count per group is small, rank plan for the others.
     """
     by = _keys(by)
     cols = list(cols)
@@ -206,6 +211,8 @@ def quantiles(df: DataFrame, cols: list[str], probs: list[float], by=None, mode:
                 .select(*by, "column", "q_index", "prob", "value"))
     if mode != "auto":
         raise ValueError(f"unknown quantile mode {mode!r}")
+    if not by:
+        return _quantiles_bracket(df, cols, probs)
     est = distinct_estimates(df, cols, by)
     small = [c for c in cols if est.get(c, 0) <= EXACT_PERCENTILE_MAX_DISTINCT]
     big = [c for c in cols if c not in small]
@@ -220,6 +227,64 @@ def quantiles(df: DataFrame, cols: list[str], probs: list[float], by=None, mode:
     return out
 
 
+def _quantiles_bracket(df: DataFrame, cols: list[str], probs: list[float]) -> DataFrame:
+    """Whole-table exact quantiles in two parallel passes.
+
+    Pass 1: row count and ``percentile_approx`` values a little below and above
+    each target probability (rank error at most ``N / BRACKET_ACCURACY``).
+    Pass 2: per target, the count of values below the lower bracket and the
+    values inside the bracket (about ``4 N / BRACKET_ACCURACY`` of them). The
+    interpolation is then finished on those few values. A bracket that misses
+    a target position, or a column too large for bounded brackets, goes to the
+    bucketed rank plan, so the answer is always exact."""
+    spark = df.sparkSession
+    eps = 1.0 / BRACKET_ACCURACY
+    agg1 = []
+    for i, c in enumerate(cols):
+        x = F.col(c).cast("double")
+        agg1.append(F.count(x).alias(f"n{i}"))
+        grid = sorted({min(1.0, max(0.0, p + d)) for p in probs for d in (-3 * eps, 3 * eps)})
+        agg1.append(F.percentile_approx(x, grid, BRACKET_ACCURACY).alias(f"g{i}"))
+    r1 = df.agg(*agg1).first()
+    plan, rank_cols, out_rows = {}, [], []
+    for i, c in enumerate(cols):
+        n = int(r1[f"n{i}"] or 0)
+        if n == 0:
+            continue
+        if 6 * eps * n + 8 > BRACKET_MAX_VALUES:
+            rank_cols.append(c)
+            continue
+        grid = sorted({min(1.0, max(0.0, p + d)) for p in probs for d in (-3 * eps, 3 * eps)})
+        gv = dict(zip(grid, r1[f"g{i}"]))
+        for qi, p in enumerate(probs):
+            plan[(i, qi)] = (c, n, p, gv[min(1.0, max(0.0, p - 3 * eps))], gv[min(1.0, max(0.0, p + 3 * eps))])
+    if plan:
+        agg2 = []
+        for (i, qi), (c, n, p, lo, hi) in plan.items():
+            x = F.col(c).cast("double")
+            agg2.append(F.count_if(x < F.lit(lo)).alias(f"lt{i}_{qi}"))
+            agg2.append(F.collect_list(F.when((x >= F.lit(lo)) & (x <= F.lit(hi)), x)).alias(f"v{i}_{qi}"))
+        r2 = df.agg(*agg2).first()
+        for (i, qi), (c, n, p, lo, hi) in plan.items():
+            lt = int(r2[f"lt{i}_{qi}"])
+            vals = sorted(r2[f"v{i}_{qi}"])
+            h = (n - 1) * p
+            a, b = math.floor(h), math.ceil(h)
+            if a - lt < 0 or b - lt >= len(vals):
+                if c not in rank_cols:
+                    rank_cols.append(c)
+                continue
+            va, vb = vals[a - lt], vals[b - lt]
+            v = va if a == b else (b - h) * va + (h - a) * vb
+            out_rows.append((c, qi, p, float(v)))
+    out_rows = [r for r in out_rows if r[0] not in rank_cols]
+    res = spark.createDataFrame(out_rows, "column string, q_index int, prob double, value double")
+    if rank_cols:
+        res = res.unionByName(_quantiles_rank(df, rank_cols, probs, []).select(
+            "column", F.col("q_index").cast("int"), "prob", "value"))
+    return res
+
+
 def distinct_estimates(df: DataFrame, cols: list[str], by=None) -> dict[str, int]:
     """Largest HyperLogLog distinct estimate per column over the ``by`` groups (one small job)."""
     by = _keys(by)

@@ -22,8 +22,18 @@ def nan_to_null(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     return df.select(*out)
 
 
+def balance_partitions(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread a scan that yields fewer partitions than the cluster has cores (a file with one
+    row group is read by one task) with a round-robin repartition; a large input, whose scan
+    already has many partitions, is returned unchanged."""
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < want:
+        return df.repartition(want)
+    return df
+
+
 def read_parquet(spark: SparkSession, path: str, clean_nan: bool = True, where=None,
-                 columns: list[str] | None = None) -> DataFrame:
+                 columns: list[str] | None = None, balance: bool = False) -> DataFrame:
     """Parquet with NaN turned into NULL.
 
     ``nan_to_null`` wraps float columns in ``nanvl``, which Catalyst cannot push
@@ -36,13 +46,15 @@ def read_parquet(spark: SparkSession, path: str, clean_nan: bool = True, where=N
         df = df.select(*columns)
     if where is not None:
         df = df.where(where)
+    if balance:
+        df = balance_partitions(df)
     return nan_to_null(df) if clean_nan else df
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str, clean_nan: bool = True, where=None,
-               columns: list[str] | None = None) -> DataFrame:
+               columns: list[str] | None = None, balance: bool = False) -> DataFrame:
     """One of the driver tables under ``sf_dir``."""
-    return read_parquet(spark, f"{sf_dir.rstrip('/')}/{name}.parquet", clean_nan, where, columns)
+    return read_parquet(spark, f"{sf_dir.rstrip('/')}/{name}.parquet", clean_nan, where, columns, balance)
 
 
 def read_table_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
