@@ -275,7 +275,7 @@ def _quantiles_bracket(df: DataFrame, cols: list[str], probs: list[float]) -> Da
                     rank_cols.append(c)
                 continue
             va, vb = vals[a - lt], vals[b - lt]
-            v = va if a == b else (b - h) * va + (h - a) * vb
+            v = va if a == b or va == vb else (b - h) * va + (h - a) * vb
             out_rows.append((c, qi, p, float(v)))
     out_rows = [r for r in out_rows if r[0] not in rank_cols]
     res = spark.createDataFrame(out_rows, "column string, q_index int, prob double, value double")

@@ -192,3 +192,16 @@ def test_winsorizer_on_nan_column(spark):
     df = nan_to_null(spark.createDataFrame([(float("nan"),), (1.0,), (2.0,), (None,)], "x double"))
     m = Winsorizer(["x"], 0.0, 1.0).fit(df)
     assert sorted(r[0] for r in m.transform(df).collect() if r[0] is not None) == [1.0, 2.0]
+
+
+@pytest.mark.parametrize("accuracy", [10_000, 3])
+def test_bracket_quantiles_equal_exact_with_ties(spark, monkeypatch, accuracy):
+    # accuracy 3 makes brackets miss, which must fall back to the rank plan
+    monkeypatch.setattr(R, "BRACKET_ACCURACY", accuracy)
+    df = spark.range(0, 3000).select((F.round((F.col("id") * 7919 % 1000) / 1000.0, 2)).alias("x"),
+                                     (F.col("id") % 3 * 1.0).alias("y"))
+    probs = [i / 10 for i in range(11)] + [0.002, 0.998]
+    a = {(r["column"], r["q_index"]): r["value"] for r in R.quantiles(df, ["x", "y"], probs, mode="exact").collect()}
+    b = {(r["column"], r["q_index"]): r["value"] for r in R.quantiles(df, ["x", "y"], probs, mode="auto").collect()}
+    assert a.keys() == b.keys()
+    assert all(abs(a[k] - b[k]) < 1e-12 for k in a)
