@@ -51,7 +51,7 @@ SELECT id, age, CAST(dense_rank() OVER (ORDER BY job) - 1 AS INT) AS job,
   round(balance, 6) + 0.0 AS balance, round(balance / nullif(age, 0), 6) + 0.0 AS balance_per_age,
   round(balance / nullif(campaign, 0), 6) + 0.0 AS balance_per_campaign,
   CAST(dense_rank() OVER (ORDER BY contact) - 1 AS INT) AS contact,
-  dayofyear(dt) AS day_of_year, round(sin(2 * pi() * dayofyear(dt) / 366.0), 6) + 0.0 AS day_sin,
+  CAST(dayofyear(dt) AS INT) AS day_of_year, round(sin(2 * pi() * dayofyear(dt) / 366.0), 6) + 0.0 AS day_sin,
   round(cos(2 * pi() * dayofyear(dt) / 366.0), 6) + 0.0 AS day_cos,
   duration, round({_ln1p('duration')}, 6) + 0.0 AS log_duration, campaign,
   CASE WHEN coalesce(pdays, -1) > -2 AND coalesce(pdays, -1) <= 0 THEN 'NotContacted' WHEN pdays > 0 AND pdays <= 90 THEN 'Recent'
@@ -193,7 +193,7 @@ def x7_road(spark, sf):
     r = RD.road_like(table(spark, sf, "lineitem"), table(spark, sf, "orders"))
     out = RD.RoadFeaturesModel().transform(r)
     out = out.withColumn("speed_curvature_ratio", r6("speed_curvature_ratio", 4))
-    return _round_doubles(out.withColumn("num_reported_accidents", F.col("num_reported_accidents").cast("long")))
+    return _round_doubles(out)
 
 
 @register("x7_road_features_dedup", f"SELECT count(*) AS n FROM (SELECT DISTINCT * FROM {ROAD_SQL})")

@@ -378,7 +378,7 @@ def a34_mean_long(spark, sf):
 def _grid_sql(step=0.05):
     pts = BL.simplex_grid(3, step)
     vals = ", ".join(f"({i}, {a}, {b}, {c})" for i, (a, b, c) in enumerate(pts))
-    return f"(SELECT * FROM (VALUES {vals}) g(weight_id, w_p_a, w_p_b, w_p_c))"
+    return f"(SELECT weight_id, CAST(w_p_a AS DOUBLE) AS w_p_a, CAST(w_p_b AS DOUBLE) AS w_p_b, CAST(w_p_c AS DOUBLE) AS w_p_c FROM (VALUES {vals}) g(weight_id, w_p_a, w_p_b, w_p_c))"
 
 
 @register("m13_blend_weights_auc", f"""WITH s AS (SELECT weight_id, w_p_a, w_p_b, w_p_c, y, w_p_a * p_a + w_p_b * p_b + w_p_c * p_c AS s FROM {PRED_SQL}, {_grid_sql()}),

@@ -45,7 +45,7 @@ def a2_describe(spark, sf):
 
 
 @register("a3_describe_categorical", union_cols(["c_name", "c_mktsegment"], """SELECT '{c}' AS "column",
-  sum(n) AS count, count(*) AS unique, arg_min(v, (-n, v)) AS top, max(n) AS freq
+  CAST(sum(n) AS BIGINT) AS count, count(*) AS unique, arg_min(v, (-n, v)) AS top, max(n) AS freq
   FROM (SELECT {c} AS v, count(*) AS n FROM customer WHERE {c} IS NOT NULL GROUP BY {c})"""))
 def a3_describe_cat(spark, sf):
     d = P.describe_categorical(table(spark, sf, "customer"), ["c_name", "c_mktsegment"])
@@ -200,7 +200,7 @@ def a15_priority(spark, sf):
 @register("a28_profile_table", f"""SELECT o."column", o.dtype, o.n, o.missing, o.distinct, z.zeros, d.mean, d.std, d.min, d.p25, d.p50, d.p75, d.max FROM
   ({union_cols(CUST, "SELECT '{c}' AS \"column\", count({c}) AS n, count(*) - count({c}) AS missing, count(DISTINCT {c}) AS distinct FROM customer")}) o
   JOIN (SELECT column_name AS "column", {SPARK_TYPE_SQL} AS dtype FROM information_schema.columns WHERE table_name = 'customer') t USING ("column")
-  LEFT JOIN ({union_cols(["c_custkey", "c_nationkey", "c_acctbal"], "SELECT '{c}' AS \"column\", count_if({c} = 0) AS zeros FROM customer")}) z USING ("column")
+  LEFT JOIN ({union_cols(["c_custkey", "c_nationkey", "c_acctbal"], "SELECT '{c}' AS \"column\", CAST(count_if({c} = 0) AS BIGINT) AS zeros FROM customer")}) z USING ("column")
   LEFT JOIN ({_describe_sql("customer", ["c_custkey", "c_nationkey", "c_acctbal"])}) d USING ("column")""".replace(
     "o.dtype", "t.dtype"))
 def a28_profile(spark, sf):
@@ -247,7 +247,7 @@ def a29_shape(spark, sf):
                     F.col("columns").cast("int"))
 
 
-@register("a30_class_balance", """SELECT count_if(toxic = 1) AS positives, count_if(toxic = 0) AS negatives,
+@register("a30_class_balance", """SELECT CAST(count_if(toxic = 1) AS BIGINT) AS positives, CAST(count_if(toxic = 0) AS BIGINT) AS negatives,
   round(count_if(toxic = 0) / nullif(count_if(toxic = 1), 0), 6) + 0.0 AS pos_weight FROM labels""")
 def a30_class_balance(spark, sf):
     b = P.class_balance(table(spark, sf, "labels"), "toxic")
@@ -255,7 +255,7 @@ def a30_class_balance(spark, sf):
 
 
 @register("a31_adjusted_count", """WITH d AS (SELECT o_orderkey, month(o_orderdate) AS m, dayofmonth(o_orderdate) + o_orderkey % 4 AS day FROM orders)
-SELECT count_if(least(greatest(day, 1), dayofmonth(last_day(make_date(2020, m, 1)))) <> day) AS adjusted FROM d""")
+SELECT CAST(count_if(least(greatest(day, 1), dayofmonth(last_day(make_date(2020, m, 1)))) <> day) AS BIGINT) AS adjusted FROM d""")
 def a31_adjusted(spark, sf):
     from lathe.functions.scalars import clipped_day
     o = table(spark, sf, "orders")

@@ -187,7 +187,7 @@ f AS (SELECT *, q1 - 1.5 * (q3 - q1) AS lf, q3 + 1.5 * (q3 - q1) AS hf FROM q)
 SELECT o_orderpriority, round(q1, 6) + 0.0 AS q1, round(median, 6) + 0.0 AS median, round(q3, 6) + 0.0 AS q3,
   round(min(o_totalprice) FILTER (WHERE o_totalprice BETWEEN lf AND hf), 6) + 0.0 AS whisker_lo,
   round(max(o_totalprice) FILTER (WHERE o_totalprice BETWEEN lf AND hf), 6) + 0.0 AS whisker_hi,
-  count_if(NOT (o_totalprice BETWEEN lf AND hf)) AS outliers, count(*) AS n
+  CAST(count_if(NOT (o_totalprice BETWEEN lf AND hf)) AS BIGINT) AS outliers, count(*) AS n
 FROM orders JOIN f USING (o_orderpriority) GROUP BY o_orderpriority, q1, median, q3"""
 
 

@@ -165,7 +165,7 @@ def f21_fixed_bins(spark, sf):
                      S.fixed_bins(F.coalesce("pdays", F.lit(-1)), S.PDAYS_EDGES, S.PDAYS_LABELS).alias("pdays_binned"))
 
 
-@register("p12_sentinel_to_null", f"""SELECT l_orderkey, l_linenumber, nullif({_PD}, -1) AS pdays,
+@register("p12_sentinel_to_null", f"""SELECT l_orderkey, l_linenumber, CAST(nullif({_PD}, -1) AS INT) AS pdays,
   CAST(nullif({_PD}, -1) IS NULL AS TINYINT) AS pdays_missing FROM lineitem""")
 def p12_sentinel(spark, sf):
     li = _pdays(_li(spark, sf))
@@ -226,14 +226,14 @@ def dirty_calendar(o):
 _MONTH_CASE = ("CASE lower(month) WHEN 'jan' THEN 1 WHEN 'feb' THEN 2 WHEN 'mar' THEN 3 WHEN 'apr' THEN 4 "
                "WHEN 'may' THEN 5 WHEN 'jun' THEN 6 WHEN 'jul' THEN 7 WHEN 'aug' THEN 8 WHEN 'sep' THEN 9 "
                "WHEN 'oct' THEN 10 WHEN 'nov' THEN 11 WHEN 'dec' THEN 12 END")
-CAL_SQL = f"""WITH d AS (SELECT o_orderkey, {_MON} AS month, {_DAY} AS day FROM orders),
+CAL_SQL = f"""WITH d AS (SELECT o_orderkey, {_MON} AS month, CAST({_DAY} AS INT) AS day FROM orders),
 m AS (SELECT *, {_MONTH_CASE} AS mnum FROM d),
 e AS (SELECT *, CASE WHEN mnum IS NOT NULL THEN dayofmonth(last_day(make_date(2020, mnum, 1))) END AS mend FROM m),
 s AS (SELECT *, CASE WHEN mnum IS NOT NULL THEN make_date(2020, mnum, least(greatest(day, 1), mend)) END AS dt FROM e)"""
 
 
 @register("f26_f30_calendar", CAL_SQL + """
-SELECT o_orderkey, mnum AS month_num, dayofyear(dt) AS day_of_year,
+SELECT o_orderkey, mnum AS month_num, CAST(dayofyear(dt) AS INT) AS day_of_year,
   round(sin(2 * pi() * dayofyear(dt) / 366.0), 6) + 0.0 AS day_sin,
   round(cos(2 * pi() * dayofyear(dt) / 366.0), 6) + 0.0 AS day_cos,
   CASE WHEN mnum IS NOT NULL THEN CAST(day < 1 OR day > mend AS INT) END AS invalid_day FROM s""")
