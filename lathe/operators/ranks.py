@@ -83,9 +83,10 @@ def _bucket_count(hist: DataFrame, keys: list[str]) -> int:
 
 
 def bucketize(hist: DataFrame, keys, value: str = "value", n_col: str = "n",
-              buckets: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """Steps 2-3 of the rank plan: ``(hist + bucket, offsets)`` where ``offsets`` has one row per
-    (key, bucket) with ``_off`` (rows before the bucket) and ``_bn`` (rows in it)."""
+              buckets: int | None = None) -> tuple[DataFrame, DataFrame, bool]:
+    """Steps 2-3 of the rank plan: ``(hist + bucket, offsets, single)`` where ``offsets`` has one
+    row per (key, bucket) with ``_off`` (rows before the bucket) and ``_bn`` (rows in it), and
+    ``single`` says every key has one bucket."""
     keys = _keys(keys)
     b = buckets if buckets is not None else _bucket_count(hist, keys)
     if b > 1:
@@ -100,11 +101,17 @@ def bucketize(hist: DataFrame, keys, value: str = "value", n_col: str = "n",
     sizes = hb.groupBy(*keys, "bucket").agg(F.sum(n_col).alias("_bn"))
     w_off = Window.partitionBy(*keys).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(*keys, "bucket", "_bn", F.coalesce(F.sum("_bn").over(w_off), F.lit(0)).alias("_off"))
-    return hb, offsets
+    return hb, offsets, b == 1
 
 
-def _rank_within(hb: DataFrame, offsets: DataFrame, keys: list[str], value: str, n_col: str) -> DataFrame:
-    ranked = hb.join(offsets.select(*keys, "bucket", "_off"), keys + ["bucket"])
+def _rank_within(hb: DataFrame, offsets: DataFrame, keys: list[str], value: str, n_col: str,
+                 single: bool = False) -> DataFrame:
+    if single:
+        # one bucket per key: no offsets to add (and no join on a constant bucket id)
+        ranked = hb.withColumn("_off", F.lit(0).cast("long"))
+    else:
+        ranked = hb.join(offsets.select(*keys, "bucket", "_off"), keys + ["bucket"])
+    # one window partition per (key, bucket): at most about TARGET_BUCKET_ROWS distinct values
     w_in = Window.partitionBy(*keys, "bucket").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
     cum = (F.col("_off") + F.coalesce(F.sum(n_col).over(w_in), F.lit(0))).cast("long")
     ranked = ranked.withColumn("cum_before", cum).drop("_off")
@@ -122,8 +129,8 @@ def rank_distinct(hist: DataFrame, keys, value: str = "value", n_col: str = "n",
     (pandas ``rank(method='average')``), computed per key.
     """
     keys = _keys(keys)
-    hb, offsets = bucketize(hist, keys, value, n_col, buckets)
-    return _rank_within(hb, offsets, keys, value, n_col)
+    hb, offsets, single = bucketize(hist, keys, value, n_col, buckets)
+    return _rank_within(hb, offsets, keys, value, n_col, single)
 
 
 def avg_rank_column(df: DataFrame, col: str, out: str | None = None, by=None) -> DataFrame:
@@ -155,7 +162,7 @@ def _quantiles_percentile(df: DataFrame, cols: list[str], probs: list[float], by
 def _quantiles_rank(df: DataFrame, cols: list[str], probs: list[float], by: list[str]) -> DataFrame:
     keys = by + ["column"]
     long_df = unpivot_values(df, cols, keep=by)
-    hb, offsets = bucketize(value_histogram(long_df, keys), keys)
+    hb, offsets, single = bucketize(value_histogram(long_df, keys), keys)
     totals = offsets.groupBy(*keys).agg(F.sum("_bn").alias("_N"))
     # target positions (1-based) of the two neighbours of h = (N-1) q
     pr = F.explode(F.array(*[F.struct(F.lit(i).alias("q_index"), F.lit(float(p)).alias("prob"))
@@ -170,7 +177,7 @@ def _quantiles_rank(df: DataFrame, cols: list[str], probs: list[float], by: list
     tgb = tg.join(offsets, keys).where((F.col("_pos") > F.col("_off")) & (F.col("_pos") <= F.col("_off") + F.col("_bn"))) \
             .select(*keys, "bucket", "q_index", "prob", "_frac", "_side", "_pos")
     need = tgb.select(*keys, "bucket").distinct()
-    ranked = _rank_within(hb.join(F.broadcast(need), keys + ["bucket"], "left_semi"), offsets, keys, "value", "n")
+    ranked = _rank_within(hb.join(F.broadcast(need), keys + ["bucket"], "left_semi"), offsets, keys, "value", "n", single)
     hit = ranked.select(*keys, "bucket", "value", "rank_lo", "rank_hi").join(F.broadcast(tgb), keys + ["bucket"]) \
                 .where((F.col("_pos") >= F.col("rank_lo")) & (F.col("_pos") <= F.col("rank_hi")))
     res = hit.groupBy(*keys, "q_index", "prob").agg(

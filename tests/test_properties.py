@@ -97,6 +97,7 @@ def test_no_unpartitioned_window_and_no_python_udf(spark, name):
     df = E.queries()[name](spark, SMALL)
     plan = _plan(df)
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+    assert "CartesianProduct" not in plan
     _assert_no_single_task_window(plan)
 
 
