@@ -421,3 +421,14 @@ SELECT CAST(len(list_filter(edges[2:len(edges) - 1], lambda v: v < p_b)) AS INT)
 def t6_residuals(spark, sf):
     r = M.residual_bins(predictions(spark, sf), "p_b", "y", q=10)
     return r.select(F.col("bin").cast("int"), "n", r6("mean_error").alias("mean_error"), r6("rmse").alias("rmse"))
+
+
+@register("w3_w4_regression_stratified_folds", f"""WITH e AS (SELECT list_sort(list_distinct(quantile_cont(o_totalprice, [{', '.join(str(i / 12) for i in range(13))}]))) AS edges FROM orders),
+b AS (SELECT o_orderkey, CAST(len(list_filter(edges[2:len(edges) - 1], lambda v: v < o_totalprice)) AS INT) AS bin FROM orders, e)
+SELECT o_orderkey, bin, CAST((row_number() OVER (PARTITION BY bin ORDER BY {_md5_order('o_orderkey')}) - 1) % 5 AS INT) AS fold FROM b""")
+def w3_w4_regression_folds(spark, sf):
+    """Folds for a regression target: stratify on 12 quantile bins of the target."""
+    o = table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
+    e = RK.qcut_edges(o, "o_totalprice", 12)
+    b = o.crossJoin(F.broadcast(e)).select("o_orderkey", RK.qcut_code(F.col("o_totalprice"), F.col("edges")).alias("bin"))
+    return RK.kfold(b, "o_orderkey", 5, SEED, strata="bin")

@@ -291,3 +291,11 @@ def x9_eda(spark, sf):
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+@register("a10_top_spearman_pairs", "SELECT * FROM (" + " UNION ALL ".join(
+        f"SELECT '{a}' AS a, '{b}' AS b, round((SELECT rho FROM {_spearman_sql('lineitem', a, b)}), 6) + 0.0 AS rho"
+        for a, b in _pairs(SPEAR_COLS)) + ") ORDER BY abs(rho) DESC, a, b LIMIT 3")
+def a10_top_spearman(spark, sf):
+    m = P.spearman_matrix(table(spark, sf, "lineitem"), SPEAR_COLS).select("a", "b", r6("rho").alias("rho"))
+    return P.top_pairs(m, 3, value="rho")
