@@ -210,8 +210,9 @@ def month_last_day(month, year: int = 2020) -> Column:
 
 
 def clipped_day(month, day, year: int = 2020) -> Column:
-    """Day clipped into ``[1, last day of month]``."""
-    return F.least(F.greatest(_c(day).cast("int"), F.lit(1)), month_last_day(month, year))
+    """Day clipped into ``[1, last day of month]``; NULL for an unknown month."""
+    last = month_last_day(month, year)
+    return F.when(last.isNotNull(), F.least(F.greatest(_c(day).cast("int"), F.lit(1)), last))
 
 
 def safe_date(month, day, year: int = 2020) -> Column:

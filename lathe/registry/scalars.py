@@ -307,3 +307,17 @@ def f22_bins(spark, sf):
     b = fit_quantile_binner(o, "o_totalprice")
     c = fit_quantile_binner(o, "_const")     # < 2 distinct values: every row gets the middle label
     return o.select("o_orderkey", b.expr().alias("price_band"), c.expr().alias("status_band"))
+
+
+@register("f27_f28_f29_safe_date_cyclic", CAL_SQL + """
+SELECT o_orderkey, CAST(dt AS VARCHAR) AS safe_date, CAST(dayofyear(dt) AS INT) AS day_of_year,
+  round(sin(2 * pi() * dayofyear(dt) / 366.0), 6) + 0.0 AS day_sin, round(cos(2 * pi() * dayofyear(dt) / 366.0), 6) + 0.0 AS day_cos,
+  CASE WHEN mnum IS NOT NULL THEN CAST(least(greatest(day, 1), mend) <> day AS INT) END AS adjusted FROM s""")
+def f27_safe_date(spark, sf):
+    """F27 safe date from (2020, month, clipped day), F28 day of year, F29 cyclic encoding."""
+    o = dirty_calendar(table(spark, sf, "orders"))
+    m = S.month_number("month")
+    dt = S.safe_date(m, "day")
+    return o.select("o_orderkey", F.date_format(dt, "yyyy-MM-dd").alias("safe_date"), S.day_of_year(dt).alias("day_of_year"),
+                    r6(S.cyclic_sin(S.day_of_year(dt))).alias("day_sin"), r6(S.cyclic_cos(S.day_of_year(dt))).alias("day_cos"),
+                    S.day_adjusted(m, "day").cast("int").alias("adjusted"))
