@@ -115,9 +115,15 @@ def neighbours(vertices: DataFrame, route_id: str, seq: str, cols: list[str],
     return out
 
 
+DEFAULT_BLOCK = 1_000_000
+
+
 def vertex_angles(vertices: DataFrame, route_id: str = "route_id", seq: str = "seq",
-                  x: str = "x", y: str = "y", block_size: int | None = None) -> DataFrame:
-    """W1 + F32 + F33: per vertex turn angle; route ends (and routes under 3 vertices) get 180."""
+                  x: str = "x", y: str = "y", block_size: int | None = DEFAULT_BLOCK) -> DataFrame:
+    """W1 + F32 + F33: per vertex turn angle; route ends (and routes under 3 vertices) get 180.
+
+    Routes longer than ``block_size`` sequence numbers are split over several
+    window partitions (``block_size=None`` keeps one partition per route)."""
     v = neighbours(vertices.select(route_id, seq, x, y), route_id, seq, [x, y], block_size)
     px, py, nx, ny = (F.col(f"_prev_{x}"), F.col(f"_prev_{y}"), F.col(f"_next_{x}"), F.col(f"_next_{y}"))
     ang = F.when(px.isNull() | nx.isNull(), F.lit(180.0)).otherwise(
@@ -132,7 +138,7 @@ def curviness_score(mean_angle: Column, floor: float = 160.0) -> Column:
 
 def route_curviness(routes: DataFrame, geojson: str = "geojson", route_id: str = "route_id",
                     origin_lat: str | None = None, origin_lng: str | None = None,
-                    block_size: int | None = None) -> DataFrame:
+                    block_size: int | None = DEFAULT_BLOCK) -> DataFrame:
     """X11: ``(route_id, n_vertices, mean_angle, curviness)`` for many routes at once.
 
     Vertices are projected to the UTM zone of the route's origin (given

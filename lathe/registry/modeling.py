@@ -154,3 +154,13 @@ def m19_contract(spark, sf):
     contract = MD.ScoringContract(["c_acctbal", "c_nationkey", "o_totalprice"], [], "y", spark.version)
     c2 = MD.ScoringContract.load(spark, contract.save(spark, scratch_path(spark, "contract")))
     return c2.check(orders_frame(spark, sf))
+
+
+@register("m13_blend_weights_rmse")
+def m13_rmse(spark, sf):
+    """Squared-error blend: least-squares weights summing to one from one Gram aggregate."""
+    from lathe.operators.blend import blend_weights_rmse
+    from lathe.registry.core import predictions
+    p = predictions(spark, sf)
+    w = blend_weights_rmse(p, ["p_a", "p_b", "p_c"], "y")
+    return spark.createDataFrame([(m, float(x)) for m, x in zip(["p_a", "p_b", "p_c"], w)], "model string, weight double")

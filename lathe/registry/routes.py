@@ -60,7 +60,7 @@ def w1_angles(spark, sf):
 def w1_angles_plain(spark, sf):
     e = table(spark, sf, "embeddings").select("label", "vec_id", F.col("embedding")[0].cast("double").alias("x"),
                                                F.col("embedding")[1].cast("double").alias("y"))
-    a = G.vertex_angles(e, "label", "vec_id", "x", "y")
+    a = G.vertex_angles(e, "label", "vec_id", "x", "y", block_size=None)
     return a.select("label", "vec_id", r6("angle_deg").alias("angle_deg"))
 
 
