@@ -239,11 +239,14 @@ def _quantiles_bracket(df: DataFrame, cols: list[str], probs: list[float]) -> Da
 
     Pass 1: row count and ``percentile_approx`` values a little below and above
     each target probability (rank error at most ``N / BRACKET_ACCURACY``).
-    Pass 2: per target, the count of values below the lower bracket and the
-    values inside the bracket (about ``4 N / BRACKET_ACCURACY`` of them). The
-    interpolation is then finished on those few values. A bracket that misses
-    a target position, or a column too large for bounded brackets, goes to the
-    bucketed rank plan, so the answer is always exact."""
+    Pass 2: per target, a grouped count of the values inside the bracket, with
+    every value below it folded into one "below" row (partial aggregation keeps
+    a hot value to one row per task). The sketch bounds the ranks between the
+    two bracket ends, so each target has at most about ``8 N / BRACKET_ACCURACY``
+    distinct values; the interpolation is finished on those. A bracket that
+    misses a target position, more distinct values than ``BRACKET_MAX_VALUES``,
+    or a column too large for bounded brackets goes to the bucketed rank plan,
+    so the answer is always exact."""
     spark = df.sparkSession
     eps = 1.0 / BRACKET_ACCURACY
     agg1 = []
@@ -258,30 +261,50 @@ def _quantiles_bracket(df: DataFrame, cols: list[str], probs: list[float]) -> Da
         n = int(r1[f"n{i}"] or 0)
         if n == 0:
             continue
-        if 6 * eps * n + 8 > BRACKET_MAX_VALUES:
+        if 8 * eps * n + 8 > BRACKET_MAX_VALUES:
             rank_cols.append(c)
             continue
         grid = sorted({min(1.0, max(0.0, p + d)) for p in probs for d in (-3 * eps, 3 * eps)})
         gv = dict(zip(grid, r1[f"g{i}"]))
         for qi, p in enumerate(probs):
-            plan[(i, qi)] = (c, n, p, gv[min(1.0, max(0.0, p - 3 * eps))], gv[min(1.0, max(0.0, p + 3 * eps))])
+            plan[len(plan)] = (c, qi, n, p, gv[min(1.0, max(0.0, p - 3 * eps))], gv[min(1.0, max(0.0, p + 3 * eps))])
     if plan:
-        agg2 = []
-        for (i, qi), (c, n, p, lo, hi) in plan.items():
+        arr = []
+        for t, (c, qi, n, p, lo, hi) in plan.items():
             x = F.col(c).cast("double")
-            agg2.append(F.count_if(x < F.lit(lo)).alias(f"lt{i}_{qi}"))
-            agg2.append(F.collect_list(F.when((x >= F.lit(lo)) & (x <= F.lit(hi)), x)).alias(f"v{i}_{qi}"))
-        r2 = df.agg(*agg2).first()
-        for (i, qi), (c, n, p, lo, hi) in plan.items():
-            lt = int(r2[f"lt{i}_{qi}"])
-            vals = sorted(r2[f"v{i}_{qi}"])
+            arr.append(F.when(x <= F.lit(hi), F.struct(F.lit(t).alias("t"),
+                                                        F.when(x >= F.lit(lo), x).alias("v"))))
+        inside = (df.select(F.explode(F.array(*arr)).alias("_s")).where(F.col("_s").isNotNull())
+                  .select("_s.t", "_s.v").groupBy("t", "v").agg(F.count(F.lit(1)).alias("n")))
+        limit = BRACKET_MAX_VALUES * len(plan) + 1
+        rows = inside.limit(limit).collect()
+        by_t: dict[int, list] = {}
+        below: dict[int, int] = {}
+        for r in rows:
+            if r["v"] is None:
+                below[r["t"]] = r["n"]
+            else:
+                by_t.setdefault(r["t"], []).append((r["v"], r["n"]))
+        for t, (c, qi, n, p, lo, hi) in plan.items():
+            vals = sorted(by_t.get(t, []))
+            if len(rows) >= limit or len(vals) > BRACKET_MAX_VALUES:
+                if c not in rank_cols:
+                    rank_cols.append(c)
+                continue
             h = (n - 1) * p
             a, b = math.floor(h), math.ceil(h)
-            if a - lt < 0 or b - lt >= len(vals):
+            va = vb = None
+            pos = below.get(t, 0)           # rows before the first bracket value
+            for v, cnt in vals:
+                if va is None and a < pos + cnt and a >= pos:
+                    va = v
+                if vb is None and b < pos + cnt and b >= pos:
+                    vb = v
+                pos += cnt
+            if va is None or vb is None:
                 if c not in rank_cols:
                     rank_cols.append(c)
                 continue
-            va, vb = vals[a - lt], vals[b - lt]
             v = va if a == b or va == vb else (b - h) * va + (h - a) * vb
             out_rows.append((c, qi, p, float(v)))
     out_rows = [r for r in out_rows if r[0] not in rank_cols]
