@@ -269,20 +269,23 @@ def _quantiles_bracket(df: DataFrame, cols: list[str], probs: list[float]) -> Da
         for qi, p in enumerate(probs):
             plan[len(plan)] = (c, qi, n, p, gv[min(1.0, max(0.0, p - 3 * eps))], gv[min(1.0, max(0.0, p + 3 * eps))])
     if plan:
-        arr = []
+        # one row per input row for the "below" counts (t = -1, summed flags) plus one row
+        # per bracket the value falls into; partial aggregation folds the t = -1 rows
+        flags, inside = [], [F.struct(F.lit(-1).alias("t"), F.lit(None).cast("double").alias("v"))]
         for t, (c, qi, n, p, lo, hi) in plan.items():
             x = F.col(c).cast("double")
-            arr.append(F.when(x <= F.lit(hi), F.struct(F.lit(t).alias("t"),
-                                                        F.when(x >= F.lit(lo), x).alias("v"))))
-        inside = (df.select(F.explode(F.array(*arr)).alias("_s")).where(F.col("_s").isNotNull())
-                  .select("_s.t", "_s.v").groupBy("t", "v").agg(F.count(F.lit(1)).alias("n")))
-        limit = BRACKET_MAX_VALUES * len(plan) + 1
-        rows = inside.limit(limit).collect()
+            flags.append(F.coalesce((x < F.lit(lo)).cast("long"), F.lit(0)).alias(f"b{t}"))
+            inside.append(F.when((x >= F.lit(lo)) & (x <= F.lit(hi)), F.struct(F.lit(t).alias("t"), x.alias("v"))))
+        ex = df.select(*flags, F.explode(F.array(*inside)).alias("_s")).where(F.col("_s").isNotNull())
+        grouped = ex.groupBy(F.col("_s.t").alias("t"), F.col("_s.v").alias("v")).agg(
+            F.count(F.lit(1)).alias("n"), *[F.sum(f"b{t}").alias(f"b{t}") for t in plan])
+        limit = BRACKET_MAX_VALUES * len(plan) + 2
+        rows = grouped.limit(limit).collect()
         by_t: dict[int, list] = {}
         below: dict[int, int] = {}
         for r in rows:
-            if r["v"] is None:
-                below[r["t"]] = r["n"]
+            if r["t"] == -1:
+                below = {t: int(r[f"b{t}"] or 0) for t in plan}
             else:
                 by_t.setdefault(r["t"], []).append((r["v"], r["n"]))
         for t, (c, qi, n, p, lo, hi) in plan.items():
