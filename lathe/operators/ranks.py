@@ -27,7 +27,6 @@ from pyspark.sql import functions as F
 
 # rows of one (key, bucket) window partition the planner aims for
 TARGET_BUCKET_ROWS = 1_000_000
-MIN_BUCKET_ROWS = 50_000
 MAX_BUCKETS = 4096
 # above this many distinct values per column, `percentile` (which keeps a map
 # of all distinct values of a group in one aggregation buffer) is replaced by
@@ -70,15 +69,14 @@ def value_histogram(long_df: DataFrame, keys, value: str = "value",
 
 def _bucket_count(hist: DataFrame, keys: list[str]) -> int:
     """Number of range buckets per key, from the largest distinct count (one small job): enough
-    buckets that one (key, bucket) window partition holds about ``TARGET_BUCKET_ROWS`` distinct
-    values, and at least as many as the cluster's default parallelism for large keys."""
+    buckets that one (key, bucket) window partition holds at most about ``TARGET_BUCKET_ROWS``
+    distinct values (many keys already run in parallel; one key is split only when large)."""
     if keys:
         row = hist.groupBy(*keys).count().agg(F.max("count")).first()
     else:
         row = hist.agg(F.count(F.lit(1))).first()
     nd = int(row[0] or 0)
-    par = hist.sparkSession.sparkContext.defaultParallelism
-    want = max(math.ceil(nd / TARGET_BUCKET_ROWS), min(par, nd // MIN_BUCKET_ROWS))
+    want = math.ceil(nd / TARGET_BUCKET_ROWS)
     return max(1, min(MAX_BUCKETS, want))
 
 
