@@ -7,14 +7,12 @@ long tables with one row per column (or per column value).
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lathe.operators.columns import columns_by_kind, numeric_columns, distinct_counts
-from lathe.operators.ranks import quantiles, rank_distinct, value_histogram, unpivot_values
+from lathe.operators.columns import columns_by_kind, numeric_columns
+from lathe.operators.ranks import quantiles, rank_distinct, value_histogram
 
 
 def per_column_stats(df: DataFrame, cols: list[str], stats: dict, types: dict | None = None) -> DataFrame:

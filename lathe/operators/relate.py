@@ -12,7 +12,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lathe.operators.columns import columns_by_kind, numeric_columns, split_columns, distinct_counts, is_numeric_type
+from lathe.operators.columns import numeric_columns, split_columns, distinct_counts, is_numeric_type
 from lathe.operators.profile import spearman_with_target
 from lathe.operators.ranks import quantiles, qcut_code
 

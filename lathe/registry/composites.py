@@ -5,7 +5,6 @@ from pyspark.sql import functions as F
 
 from lathe.functions import scalars as S
 from lathe.operators import profile as P
-from lathe.operators.ranks import quantile_map
 from lathe.operators.stats import Winsorizer, WinsorizerModel
 from lathe.plans import audio as AU, bank as BK, road as RD
 from lathe.registry.base import register, table, r6

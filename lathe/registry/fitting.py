@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from lathe.operators.stats import Winsorizer, RobustScaler, FittedState, apply_fitted_broadcast, clip
+from lathe.operators.stats import Winsorizer
 from lathe.registry.base import register, table, r6
 
 _LI_NUM = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]

@@ -1,13 +1,13 @@
 """Model queries (M1-M12, M15-M19, S5, K3). Model outputs are checked by rows only, except the
 scoring contract, whose result is a plain projection."""
 
-from pyspark.ml.classification import GBTClassificationModel, RandomForestClassificationModel
+from pyspark.ml.classification import GBTClassificationModel
 from pyspark.sql import functions as F
 
 from lathe.operators.blend import apply_blend, blend_weights
 from lathe.operators.metrics import roc_auc, rmse
 from lathe.plans import models as MD
-from lathe.registry.base import register, table, r6
+from lathe.registry.base import register, table
 from lathe.session import scratch_path
 
 BIN_FEATS = ["o_totalprice", "c_acctbal", "c_nationkey", "o_orderpriority"]
