@@ -47,7 +47,8 @@ def describe_numeric(df: DataFrame, cols: list[str] | None = None, mode: str = "
     q = quantiles(df, cols, [0.25, 0.5, 0.75], mode=mode)
     qw = q.groupBy("column").agg(*[F.max(F.when(F.col("q_index") == i, F.col("value"))).alias(n)
                                    for i, n in enumerate(["p25", "p50", "p75"])])
-    return mom.join(qw, "column", "left").select("column", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
+    # both sides hold one row per column (a bound set by the schema, not the data)
+    return mom.join(F.broadcast(qw), "column", "left").select("column", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
 def _unpivot_strings(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -268,8 +269,9 @@ def profile_table(df: DataFrame, mode: str = "auto", max_top: int = 5) -> dict[s
     overview = overview.join(F.broadcast(meta), "column")
     if num:
         zeros = per_column_stats(df, num, {"zeros": lambda c: F.count_if(c == 0)}, {"zeros": "long"})
-        overview = overview.join(zeros, "column", "left").join(describe_numeric(df, num, mode).drop("count"),
-                                                               "column", "left")
+        # per-column tables: one row per column, broadcast
+        overview = overview.join(F.broadcast(zeros), "column", "left").join(
+            F.broadcast(describe_numeric(df, num, mode).drop("count")), "column", "left")
     out = {"overview": overview, "duplicates": duplicate_row_count(df)}
     if cats:
         vc = category_counts(df, cats)
@@ -304,7 +306,7 @@ def compare_tables(a: DataFrame, b: DataFrame, cols: list[str] | None = None, mo
     st = {"std": F.stddev_samp, "max": F.max, "mean": F.avg}
     sa = per_column_stats(a, cols, st)
     sb = per_column_stats(b, cols, st)
-    j = sa.alias("x").join(sb.alias("y"), "column")
+    j = sa.alias("x").join(F.broadcast(sb.alias("y")), "column")
     out = j.select("column", *[(F.col(f"x.{s}") - F.col(f"y.{s}")).alias(f"delta_{s}") for s in st])
     for s in st:
         w = Window.orderBy(F.abs(F.col(f"delta_{s}")).desc_nulls_last(), "column")
