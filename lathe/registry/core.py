@@ -399,11 +399,19 @@ def m14_apply(spark, sf):
     return BL.apply_blend(predictions(spark, sf), w).select("id", r6("blend").alias("blend"))
 
 
-@register("s6_blend_weights_roundtrip", "SELECT model, CAST(weight AS DOUBLE) AS weight FROM (VALUES ('p_a', 0.6), ('p_b', 0.3), ('p_c', 0.1)) t(model, weight)")
+@register("s6_blend_weights_roundtrip", f"""WITH a AS (SELECT 'p_a' AS model, * FROM ({_auc_sql('p_a', PRED_SQL)}) UNION ALL SELECT 'p_b', * FROM ({_auc_sql('p_b', PRED_SQL)})
+  UNION ALL SELECT 'p_c', * FROM ({_auc_sql('p_c', PRED_SQL)}))
+SELECT model, round(auc / sum(auc) OVER (), 6) + 0.0 AS weight FROM a""")
 def s6_weights(spark, sf):
+    """Weights proportional to each model's OOF AUC, saved as Parquet and read back."""
     from lathe.session import scratch_path
-    path = BL.save_blend_weights(spark, {"p_a": 0.6, "p_b": 0.3, "p_c": 0.1}, scratch_path(spark, "blend-weights"))
-    return spark.read.parquet(path).select("model", F.col("weight").cast("double"))
+    p = predictions(spark, sf)
+    aucs = {m: M.roc_auc(p, m, "y").first()["auc"] for m in ["p_a", "p_b", "p_c"]}
+    tot = sum(aucs.values())
+    weights = {m: a / tot for m, a in aucs.items()}
+    path = BL.save_blend_weights(spark, weights, scratch_path(spark, "blend-weights"))
+    back = BL.load_blend_weights(spark, path)
+    return spark.createDataFrame(sorted(back.items()), "model string, weight double").select("model", r6("weight").alias("weight"))
 
 
 @register("t5_threshold_table", f"""WITH h AS (SELECT CAST(floor(least(greatest(p_a, 0), 1) * 100) AS INT) AS bin, count_if(y = 1) AS tp0, count_if(y <> 1) AS fp0 FROM {PRED_SQL} GROUP BY 1),
