@@ -407,8 +407,9 @@ def s6_weights(spark, sf):
     from lathe.session import scratch_path
     p = predictions(spark, sf)
     aucs = {m: M.roc_auc(p, m, "y").first()["auc"] for m in ["p_a", "p_b", "p_c"]}
-    tot = sum(aucs.values())
-    weights = {m: a / tot for m, a in aucs.items()}
+    # AUCs rounded to 6 digits, as the checked AUC query reports them
+    tot = sum(round(a, 6) for a in aucs.values())
+    weights = {m: round(a, 6) / tot for m, a in aucs.items()}
     path = BL.save_blend_weights(spark, weights, scratch_path(spark, "blend-weights"))
     back = BL.load_blend_weights(spark, path)
     return spark.createDataFrame(sorted(back.items()), "model string, weight double").select("model", r6("weight").alias("weight"))
