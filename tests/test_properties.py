@@ -109,3 +109,10 @@ def test_filters_and_columns_reach_the_scan(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThan(l_quantity,10.0)" in plan and "EqualTo(l_returnflag,R)" in plan
     assert "ReadSchema: struct<l_orderkey:bigint,l_quantity:double,l_returnflag:string>" in plan
+
+
+def test_folds_do_not_depend_on_input_order(spark):
+    o = table(spark, MID, "orders").select("o_orderkey", "o_orderstatus")
+    a = R.kfold(o, "o_orderkey", 5, 11, strata="o_orderstatus")
+    b = R.kfold(o.repartition(7, "o_orderstatus").sortWithinPartitions(F.rand(5)), "o_orderkey", 5, 11, strata="o_orderstatus")
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
