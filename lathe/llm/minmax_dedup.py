@@ -7,9 +7,9 @@ similarity. Bands of four values make candidates; every link is confirmed on the
 Plan: (1) one pass makes set size, a 128-bit set fingerprint, signature and band keys per document; (2) equal sets
 collapse into one class (copies are never expanded into pairs); (3) in each band bucket every class is compared with
 the bucket's smallest class (a star, linear in the bucket), filtered by the signatures and confirmed on full sets;
-(4) buckets of three or more classes that still hold several components are compared in blocks of ``block`` classes,
-where only pairs of different components are confirmed and only their components leave the task; (5) connected
-components.
+(4) in buckets of three or more classes that still hold several components, the classes outside the largest component
+meet all others in blocks of ``block`` classes, where only pairs of different components are confirmed and only their
+components leave the task; (5) connected components.
 
 Null, empty or blank texts have no shingles and link with nothing. Rows that repeat a doc_id share its component
 (their texts are compared each). A row without doc_id links with nothing: null component, kept. Extra columns are
@@ -20,18 +20,19 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lathe.llm.common import connected_components, materialize
-from lathe.llm.shingles import chunks, mix, shingle_sets
+from lathe.llm.shingles import arrow_chunks, mix, shingle_sets
 
 #: 48 permutations, 96 signature values, 24 bands of 4: a pair at similarity 0.8 is missed with probability
 #: (1 - 0.8**4)**24 = 3e-6, and its signatures agree in under 60 % of the values with probability 4e-6.
 PERMUTATIONS = 48
 BAND = 4
 SIGNATURE_FLOOR = 0.6
-BLOCK = 256
+BLOCK = 512
 
 _RNG = np.random.default_rng(7)
 _A = _RNG.integers(0, 2**32, 512, dtype=np.uint32) | np.uint32(1)
@@ -61,45 +62,40 @@ def band_keys(sig: np.ndarray, band: int) -> np.ndarray:
 
 def _features(size: int, permutations: int, band: int):
     def run(batches):
-        for pdf in batches:
-            ids = pdf["doc_id"].to_numpy()
-            for at, docs in chunks(pdf["text"].tolist()):
+        for batch in batches:
+            for ids, docs in arrow_chunks(batch):
                 h, d = shingle_sets(docs, size)
                 n = np.bincount(d, minlength=len(docs))
-                has = np.flatnonzero(n)
-                out = pd.DataFrame({"doc_id": ids[at:at + len(docs)], "n": n})
-                out["s1"], out["s2"], out["sig"], out["bands"] = 0, 0, None, None
-                if len(has):
-                    first = np.concatenate(([0], np.cumsum(n[has])))[:-1]
-                    s1 = np.zeros(len(docs), dtype=np.uint64)
-                    s2 = np.zeros(len(docs), dtype=np.uint64)
+                has = n > 0
+                first = np.concatenate(([0], np.cumsum(n[has])))[:-1]
+                s1, s2 = np.zeros(len(docs), dtype=np.uint64), np.zeros(len(docs), dtype=np.uint64)
+                sigs, keys = np.zeros((0, 2 * permutations), np.uint16), np.zeros((0, 2 * permutations // band), np.int64)
+                if len(first):
                     s1[has] = np.add.reduceat(mix(h), first)
                     s2[has] = np.add.reduceat(mix(~h), first)
-                    out["s1"], out["s2"] = s1.view(np.int64), s2.view(np.int64)
                     sig = signatures(h, first, permutations)
-                    short = (sig & np.uint32(0xFFFF)).astype(np.uint16)
-                    keys = band_keys(sig, band).view(np.int64)
-                    sigs, bands = [None] * len(docs), [None] * len(docs)
-                    for j, i in enumerate(has):
-                        sigs[i], bands[i] = short[j].tobytes(), keys[j]
-                    out["sig"], out["bands"] = sigs, bands
-                yield out
+                    sigs, keys = (sig & np.uint32(0xFFFF)).astype(np.uint16), band_keys(sig, band).view(np.int64)
+                at = np.cumsum(has) - 1
+                cut = np.concatenate(([0], np.cumsum(has) * keys.shape[1])).astype(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [ids, pa.array(n, pa.int64()), pa.array(s1.view(np.int64)), pa.array(s2.view(np.int64)),
+                     pa.array([sigs[at[k]].tobytes() if has[k] else None for k in range(len(docs))], pa.binary()),
+                     pa.ListArray.from_arrays(pa.array(cut), pa.array(keys.ravel()))],
+                    names=["doc_id", "n", "s1", "s2", "sig", "bands"])
     return run
 
 
 def _sets(size: int):
     def run(batches):
-        for pdf in batches:
-            ids = pdf["doc_id"].to_numpy()
-            for at, docs in chunks(pdf["text"].tolist()):
+        for batch in batches:
+            for ids, docs in arrow_chunks(batch):
                 h, d = shingle_sets(docs, size)
                 n = np.bincount(d, minlength=len(docs))
-                cut = np.concatenate(([0], np.cumsum(n)))
                 has = np.flatnonzero(n)
-                if len(has):
-                    s1 = np.add.reduceat(mix(h), cut[has])
-                    yield pd.DataFrame({"doc_id": ids[at + has], "s1": s1.view(np.int64),
-                                        "hashes": [h[cut[i]:cut[i + 1]].view(np.int64) for i in has]})
+                cut = np.concatenate(([0], np.cumsum(n))).astype(np.int32)
+                s1 = np.add.reduceat(mix(h), cut[has]) if len(has) else np.empty(0, np.uint64)
+                sets = pa.ListArray.from_arrays(pa.array(np.append(cut[has], cut[-1]).astype(np.int32)), pa.array(h.view(np.int64)))
+                yield pa.RecordBatch.from_arrays([ids.take(pa.array(has)), pa.array(s1.view(np.int64)), sets], names=["doc_id", "s1", "hashes"])
     return run
 
 
@@ -114,17 +110,19 @@ def _alike(floor: float):
 
 
 def _tile_links(floor: float, percent: int):
-    """Components of one tile: pairs of different components whose signatures agree are confirmed on the full sets,
-    best first, and skipped once other links have joined them."""
+    """Components of one tile (stragglers against others): pairs of different components whose signatures agree are
+    confirmed on the full sets, best first, and skipped once other links have joined them."""
     def run(pdf):
         sig = np.frombuffer(b"".join(pdf["sig"]), dtype=np.uint16).reshape(len(pdf), -1)
-        comp, n = pdf["comp"].to_numpy(), pdf["n"].to_numpy()
-        sets = [np.sort(np.asarray(x, dtype=np.int64)) for x in pdf["hashes"]]
-        agree = np.empty((len(pdf), len(pdf)), dtype=np.float32)
-        for i in range(len(pdf)):
-            agree[i] = (sig == sig[i]).mean(axis=1)
-        ii, jj = np.nonzero(np.triu((agree >= floor) & (comp[:, None] != comp[None, :]), 1))
+        comp, n, side = pdf["comp"].to_numpy(), pdf["n"].to_numpy(), pdf["straggler"].to_numpy()
+        few, rest = np.flatnonzero(side), np.flatnonzero(~side)
+        agree = np.empty((len(few), len(rest)), dtype=np.float32)
+        for k, i in enumerate(few):
+            agree[k] = (sig[rest] == sig[i]).mean(axis=1)
+        ii, jj = np.nonzero((agree >= floor) & (comp[few][:, None] != comp[rest][None, :]))
         order = np.argsort(-agree[ii, jj], kind="stable")
+        ii, jj = few[ii[order]], rest[jj[order]]
+        sets = [np.asarray(x, dtype=np.int64) for x in pdf["hashes"]]
         root = {c: c for c in comp.tolist()}
 
         def find(x):
@@ -133,7 +131,7 @@ def _tile_links(floor: float, percent: int):
                 x = root[x]
             return x
 
-        for i, j in zip(ii[order].tolist(), jj[order].tolist(), strict=True):
+        for i, j in zip(ii.tolist(), jj.tolist(), strict=True):
             x, y = find(int(comp[i])), find(int(comp[j]))
             if x == y or 100 * min(n[i], n[j]) < percent * max(n[i], n[j]):
                 continue
@@ -154,7 +152,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, permutati
     signature values before a pair is confirmed; ``block``: classes per side of a block in large buckets."""
     docs = docs.select("doc_id", "text")
     long = docs.schema["doc_id"].dataType.simpleString()
-    feats = materialize(docs.mapInPandas(_features(size, permutations, band),
+    feats = materialize(docs.mapInArrow(_features(size, permutations, band),
                                          f"doc_id {long}, n long, s1 long, s2 long, sig binary, bands array<long>"), "mm-feats")
     valid = feats.where("n > 0 and doc_id is not null")
     key = ["n", "s1", "s2"]
@@ -167,10 +165,8 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, permutati
 
     who = F.struct("rep", "s1", "n").alias("who")
     spread = classes.select(who, F.posexplode("bands").alias("band", "key"))
-    buckets = materialize(spread.groupBy("band", "key").agg(
-        F.count("*").alias("m"), F.min("who").alias("pivot"), F.sum(F.shiftright(F.xxhash64("who"), 20)).alias("held"))
-        .where("m > 1"), "mm-buckets")
-    sat = materialize(spread.join(buckets, ["band", "key"]).select("band", "key", "m", "held", "who", "pivot"), "mm-bucket-rows")
+    buckets = materialize(spread.groupBy("band", "key").agg(F.count("*").alias("m"), F.min("who").alias("pivot")).where("m > 1"), "mm-buckets")
+    sat = materialize(spread.join(buckets, ["band", "key"]).select("band", "key", "m", "who", "pivot"), "mm-bucket-rows")
 
     close = "100 * least(a.n, b.n) >= {0} * greatest(a.n, b.n)".format(percent)
     pairs = sat.select(F.col("pivot").alias("a"), F.col("who").alias("b")).where("a <> b").where(close).distinct()
@@ -186,7 +182,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, permutati
     wanted = materialize(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b"))
                          .union(sat.where("m > 2").select("who.rep")).distinct(), "mm-wanted")
     text = docs.join(wanted.hint("shuffle_hash"), "doc_id", "left_semi")
-    sets = materialize(text.mapInPandas(_sets(size), f"doc_id {long}, s1 long, hashes array<long>")
+    sets = materialize(text.mapInArrow(_sets(size), f"doc_id {long}, s1 long, hashes array<long>")
                        .dropDuplicates(["doc_id", "s1"]), "mm-sets")
 
     # One side of each pair at a time; the pivot's set moves once per pair, in tasks that AQE splits when a pivot is hot.
@@ -198,19 +194,25 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, permutati
     edges = star.union(copy_edges)
     comps = connected_components(edges)
 
-    left = (sat.where("m > 2").select("band", "key", "held", "m", "who.rep", "who.s1", "who.n")
+    left = (sat.where("m > 2").select("band", "key", "who.rep", "who.s1", "who.n")
             .join(comps.select(F.col("id").alias("rep"), F.col("component").alias("comp")), "rep", "left")
             .withColumn("comp", F.coalesce("comp", "rep")))
-    open_ = (left.groupBy("band", "key", "held", "m").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"))
-             .where("c0 <> c1").groupBy("held", "m").agg(F.min(F.struct("band", "key")).alias("bk"))
-             .select("bk.band", "bk.key", F.ceil(F.col("m") / block).cast("int").alias("blocks")))
-    rows = materialize(left.drop("held", "m").join(materialize(open_, "mm-open"), ["band", "key"]), "mm-open-rows")
-    rows = (rows.withColumn("own", F.pmod(F.xxhash64("rep", "s1"), "blocks").cast("int"))
-            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-            .withColumn("lo", F.least("own", "other")).withColumn("hi", F.greatest("own", "other"))
-            .join(sig, ["rep", "s1"]).join(sets.withColumnRenamed("doc_id", "rep"), ["rep", "s1"])
-            .select("band", "key", "lo", "hi", "n", "comp", "sig", "hashes"))
-    found = materialize(rows.groupBy("band", "key", "lo", "hi").applyInPandas(_tile_links(floor, percent), "a long, b long"), "mm-tiles")
+    # A bucket's pairs inside its largest component need no test. Buckets with the same largest component are one group,
+    # in which the classes outside it (stragglers) meet every class, once and not per band.
+    top = (left.groupBy("band", "key", "comp").agg(F.count("*").alias("c"))
+           .groupBy("band", "key").agg(F.max(F.struct(F.col("c"), -F.col("comp"))).alias("top"), F.count("*").alias("comps"))
+           .where("comps > 1").select("band", "key", (-F.col("top.col2")).alias("main")))
+    group = materialize(left.join(materialize(top, "mm-open"), ["band", "key"]).select("main", "rep", "s1", "n", "comp").distinct(), "mm-group")
+    sizes = group.groupBy("main").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"),
+                                      F.ceil(F.count_if(F.col("comp") != F.col("main")) / block).cast("int").alias("few"))
+    rows = (group.join(materialize(sizes, "mm-sizes"), "main").join(sig, ["rep", "s1"]).join(sets.withColumnRenamed("doc_id", "rep"), ["rep", "s1"])
+            .withColumn("h", F.xxhash64("rep", "s1")))
+    cols = ["main", "x", "y", "n", "comp", "sig", "hashes", "straggler"]
+    few = (rows.where("comp <> main").withColumn("straggler", F.lit(True)).withColumn("x", F.pmod("h", "few").cast("int"))
+           .withColumn("y", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(*cols))
+    rest = (rows.withColumn("straggler", F.lit(False)).withColumn("y", F.pmod("h", "blocks").cast("int"))
+            .withColumn("x", F.explode(F.sequence(F.lit(0), F.col("few") - 1))).select(*cols))
+    found = materialize(few.union(rest).groupBy("main", "x", "y").applyInPandas(_tile_links(floor, percent), "a long, b long"), "mm-tiles")
     more = connected_components(found).select(F.col("id").alias("component"), F.col("component").alias("c2"))
     comps = materialize(comps.union(found.select("a", F.col("a").alias("c")).join(comps.select(F.col("id").alias("a")), "a", "left_anti"))
                         .union(found.select("b", F.col("b").alias("c")).join(comps.select(F.col("id").alias("b")), "b", "left_anti"))

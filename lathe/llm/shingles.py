@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 _RNG = np.random.default_rng(20240611)
 _ODD = np.uint64(1)
@@ -17,7 +19,7 @@ _SPACE[[32, 9, 10, 11, 12, 13]] = True
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[65:91] += 32
 #: Bytes of text handled at once; one longer document is handled alone.
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -61,6 +63,17 @@ def chunks(texts: list[str | None]) -> Iterator[tuple[int, list[bytes]]]:
         yield at, held
 
 
+def arrow_chunks(batch: pa.RecordBatch) -> Iterator[tuple[pa.Array, list[bytes]]]:
+    """(doc_ids, encoded texts) of runs of rows with about CHUNK bytes of text; nulls are empty."""
+    ids, text = batch.column("doc_id"), batch.column("text")
+    size = np.cumsum(pc.fill_null(pc.binary_length(text), 0).to_numpy(zero_copy_only=False))
+    at = 0
+    while at < len(text):
+        stop = max(at + 1, int(np.searchsorted(size, (size[at - 1] if at else 0) + CHUNK, side="right")))
+        yield ids.slice(at, stop - at), [x or b"" for x in text.slice(at, stop - at).cast(pa.binary()).to_pylist()]
+        at = stop
+
+
 def word_hashes(docs: list[bytes], fold: bool = True) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hash and document number of every word (run of non-space bytes), in order."""
     buf = np.frombuffer(b" ".join([*docs, b""]), dtype=np.uint8)
