@@ -23,63 +23,81 @@ _TOTAL_BITS = 30
 _TOP = _U(1 << 48)
 _LOW_RANGE = _U(1 << 40)
 _LOW_MASK = _U((1 << 40) - 1)
-_SLOT_BITS = 12
-_REFRESH = 32
+_SLOT_BITS = 10
+_REFRESH = 64
 _MIX = (1 << _TOTAL_BITS) - (1 << 26)
 _LEAST = 1 << 18
 _HALF = 1 << 16
 
 
 class _Model:
-    """The state of all blocks of a segment; block b owns row b of every table."""
+    """The state of all blocks of a segment; block b owns its own slots of every (flat) table."""
 
     def __init__(self, lanes: int):
-        self.rows = np.arange(lanes, dtype=np.int64)
+        self.slots = np.arange(lanes, dtype=np.int64) << _SLOT_BITS
+        self.mixes = np.arange(lanes, dtype=np.int64) << 4
+        self.bytes = np.arange(lanes, dtype=np.int64) << 8
+        self.steps = np.arange(lanes, dtype=np.int64) * 257
         self.t1 = np.zeros(lanes << _SLOT_BITS, dtype=np.int32)
         self.t2 = np.zeros(lanes << _SLOT_BITS, dtype=np.int32)
         self.w2 = np.full(lanes * 16, _MIX >> 3, dtype=np.int64)
         self.w1 = np.full(lanes * 16, _MIX >> 3, dtype=np.int64)
-        self.count = np.ones((lanes, 256), dtype=np.int32)
-        self.cum = np.zeros((lanes, 257), dtype=np.int64)
+        self.count = np.ones(lanes << 8, dtype=np.int64)
+        self.table = np.zeros((lanes, 257), dtype=np.int64)
+        self.cum = self.table.ravel()
         self.prev = np.zeros(lanes, dtype=np.int64)
         self.prev2 = np.zeros(lanes, dtype=np.int64)
         self.refresh()
 
     def refresh(self) -> None:
         """Order-0 cumulative counts of the ids' high bytes, scaled to 2**16 with every byte possible."""
-        c = np.cumsum(self.count, axis=1, dtype=np.int64)
-        self.cum[:, 1:] = c * (_HALF - 256) // c[:, -1:] + np.arange(1, 257)
+        c = np.cumsum(self.count.reshape(-1, 256), axis=1)
+        c *= ((_HALF - 256) << 20) // c[:, -1:]
+        c >>= 20
+        np.add(c, np.arange(1, 257), out=self.table[:, 1:])
 
     def predict(self, n: int) -> None:
-        r = self.rows[:n]
         p, q = self.prev[:n], self.prev2[:n]
-        self.i1 = (r << _SLOT_BITS) + ((p * 40503 & 0xFFFF) >> (16 - _SLOT_BITS))
-        self.i2 = (r << _SLOT_BITS) + (((p * 0x9E3779B1 + q * 0x85EBCA6B) & 0xFFFFFFFF) >> (32 - _SLOT_BITS))
-        self.e1, self.e2 = self.t1[self.i1], self.t2[self.i2]
+        self.i1 = self.slots[:n] + ((p * 40503 & 0xFFFF) >> (16 - _SLOT_BITS))
+        self.i2 = self.slots[:n] + (((p * 0x9E3779B1 + q * 0x85EBCA6B) & 0xFFFFFFFF) >> (32 - _SLOT_BITS))
+        self.e1, self.e2 = self.t1.take(self.i1, mode="clip").astype(np.int64), self.t2.take(self.i2, mode="clip").astype(np.int64)
         self.p1, self.p2 = self.e1 >> 2, self.e2 >> 2
-        self.ctx = (r << 4) + ((self.e2 & 3) << 2) + (self.e1 & 3)
-        self.a2, self.a1 = self.w2[self.ctx], self.w1[self.ctx]
-
-    def update(self, n: int, x: np.ndarray) -> None:
-        hit2, hit1 = self.p2 == x, self.p1 == x
-        only1 = hit1 & ~hit2
-        self.w2[self.ctx] = self.a2 + (np.where(hit2, _MIX - _LEAST, _LEAST) - self.a2 >> 4)
-        self.w1[self.ctx] = self.a1 + (np.where(only1, _MIX - _LEAST, _LEAST) - self.a1 >> 4)
-        self.t2[self.i2] = np.where(hit2, np.minimum(self.e2 + 1, self.e2 | 3), x << 2)
-        self.t1[self.i1] = np.where(hit1, np.minimum(self.e1 + 1, self.e1 | 3), x << 2)
-        self.count[self.rows[:n], x >> 8] += 1
+        self.ctx = self.mixes[:n] + (((self.e2 & 3) << 2) | (self.e1 & 3))
+        self.a2, self.a1 = self.w2.take(self.ctx, mode="clip"), self.w1.take(self.ctx, mode="clip")
+        self.known = self.a2 + self.a1
+
+    def update(self, n: int, x: np.ndarray, hit2: np.ndarray, only1: np.ndarray) -> None:
+        hit1 = self.p1 == x
+        self.w2[self.ctx] = self.a2 + (hit2 * (_MIX - 2 * _LEAST) + _LEAST - self.a2 >> 4)
+        self.w1[self.ctx] = self.a1 + (only1 * (_MIX - 2 * _LEAST) + _LEAST - self.a1 >> 4)
+        new = x << 2
+        self.t2[self.i2] = np.where(hit2, np.minimum(self.e2 + 1, self.e2 | 3), new)
+        self.t1[self.i1] = np.where(hit1, np.minimum(self.e1 + 1, self.e1 | 3), new)
+        self.count[self.bytes[:n] + (x >> 8)] += 1
         self.prev2[:n] = self.prev[:n]
         self.prev[:n] = x
 
-    def literal(self, n: int, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Order-0 interval of ids within the part that the context predictions leave."""
-        r, hi = self.rows[:n], x >> 8
-        first = self.cum[r, hi]
-        f = self.cum[r, hi + 1] - first
-        rest = (1 << _TOTAL_BITS) - self.a2 - self.a1
+    def literal(self, rows, x: np.ndarray, rest: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(start, width) of ids within ``rest``, the part that the context predictions leave to order 0."""
+        at = self.steps[rows] + (x >> 8)
+        first = self.cum.take(at, mode="clip")
+        f = self.cum.take(at + 1, mode="clip") - first
         at = (first << 8) + (x & 255) * f
         lo = at * rest >> 24
-        return lo, (at + f) * rest >> 24
+        return lo, ((at + f) * rest >> 24) - lo
+
+
+def _shifting(low: np.ndarray, span: np.ndarray) -> np.ndarray:
+    """Blocks whose top 16 bits are settled, or whose range has become too small to go on."""
+    return np.flatnonzero(((low ^ (low + span)) < _TOP) | (span < _LOW_RANGE))
+
+
+def _shift(low: np.ndarray, span: np.ndarray, k: np.ndarray) -> None:
+    """Move the top 16 bits of blocks ``k`` out; a small range that straddles a carry is cut at the carry."""
+    lw, sp = low[k], span[k]
+    sp = np.where((lw ^ (lw + sp)) < _TOP, sp, (~lw + _U(1)) & _LOW_MASK)
+    low[k] = lw << _U(16)
+    span[k] = sp << _U(16)
 
 
 def _lengths(n: int) -> tuple[int, int]:
@@ -104,42 +122,36 @@ def encode(ids: np.ndarray) -> bytes:
     model = _Model(blocks)
     low = np.zeros(blocks, dtype=_U)
     span = np.full(blocks, 2**64 - 1, dtype=_U)
-    words = np.zeros((blocks, size * 2 + 8), dtype=np.uint16)
-    used = np.zeros(blocks, dtype=np.int64)
+    width = size * 2 + 8
+    words = np.zeros(blocks * width, dtype=np.uint16)
+    at_word = np.arange(blocks, dtype=np.int64) * width
     for t in range(size):
         m = blocks if t < tail else blocks - 1
         if not m:
             break
         x = grid[t, :m]
         model.predict(m)
-        lo, hi = model.literal(m, x)
         hit2 = model.p2 == x
         only1 = (model.p1 == x) & ~hit2
-        cum = np.where(hit2, 0, np.where(only1, model.a2, model.a2 + model.a1 + lo)).view(_U)
-        freq = np.where(hit2, model.a2, np.where(only1, model.a1, hi - lo)).view(_U)
-        r = span[:m] >> _U(_TOTAL_BITS)
-        low[:m] += cum * r
-        span[:m] = r * freq
-        at = np.arange(m)
-        while True:
-            lw, sp = low[at], span[at]
-            same = (lw ^ (lw + sp)) < _TOP
-            go = same | (sp < _LOW_RANGE)
-            if not go.any():
-                break
-            at, lw, sp, same = at[go], lw[go], sp[go], same[go]
-            sp = np.where(same, sp, (~lw + _U(1)) & _LOW_MASK)
-            words[at, used[at]] = (lw >> _U(48)).astype(np.uint16)
-            used[at] += 1
-            low[at] = lw << _U(16)
-            span[at] = sp << _U(16)
-        model.update(m, x)
+        lo, f = model.literal(slice(0, m), x, (1 << _TOTAL_BITS) - model.known)
+        cum = np.where(hit2, 0, np.where(only1, model.a2, model.known + lo)).view(_U)
+        freq = np.where(hit2, model.a2, np.where(only1, model.a1, f)).view(_U)
+        lw, sp, aw = low[:m], span[:m], at_word[:m]
+        sp >>= _U(_TOTAL_BITS)
+        lw += cum * sp
+        sp *= freq
+        while len(k := _shifting(lw, sp)):
+            words[aw[k]] = lw[k] >> _U(48)
+            aw[k] += 1
+            _shift(lw, sp, k)
+        model.update(m, x, hit2, only1)
         if t % _REFRESH == _REFRESH - 1:
             model.refresh()
-    at = np.arange(blocks)
     for k in range(4):
-        words[at, used] = (low >> _U(48 - 16 * k) & _U(0xFFFF)).astype(np.uint16)
-        used += 1
+        words[at_word] = low >> _U(48 - 16 * k) & _U(0xFFFF)
+        at_word += 1
+    used = at_word - np.arange(blocks) * width
+    words = words.reshape(blocks, width)
     flat = ids.astype("<u4")
     crcs = [zlib.crc32(flat[b * size:(b + 1) * size].tobytes()) for b in range(blocks)]
     index = np.empty((blocks, 2), dtype="<u4")
@@ -156,14 +168,13 @@ def decode(data: bytes) -> np.ndarray:
         return np.empty(0, dtype=np.uint32)
     index = np.frombuffer(data, dtype="<u4", count=blocks * 2, offset=16).reshape(blocks, 2).astype(np.int64)
     words = np.concatenate((np.frombuffer(data, dtype="<u2", offset=16 + blocks * 8).astype(_U), np.zeros(8, dtype=_U)))
-    end = len(words) - 1
     at_word = np.concatenate(([0], np.cumsum(index[:, 0])))[:-1]
     model = _Model(blocks)
     low = np.zeros(blocks, dtype=_U)
     span = np.full(blocks, 2**64 - 1, dtype=_U)
     code = np.zeros(blocks, dtype=_U)
     for _ in range(4):
-        code = code << _U(16) | words[np.minimum(at_word, end)]
+        code = code << _U(16) | words.take(at_word, mode="clip")
         at_word += 1
     tail = n - (blocks - 1) * size
     grid = np.zeros((size, blocks), dtype=np.int64)
@@ -173,45 +184,39 @@ def decode(data: bytes) -> np.ndarray:
         if not m:
             break
         model.predict(m)
-        r = span[:m] >> _U(_TOTAL_BITS)
-        v = np.minimum((code[:m] - low[:m]) // r, most).view(np.int64)
-        miss = v >= model.a2 + model.a1
-        x = np.where(v < model.a2, model.p2, model.p1).astype(np.int64)
+        lw, sp, cd, aw = low[:m], span[:m], code[:m], at_word[:m]
+        sp >>= _U(_TOTAL_BITS)
+        v = np.minimum((cd - lw) // sp, most).view(np.int64)
+        hit2 = v < model.a2
+        x = np.where(hit2, model.p2, model.p1)
+        cum = np.where(hit2, 0, model.a2)
+        freq = np.where(hit2, model.a2, model.a1)
+        miss = v >= model.known
+        only1 = ~(hit2 | miss)
         k = np.flatnonzero(miss)
         if len(k):
-            rest = (1 << _TOTAL_BITS) - model.a2[k] - model.a1[k]
-            u = v[k] - model.a2[k] - model.a1[k]
-            y = np.minimum((((u + 1) << 24) - 1) // rest, (1 << 24) - 1)
-            base = k * 257
-            cum = model.cum.ravel()
-            hi = np.zeros(len(k), dtype=np.int64)
-            want = y >> 8
+            known = model.known[k]
+            rest = (1 << _TOTAL_BITS) - known
+            y = np.minimum((((v[k] - known + 1) << 24) - 1) // rest, (1 << 24) - 1)
+            base, want = model.steps[k], y >> 8
+            at = base.copy()
             for bit in (128, 64, 32, 16, 8, 4, 2, 1):
-                hi += bit * (cum[base + hi + bit] <= want)
-            first = cum[base + hi]
-            f = cum[base + hi + 1] - first
-            x[k] = (hi << 8) + np.minimum((y - (first << 8)) // f, 255)
-        lo, up = model.literal(m, x)
-        hit2 = v < model.a2
-        only1 = ~hit2 & ~miss
-        cum_ = np.where(hit2, 0, np.where(only1, model.a2, model.a2 + model.a1 + lo)).view(_U)
-        freq = np.where(hit2, model.a2, np.where(only1, model.a1, up - lo)).view(_U)
-        low[:m] += cum_ * r
-        span[:m] = r * freq
-        at = np.arange(m)
-        while True:
-            lw, sp = low[at], span[at]
-            same = (lw ^ (lw + sp)) < _TOP
-            go = same | (sp < _LOW_RANGE)
-            if not go.any():
-                break
-            at, lw, sp, same = at[go], lw[go], sp[go], same[go]
-            sp = np.where(same, sp, (~lw + _U(1)) & _LOW_MASK)
-            code[at] = code[at] << _U(16) | words[np.minimum(at_word[at], end)]
-            at_word[at] += 1
-            low[at] = lw << _U(16)
-            span[at] = sp << _U(16)
-        model.update(m, x)
+                at += bit * (model.cum.take(at + bit, mode="clip") <= want)
+            first = model.cum.take(at, mode="clip")
+            f = model.cum.take(at + 1, mode="clip") - first
+            low_byte = np.minimum((y - (first << 8)) // f, 255)
+            x[k] = (at - base << 8) + low_byte
+            here = (first << 8) + low_byte * f
+            start = here * rest >> 24
+            cum[k] = known + start
+            freq[k] = ((here + f) * rest >> 24) - start
+        lw += cum.view(_U) * sp
+        sp *= freq.view(_U)
+        while len(k := _shifting(lw, sp)):
+            cd[k] = cd[k] << _U(16) | words.take(aw[k], mode="clip")
+            aw[k] += 1
+            _shift(lw, sp, k)
+        model.update(m, x, hit2, only1)
         grid[t, :m] = x
         if t % _REFRESH == _REFRESH - 1:
             model.refresh()
