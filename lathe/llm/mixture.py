@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lathe.llm.common import let, materialize, words
+from lathe.llm.common import materialize
 
 LEVELS = ("domain", "lang", "source")
 SHARE = 0.5
@@ -31,6 +31,7 @@ DOMAINS = ((r"^src(0|5|10|15)$", "web"), (r"^src(1|6|11|16)$", "books"), (r"^src
 WEIGHTS = {("domain", "web"): 40, ("domain", "books"): 25, ("domain", "code"): 15, ("domain", "general"): 20,
            ("lang", "en"): 50, ("lang", "de"): 20, ("lang", "fr"): 20, ("lang", "es"): 10}
 DEFAULT_WEIGHT = 10
+WORD = r"[^\x20\x09-\x0D]++"
 _BUCKET = 3  # hex digits
 
 
@@ -94,7 +95,7 @@ def select_mixture(docs: DataFrame, share: float = SHARE, max_epochs: int = MAX_
     keep = [c for c in docs.columns if not c.startswith("mix_")]
     name = {c: F.coalesce(F.col(c), F.lit("(none)")) for c in ("lang", "source")}
     docs = docs.select(*keep, F.coalesce(domain if domain is not None else domain_of(F.col("source")), F.lit("(none)")).alias("mix_domain"),
-                       name["lang"].alias("mix_lang"), name["source"].alias("mix_source"), let(words(F.col("text")), F.size).cast("long").alias("mix_tokens"))
+                       name["lang"].alias("mix_lang"), name["source"].alias("mix_source"), F.regexp_count(F.coalesce("text", F.lit("")), F.lit(WORD)).cast("long").alias("mix_tokens"))
     leaf = ["mix_domain", "mix_lang", "mix_source"]
     sums = docs.where("mix_tokens > 0").groupBy(*leaf).agg(F.sum("mix_tokens").alias("tokens"))
     leaves = materialize(sums.select(*[F.col(c).alias(n) for c, n in zip(leaf, LEVELS, strict=True)], "tokens"), "mix-leaves")
