@@ -24,7 +24,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     a lost executor costs a re-read, and the optimizer knows the written size (it broadcasts by its own limit)."""
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex[:12]}"
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -90,12 +90,6 @@ def base_spans(text: Column) -> Column:
     return let(_plain(text), lambda plain: F.array_sort(F.concat(*[of(k, plain) for k in PATTERNS])))
 
 
-def _terms(padded: Column) -> Column:
-    """Array of (start, value) of the terms in a text that has a space added at both ends; starts in the text itself."""
-    return F.transform(matches(padded, TERM), lambda m: F.struct((m["start"] - 1).alias("start"), F.lower(m["value"]).alias("term"),
-                                                                (m["start"] - 1 + F.length(m["value"])).alias("end")))
-
-
 def _nearby(text: Column, span: Column, context: int) -> Column:
     """Terms within ``context`` characters before or after a span, whole words only."""
     padded = F.concat(F.lit(" "), text, F.lit(" "))
@@ -110,11 +104,16 @@ def _nearby(text: Column, span: Column, context: int) -> Column:
 
 def occurrences(docs: DataFrame, context: int = CONTEXT) -> DataFrame:
     """``(doc_id, th, entity, start, end, term)``: terms near protected entities."""
-    near = let(_plain(F.col("text")), lambda t: F.flatten(F.transform(base_spans(t), lambda s: F.transform(_nearby(t, s, context), lambda m: F.struct(
-        F.concat(s["kind"], F.lit(":"), F.lower(s["value"])).alias("entity"), m["start"].alias("start"), m["end"].alias("end"), m["term"].alias("term"))))))
-    entity = let(_plain(F.col("text")), lambda t: F.transform(base_spans(t), lambda s: F.struct(
-        F.concat(s["kind"], F.lit(":"), F.lower(s["value"])).alias("entity"), s["start"].alias("start"), s["end"].alias("end"), F.lit(None).cast("string").alias("term"))))
-    return (docs.select("doc_id", F.xxhash64("text").alias("th"), F.explode_outer(F.concat(entity, near)).alias("o"))
+    def entity(s: Column) -> Column:
+        return F.concat(s["kind"], F.lit(":"), F.lower(s["value"])).alias("entity")
+
+    def all_of(t: Column, base: Column) -> Column:
+        own = F.transform(base, lambda s: F.struct(entity(s), s["start"].alias("start"), s["end"].alias("end"), F.lit(None).cast("string").alias("term")))
+        near = F.flatten(F.transform(base, lambda s: F.transform(_nearby(t, s, context), lambda m: F.struct(
+            entity(s), m["start"].alias("start"), m["end"].alias("end"), m["term"].alias("term")))))
+        return F.concat(own, near)
+    found = let(_plain(F.col("text")), lambda t: let(base_spans(t), lambda base: all_of(t, base)))
+    return (docs.select("doc_id", F.xxhash64("text").alias("th"), F.explode_outer(found).alias("o"))
             .where("o is not null").select("doc_id", "th", "o.*").distinct())
 
 
@@ -128,7 +127,8 @@ def disclosing_terms(docs: DataFrame, found: DataFrame, generalise: float, remov
     text = F.concat(F.lit(" "), _plain(F.lower("text")), F.lit(" "))
     df_t = (docs.select(F.explode_outer(F.array_distinct(F.regexp_extract_all(text, F.lit(TERM), F.lit(0)))).alias("term"))
             .where("term is not null").groupBy("term").agg(F.count("*").alias("df_t")))
-    terms = materialize(df_t.join(pairs.select("term").distinct(), "term", "left_semi"), "pii-terms")
+    # An inner join: a semi-join would be moved below the aggregation and shuffle every word of every document.
+    terms = materialize(df_t.join(pairs.select("term").distinct(), "term"), "pii-terms")
     entities = materialize(df_e.select("entity", "df_e").join(pairs.select("entity").distinct(), "entity", "left_semi"), "pii-entities")
     share = F.log(F.col("df_te") * F.col("n") / (F.col("df_t") * F.col("df_e"))) / F.log(F.col("n") / F.col("df_e"))
     return (pairs.join(terms, "term").join(entities, "entity").crossJoin(F.broadcast(n)).where("n > df_e")
