@@ -15,15 +15,21 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+def _at_least(x: Column, low) -> Column:
+    """``max(x, low)`` with a missing value left missing (``greatest`` alone skips NULL)."""
+    low = low if isinstance(low, Column) else F.lit(float(low))
+    return F.when(x.isNotNull(), F.greatest(x, low))
+
+
 def log1p(x) -> Column:
     """``log1p``; argument <= -1 gives NULL."""
     return F.log1p(_c(x).cast("double"))
 
 
 def guarded_log1p(x) -> Column:
-    """``log1p(x)`` when ``x > 0`` else 0 (NULL stays NULL)."""
+    """``log1p(x)`` when ``x > 0`` else 0; a missing value compares false and gives 0."""
     x = _c(x).cast("double")
-    return F.when(x.isNull(), F.lit(None).cast("double")).when(x > 0, F.log1p(x)).otherwise(F.lit(0.0))
+    return F.when(x > 0, F.log1p(x)).otherwise(F.lit(0.0))
 
 
 def any_flag(x) -> Column:
@@ -46,18 +52,18 @@ def square(x) -> Column:
 
 def sqrt_clipped(x) -> Column:
     """``sqrt(max(x, 0))``."""
-    return F.sqrt(F.greatest(_c(x).cast("double"), F.lit(0.0)))
+    return F.sqrt(_at_least(_c(x).cast("double"), 0))
 
 
 def square_clipped(x) -> Column:
     """F5 inverse: ``max(x, 0) ** 2``."""
-    g = F.greatest(_c(x).cast("double"), F.lit(0.0))
+    g = _at_least(_c(x).cast("double"), 0)
     return g * g
 
 
 def expm1_clipped(x) -> Column:
     """``max(expm1(x), 0)``."""
-    return F.greatest(F.expm1(_c(x).cast("double")), F.lit(0.0))
+    return _at_least(F.expm1(_c(x).cast("double")), 0)
 
 
 def to_model_space(y, mode: str) -> Column:
@@ -68,7 +74,7 @@ def to_model_space(y, mode: str) -> Column:
     if mode == "sqrt":
         return sqrt_clipped(y)
     if mode == "log1p":
-        return F.log1p(F.greatest(y, F.lit(0.0)))
+        return F.log1p(_at_least(y, 0))
     raise ValueError(f"unknown target mode {mode!r}")
 
 
@@ -118,7 +124,7 @@ def eps_ratio(a, b, eps: float = 1e-6) -> Column:
 def floored_ratio(v, i, floor, lo, hi, eps: float = EPS) -> Column:
     """``clip(v / max(i, floor + eps), lo, hi)`` with fitted floor and bounds."""
     fl = floor if isinstance(floor, Column) else F.lit(floor)
-    den = F.greatest(_c(i).cast("double"), fl + F.lit(eps))
+    den = _at_least(_c(i).cast("double"), fl + F.lit(eps))
     return clip(F.try_divide(_c(v).cast("double"), den), lo, hi)
 
 
@@ -135,12 +141,12 @@ def relative_difference(v, i, eps: float = EPS) -> Column:
 
 def hinge_above(x, t: float) -> Column:
     """``max(x - t, 0)``."""
-    return F.greatest(_c(x).cast("double") - F.lit(t), F.lit(0.0))
+    return _at_least(_c(x).cast("double") - F.lit(t), 0)
 
 
 def hinge_below(x, t: float) -> Column:
     """``max(t - x, 0)``."""
-    return F.greatest(F.lit(t) - _c(x).cast("double"), F.lit(0.0))
+    return _at_least(F.lit(t) - _c(x).cast("double"), 0)
 
 
 def threshold_flag(x, thr) -> Column:
@@ -171,11 +177,10 @@ def fixed_bins(x, edges, labels) -> Column:
 
 def string_interaction(*cols) -> Column:
     """``a_b``; booleans render as ``True``/``False`` and NULL as ``nan``."""
-    parts = []
-    for c in cols:
-        c = _c(c)
-        parts.append(c)
-    return F.concat_ws("_", *parts)
+    def text(c: Column) -> Column:
+        plain = c.cast("string")
+        return F.coalesce(F.when(F.typeof(c) == "boolean", F.initcap(plain)).otherwise(plain), F.lit("nan"))
+    return F.concat_ws("_", *[text(_c(c)) for c in cols])
 
 
 def bool_text(c) -> Column:

@@ -27,7 +27,6 @@ from pyspark.sql import functions as F
 
 # rows of one (key, bucket) window partition the planner aims for
 TARGET_BUCKET_ROWS = 1_000_000
-MAX_BUCKETS = 4096
 # above this many distinct values per column, `percentile` (which keeps a map
 # of all distinct values of a group in one aggregation buffer) is replaced by
 # the bucketed rank plan
@@ -68,16 +67,15 @@ def value_histogram(long_df: DataFrame, keys, value: str = "value",
 
 
 def _bucket_count(hist: DataFrame, keys: list[str]) -> int:
-    """Number of range buckets per key, from the largest distinct count (one small job): enough
-    buckets that one (key, bucket) window partition holds at most about ``TARGET_BUCKET_ROWS``
-    distinct values (many keys already run in parallel; one key is split only when large)."""
+    """Number of range buckets per key, from the largest distinct count (one small job): enough that one
+    (key, bucket) window partition holds at most about ``TARGET_BUCKET_ROWS`` distinct values, and without keys at
+    least one per shuffle partition, so the whole domain is never one window partition."""
     if keys:
         row = hist.groupBy(*keys).count().agg(F.max("count")).first()
-    else:
-        row = hist.agg(F.count(F.lit(1))).first()
-    nd = int(row[0] or 0)
-    want = math.ceil(nd / TARGET_BUCKET_ROWS)
-    return max(1, min(MAX_BUCKETS, want))
+        return max(1, math.ceil(int(row[0] or 0) / TARGET_BUCKET_ROWS))
+    nd = int(hist.agg(F.count(F.lit(1))).first()[0] or 0)
+    parts = int(hist.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(2, parts, math.ceil(nd / TARGET_BUCKET_ROWS))
 
 
 def bucketize(hist: DataFrame, keys, value: str = "value", n_col: str = "n",
@@ -91,8 +89,8 @@ def bucketize(hist: DataFrame, keys, value: str = "value", n_col: str = "n",
         probs = [i / b for i in range(1, b)]
         acc = max(10_000, 20 * b)
         cuts = hist.groupBy(*keys).agg(F.percentile_approx(F.col(value), probs, acc).alias("_cuts"))
-        # one row of at most MAX_BUCKETS cut points per key
-        hb = hist.crossJoin(F.broadcast(cuts)) if not keys else hist.join(F.broadcast(cuts), keys)
+        # without keys the cuts are one row; with keys they are one row per key, and Spark's own size limit decides
+        hb = hist.crossJoin(F.broadcast(cuts)) if not keys else hist.join(cuts, keys)
         hb = hb.withColumn("bucket", F.size(F.filter("_cuts", lambda c: c < F.col(value)))).drop("_cuts")
     else:
         hb = hist.withColumn("bucket", F.lit(0))

@@ -150,7 +150,7 @@ def cross_validate(x: DataFrame, label: str, task: str, family: str = "gbt", k:
 
 def refit_with_cv_rounds(x: DataFrame, label: str, task: str, cv: CVResult, min_rounds: int = 50, seed=42, **params):
     """Final model on all rows with the mean best iteration of the folds (at least ``min_rounds``)."""
-    rounds = max(min_rounds, round(sum(cv.best_iterations) / len(cv.best_iterations))) if cv.best_iterations else min_rounds
+    rounds = max(min_rounds, int(sum(cv.best_iterations) / len(cv.best_iterations))) if cv.best_iterations else min_rounds
     params = dict(params, maxIter=rounds)
     return estimator("gbt", task, label, seed, **params).fit(x), rounds
 

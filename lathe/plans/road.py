@@ -62,7 +62,7 @@ class RoadFeaturesModel:
         cols = {c: F.col(c) for c in d.columns}
         cb = binner.expr()
         cols["speed_curvature_ratio"] = S.eps_ratio("speed_limit", "curvature", 1e-6)
-        cols["weather_lighting"] = F.concat_ws("_", F.col("weather").cast("string"), F.col("lighting").cast("string"))
+        cols["weather_lighting"] = S.string_interaction("weather", "lighting")
         cols["curvature_bin"] = cb
         cols["curvature_sq"] = S.square("curvature")
         cols["speed_limit_sq"] = F.col("speed_limit") * F.col("speed_limit")

@@ -82,12 +82,29 @@ def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def _assert_no_single_task_window(plan: str):
-    lines = plan.splitlines()
-    for i, line in enumerate(lines):
-        if "Window [" in line:
-            # a window's partition spec is listed after the function list: "... [keys], [order]"
-            assert "], [], [" not in line, line
+def _windows(node):
+    """(partition spec is empty, order spec) of every logical window below a plan node."""
+    found = []
+    if node.nodeName() == "Window":
+        found.append((node.partitionSpec().isEmpty(), node.orderSpec().mkString(",")))
+    kids = node.children()
+    for i in range(kids.size()):
+        found += _windows(kids.apply(i))
+    return found
+
+
+def _assert_no_single_task_window(df):
+    """Every window has a partition key, except over tables of counts per range bucket or per md5 prefix (at most 65,536 rows)."""
+    windows = _windows(df._jdf.queryExecution().optimizedPlan())
+    bad = [order for empty, order in windows if empty and not order.startswith(("bucket#", "_hb#"))]
+    assert not bad, bad
+
+
+def test_the_window_check_can_fail(spark):
+    from pyspark.sql import Window
+    df = spark.range(10).withColumn("r", F.row_number().over(Window.orderBy("id")))
+    with pytest.raises(AssertionError):
+        _assert_no_single_task_window(df)
 
 
 @pytest.mark.parametrize("name", ["w2_avg_rank", "w4_stratified_kfold", "w5_sample_n", "a9_spearman_matrix",
@@ -98,7 +115,7 @@ def test_no_unpartitioned_window_and_no_python_udf(spark, name):
     plan = _plan(df)
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
     assert "CartesianProduct" not in plan
-    _assert_no_single_task_window(plan)
+    _assert_no_single_task_window(df)
 
 
 def test_filters_and_columns_reach_the_scan(spark):
@@ -116,3 +133,21 @@ def test_folds_do_not_depend_on_input_order(spark):
     a = R.kfold(o, "o_orderkey", 5, 11, strata="o_orderstatus")
     b = R.kfold(o.repartition(7, "o_orderstatus").sortWithinPartitions(F.rand(5)), "o_orderkey", 5, 11, strata="o_orderstatus")
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_missing_values_stay_missing(spark):
+    from lathe.functions import scalars as S
+    df = spark.createDataFrame([(None, 0.5, True, None), (4.0, None, False, "rain")], "x double, i double, b boolean, s string")
+    r = df.select(S.guarded_log1p("x").alias("f2"), S.sqrt_clipped("x").alias("f5"), S.square_clipped("x").alias("f5b"), S.expm1_clipped("x").alias("f6"),
+                  S.to_model_space("x", "sqrt").alias("f7"), S.to_model_space("x", "log1p").alias("f7b"), S.hinge_above("x", 1.0).alias("f17"),
+                  S.hinge_below("x", 1.0).alias("f17b"), S.floored_ratio("x", "i", 0.01, 0.0, 100.0).alias("f14"), S.string_interaction("s", "b").alias("f23")).collect()
+    assert r[0].f2 == 0.0 and all(r[0][c] is None for c in ("f5", "f5b", "f6", "f7", "f7b", "f17", "f17b", "f14"))
+    assert r[1].f14 is None and r[1].f17 == 3.0 and r[1].f17b == 0.0
+    assert [x.f23 for x in r] == ["nan_True", "rain_False"]
+
+
+def test_squared_error_weights_stay_in_the_simplex(spark):
+    from lathe.operators.blend import blend_weights_rmse
+    df = spark.createDataFrame([(1.0, 2.0, 0.0), (2.0, 3.0, 1.0), (3.0, 4.1, 2.0)], "a double, b double, y double")
+    w = blend_weights_rmse(df, ["a", "b"], "y")
+    assert w == [1.0, 0.0]
