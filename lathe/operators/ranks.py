@@ -339,12 +339,13 @@ def hash_key(id_col: str, seed) -> F.Column:
     return F.md5(F.concat_ws("|", F.col(id_col).cast("string"), F.lit(str(seed))))
 
 
-def hash_rank(df: DataFrame, id_col: str, seed, strata=None, out: str = "hash_rank") -> DataFrame:
+def hash_rank(df: DataFrame, id_col: str, seed, strata=None, out: str = "hash_rank", at_most: int | None = None) -> DataFrame:
     """1-based rank of each row by ``(md5(id|seed), id)`` inside each stratum.
 
     Planned as (stratum, md5 prefix bucket) counts -> running offsets ->
     ``row_number`` inside each (stratum, bucket). A stratum holding a third of
-    the table still spreads over 16^4 buckets.
+    the table still spreads over 16^4 buckets. ``at_most`` says that only ranks up to it are wanted: buckets that
+    start beyond it are dropped before any row is moved or sorted (ranks up to ``at_most`` are all there).
     """
     strata = _keys(strata)
     h = df.withColumn("_h", hash_key(id_col, seed)) \
@@ -352,6 +353,8 @@ def hash_rank(df: DataFrame, id_col: str, seed, strata=None, out: str = "hash_ra
     sizes = h.groupBy(*strata, "_hb").agg(F.count(F.lit(1)).alias("_bn"))
     w_off = Window.partitionBy(*strata).orderBy("_hb").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(*strata, "_hb", F.coalesce(F.sum("_bn").over(w_off), F.lit(0)).alias("_off"))
+    if at_most is not None:
+        offsets = offsets.where(F.col("_off") < at_most)
     if strata:
         joined = h.join(offsets, [*strata, "_hb"])
     else:
@@ -378,7 +381,7 @@ def kfold(df: DataFrame, id_col: str, k: int = 5, seed=42, strata=None, exact: b
 
 def sample_n(df: DataFrame, n: int, id_col: str, seed=42) -> DataFrame:
     """Exactly ``min(n, rows)`` rows without replacement, deterministic in ``seed``."""
-    return hash_rank(df, id_col, seed, out="_r").where(F.col("_r") <= n).drop("_r")
+    return hash_rank(df, id_col, seed, out="_r", at_most=n).where(F.col("_r") <= n).drop("_r")
 
 
 def stratified_subsample(df: DataFrame, n: int, id_col: str, label: str, seed=42) -> DataFrame:
@@ -390,7 +393,7 @@ def stratified_subsample(df: DataFrame, n: int, id_col: str, label: str, seed=42
     stats = df.agg(F.avg(F.col(label).cast("double")).alias("_m"))
     k_pos = F.floor(F.lit(n) * F.col("_m")).cast("long")
     lim = stats.select(k_pos.alias("_kpos"), (F.lit(n) - k_pos).alias("_kneg"))
-    r = hash_rank(df, id_col, seed, strata=[label], out="_r").crossJoin(F.broadcast(lim))
+    r = hash_rank(df, id_col, seed, strata=[label], out="_r", at_most=n).crossJoin(F.broadcast(lim))
     keep = F.when(F.col(label) == 1, F.col("_r") <= F.col("_kpos")).otherwise(F.col("_r") <= F.col("_kneg"))
     return r.where(F.col(label).isin(0, 1) & keep).drop("_r", "_kpos", "_kneg")
 

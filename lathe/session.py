@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -71,8 +70,5 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared checkpoint folder for written tables."""
-    base = checkpoint_dir(spark).rstrip("/")
-    if base.startswith("file:"):
-        base = base[len("file:"):]
-    return os.path.join(base, "lathe-scratch", f"{name}-{uuid.uuid4().hex[:12]}")
+    """A fresh path under the shared checkpoint folder for written tables, with the folder's scheme."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/lathe-scratch/{name}-{uuid.uuid4().hex[:12]}"
