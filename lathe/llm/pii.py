@@ -128,8 +128,8 @@ def disclosing_terms(docs: DataFrame, found: DataFrame, generalise: float, remov
     df_t = (docs.select(F.explode_outer(F.array_distinct(F.regexp_extract_all(text, F.lit(TERM), F.lit(0)))).alias("term"))
             .where("term is not null").groupBy("term").agg(F.count("*").alias("df_t")))
     # An inner join: a semi-join would be moved below the aggregation and shuffle every word of every document.
-    terms = materialize(df_t.join(pairs.select("term").distinct(), "term"), "pii-terms")
-    entities = materialize(df_e.select("entity", "df_e").join(pairs.select("entity").distinct(), "entity", "left_semi"), "pii-entities")
+    terms = df_t.join(pairs.select("term").distinct(), "term")
+    entities = df_e.select("entity", "df_e")
     share = F.log(F.col("df_te") * F.col("n") / (F.col("df_t") * F.col("df_e"))) / F.log(F.col("n") / F.col("df_e"))
     return (pairs.join(terms, "term").join(entities, "entity").crossJoin(F.broadcast(n)).where("n > df_e")
             .withColumn("share", share).where(F.col("share") >= generalise)
@@ -155,7 +155,7 @@ def sanitise(docs: DataFrame, context: int = CONTEXT, generalise: float = GENERA
     and the text with entities masked and disclosing terms generalised or removed."""
     docs = docs.select("doc_id", "text")
     found = materialize(occurrences(docs, context), "pii-occurrences")
-    flagged = materialize(disclosing_terms(docs, found, generalise, remove, support), "pii-flagged")
+    flagged = disclosing_terms(docs, found, generalise, remove, support)
     hits = salted_join(found.where("term is not null"), flagged, ["entity", "term"], F.struct("doc_id", "start"))
     extra = materialize(hits.groupBy("doc_id", "th", "start", "end").agg(F.max("kind").alias("kind"))
                         .groupBy("doc_id", "th").agg(F.collect_list(F.struct("start", "kind", "end")).alias("extra")), "pii-extra")
