@@ -9,6 +9,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
+from lathe.llm import queries as Q
 from lathe.llm import decontaminate, embedding_dedup, maglev, minmax_dedup, mixture, pii, quality, rollups, token_files, url_rules
 from lathe.llm.common import connected_components, table
 from lathe.llm.range_coder import decode, encode
@@ -17,6 +18,27 @@ SMALL = "/root/testdata/sf0.001"
 SPACE = r"[ \t-\r]+"
 
 
+@pytest.fixture(scope="session")
+def docs_of(spark):
+    """Documents from (doc_id, text) pairs, with columns whose names clash with the operators' own."""
+    def make(rows):
+        full = [(i, t, "en", "src0", len(t or ""), 1, "x", 0.5, 7) for i, t in rows]
+        return spark.createDataFrame(full, "doc_id long, text string, lang string, source string, n_chars long, n long, slot string, score double, h long")
+    return make
+
+
+@pytest.fixture(scope="session")
+def small(spark):
+    """(query name) -> rows of the query on the smallest tables."""
+    held = {}
+
+    def run(name):
+        if name not in held:
+            held[name] = Q.QUERIES[name](spark, "/root/testdata/sf0.001").collect()
+        return held[name]
+    return run
+
+
 def lower(t):
     return t.translate({c: c + 32 for c in range(65, 91)})
 
