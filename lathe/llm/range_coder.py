@@ -16,15 +16,15 @@ import numpy as np
 
 MAGIC = b"LTC1"
 BLOCK = 4_096
-LANES = 1_024
+LANES = 4_096
 
 _U = np.uint64
 _TOTAL_BITS = 30
 _TOP = _U(1 << 48)
 _LOW_RANGE = _U(1 << 40)
 _LOW_MASK = _U((1 << 40) - 1)
-_SLOT_BITS = 10
-_REFRESH = 64
+_SLOT_BITS = 8
+_REFRESH = 256
 _MIX = (1 << _TOTAL_BITS) - (1 << 26)
 _LEAST = 1 << 18
 _HALF = 1 << 16
@@ -42,8 +42,8 @@ class _Model:
         self.t2 = np.zeros(lanes << _SLOT_BITS, dtype=np.int32)
         self.w2 = np.full(lanes * 16, _MIX >> 3, dtype=np.int64)
         self.w1 = np.full(lanes * 16, _MIX >> 3, dtype=np.int64)
-        self.count = np.ones(lanes << 8, dtype=np.int64)
-        self.table = np.zeros((lanes, 257), dtype=np.int64)
+        self.count = np.ones(lanes << 8, dtype=np.int32)
+        self.table = np.zeros((lanes, 257), dtype=np.int32)
         self.cum = self.table.ravel()
         self.prev = np.zeros(lanes, dtype=np.int64)
         self.prev2 = np.zeros(lanes, dtype=np.int64)
@@ -51,10 +51,10 @@ class _Model:
 
     def refresh(self) -> None:
         """Order-0 cumulative counts of the ids' high bytes, scaled to 2**16 with every byte possible."""
-        c = np.cumsum(self.count.reshape(-1, 256), axis=1)
-        c *= ((_HALF - 256) << 20) // c[:, -1:]
-        c >>= 20
-        np.add(c, np.arange(1, 257), out=self.table[:, 1:])
+        c = np.cumsum(self.count.reshape(-1, 256), axis=1, dtype=np.int32)
+        c *= ((_HALF - 256) << 12) // c[:, -1:]
+        c >>= 12
+        np.add(c, np.arange(1, 257, dtype=np.int32), out=self.table[:, 1:])
 
     def predict(self, n: int) -> None:
         p, q = self.prev[:n], self.prev2[:n]
@@ -82,11 +82,16 @@ class _Model:
         at = self.steps[rows] + (x >> 8)
         first = self.cum.take(at, mode="clip")
         f = self.cum.take(at + 1, mode="clip") - first
-        at = (first << 8) + (x & 255) * f
+        at = (first << 8) + (x & 255) * f  # below 2**24
         lo = at * rest >> 24
         return lo, ((at + f) * rest >> 24) - lo
 
 
+def _due(t: int) -> bool:
+    """Order-0 counts are renewed after 16, 32, 64 and 128 ids, then after every ``_REFRESH`` ids."""
+    return (t + 1) % _REFRESH == 0 or t + 1 in (16, 32, 64, 128)
+
+
 def _shifting(low: np.ndarray, span: np.ndarray) -> np.ndarray:
     """Blocks whose top 16 bits are settled, or whose range has become too small to go on."""
     return np.flatnonzero(((low ^ (low + span)) < _TOP) | (span < _LOW_RANGE))
@@ -145,7 +150,7 @@ def encode(ids: np.ndarray) -> bytes:
             aw[k] += 1
             _shift(lw, sp, k)
         model.update(m, x, hit2, only1)
-        if t % _REFRESH == _REFRESH - 1:
+        if _due(t):
             model.refresh()
     for k in range(4):
         words[at_word] = low >> _U(48 - 16 * k) & _U(0xFFFF)
@@ -201,7 +206,7 @@ def decode(data: bytes) -> np.ndarray:
             base, want = model.steps[k], y >> 8
             at = base.copy()
             for bit in (128, 64, 32, 16, 8, 4, 2, 1):
-                at += bit * (model.cum.take(at + bit, mode="clip") <= want)
+                np.add(at, bit, out=at, where=model.cum[bit:].take(at, mode="clip") <= want)
             first = model.cum.take(at, mode="clip")
             f = model.cum.take(at + 1, mode="clip") - first
             low_byte = np.minimum((y - (first << 8)) // f, 255)
@@ -218,7 +223,7 @@ def decode(data: bytes) -> np.ndarray:
             _shift(lw, sp, k)
         model.update(m, x, hit2, only1)
         grid[t, :m] = x
-        if t % _REFRESH == _REFRESH - 1:
+        if _due(t):
             model.refresh()
     ids = np.ascontiguousarray(grid.T).ravel()[:n].astype("<u4")
     for b in range(blocks):

@@ -20,6 +20,8 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -29,80 +31,125 @@ from lathe.llm.range_coder import decode, encode
 from lathe.session import checkpoint_dir
 
 SEGMENT_IDS = 1 << 22
-BATCH_CHARS = 1 << 20
-CACHED_PIECES = 500_000
+BATCH_BYTES = 1 << 22
+CACHED_CHUNKS = 500_000
+CACHED_CHARS = 64
 _SCHEMA = "shard int, segment int, doc_ids array<{0}>, lengths array<long>, n_ids long, payload binary"
 
-# How the byte-level vocabulary splits a text into pieces, each encoded by itself; stated for characters below U+0250,
-# whose classes every library agrees on. Texts with other characters go to the tokenizer whole.
-_LETTER = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-ɏ"
-_NUMBER = "0-9\xb2\xb3\xb9\xbc-\xbe"
-_BLANK = r"\t-\r \x85\xa0"
-_PIECES = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTER}]+| ?[{_NUMBER}]+| ?[^{_BLANK}{_LETTER}{_NUMBER}]+|[{_BLANK}]+(?![^{_BLANK}])|[{_BLANK}]+")
-_OTHER = re.compile("[^\x00-ɏ]")
+# A byte-level vocabulary never joins across a space that follows a character other than white space: the text before
+# that space and the text from it on are encoded independently. The class below holds all that any library counts as white space.
+_LOOSE = r"[\t-\r\x1c-\x20\x{85}\p{Z}\x{180e}\x{200b}\x{feff}] "
+_WHITE = "\\s\x85\u180e\u200b\ufeff"
+_JOINT = re.compile(f"(?<![{_WHITE}]) ")
+_ENDS_WHITE = re.compile(f"[{_WHITE}]")
 
 
 class Encoder:
-    """Ids of texts by a tokenizer file of the tokenizers library, special tokens not added. Repeated pieces of a
-    byte-level vocabulary are encoded once and remembered (at most ``CACHED_PIECES``)."""
+    """Ids of texts by a tokenizer file of the tokenizers library, special tokens not added. Texts for a byte-level
+    vocabulary are split at spaces into chunks; a repeated chunk of at most ``CACHED_CHARS`` characters is encoded once
+    and remembered (about ``CACHED_CHUNKS`` of them)."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
         spec = json.loads(self.tok.to_str())
         pre = spec.get("pre_tokenizer") or {}
-        self.pieces = (pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space")
-                       and spec.get("normalizer") is None)
+        self.chunked = (pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space")
+                        and spec.get("normalizer") is None)
         self.special = [t["content"] for t in spec.get("added_tokens", [])]
+        self.sizes = np.array([len(self.tok.id_to_token(i) or "") for i in range(self.tok.get_vocab_size())])  # bytes of each id
         self.clear()
 
     def clear(self) -> None:
-        self.number: dict[str, int] = {}
+        """Forget all chunks. ``number`` numbers the known chunks; the ids of chunk k are flat[first[k]:first[k + 1]]."""
+        self.number: dict[str, int] = {"": 0}
         self.flat = np.empty(1 << 16, dtype=np.uint32)
         self.first = np.zeros(1 << 14, dtype=np.int64)
-        self.used = 0
+
+    def _ids(self, chunks: list[str]) -> np.ndarray:
+        return np.array(self.tok.encode_batch_fast(["".join(chunks)], add_special_tokens=False)[0].ids, dtype=np.uint32)
 
     def _learn(self, new: list[str]) -> None:
-        for piece, e in zip(new, self.tok.encode_batch(new, add_special_tokens=False), strict=True):
-            ids, k = e.ids, len(self.number)
-            while self.used + len(ids) > len(self.flat):
-                self.flat = np.concatenate((self.flat, np.empty_like(self.flat)))
-            if k + 2 > len(self.first):
-                self.first = np.concatenate((self.first, np.zeros_like(self.first)))
-            self.flat[self.used:self.used + len(ids)] = ids
-            self.used += len(ids)
-            self.number[piece] = k
-            self.first[k + 1] = self.used
-
-    def encode(self, texts: list[str | None], end: int) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all texts, each followed by ``end``; ids per text)."""
-        if len(self.number) > CACHED_PIECES:
+        """Chunks that start with a space and do not end with white space are encoded side by side, as one text, and told
+        apart by the bytes of their ids."""
+        alone, joint = [], []
+        for c in new:
+            (joint if c[0] == " " and not _ENDS_WHITE.match(c[-1]) else alone).append(c)
+        parts, counts = [], []
+        for at in range(0, len(joint), 50_000):
+            some = joint[at:at + 50_000]
+            ids = self._ids(some)
+            ends = np.cumsum(self.sizes[ids])
+            stops = np.cumsum([len(c.encode()) for c in some])
+            last = np.searchsorted(ends, stops)
+            if not (ends[last] == stops).all():
+                raise ValueError("the tokenizer joins ids across a space")
+            parts.append(ids)
+            counts.append(np.diff(last, prepend=-1))
+        for c in alone:
+            parts.append(self._ids([c]))
+            counts.append([len(parts[-1])])
+        k, ids, counts = len(self.number), np.concatenate(parts), np.concatenate(counts)
+        used, more = int(self.first[k]), k + len(new) + 1
+        if used + len(ids) > len(self.flat):
+            self.flat = np.concatenate((self.flat, np.empty(used + len(ids), dtype=np.uint32)))
+        if more > len(self.first):
+            self.first = np.concatenate((self.first, np.zeros(more, dtype=np.int64)))
+        self.flat[used:used + len(ids)] = ids
+        self.first[k + 1:more] = used + np.cumsum(counts)
+        self.number.update(zip(joint + alone, range(k, more), strict=False))
+
+    def _chunks(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(number of every chunk of the texts in order, chunks per text)."""
+        loose = np.asarray(pc.match_substring_regex(texts, _LOOSE))
+        if loose.any():  # split where the space follows no other white space
+            tight = pc.split_pattern(texts.filter(pa.array(~loose)), " ")
+            lists = pa.concat_arrays([tight, pa.array([_JOINT.split(t) for t in texts.filter(pa.array(loose)).to_pylist()], tight.type)])
+        else:
+            lists = pc.split_pattern(texts, " ")
+        counts = np.asarray(pc.list_value_length(lists)).astype(np.int64)
+        coded = pc.list_flatten(lists).dictionary_encode()
+        codes = np.asarray(coded.indices)
+        starts = np.cumsum(counts) - counts
+        later = [" " + c for c in coded.dictionary.to_pylist()]
+        head = [later[k][1:] for k in codes[starts]]  # the first chunk of a text has no space before it
+        new = list({*later, *head}.difference(self.number))
+        if len(self.number) > CACHED_CHUNKS and 2 * len(new) > len(later):  # the texts have changed
             self.clear()
-        if not self.number:
-            self._learn([""])
-        split, whole = [], {}
-        for i, t in enumerate(texts):
-            if not t:
-                split.append([])
-            elif not self.pieces or _OTHER.search(t) or any(s in t for s in self.special):
-                whole[i] = np.array(self.tok.encode(t, add_special_tokens=False).ids, dtype=np.uint32)
-                split.append([])
-            else:
-                split.append(_PIECES.findall(t))
-        new = set().union(*split).difference(self.number)
-        if new:
-            self._learn(sorted(new))
-        counts = np.array([len(p) for p in split])
-        at = np.array([self.number[x] for p in split for x in p], dtype=np.int64)
+            new = list({*later, *head}.difference(self.number))
+        full = len(self.number) > CACHED_CHUNKS
+        kept = [c for c in new if len(c) <= CACHED_CHARS and not full]
+        self.passing = new if full else [c for c in new if len(c) > CACHED_CHARS]
+        for some in (kept, self.passing):
+            if some:
+                self._learn(some)
+        at = np.array([self.number[c] for c in later], dtype=np.int64)[codes]
+        at[starts] = [self.number[c] for c in head]
+        if loose.any():  # back to the order of the texts
+            order = np.argsort(np.concatenate((np.flatnonzero(~loose), np.flatnonzero(loose))))
+            counts, starts = counts[order], starts[order]
+            stop = np.cumsum(counts)
+            at = at[np.repeat(starts - (stop - counts), counts) + np.arange(len(at))]
+        return at, counts
+
+    def encode(self, texts: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, each followed by ``end``; ids per text). Null texts are empty."""
+        texts = pc.fill_null(texts, "")
+        alone = np.full(len(texts), not self.chunked)
+        for s in self.special:
+            alone |= np.asarray(pc.match_substring(texts, s))
+        whole = {i: self._ids([texts[i].as_py()]) for i in np.flatnonzero(alone)}
+        at, counts = self._chunks(pc.if_else(pa.array(alone), "", texts) if whole else texts)
         size = self.first[at + 1] - self.first[at]
         ends = np.concatenate(([0], np.cumsum(size)))
         body = self.flat[np.repeat(self.first[at] - ends[:-1], size) + np.arange(ends[-1])]
-        cut = ends[np.concatenate(([0], np.cumsum(counts)))]
-        lengths = np.diff(cut) + 1
+        for c in self.passing:
+            del self.number[c]
+        lengths = np.diff(ends[np.concatenate(([0], np.cumsum(counts)))]) + 1
         for i, ids in whole.items():
             lengths[i] = len(ids) + 1
         stop = np.cumsum(lengths)
-        out = np.full(stop[-1] if len(stop) else 0, end, dtype=np.uint32)
+        out = np.full(stop[-1], end, dtype=np.uint32)
         plain = np.ones(len(out), dtype=bool)
         plain[stop - 1] = False
         for i, ids in whole.items():
@@ -119,25 +166,26 @@ def _encoder(path: str) -> Encoder:
 
 def _write(path: str, end: int, segment_ids: int):
     def run(batches):
+        kinds = None
         enc, shard, number = _encoder(path), TaskContext.get().partitionId(), 0
         docs, sizes, parts, held = [], [], [], 0
 
         def segment():
             nonlocal docs, sizes, parts, held, number
-            out = pd.DataFrame({"shard": [shard], "segment": [number], "doc_ids": [docs], "lengths": [sizes], "n_ids": [held],
-                                "payload": [encode(np.concatenate(parts))]})
+            out = pa.RecordBatch.from_arrays(
+                [pa.array([x], t) for x, t in zip((shard, number, docs, sizes, held, encode(np.concatenate(parts))), kinds, strict=True)],
+                ["shard", "segment", "doc_ids", "lengths", "n_ids", "payload"])
             docs, sizes, parts, held, number = [], [], [], 0, number + 1
             return out
 
-        for pdf in batches:
-            ids = [None if pd.isna(i) else int(i) for i in pdf["doc_id"]]
-            texts, at = pdf["text"].tolist(), 0
+        for batch in batches:
+            kinds = [pa.int32(), pa.int32(), pa.list_(batch.schema.field("doc_id").type), pa.list_(pa.int64()), pa.int64(), pa.binary()]
+            ids, texts, at = batch.column("doc_id").to_pylist(), batch.column("text").cast(pa.string()), 0
+            ends = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(texts), 0)), dtype=np.int64)
             while at < len(texts):
-                stop, chars = at, 0
-                while stop < len(texts) and (stop == at or chars < BATCH_CHARS):
-                    chars += len(texts[stop] or "")
-                    stop += 1
-                got, lengths = enc.encode(texts[at:stop], end)
+                done = ends[at - 1] if at else 0
+                stop = max(at + 1, int(np.searchsorted(ends, done + BATCH_BYTES, side="right")))
+                got, lengths = enc.encode(texts.slice(at, stop - at), end)
                 cut = np.concatenate(([0], np.cumsum(lengths)))
                 for k in range(stop - at):
                     if held and held + lengths[k] > segment_ids:
@@ -156,7 +204,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, se
     """Tokenize ``docs`` (doc_id, text) with the tokenizer file ``tokenizer`` and write them to ``path``."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     ordered = docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    ordered.mapInPandas(_write(tokenizer, end_id, segment_ids), _SCHEMA.format(kind)).write.parquet(path)
+    ordered.mapInArrow(_write(tokenizer, end_id, segment_ids), _SCHEMA.format(kind)).write.parquet(path)
 
 
 def _read(kind: str):

@@ -270,6 +270,24 @@ def test_token_files_equal_the_library(spark, docs_of):
     assert token_files.read_digests(spark, out).count() == 0
 
 
+def test_chunks_encode_as_whole_texts(monkeypatch):
+    import public_tokenizers
+    import pyarrow as pa
+    enc = token_files.Encoder(public_tokenizers.path("byte_bpe_50k.json"))
+    white = [" ", "  ", "   ", "\n", " \n", "\n ", " \n ", "\t ", "\xa0", " \xa0 ", "\u2003 ", "\u200b ", "\ufeff ", "\x1c ", "\u180e  ", "\x85 "]
+    texts = [f"{a}{w}{b}" for w in white for a in ("", "a", "Wort.", "日本", "don't") for b in ("", "b", "'s 12", "日本 x", "<|endoftext|> c")]
+    texts += [None, "", "привет мир " * 40, "z" * 500 + " " + "z" * 500, "é" * 100 + " a a a"]
+    want = [enc.tok.encode(t or "", add_special_tokens=False).ids + [2] for t in texts]
+    for cached in (token_files.CACHED_CHUNKS, 20):  # all chunks known; nearly all forgotten after each batch
+        monkeypatch.setattr(token_files, "CACHED_CHUNKS", cached)
+        for step in (len(texts), 7, 1):
+            got = []
+            for at in range(0, len(texts), step):
+                ids, lengths = enc.encode(pa.array(texts[at:at + step], pa.string()), 2)
+                got += [x.tolist() for x in np.split(ids, np.cumsum(lengths)[:-1])]
+            assert got == want
+
+
 # 8 URL rules (exact SQL oracle in test_oracles)
 
 def test_url_rules_edges(spark):
