@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lathe.functions import scalars as S
+from lathe.operators.encode import LabelEncoderModel, cast_category, fit_label_encoder
 from lathe.operators.ranks import quantile_map
 
 # fixed values: the curvature bin grid and labels, and the categorical outputs
@@ -52,9 +53,16 @@ def fit_quantile_binner(df: DataFrame, col: str, probs=CURVATURE_PROBS, labels=C
     return QuantileBinner(col, edges, labels)
 
 
+def fit_road_categories(features: DataFrame) -> dict[str, LabelEncoderModel]:
+    """P21 state of the road table: sorted categories of each categorical output, fitted on a transformed table;
+    a label that the table did not hold gets no code."""
+    return {c: fit_label_encoder(features, c, handle_invalid="null") for c in CATEGORICAL if c in features.columns}
+
+
 @dataclass
 class RoadFeaturesModel:
     binner: QuantileBinner | None = None   # fitted edges (Q6 fitted=True); None = per-table edges
+    categories: dict[str, LabelEncoderModel] | None = None   # fitted codes; None = the labels themselves
 
     def transform(self, df: DataFrame, drop_duplicates: bool = False, mode: str = "auto") -> DataFrame:
         d = df.dropDuplicates() if drop_duplicates else df
@@ -72,7 +80,8 @@ class RoadFeaturesModel:
         for c, t in types.items():          # P16
             if t == "boolean":
                 cols[c] = F.col(c).cast("int")
-        return d.select(*[e.alias(n) for n, e in cols.items()])
+        out = d.select(*[e.alias(n) for n, e in cols.items()])
+        return cast_category(out, self.categories) if self.categories else out
 
 
 def road_like(li: DataFrame, orders: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from lathe.operators import profile as P
 from lathe.operators.stats import Winsorizer, WinsorizerModel
 from lathe.plans import audio as AU, bank as BK, road as RD
 from lathe.registry.base import register, table, r6
+from lathe.registry.profiling import A28_COLUMNS, A28_SQL
 from lathe.session import scratch_path
 from lathe.sources import files as IO
 
@@ -195,10 +196,21 @@ def x7_road(spark, sf):
     return _round_doubles(out)
 
 
-@register("x7_road_features_dedup", f"SELECT count(*) AS n FROM (SELECT DISTINCT * FROM {ROAD_SQL})")
+@register("x7_road_features_dedup", X7_SQL.replace(ROAD_SQL, f"(SELECT DISTINCT * FROM {ROAD_SQL})"))
 def x7_road_dedup(spark, sf):
     r = RD.road_like(table(spark, sf, "lineitem"), table(spark, sf, "orders"))
-    return RD.RoadFeaturesModel().transform(r, drop_duplicates=True).agg(F.count(F.lit(1)).alias("n"))
+    out = RD.RoadFeaturesModel().transform(r, drop_duplicates=True)
+    return _round_doubles(out.withColumn("speed_curvature_ratio", r6("speed_curvature_ratio", 4)))
+
+
+@register("x7_road_features_categories", f"WITH x AS ({X7_SQL}) SELECT * REPLACE ("
+          + ", ".join(f"CAST(dense_rank() OVER (ORDER BY {c}) - 1 AS INT) AS {c}" for c in RD.CATEGORICAL) + ") FROM x")
+def x7_road_categories(spark, sf):
+    r = RD.road_like(table(spark, sf, "lineitem"), table(spark, sf, "orders"))
+    binner = RD.fit_quantile_binner(r, "curvature")
+    codes = RD.fit_road_categories(RD.RoadFeaturesModel(binner).transform(r))
+    out = RD.RoadFeaturesModel(binner, codes).transform(r)
+    return _round_doubles(out.withColumn("speed_curvature_ratio", r6("speed_curvature_ratio", 4)))
 
 
 # ---------------------------------------------------------------- sources and sinks
@@ -244,13 +256,12 @@ def s4_fitted(spark, sf):
     return m2.transform(o).select("o_orderkey", r6("l_extendedprice").alias("v"))
 
 
-@register("s8_write_profile", """SELECT unnest(['c_custkey', 'c_name', 'c_nationkey', 'c_acctbal', 'c_mktsegment']) AS "column",
-  unnest([count(c_custkey), count(c_name), count(c_nationkey), count(c_acctbal), count(c_mktsegment)]) AS n FROM customer""")
+@register("s8_write_profile", A28_SQL)
 def s8_profile(spark, sf):
     rep = P.profile_table(table(spark, sf, "customer"))
     path = scratch_path(spark, "profile")
     rep["overview"].write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path).select("column", "n")
+    return _round_doubles(spark.read.parquet(path)).select(*A28_COLUMNS)
 
 
 # ---------------------------------------------------------------- prose-only operators (T3, T7-T9) and K1, K2

@@ -64,6 +64,12 @@ def p14_narrow(spark, sf):
     return spark.createDataFrame([(f.name, f.dataType.simpleString()) for f in n.schema.fields], "column string, dtype string")
 
 
+@register("p14_narrow_rows", """SELECT * REPLACE (CAST(p_partkey AS SMALLINT) AS p_partkey, CAST(p_size AS TINYINT) AS p_size,
+  CAST(p_retailprice AS FLOAT) AS p_retailprice) FROM part""")
+def p14_narrow_rows(spark, sf):
+    return COL.narrow_types(table(spark, sf, "part"))
+
+
 @register("p15_p16_float32_bool_to_int", """SELECT l_orderkey, CAST(l_quantity AS FLOAT) AS l_quantity, CAST(l_tax AS FLOAT) AS l_tax,
   CAST(l_linestatus = 'F' AS INT) AS is_f FROM lineitem""")
 def p15_float32(spark, sf):

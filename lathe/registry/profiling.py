@@ -197,17 +197,20 @@ def a15_priority(spark, sf):
     return out
 
 
-@register("a28_profile_table", f"""SELECT o."column", o.dtype, o.n, o.missing, o.distinct, z.zeros, d.mean, d.std, d.min, d.p25, d.p50, d.p75, d.max FROM
+A28_COLUMNS = ["column", "dtype", "n", "missing", "distinct", "zeros", "mean", "std", "min", "p25", "p50", "p75", "max"]
+A28_SQL = f"""SELECT o."column", o.dtype, o.n, o.missing, o.distinct, z.zeros, d.mean, d.std, d.min, d.p25, d.p50, d.p75, d.max FROM
   ({union_cols(CUST, "SELECT '{c}' AS \"column\", count({c}) AS n, count(*) - count({c}) AS missing, count(DISTINCT {c}) AS distinct FROM customer")}) o
   JOIN (SELECT column_name AS "column", {SPARK_TYPE_SQL} AS dtype FROM information_schema.columns WHERE table_name = 'customer') t USING ("column")
   LEFT JOIN ({union_cols(["c_custkey", "c_nationkey", "c_acctbal"], "SELECT '{c}' AS \"column\", CAST(count_if({c} = 0) AS BIGINT) AS zeros FROM customer")}) z USING ("column")
   LEFT JOIN ({_describe_sql("customer", ["c_custkey", "c_nationkey", "c_acctbal"])}) d USING ("column")""".replace(
-    "o.dtype", "t.dtype"))
+    "o.dtype", "t.dtype")
+
+
+@register("a28_profile_table", A28_SQL)
 def a28_profile(spark, sf):
     rep = P.profile_table(table(spark, sf, "customer"))
     ov = rep["overview"]
-    return _round_all(ov, {"column", "dtype", "n", "missing", "distinct", "zeros"}).select(
-        "column", "dtype", "n", "missing", "distinct", "zeros", "mean", "std", "min", "p25", "p50", "p75", "max")
+    return _round_all(ov, {"column", "dtype", "n", "missing", "distinct", "zeros"}).select(*A28_COLUMNS)
 
 
 @register("a28_profile_top_values", """SELECT * FROM (SELECT "column", value, n, CAST(row_number() OVER (PARTITION BY "column" ORDER BY n DESC, value) AS INT) AS rank
@@ -236,15 +239,19 @@ def a29_compare(spark, sf):
                     *[F.col(f"rank_{s}").cast("int") for s in ("std", "max", "mean")])
 
 
-@register("a29_shape_summary", """SELECT side, rows, missing_cells, duplicates, columns FROM (
-  SELECT 'early' AS side, count(*) AS rows, CAST(0 AS BIGINT) AS missing_cells, 11 AS columns FROM lineitem WHERE l_shipdate < TIMESTAMP '1995-06-17') x
-  JOIN (SELECT 'early' AS side, CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS duplicates FROM (SELECT count(*) AS n FROM lineitem WHERE l_shipdate < TIMESTAMP '1995-06-17'
-        GROUP BY l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate)) y USING (side)""")
+LI_ALL = LI_NUM + ["l_returnflag", "l_linestatus", "l_shipdate"]
+
+
+@register("a29_shape_summary", f"""WITH t AS (SELECT *, CASE WHEN l_shipdate < TIMESTAMP '1995-06-17' THEN 'early' ELSE 'late' END AS side FROM lineitem)
+SELECT side, CAST(sum(n) AS BIGINT) AS rows, CAST(0 AS BIGINT) AS missing_cells, CAST(sum(n - 1) AS BIGINT) AS duplicates, {len(LI_ALL)} AS columns
+FROM (SELECT side, count(*) AS n FROM t GROUP BY side, {", ".join(LI_ALL)}) GROUP BY side""")
 def a29_shape(spark, sf):
-    li = table(spark, sf, "lineitem")
-    s = P.shape_summary(li.where(F.col("l_shipdate") < F.lit("1995-06-17").cast("timestamp")))
-    return s.select(F.lit("early").alias("side"), "rows", F.col("missing_cells").cast("long"), "duplicates",
-                    F.col("columns").cast("int"))
+    li, cut = table(spark, sf, "lineitem"), F.lit("1995-06-17").cast("timestamp")
+
+    def side(name, rows):
+        return P.shape_summary(rows).select(F.lit(name).alias("side"), "rows", F.col("missing_cells").cast("long"), "duplicates",
+                                            F.col("columns").cast("int"))
+    return side("early", li.where(F.col("l_shipdate") < cut)).union(side("late", li.where(F.col("l_shipdate") >= cut)))
 
 
 @register("a30_class_balance", """SELECT CAST(count_if(toxic = 1) AS BIGINT) AS positives, CAST(count_if(toxic = 0) AS BIGINT) AS negatives,
