@@ -16,10 +16,12 @@ import random
 from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import (GBTClassificationModel, GBTClassifier, LogisticRegression, LogisticRegressionModel,
+                                       RandomForestClassificationModel, RandomForestClassifier)
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.feature import StringIndexer, VectorAssembler
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import (GBTRegressionModel, GBTRegressor, LinearRegression, LinearRegressionModel,
+                                   RandomForestRegressionModel, RandomForestRegressor)
 from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,6 +29,7 @@ from pyspark.sql import functions as F
 from lathe.functions.scalars import from_model_space, to_model_space
 from lathe.operators.metrics import rmse, roc_auc
 from lathe.operators.ranks import kfold
+from lathe.session import checkpoint_dir
 
 FEATURES = "features"
 
@@ -115,7 +118,10 @@ def cross_validate(x: DataFrame, label: str, task: str, family: str = "gbt", k:
                    weight: str | None = None, early_stopping: bool = False, target_mode: str = "raw",
                    **params) -> CVResult:
     """M8 + M9: one model per fold, each scoring the fold it did not see; OOF scores are the
-    union of the k held-out predictions. Metric: AUC (binary) or RMSE on the original scale."""
+    union of the k held-out predictions. Metric: AUC (binary) or RMSE on the original scale.
+    With ``early_stopping`` the kept model of a fold has its best number of rounds, and it is the one that scores.
+    A fold's scores are written once; its metric and the union read them."""
+    checkpoint_dir(x.sparkSession)
     folds = sorted(r[0] for r in x.select("fold").distinct().collect()) if k is None else list(range(k))
     parts, metrics, models, bests = [], [], [], []
     for f in folds:
@@ -132,10 +138,12 @@ def cross_validate(x: DataFrame, label: str, task: str, family: str = "gbt", k:
         if early_stopping and family == "gbt":
             b = best_iteration(m, va.withColumn(lab, to_model_space(label, target_mode)) if lab != label else va, task)
             bests.append(b)
+            if b < m.getNumTrees:
+                m = est.copy({est.maxIter: b}).fit(tr)
         pred = score_col(m.transform(va), task)
         if task == "regression" and target_mode != "raw":
             pred = pred.withColumn("score", from_model_space("score", target_mode))
-        pred = pred.select("id", "fold", label, "score")
+        pred = pred.select("id", "fold", label, "score").checkpoint(eager=True)
         parts.append(pred)
         if task == "binary":
             metrics.append(roc_auc(pred, "score", label).first()["auc"])
@@ -156,9 +164,10 @@ def refit_with_cv_rounds(x: DataFrame, label: str, task: str, cv: CVResult, min_
 
 
 def seed_fold_ensemble(df: DataFrame, features: list[str], label: str, test: DataFrame, seeds=(42, 43),
-                       k: int = 5, task: str = "regression", family: str = "gbt", id_col: str = "id", **params):
+                       k: int = 5, task: str = "regression", family: str = "gbt", id_col: str = "id", target_mode: str = "raw", **params):
     """For each seed, folds by that seed, k models; test predictions are the average over
-    seeds of fold-averaged predictions; OOF predictions averaged over seeds."""
+    seeds of fold-averaged predictions; OOF predictions averaged over seeds. Scores of models fitted in
+    ``target_mode`` return to the original scale before they are averaged."""
     fm = featurizer(features).fit(df)
     xt = fm.transform(test).select(id_col, FEATURES)
     oof_parts, test_cols = [], []
@@ -166,11 +175,13 @@ def seed_fold_ensemble(df: DataFrame, features: list[str], label: str, test: Dat
     for s in seeds:
         x = fm.transform(df).select(F.col(id_col).alias("id"), F.col(label).cast("double").alias(label), FEATURES)
         x = kfold(x, "id", k, s).checkpoint(eager=True)
-        cv = cross_validate(x, label, task, family, k, s, **params)
+        cv = cross_validate(x, label, task, family, k, s, target_mode=target_mode, **params)
         oof_parts.append(cv.oof.select("id", F.col("score").alias(f"s{s}")))
         for i, m in enumerate(cv.models):
             col = f"p_{s}_{i}"
             xt_scored = _apply(m, xt_scored, task, col)
+            if task == "regression" and target_mode != "raw":
+                xt_scored = xt_scored.withColumn(col, from_model_space(col, target_mode))
             test_cols.append(col)
     oof = oof_parts[0]
     for p in oof_parts[1:]:
@@ -309,9 +320,21 @@ def save_models(models: dict, path: str) -> dict:
         p = f"{path.rstrip('/')}/{family}/fold={fold}"
         m.write().overwrite().save(p)
         out[(family, fold)] = p
+    spark = SparkSession.getActiveSession()
+    rows = [(family, fold, f"{type(m).__module__}.{type(m).__name__}") for (family, fold), m in models.items()]
+    spark.createDataFrame(rows, "family string, fold int, kind string").coalesce(1).write.mode("overwrite").parquet(f"{path.rstrip('/')}/manifest")
     return out
 
 
+def load_model_folder(spark: SparkSession, path: str) -> dict:
+    """Every model saved under ``path``, by (family, fold), from the folder alone."""
+    kinds = {f"{k.__module__}.{k.__name__}": k for k in (
+        GBTClassificationModel, GBTRegressionModel, RandomForestClassificationModel, RandomForestRegressionModel,
+        LogisticRegressionModel, LinearRegressionModel)}
+    rows = spark.read.parquet(f"{path.rstrip('/')}/manifest").collect()  # one row per model
+    return {(r.family, r.fold): kinds[r.kind].load(f"{path.rstrip('/')}/{r.family}/fold={r.fold}") for r in rows}
+
+
 def load_models(paths: dict, kinds: dict) -> dict:
     """Reload with the model class given per family."""
     return {key: kinds[key[0]].load(p) for key, p in paths.items()}

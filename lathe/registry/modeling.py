@@ -1,7 +1,6 @@
 """Model queries (M1-M12, M15-M19, S5, K3). Model outputs are checked by rows only, except the
 scoring contract, whose result is a plain projection."""
 
-from pyspark.ml.classification import GBTClassificationModel
 from pyspark.sql import functions as F
 
 from lathe.operators.blend import apply_blend, blend_weights
@@ -101,8 +100,9 @@ def m11_ensemble(spark, sf):
 def m12_saved(spark, sf):
     x, fm = _binary(spark, sf)
     cv = MD.cross_validate(x, "y", "binary", "gbt", 3, **SMALL)
-    paths = MD.save_models({("gbt", i): m for i, m in enumerate(cv.models)}, scratch_path(spark, "models"))
-    models = MD.load_models(paths, {"gbt": GBTClassificationModel})
+    path = scratch_path(spark, "models")
+    MD.save_models({("gbt", i): m for i, m in enumerate(cv.models)}, path)
+    models = MD.load_model_folder(spark, path)
     new = fm.transform(orders_frame(spark, sf)).select("id", MD.FEATURES)
     return MD.predict_ensemble([models[("gbt", i)] for i in range(3)], new, "binary").select("id", "prediction")
 

@@ -47,6 +47,23 @@ def test_saved_models_score_like_originals(spark, frame):
     assert a.exceptAll(b).count() == 0
 
 
+def test_model_folder_and_best_round(spark, frame):
+    x, _ = MD.prepare(frame, ["c_acctbal", "o_custkey"], "o_totalprice", k=2)  # a target without signal: early rounds are best
+    cv = MD.cross_validate(x, "o_totalprice", "regression", "gbt", 2, early_stopping=True, maxIter=4, maxDepth=2)
+    for f, (m, b) in enumerate(zip(cv.models, cv.best_iterations)):
+        assert m.getNumTrees == b
+        refit = MD.estimator("gbt", "regression", "o_totalprice", maxIter=b, maxDepth=2).fit(x.where(F.col("fold") != f))
+        scored = refit.transform(x.where(F.col("fold") == f))
+        assert rmse(scored, "prediction", "o_totalprice").first()["rmse"] == pytest.approx(cv.fold_metrics[f])
+    lr = MD.estimator("lr", "regression", "o_totalprice").fit(x)
+    path = scratch_path(spark, "t-folder")
+    MD.save_models({("gbt", 0): cv.models[0], ("lr", 0): lr}, path)
+    loaded = MD.load_model_folder(spark, path)
+    for key, m in ((("gbt", 0), cv.models[0]), (("lr", 0), lr)):
+        a, b = (MD.predict_ensemble([k], x.select("id", MD.FEATURES), "regression") for k in (m, loaded[key]))
+        assert a.exceptAll(b).count() == 0
+
+
 def test_scoring_contract_rejects_missing_feature(spark, frame):
     c = MD.ScoringContract(["c_acctbal", "not_there"], [], "t")
     with pytest.raises(ValueError):
