@@ -1,30 +1,38 @@
 """Benchmark decontamination by spaced-seed hashing (DataFrame functions only).
 
 A seed is a fixed mask over a window of tokens; positions marked 0 are ignored, so a window whose substituted tokens
-fall on ignored positions still hashes alike. The three default masks of span 12 ignore every third position, one mask
-per phase: any single substitution in a window, at any place, is ignored by one of them. Hashes of all document windows
-are joined with those of the benchmark; around each hit the item is laid over the document on the hit's diagonal and
-the equal positions are counted. A document is contaminated by an item when the positions of the item found equal on
-its hit diagonals make up at least ``least`` of the item's tokens.
-
-Tokens are whitespace words with A-Z lower-cased and common punctuation dropped. Items of ``MIN_WORDS`` to 11 words use
-a mask of all their words; shorter items are ignored (they would match ordinary prose). Repeated items count once, under
-their smallest item_id. Null or empty texts match nothing; null ids are kept as they are. Repeated rows are each judged.
-Extra columns are ignored. An empty benchmark leaves every document clean; empty documents give an empty result.
+fall on ignored positions still hashes alike. Each item takes the first family of ``SEEDS`` that no substitutions leaving
+``least`` of its tokens can block (``blocked_by``): every place where the item lies with at least that share of equal
+tokens is hit. Hashes of all document windows are joined with those of the benchmark; around each hit the item is laid
+over the document on the hit's diagonal and the equal positions are counted. An item's overlap is the largest share of
+its tokens found equal on one diagonal, or on all diagonals together that hold a window equal under one of the ``MASKS`` of span
+12 (words put in or left out shift the diagonal). A document is contaminated by an item with an overlap of at least ``least``;
+a smaller overlap is a lower bound, from the hit diagonals alone.
+
+Tokens are whitespace words with A-Z lower-cased and common punctuation dropped. Items of ``MIN_WORDS`` to 11 words must lie
+whole within the document, longer ones may reach over its ends; shorter items are ignored (they would match ordinary
+prose). Repeated items count once, under their smallest item_id. Null or empty texts match nothing; null ids are kept as they
+are. Repeated rows are each judged. Extra columns are ignored. An empty benchmark leaves every document clean; empty
+documents give an empty result.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lathe.llm.common import let, materialize, salted_join, words
 
 MASKS = ("110110110110", "101101101101", "011011011011")
+#: Seed families, heaviest first; the last one is blocked only by substituting every token.
+SEEDS = (("11011",), ("11011", "1111"), ("11011", "1111", "10111", "11101"), ("111",), ("11",), ("1",))
 MIN_WORDS = 5
 LEAST = 0.8
 PUNCTUATION = ".,;:!?\"'()[]"
-#: A benchmark with at most this many window hashes (32 bytes each) is broadcast; a larger one is joined by shuffle.
+#: A benchmark with at most this many window hashes (32 bytes each) is broadcast; a larger one is joined by shuffle. So many
+#: hashes of texts with hits are broadcast too.
 BROADCAST_HASHES = 2_000_000
 
 
@@ -33,18 +41,44 @@ def tokens(text) -> Column:
     return F.transform(words(F.col(text), PUNCTUATION), lambda w: F.xxhash64(w))
 
 
+def blocked_by(masks: tuple[str, ...], longest: int) -> list[int]:
+    """For each length 0 to ``longest``, the fewest substitutions that leave no window equal under any of the masks."""
+    seen = (1 << max(map(len, masks)) - 1) - 1
+    fewest, least_by = {0: 0}, [0]
+    for n in range(1, longest + 1):
+        ahead: dict[int, int] = {}
+        for last, count in fewest.items():
+            for wrong in (0, 1):
+                window = last << 1 | wrong
+                if all(n < len(m) or window & int(m, 2) for m in masks):
+                    ahead[window & seen] = min(ahead.get(window & seen, n), count + wrong)
+        fewest = ahead
+        least_by.append(min(fewest.values()))
+    return least_by
+
+
+def seeds_for(lengths: list[int], least: float) -> dict[tuple[str, ...], list[int]]:
+    """Each item length under the first family of ``SEEDS`` that hits every place with ``least`` of the tokens equal."""
+    plan: dict[tuple[str, ...], list[int]] = {}
+    left = sorted(lengths)
+    for family in SEEDS:
+        fewest = blocked_by(family, left[-1]) if left else []
+        plan[family] = [n for n in left if fewest[n] > n - max(1, math.ceil(least * n - 1e-9))]
+        left = [n for n in left if n not in set(plan[family])]
+    return {family: held for family, held in plan.items() if held}
+
+
 def seed_hashes(tok: Column, masks: tuple[str, ...]) -> Column:
-    """Hashes of all windows of one span under each mask, mask after mask (each block has as many as there are
-    windows); null when the text has fewer words than the span."""
-    span = len(masks[0])
-    last = F.size(tok) - span
+    """Hashes of the windows that start at each word under each mask, mask after mask (null for a window beyond the
+    end, so each block has as many as there are words); null when there are no words."""
+    n = F.size(tok)
 
-    def windows(number: int, mask: str) -> Column:
+    def windows(mask: str) -> Column:
         care = [k for k, c in enumerate(mask) if c == "1"]
-        return F.transform(F.sequence(F.lit(0), last),
-                           lambda i: F.xxhash64(F.lit(number), *[F.get(tok, i + k) for k in care]))
+        return F.transform(F.sequence(F.lit(0), n - 1),
+                           lambda i: F.when(i + len(mask) <= n, F.xxhash64(F.lit(int(mask, 2)), *[F.get(tok, i + k) for k in care])))
 
-    return F.when(last >= 0, F.concat(*[windows(n, m) for n, m in enumerate(masks)]))
+    return F.when(n > 0, F.concat(*map(windows, masks)))
 
 
 def _windows(df: DataFrame, keys: list[str], tok: Column, masks: tuple[str, ...]) -> DataFrame:
@@ -56,37 +90,58 @@ def _windows(df: DataFrame, keys: list[str], tok: Column, masks: tuple[str, ...]
             .select(*keys, F.expr(f"at % (n div {len(masks)})").alias("pos"), "h"))
 
 
+def _laid(tok: Column, x: Column, masks: tuple[str, ...]) -> Column:
+    """An item laid over a document on one diagonal: ``(item_id, len, n, wide)``, the number of equal positions, and the
+    positions themselves where they hold a window under one of the masks."""
+    span = len(masks[0])
+    inside = (x["len"] >= span) | ((x["diagonal"] >= 0) & (x["diagonal"] + x["len"] <= F.size(tok)))
+    at = F.transform(F.sequence(F.lit(0), x["len"] - 1), lambda k: F.coalesce(inside & (_at(tok, x["diagonal"] + k) == F.get(x["item"], k)), F.lit(False)))
+
+    def window(same: Column, i: Column) -> Column:
+        return F.array_contains(F.array(*[F.forall(F.array(*[F.get(same, i + k) for k, c in enumerate(m) if c == "1"]), lambda e: e) for m in masks]), True)
+
+    def judged(same: Column) -> Column:
+        n = F.size(F.filter(same, lambda e: e))
+        held = (x["len"] >= span) & (n >= min(m.count("1") for m in masks))
+        held = F.when(held, F.exists(F.sequence(F.lit(0), x["len"] - span), lambda i: window(same, i))).otherwise(F.lit(False))
+        wide = F.when(held, F.filter(F.sequence(F.lit(0), x["len"] - 1), lambda k: F.get(same, k))).otherwise(F.array().cast("array<int>"))
+        return F.struct(x["item_id"].alias("item_id"), x["len"].alias("len"), n.alias("n"), wide.alias("wide"))
+    return let(at, judged)
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, masks: tuple[str, ...] = MASKS, least: float = LEAST,
                   broadcast_hashes: int = BROADCAST_HASHES) -> DataFrame:
     """``(doc_id, contaminated, overlap, item_id, n_items)``, one row per input row: the largest overlap with an item,
     the smallest item that reaches it, and the number of items at or above ``least`` (0.0, null and 0 without hits)."""
-    span = len(masks[0])
     docs = docs.select("doc_id", "text").withColumn("th", F.xxhash64("text"))
     items = (benchmark.select("item_id", tokens("text").alias("tok")).where(F.size("tok") >= MIN_WORDS)
              .groupBy("tok").agg(F.min("item_id").alias("item_id")))
     items = materialize(items.withColumn("len", F.size("tok")), "decon-items")
-    plans = [masks] + [("1" * r["len"],) for r in items.where(F.col("len") < span).select("len").distinct().collect()]
-
-    hits = None
-    for group in plans:
-        of = items.where(F.col("len") >= span) if group is masks else items.where(F.col("len") == len(group[0]))
-        seeds = materialize(_windows(of, ["item_id"], F.col("tok"), group).withColumnRenamed("pos", "ipos"), "decon-seeds")
-        side = F.broadcast(seeds) if seeds.count() <= broadcast_hashes else seeds
-        found = (_windows(docs, ["doc_id", "th"], tokens("text"), group).join(side, "h")
-                 .select("doc_id", "th", "item_id", (F.col("pos") - F.col("ipos")).alias("diagonal")).distinct())
-        hits = found if hits is None else hits.union(found)
-    hits = materialize(hits.distinct(), "decon-hits")
+    plan = seeds_for([r["len"] for r in items.select("len").distinct().collect()], least)
+
+    used = tuple(dict.fromkeys(m for family in plan for m in family)) or SEEDS[0]
+    seeds = None
+    for family, held in (plan or {SEEDS[0]: []}).items():
+        of = _windows(items.where(F.col("len").isin(held)), ["item_id"], F.col("tok"), family).withColumnRenamed("pos", "ipos")
+        seeds = of if seeds is None else seeds.union(of)
+    seeds = materialize(seeds, "decon-seeds")
+    side = F.broadcast(seeds) if seeds.count() <= broadcast_hashes else seeds
+    hits = (_windows(docs, ["doc_id", "th"], tokens("text"), used).join(side, "h")
+            .select("doc_id", "th", "item_id", (F.col("pos") - F.col("ipos")).alias("diagonal")).distinct())
+    hits = materialize(hits, "decon-hits")
     with_item = salted_join(hits, items.withColumnRenamed("tok", "item"), ["item_id"], F.struct("doc_id", "th", "diagonal"))
     cands = materialize(with_item.groupBy("doc_id", "th").agg(F.collect_list(F.struct("item_id", "len", "diagonal", "item")).alias("cands")),
                         "decon-candidates")
-    r, c = docs.alias("r"), cands.alias("c")
+    # Texts without hits stay where they are; only the others move to their candidates.
+    near = materialize(hits.select("th").distinct(), "decon-near")
+    hit = docs.join(F.broadcast(near), "th", "left_semi") if near.count() <= broadcast_hashes else docs
+    r, c = hit.alias("r"), cands.alias("c")
     same = (F.col("r.doc_id").eqNullSafe(F.col("c.doc_id"))) & (F.col("r.th") == F.col("c.th"))
-    laid = (r.join(c, same).select("r.doc_id", "r.th", F.explode_outer(let(tokens("r.text"), lambda tok: F.transform("cands", lambda x: F.struct(
-        x["item_id"].alias("item_id"), x["len"].alias("len"),
-        F.filter(F.sequence(F.lit(0), x["len"] - 1), lambda k: _at(tok, x["diagonal"] + k) == F.get(x["item"], k)).alias("equal"))))).alias("x")))
+    laid = (r.join(c, same).select("r.doc_id", "r.th", F.explode_outer(let(tokens("r.text"), lambda tok: F.transform(
+        "cands", lambda x: _laid(tok, x, masks)))).alias("x")).where("x.n > 0"))
+    covered = F.greatest(F.max("n"), F.size(F.array_distinct(F.flatten(F.collect_list("wide")))))
     per_item = (laid.select("doc_id", "th", "x.*").groupBy("doc_id", "th", "item_id", "len")
-                .agg(F.size(F.array_distinct(F.flatten(F.collect_list("equal")))).alias("covered"))
-                .withColumn("overlap", F.col("covered") / F.col("len")))
+                .agg(covered.alias("covered")).withColumn("overlap", F.col("covered") / F.col("len")))
     verdict = materialize(per_item.groupBy("doc_id", "th").agg(
         F.max("overlap").alias("overlap"), F.min(F.struct(-F.col("overlap"), F.col("item_id").alias("item_id")))["item_id"].alias("item_id"),
         F.count_if(F.col("overlap") >= least).alias("n_items")), "decon-verdict")

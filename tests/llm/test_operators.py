@@ -365,6 +365,39 @@ def test_contamination_brute_force_and_edges(spark, docs_of):
     _ = rng
 
 
+def test_contamination_finds_scattered_substitutions(spark, docs_of):
+    rng = np.random.default_rng(10)
+    lengths = [*range(5, 32), 40, 45, 59]
+    items = [[f"i{k}w{j}" for j in range(n)] for k, n in enumerate(lengths)]
+    bench = spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate(items)], "item_id long, text string")
+    rows, want = [], {}
+    for k, w in enumerate(items):
+        spare = len(w) * 2 // 10
+        for subs in [rng.choice(len(w), s, replace=False) for s in (spare, spare, spare, spare, spare + 1)] + [range(4, len(w), 5), range(2, len(w), 5)]:
+            laid = [x if j not in set(subs) else f"sub{j}" for j, x in enumerate(w)]
+            text = [f"fill{x}" for x in rng.integers(0, 50, 30)]
+            at = int(rng.integers(0, 31))
+            want[len(rows)] = (k, (len(w) - len(subs)) / len(w))
+            rows.append((len(rows), " ".join(text[:at] + laid + text[at:])))
+    got = {r.doc_id: r for r in decontaminate.contamination(docs_of(rows), bench).collect()}
+    for i, (k, overlap) in want.items():
+        assert got[i].contaminated == (overlap >= 0.8), (i, lengths[k], overlap)
+        assert overlap < 0.8 or (got[i].item_id, got[i].overlap, got[i].n_items) == (k, overlap, 1)
+
+
+def test_seeds_cannot_be_blocked():
+    import itertools
+    for family in decontaminate.SEEDS:
+        fewest = decontaminate.blocked_by(family, 11)
+        for n in range(12):
+            def hit(wrong):
+                return any(not wrong & {i + k for k, c in enumerate(m) if c == "1"} for m in family for i in range(n - len(m) + 1))
+            assert fewest[n] == next(s for s in range(n + 1) if any(not hit(set(w)) for w in itertools.combinations(range(n), s)))
+    for least in (0.8, 0.5, 0.95):
+        plan = decontaminate.seeds_for(list(range(5, 300)), least)
+        assert sorted(n for held in plan.values() for n in held) == list(range(5, 300))
+
+
 def test_contamination_on_tables(spark, small):
     strip = str.maketrans("", "", decontaminate.PUNCTUATION)
     items = [split((r.text or "").translate(strip)) for r in table(spark, SMALL, "benchmark").collect()]
