@@ -1,14 +1,14 @@
 """Information-theoretic sanitisation of personal data (DataFrame functions only).
 
-Protected entities are the personal values found by pattern: e-mail, IP, card (Luhn) and phone numbers. Terms near an
-entity can give it away even when the value itself is masked. Over the whole corpus, a term t discloses an entity e by
+Protected entities are the personal values found by pattern: e-mail, IP, card (Luhn) and phone numbers. Terms that accompany
+an entity can give it away even when the value itself is masked. Over the whole corpus, a term t discloses an entity e by
 
     PMI(t; e) / IC(e) = log(df(t, e) * N / (df(t) * df(e))) / log(N / df(e)),
 
-the share of e's information that seeing t reveals (1: t occurs only with e). df counts documents; t counts as with e when it
-lies within ``context`` characters of one of e's occurrences. Terms at or above ``generalise`` become ``[TERM]``, terms
-at or above ``remove`` vanish; pairs seen in fewer than ``support`` different texts are no evidence. Terms are words of
-four or more letters (surrounding punctuation aside).
+the share of e's information that seeing t reveals (1: t occurs only with e). Both df count documents: t counts as with e
+when one document holds both, however far apart. In every document that holds e, each occurrence of a term at or above
+``generalise`` becomes ``[TERM]``, at or above ``remove`` it vanishes; pairs seen in fewer than ``support`` different texts are no
+evidence. Terms are words of four or more letters outside the entities (surrounding punctuation aside).
 
 Offsets are code points, end exclusive. Null or empty texts have no spans. Rows are judged by (doc_id, text); repeated
 rows each get their result. Extra columns are ignored; an empty table gives an empty result.
@@ -34,8 +34,11 @@ PATTERNS = {
 _BYTE = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]?[0-9])"
 TERM = r"(?<=\s[\p{P}\p{S}]{0,3})\p{L}{4,}+(?=[\p{P}\p{S}]{0,3}\s)"
 _OPEN, _CLOSE = "\x01", "\x02"
-CONTEXT = 80
+#: Matches of a text are put together in blocks of this many: appending to one long array copies it each time.
+BLOCK = 500
 GENERALISE, REMOVE, SUPPORT = 0.75, 0.999, 2
+#: Hashes of texts with terms to replace are broadcast up to this many.
+BROADCAST_TEXTS = 2_000_000
 
 
 def _plain(text: Column) -> Column:
@@ -47,12 +50,19 @@ def matches(text: Column, pattern: str) -> Column:
     """Array of (start, value) of the leftmost non-overlapping matches in a text without marks."""
     parts = F.split(F.regexp_replace(text, pattern, f"{_OPEN}$0{_CLOSE}"), _OPEN)
 
-    def walk(p: Column) -> Column:
-        empty = F.array().cast("array<struct<start:int,value:string>>")
-        step = F.aggregate(F.slice(p, 2, F.greatest(F.size(p), F.lit(1))), F.struct(F.length(p[0]).alias("at"), empty.alias("out")),
+    empty = F.array().cast("array<struct<start:int,value:string>>")
+
+    def block(at: Column, p: Column) -> Column:
+        return F.aggregate(p, F.struct(at.alias("at"), empty.alias("out")),
                            lambda acc, x: F.struct((acc["at"] + F.length(x) - 1).alias("at"),
                                                    F.array_append(acc["out"], F.struct(acc["at"].alias("start"), F.substring_index(x, _CLOSE, 1).alias("value"))).alias("out")))
-        return step["out"]
+
+    def walk(p: Column) -> Column:
+        starts = F.sequence(F.lit(2), F.greatest(F.size(p), F.lit(2)), F.lit(BLOCK))
+        step = F.aggregate(starts, F.struct(F.length(p[0]).alias("at"), F.array().cast("array<array<struct<start:int,value:string>>>").alias("out")),
+                           lambda acc, i: let(block(acc["at"], F.slice(p, i, F.lit(BLOCK))),
+                                              lambda b: F.struct(b["at"].alias("at"), F.array_append(acc["out"], b["out"]).alias("out"))))
+        return F.flatten(step["out"])
     return F.when(text.rlike(pattern), let(parts, walk)).otherwise(F.array().cast("array<struct<start:int,value:string>>"))
 
 
@@ -90,46 +100,53 @@ def base_spans(text: Column) -> Column:
     return let(_plain(text), lambda plain: F.array_sort(F.concat(*[of(k, plain) for k in PATTERNS])))
 
 
-def _nearby(text: Column, span: Column, context: int) -> Column:
-    """Terms within ``context`` characters before or after a span, whole words only."""
-    padded = F.concat(F.lit(" "), text, F.lit(" "))
+def _blanked(text: Column, base: Column) -> Column:
+    """The text between two spaces, each character of its entities a space."""
+    def step(acc: Column, s: Column) -> Column:
+        first = F.greatest(acc["at"], s["start"])
+        out = F.concat(acc["out"], F.array(F.substring(text, acc["at"] + 1, first - acc["at"]), F.repeat(F.lit(" "), F.greatest(s["end"] - first, F.lit(0)))))
+        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), out.alias("out"))
+    done = F.aggregate(base, F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out")), step)
+    bare = F.when(F.size(base) == 0, text).otherwise(let(done, lambda d: F.concat(F.array_join(d["out"], ""), F.substring(text, d["at"] + 1, F.length(text)))))
+    return F.concat(F.lit(" "), bare, F.lit(" "))
+
+
+def _entities(base: Column) -> Column:
+    return F.array_distinct(F.transform(base, lambda s: F.concat(s["kind"], F.lit(":"), F.lower(s["value"]))))
+
 
-    def within(first: Column, last: Column) -> Column:  # code points [first, last) of the padded text
-        found = matches(F.substring(padded, first + 1, last - first), TERM)
-        return F.transform(found, lambda m: F.struct((m["start"] + first - 1).alias("start"), F.lower(m["value"]).alias("term"),
-                                                     (m["start"] + first - 1 + F.length(m["value"])).alias("end")))
-    before = within(F.greatest(span["start"] + 1 - context, F.lit(0)), span["start"] + 1)
-    return F.concat(before, within(span["end"] + 1, span["end"] + 1 + context))
+def occurrences(docs: DataFrame) -> DataFrame:
+    """``(doc_id, th, entities, terms)`` of the documents that hold entities; terms as an array of (start, end, term)."""
+    def terms(t: Column, base: Column) -> Column:
+        return F.transform(matches(_blanked(t, base), TERM), lambda m: F.struct(
+            (m["start"] - 1).alias("start"), (m["start"] - 1 + F.length(m["value"])).alias("end"), F.lower(m["value"]).alias("term")))
 
+    def held(t: Column, base: Column) -> Column:
+        return F.when(F.size(base) > 0, F.struct(_entities(base).alias("entities"), terms(t, base).alias("terms")))
+    found = let(_plain(F.col("text")), lambda t: let(base_spans(t), lambda base: held(t, base)))
+    # The outer form: a filter on the column would compute it a second time.
+    return (docs.select("doc_id", F.xxhash64("text").alias("th"), F.explode_outer(F.array(found)).alias("o"))
+            .where("o is not null").select("doc_id", "th", "o.*").dropDuplicates(["doc_id", "th"]))
 
-def occurrences(docs: DataFrame, context: int = CONTEXT) -> DataFrame:
-    """``(doc_id, th, entity, start, end, term)``: terms near protected entities."""
-    def entity(s: Column) -> Column:
-        return F.concat(s["kind"], F.lit(":"), F.lower(s["value"])).alias("entity")
 
-    def all_of(t: Column, base: Column) -> Column:
-        own = F.transform(base, lambda s: F.struct(entity(s), s["start"].alias("start"), s["end"].alias("end"), F.lit(None).cast("string").alias("term")))
-        near = F.flatten(F.transform(base, lambda s: F.transform(_nearby(t, s, context), lambda m: F.struct(
-            entity(s), m["start"].alias("start"), m["end"].alias("end"), m["term"].alias("term")))))
-        return F.concat(own, near)
-    found = let(_plain(F.col("text")), lambda t: let(base_spans(t), lambda base: all_of(t, base)))
-    return (docs.select("doc_id", F.xxhash64("text").alias("th"), F.explode_outer(found).alias("o"))
-            .where("o is not null").select("doc_id", "th", "o.*").distinct())
+def together(found: DataFrame, entities: DataFrame) -> DataFrame:
+    """``(doc_id, th, entity, start, end, term)``: all terms of the documents that hold one of the entities."""
+    held = found.select("doc_id", "th", F.explode("entities").alias("entity"), "terms")
+    held = salted_join(held, entities.select("entity"), ["entity"], F.col("doc_id"))
+    return held.select("doc_id", "th", "entity", F.explode("terms").alias("t")).select("doc_id", "th", "entity", "t.*")
 
 
-def disclosing_terms(docs: DataFrame, found: DataFrame, generalise: float, remove: float, support: int) -> DataFrame:
+def disclosing_terms(docs: DataFrame, found: DataFrame, entities: DataFrame, generalise: float, remove: float, support: int) -> DataFrame:
     """``(entity, term, kind)`` of the pairs whose disclosed share reaches a threshold."""
     n = docs.agg(F.count("*").alias("n"))
-    df_e = found.where("term is null").groupBy("entity").agg(F.count("*").alias("rows"), F.count_distinct("doc_id", "th").alias("df_e"))
-    pairs = (found.where("term is not null").select("doc_id", "th", "entity", "term").distinct()
+    pairs = (together(found, entities).select("doc_id", "th", "entity", "term").distinct()
              .groupBy("entity", "term").agg(F.count("*").alias("df_te"), F.count_distinct("th").alias("texts")).where(F.col("texts") >= support))
     pairs = materialize(pairs, "pii-pairs")
-    text = F.concat(F.lit(" "), _plain(F.lower("text")), F.lit(" "))
-    df_t = (docs.select(F.explode_outer(F.array_distinct(F.regexp_extract_all(text, F.lit(TERM), F.lit(0)))).alias("term"))
+    all_terms = let(_plain(F.col("text")), lambda t: let(base_spans(t), lambda base: F.regexp_extract_all(F.lower(_blanked(t, base)), F.lit(TERM), F.lit(0))))
+    df_t = (docs.select(F.explode_outer(F.array_distinct(all_terms)).alias("term"))
             .where("term is not null").groupBy("term").agg(F.count("*").alias("df_t")))
     # An inner join: a semi-join would be moved below the aggregation and shuffle every word of every document.
     terms = df_t.join(pairs.select("term").distinct(), "term")
-    entities = df_e.select("entity", "df_e")
     share = F.log(F.col("df_te") * F.col("n") / (F.col("df_t") * F.col("df_e"))) / F.log(F.col("n") / F.col("df_e"))
     return (pairs.join(terms, "term").join(entities, "entity").crossJoin(F.broadcast(n)).where("n > df_e")
             .withColumn("share", share).where(F.col("share") >= generalise)
@@ -150,22 +167,33 @@ def _rewrite(text: Column, spans: Column) -> Column:
     return let(done, lambda d: F.concat(F.array_join(d["out"], ""), F.substring(text, d["at"] + 1, F.length(text))))
 
 
-def sanitise(docs: DataFrame, context: int = CONTEXT, generalise: float = GENERALISE, remove: float = REMOVE, support: int = SUPPORT) -> DataFrame:
+def sanitise(docs: DataFrame, generalise: float = GENERALISE, remove: float = REMOVE, support: int = SUPPORT) -> DataFrame:
     """``(doc_id, base, spans, clean_text)``, one row per input row: base and all spans as arrays of (start, kind, end),
     and the text with entities masked and disclosing terms generalised or removed."""
     docs = docs.select("doc_id", "text")
-    found = materialize(occurrences(docs, context), "pii-occurrences")
-    flagged = disclosing_terms(docs, found, generalise, remove, support)
-    hits = salted_join(found.where("term is not null"), flagged, ["entity", "term"], F.struct("doc_id", "start"))
+    found = materialize(occurrences(docs), "pii-occurrences")
+    # Entities in fewer texts have no pair with support.
+    entities = materialize(found.select("th", F.explode("entities").alias("entity")).groupBy("entity")
+                           .agg(F.count("*").alias("df_e"), F.count_distinct("th").alias("texts")).where(F.col("texts") >= support).drop("texts"), "pii-entities")
+    flagged = materialize(disclosing_terms(docs, found, entities, generalise, remove, support), "pii-flagged")
+    hits = salted_join(together(found, entities), flagged, ["entity", "term"], F.struct("doc_id", "start"))
     extra = materialize(hits.groupBy("doc_id", "th", "start", "end").agg(F.max("kind").alias("kind"))
                         .groupBy("doc_id", "th").agg(F.collect_list(F.struct("start", "kind", "end")).alias("extra")), "pii-extra")
-    d, x = docs.withColumn("th", F.xxhash64("text")).alias("d"), extra.alias("x")
+    # Texts without terms to replace stay where they are; only the others move to their terms.
+    docs = docs.withColumn("th", F.xxhash64("text"))
+    near = materialize(extra.select("th").distinct(), "pii-near")
+    few = near.count() <= BROADCAST_TEXTS
+    d, x = (docs.join(F.broadcast(near), "th", "left_semi") if few else docs).alias("d"), extra.alias("x")
     same = F.col("d.doc_id").eqNullSafe(F.col("x.doc_id")) & (F.col("d.th") == F.col("x.th"))
-    base = F.transform(base_spans(F.col("d.text")), lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end")))
-    more = F.coalesce("x.extra", F.array().cast("array<struct<start:int,kind:int,end:int>>"))
+    rows = d.join(x, same, "left").select("d.doc_id", "d.text", "x.extra")
+    if few:
+        rest = docs.join(F.broadcast(near), "th", "left_anti")
+        rows = rows.union(rest.select("doc_id", "text", F.lit(None).cast(extra.schema["extra"].dataType).alias("extra")))
+    base = F.transform(base_spans(F.col("text")), lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end")))
+    more = F.coalesce("extra", F.array().cast("array<struct<start:int,kind:int,end:int>>"))
     spans = let(base, lambda b: F.struct(b.alias("base"), F.array_sort(F.concat(b, more)).alias("spans")))
-    both = let(spans, lambda s: F.struct(s["base"].alias("base"), s["spans"].alias("spans"), _rewrite(F.coalesce("d.text", F.lit("")), s["spans"]).alias("clean_text")))
-    return d.join(x, same, "left").select("d.doc_id", both.alias("o")).select("doc_id", "o.*")
+    both = let(spans, lambda s: F.struct(s["base"].alias("base"), s["spans"].alias("spans"), _rewrite(F.coalesce("text", F.lit("")), s["spans"]).alias("clean_text")))
+    return rows.select("doc_id", both.alias("o")).select("doc_id", "o.*")
 
 
 def span_digest(spans) -> Column:

@@ -143,6 +143,18 @@ def test_pii_disclosing_terms(spark, docs_of):
     assert out[10].clean_text == rows[4][1]
 
 
+def test_pii_terms_anywhere_in_the_document(spark, docs_of):
+    far = "filler and more filler of the common sort " * 5
+    rows = [(i, f"zanzibar {far}bob@x.com {far}zanzibar, {far}(quagga) {i}") for i in range(4)] + [(10 + i, f"{far}{i}") for i in range(30)] + [(50, "quagga alone")]
+    out = {r.doc_id: r for r in pii.sanitise(docs_of(rows)).collect()}
+    for i in range(4):  # quagga is also seen without bob: generalised where he is, kept where he is not
+        assert out[i].clean_text == f" {far}[EMAIL] {far}, {far}([TERM]) {i}"
+    assert out[10].clean_text == rows[4][1] and out[50].clean_text == "quagga alone"
+    many = " ".join(f"word{chr(97 + k % 26)} " for k in range(3 * pii.BLOCK + 1))
+    got = spark.createDataFrame([(many,)], "t string").select(pii.matches(F.col("t"), r"[a-z]+").alias("m")).first().m
+    assert [(m.start, m.value) for m in got] == [(m.start(), m[0]) for m in re.finditer(r"[a-z]+", many)]
+
+
 # 4 rollups (exact SQL oracle in test_oracles)
 
 def test_rollups_are_idempotent_and_signed(spark, tmp_path, docs_of):
