@@ -8,12 +8,15 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lathe.llm import decontaminate, embedding_dedup, maglev, minmax_dedup, mixture, pii, quality, rollups, token_files, url_rules
+from lathe.llm import (decontaminate, embedding_dedup, maglev, minmax_dedup, mixture, packing, pii, quality, rollups, spelling, token_files, url_rules,
+                       vector_codes)
 from lathe.llm.common import let, materialize, table, words
 
 SHARDS = [f"shard-{i:03d}" for i in range(64)]
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 2
+WORD_TOKENIZER = "word_bpe_49k.json"
+WORD_END_ID = 1
 _WORD = r"[^\x20\x09-\x0D]+"
 _PIECE = r"[A-Za-z]+|[0-9]+|[^A-Za-z0-9\x09-\x0D\x20]"
 
@@ -91,6 +94,18 @@ def op10_spaced_seed_decontamination(spark: SparkSession, sf_dir: str) -> DataFr
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_orchard_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.code_digests(*vector_codes.compress(table(spark, sf_dir, "embeddings")))
+
+
+def op12_permuterm_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_groups(spelling.word_counts(spelling.runs(table(spark, sf_dir, "documents"))))
+
+
+def op13_concatenate_and_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.piece_digests(packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_TOKENIZER), WORD_END_ID))
+
+
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -169,8 +184,51 @@ f AS (SELECT rn, arg_max(r.verdict, length(rh || rp)) AS verdict, arg_max(rh ||
 SELECT page_id, host, path, rule, coalesce(verdict, CASE WHEN {patterns} THEN 'block' ELSE 'allow' END) AS verdict FROM x LEFT JOIN f USING (rn)"""
 
 
+def _codes_sql() -> str:
+    """Product codes in SQL: every part against every entry. Whole numbers below 2^53 are exact in doubles."""
+    sql = f"""WITH v AS MATERIALIZED (SELECT row_number() OVER () AS rn, vec_id, label, [floor({vector_codes.SCALE} * x::DOUBLE) FOR x IN embedding] AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND list_bool_and([x IS NOT NULL AND isfinite(x) FOR x IN embedding])),
+p AS MATERIALIZED (SELECT rn, vec_id, part, e[part * len(e) // {vector_codes.PARTS} + 1:(part + 1) * len(e) // {vector_codes.PARTS}] AS x FROM v, range({vector_codes.PARTS}) t(part)),
+b0 AS MATERIALIZED (SELECT part, row_number() OVER (PARTITION BY part ORDER BY vec_id, rn) - 1 AS entry, x AS c FROM p QUALIFY entry < {vector_codes.ENTRIES})"""
+    for r in range(vector_codes.ROUNDS + 1):
+        sql += f""",
+a{r} AS MATERIALIZED (SELECT rn, part, any_value(x) AS x, arg_min(entry, d * {vector_codes.ENTRIES} + entry) AS entry, min(d) AS d
+  FROM (SELECT rn, part, x, entry, list_dot_product(x, x) - 2 * list_dot_product(x, c) + list_dot_product(c, c) AS d FROM p JOIN b{r} USING (part)) GROUP BY rn, part)"""
+        if r < vector_codes.ROUNDS:
+            sql += f""",
+u{r} AS (SELECT part, entry, list(m ORDER BY i) AS c FROM (SELECT part, entry, i, floor(sum(y) / count(*)) AS m
+  FROM (SELECT part, entry, unnest(x) AS y, generate_subscripts(x, 1) AS i FROM a{r}) GROUP BY part, entry, i) GROUP BY part, entry),
+b{r + 1} AS MATERIALIZED (SELECT part, entry, coalesce(u.c, b.c) AS c FROM b{r} b LEFT JOIN u{r} u USING (part, entry))"""
+    last = vector_codes.ROUNDS
+    return sql + f""",
+s AS (SELECT sha256(string_agg(y::BIGINT::VARCHAR, ',' ORDER BY part, entry, i)) AS sha FROM (SELECT part, entry, unnest(c) AS y, generate_subscripts(c, 1) AS i FROM b{last})),
+g AS (SELECT rn, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, sum(d)::BIGINT AS error FROM a{last} GROUP BY rn)
+SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error, sha AS codebooks_sha256 FROM v JOIN g USING (rn), s"""
+
+
+#: crc32 goes through the key's bits, lowest first, from 2^32 - 1 on; 3988292384 is its polynomial. Letters beyond ASCII take two bytes.
+_OP12_SQL = f"""WITH RECURSIVE t AS (SELECT doc_id, unnest(regexp_extract_all(coalesce(text, ''), '{spelling.RUN}')) AS w FROM documents),
+k AS (SELECT coalesce(doc_id::VARCHAR, '') AS id, translate(w, '{_UPPER}', '{_LOWER}') AS w, count(*) AS n FROM t GROUP BY ALL),
+u AS (SELECT w, n, [unicode(c) FOR c IN string_split(id || ':' || w, '')] AS points FROM k),
+y AS (SELECT w, n, flatten([CASE WHEN c < 128 THEN [c] ELSE [195, c - 64] END FOR c IN points])::BIGINT[] AS bytes FROM u),
+z AS (SELECT w, n, list_prepend(4294967295::BIGINT, flatten([[(b >> j) & 1 FOR j IN range(8)] FOR b IN bytes])) AS bits FROM y),
+h AS (SELECT w, n, 4294967295 - list_reduce(bits, lambda c, b: xor(c >> 1, 3988292384 * (xor(c, b) & 1))) AS h FROM z),
+d AS (SELECT CASE WHEN h % {spelling.DRAW} = 0 THEN substr(w, 1, (h % length(w))::BIGINT) || substr(w, (h % length(w))::BIGINT + 2) ELSE w END AS word, n FROM h),
+c AS MATERIALIZED (SELECT word, sum(n)::BIGINT AS n FROM d WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+x AS MATERIALIZED (SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM c)),
+near AS MATERIALIZED (SELECT a.word, b.word AS near, b.n FROM x a JOIN x b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+UNION SELECT x.word, c.word, c.n FROM x JOIN c ON x.rest = c.word UNION SELECT c.word, x.word, x.n FROM x JOIN c ON x.rest = c.word),
+best AS (SELECT word, count(*) AS n_near, first(near ORDER BY n DESC, near) AS near, max(n) AS near_n FROM near GROUP BY word),
+f AS MATERIALIZED (SELECT c.word, c.n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN near_n >= 2 * c.n THEN near END AS form, CASE WHEN near_n >= 2 * c.n THEN near_n END AS form_n
+  FROM c LEFT JOIN best USING (word)),
+r(word, top, form) AS (SELECT word, word, form FROM f UNION ALL SELECT r.word, f.word, f.form FROM r JOIN f ON f.word = r.form)
+SELECT f.word, f.form, r.top AS root, f.n, f.n_near, f.form_n FROM f JOIN r ON r.word = f.word AND r.form IS NULL"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_maglev_sharding, op2_hierarchical_mixing, op3_information_pii, op4_delta_rollups, op5_subword_quality, op6_minmax_near_dedup,
-    op7_range_coded_tokens, op8_rarest_token_url_rules, op9_spherical_embedding_dedup, op10_spaced_seed_decontamination)}
+    op7_range_coded_tokens, op8_rarest_token_url_rules, op9_spherical_embedding_dedup, op10_spaced_seed_decontamination, op11_orchard_vector_codes,
+    op12_permuterm_spelling, op13_concatenate_and_cut)}
 ORACLES: dict[str, str] = {"op2_hierarchical_mixing": _mixing_sql(), "op4_delta_rollups": _OP4_SQL, "op6_minmax_near_dedup": _OP6_SQL,
-                           "op8_rarest_token_url_rules": _url_sql(), "op9_spherical_embedding_dedup": _OP9_SQL}
+                           "op8_rarest_token_url_rules": _url_sql(), "op9_spherical_embedding_dedup": _OP9_SQL,
+                           "op11_orchard_vector_codes": _codes_sql(), "op12_permuterm_spelling": _OP12_SQL}
