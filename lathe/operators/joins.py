@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lathe.operators.ranks import join_by_counts
+
 
 def attach_by_key(left: DataFrame, right: DataFrame, key: str | list[str], how: str = "inner") -> DataFrame:
     """Positional re-assembly becomes an equi-join on the carried key; the planner
@@ -26,7 +28,7 @@ def lookup_table(df: DataFrame, table: DataFrame, key: str, value: str, out: str
 
 
 def keep_frequent(df: DataFrame, col: str, min_count: int) -> DataFrame:
-    """Rows whose category occurs at least ``min_count`` times (count aggregate +
-    left-semi join; the frequent set has at most ``rows / min_count`` keys)."""
-    freq = df.groupBy(col).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= min_count).select(col)
-    return df.join(freq, col, "left_semi")
+    """Rows whose category occurs at least ``min_count`` times. The frequent set is a count aggregate of at most
+    ``rows / min_count`` keys, joined back by its counts, so a common category is dealt over many tasks."""
+    freq = df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") >= min_count)
+    return join_by_counts(df, freq, [col], "__n", F.struct(*df.columns), "inner").select(*df.columns)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lathe.operators.ranks import rank_distinct, qcut_edges, qcut_code
+from lathe.operators.ranks import rank_distinct, range_cuts, qcut_edges, qcut_code
 
 
 def rmse(df: DataFrame, pred: str, label: str, by=None) -> DataFrame:
@@ -27,7 +27,7 @@ def roc_auc(df: DataFrame, score: str, label: str, by=None) -> DataFrame:
     base = df.where(F.col(score).isNotNull() & y.isNotNull()).select(*by, F.col(score).cast("double").alias("_s"),
                                                                      y.alias("_y"))
     hist = base.groupBy(*by, "_s").agg(F.count(F.lit(1)).alias("n"), F.sum(F.when(F.col("_y") == 1, 1).otherwise(0)).alias("_pos"))
-    ranked = rank_distinct(hist, by, "_s")
+    ranked = rank_distinct(hist, by, "_s", cuts=range_cuts(base, "_s"))
     agg = ranked.groupBy(*by).agg(F.sum(F.col("avg_rank") * F.col("_pos")).alias("_rs"),
                                   F.sum("_pos").alias("_n1"), F.sum(F.col("n") - F.col("_pos")).alias("_n0"))
     auc = F.try_divide(F.col("_rs") - F.col("_n1") * (F.col("_n1") + 1) / 2.0, F.col("_n1") * F.col("_n0"))

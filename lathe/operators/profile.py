@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lathe.operators.columns import columns_by_kind, numeric_columns
-from lathe.operators.ranks import quantiles, rank_distinct, value_histogram
+from lathe.operators.ranks import quantiles, row_ranks
+from lathe.session import written
 
 
 def per_column_stats(df: DataFrame, cols: list[str], stats: dict, types: dict | None = None) -> DataFrame:
@@ -125,54 +126,64 @@ def pearson_matrix(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     return wide.select(F.explode(arr).alias("_p")).select("_p.*")
 
 
-def _has_nulls(df: DataFrame, cols: list[str]) -> bool:
+def _missing_patterns(df: DataFrame, cols: list[str]) -> dict[str, str]:
+    """A representative column for every column with missing values: columns that miss the same rows share it."""
     row = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols]).first()
-    return any(row[c] for c in cols)
+    some = [c for c in cols if row[c]]
+    like = [(a, b) for i, a in enumerate(some) for b in some[i + 1:] if row[a] == row[b]]
+    out = {c: c for c in some}
+    if like:
+        apart = df.agg(*[F.count_if(F.col(a).isNull() != F.col(b).isNull()).alias(f"x{i}") for i, (a, b) in enumerate(like)]).first()
+        for i, (a, b) in enumerate(like):
+            if apart[f"x{i}"] == 0:
+                out[b] = out[a] if out[b] == b else out[b]
+    return out
 
 
-def spearman_matrix(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
-    """Spearman rho for every pair ``a < b``: Pearson on average ranks computed over the
-    rows where both columns are present. Ranks come from the bucketed rank plan, so no
-    task ever sees a whole column. Without missing values every column is ranked once;
-    with them each pair is ranked over its own complete rows."""
-    cols = sorted(cols or numeric_columns(df))
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
+def spearman_pairs(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
+    """``(a, b, rho)`` per pair: Pearson on average ranks over the rows where both columns are present.
+
+    A column is ranked once for each set of rows that a pair of it needs; columns that miss the same rows share their
+    sets, so there are as many as combinations of missing-value patterns (one without missing values), not as pairs. All
+    ranks come from one long table of (row, set, column, value): one shuffle ranks it, one brings each row's ranks
+    together, and one aggregate makes all products."""
+    spark = df.sparkSession
     if not pairs:
-        return df.sparkSession.createDataFrame([], "a string, b string, rho double")
-    if not _has_nulls(df, cols):
-        from lathe.operators.ranks import with_rank_columns
-        r = with_rank_columns(df.select(*cols), cols)
-        m = pearson_matrix(r.select(*[F.col(f"{c}__rank").alias(c) for c in cols]), cols)
-        return m.withColumnRenamed("r", "rho")
-    arr = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"),
-                             F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y"))
-                    for a, b in pairs])
-    long_df = df.select(F.explode(arr).alias("_p")).select("_p.*") \
-                .where(F.col("x").isNotNull() & F.col("y").isNotNull())
-    return _spearman_long(long_df, ["a", "b"]).withColumnRenamed("r", "rho")
+        return spark.createDataFrame([], "a string, b string, rho double")
+    cols = sorted({c for p in pairs for c in p})
+    pattern = _missing_patterns(df, cols)
+    sets: dict[tuple[str, ...], int] = {}
+    of = {}
+    for a, b in pairs:
+        of[a, b] = sets.setdefault(tuple(sorted({pattern[c] for c in (a, b) if c in pattern})), len(sets))
+    ranked = sorted({(k, c) for (a, b), k in of.items() for c in (a, b)})
+    name = {kc: f"r{i}" for i, kc in enumerate(ranked)}
+    rows = written(df.select(F.monotonically_increasing_id().alias("_row"), *[F.col(c).cast("double").alias(c) for c in cols]), "rank-rows")
+    masks = {k: [F.col(c).isNotNull() for c in need] for need, k in sets.items()}
+
+    def held(k: int, c: str) -> F.Column:
+        ok = F.col(c).isNotNull()
+        for m in masks[k]:
+            ok &= m
+        return F.when(ok, F.struct(F.lit(name[k, c]).alias("_name"), F.col(c).alias("_v")))
+    long_df = (rows.select("_row", F.explode(F.array(*[held(k, c) for k, c in ranked])).alias("_s")).where(F.col("_s").isNotNull())
+               .select("_row", "_s.*"))
+    ranks = row_ranks(long_df, "_v", "_name", "_rank", few_keys=True)
+    wide = ranks.groupBy("_row").pivot("_name", list(name.values())).agg(F.first("_rank"))
+    one = wide.agg(*[safe_corr(F.col(name[of[p], p[0]]), F.col(name[of[p], p[1]])).alias(f"p{i}") for i, p in enumerate(pairs)])
+    return one.select(F.explode(F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"p{i}").alias("rho"))
+                                          for i, (a, b) in enumerate(pairs)])).alias("_p")).select("_p.*")
 
 
-def _spearman_long(long_df: DataFrame, keys: list[str]) -> DataFrame:
-    """Pearson of average ranks of ``x`` and ``y`` per key group of a long table."""
-    rx = rank_distinct(value_histogram(long_df, keys, "x"), keys, "x").select(*keys, "x", F.col("avg_rank").alias("rx"))
-    ry = rank_distinct(value_histogram(long_df, keys, "y"), keys, "y").select(*keys, "y", F.col("avg_rank").alias("ry"))
-    j = long_df.join(rx, keys + ["x"]).join(ry, keys + ["y"])
-    return j.groupBy(*keys).agg(safe_corr(F.col("rx"), F.col("ry")).alias("r"))
+def spearman_matrix(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
+    """Spearman rho for every pair ``a < b`` over the rows where both columns are present."""
+    cols = sorted(cols or numeric_columns(df))
+    return spearman_pairs(df, [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]])
 
 
 def spearman_with_target(df: DataFrame, cols: list[str], target: str) -> DataFrame:
     """``(feature, rho)``: Spearman of each feature with the target over rows where both are present."""
-    if not _has_nulls(df, cols + [target]):
-        from lathe.operators.ranks import with_rank_columns
-        r = with_rank_columns(df.select(*set(cols + [target])), list(dict.fromkeys(cols + [target])))
-        aggs = [safe_corr(F.col(f"{c}__rank"), F.col(f"{target}__rank")).alias(c) for c in cols]
-        wide = r.agg(*aggs)
-        arr = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"`{c}`").alias("rho")) for c in cols])
-        return wide.select(F.explode(arr).alias("_p")).select("_p.*")
-    arr = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("x")) for c in cols])
-    long_df = df.select(F.col(target).cast("double").alias("y"), F.explode(arr).alias("_p")) \
-                .select("_p.feature", "_p.x", "y").where(F.col("x").isNotNull() & F.col("y").isNotNull())
-    return _spearman_long(long_df, ["feature"]).withColumnRenamed("r", "rho")
+    return spearman_pairs(df, [(c, target) for c in cols]).select(F.col("a").alias("feature"), "rho")
 
 
 def top_pairs(corr: DataFrame, k: int = 10, value: str = "r") -> DataFrame:

@@ -1,19 +1,22 @@
 """Global order without a single task: average ranks, exact quantiles, folds, samples.
 
-Every operator here that needs "the k-th value" or "the rank of a value" is
-planned as:
+Every operator here that needs "the rank of a value" is planned as:
 
 1. collapse rows to distinct values with counts (``groupBy(key, value)``; map
    side partial aggregation makes a hot value one row, so skew does not reach
    the shuffle),
-2. cut the distinct values into balanced range buckets with
-   ``percentile_approx`` cut points (any cuts give the right answer, they only
-   set the balance; equal values always share a bucket),
+2. cut the values into balanced range buckets at the quantiles of one sketch
+   over all rows, whatever their key (any cuts give the right answer, they only
+   set the balance; equal values always share a bucket, and no key holds more
+   of a bucket than the bucket has),
 3. turn bucket sizes into running offsets (a table of at most
-   ``keys x max_buckets`` rows),
+   ``keys x MAX_BUCKETS`` rows),
 4. run the cumulative sum inside each bucket (a window partitioned by
    ``(key, bucket)``, never an unpartitioned ``Window.orderBy``).
 
+Whole-table quantiles need only a few positions: they narrow a bracket around
+each with sketches and count exactly inside it (``_quantiles_select``).
+
 Hash-ordered ranks (folds and samples) use the first hex digits of an md5 as
 the bucket, which is uniform by construction whatever the key distribution.
 """
@@ -24,17 +27,22 @@ import math
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from lathe.session import written
 
-# rows of one (key, bucket) window partition the planner aims for
+# distinct values of one (key, bucket) window partition the planner aims for
 TARGET_BUCKET_ROWS = 1_000_000
-# above this many distinct values per column, `percentile` (which keeps a map
-# of all distinct values of a group in one aggregation buffer) is replaced by
-# the bucketed rank plan
-EXACT_PERCENTILE_MAX_DISTINCT = 2_000_000
-# whole-table quantiles: sketch accuracy of the bracket pass and the largest bracket
-# (values per target) collected in the second pass
-BRACKET_ACCURACY = 10_000
-BRACKET_MAX_VALUES = 1_000_000
+MAX_BUCKETS = 4096
+# quantile sketches: size, and the rank error they keep with 99 % confidence (a wrong bracket is noticed and widened)
+SKETCH_SIZE = 2000
+SKETCH_ERROR = 2.3 / SKETCH_SIZE ** 0.9
+# values between the ends of a bracket that one window partition may sort
+FINISH_ROWS = 1_000_000
+# quantiles asked of a sketch over the values inside a bracket
+NARROW_GRID = 400
+# rows of one key that a task may meet in a join back to the rows
+HOT_ROWS = 1_000_000
 # hex digits of the md5 used as hash buckets for folds and samples (16^4 buckets)
 HASH_PREFIX = 4
 
@@ -66,47 +74,55 @@ def value_histogram(long_df: DataFrame, keys, value: str = "value",
     return long_df.groupBy(*keys, value).agg(*aggs)
 
 
-def _bucket_count(hist: DataFrame, keys: list[str]) -> int:
-    """Number of range buckets per key, from the largest distinct count (one small job): enough that one
-    (key, bucket) window partition holds at most about ``TARGET_BUCKET_ROWS`` distinct values, and without keys at
-    least one per shuffle partition, so the whole domain is never one window partition."""
-    if keys:
-        row = hist.groupBy(*keys).count().agg(F.max("count")).first()
-        return max(1, math.ceil(int(row[0] or 0) / TARGET_BUCKET_ROWS))
-    nd = int(hist.agg(F.count(F.lit(1))).first()[0] or 0)
-    parts = int(hist.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(2, parts, math.ceil(nd / TARGET_BUCKET_ROWS))
+def _number(c: F.Column, dtype: T.DataType) -> F.Column:
+    """A double in the order of the column (ties may be added, never turned around)."""
+    return F.unix_date(c).cast("double") if isinstance(dtype, T.DateType) else c.cast("double")
+
+
+def _sketch_quantiles(x: F.Column, probs: list[float]) -> F.Column:
+    """Aggregate: values of ``x`` near the given probabilities (within ``SKETCH_ERROR`` of the rank); NULL without values."""
+    sketch = F.kll_sketch_agg_double(x, F.lit(SKETCH_SIZE))
+    return F.when(F.count(x) > 0, F.kll_sketch_get_quantile_double(sketch, F.array(*[F.lit(float(p)) for p in probs])))
+
+
+def range_cuts(df: DataFrame, value: str = "value") -> list[float]:
+    """Cut points of ``value`` for the rank plan, from one sketch over the rows of ``df``: at least one bucket per shuffle
+    partition, and about ``TARGET_BUCKET_ROWS`` rows in a bucket, up to ``MAX_BUCKETS``."""
+    x = _number(F.col(value), df.schema[value].dataType)
+    grid = [i / MAX_BUCKETS for i in range(1, MAX_BUCKETS)]
+    row = df.agg(F.count(x).alias("n"), _sketch_quantiles(F.when(~F.isnan(x), x), grid).alias("g")).first()
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    b = min(MAX_BUCKETS, max(2, parts, math.ceil(int(row["n"]) / TARGET_BUCKET_ROWS)))
+    grid = row["g"] or []
+    return sorted({grid[round(i * MAX_BUCKETS / b) - 1] for i in range(1, b)}) if grid else []
+
+
+def range_bucket(x: F.Column, cuts: list[float]) -> F.Column:
+    """Number of cuts below ``x``, found by halving."""
+    if not cuts:
+        return F.lit(0)
+    table = F.array(*[F.lit(float(c)) for c in cuts])
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(len(cuts).bit_length()))])
+    return F.aggregate(steps, F.lit(0), lambda at, step: F.when(F.get(table, at + step - 1) < x, at + step).otherwise(at))
 
 
 def bucketize(hist: DataFrame, keys, value: str = "value", n_col: str = "n",
-              buckets: int | None = None) -> tuple[DataFrame, DataFrame, bool]:
-    """Steps 2-3 of the rank plan: ``(hist + bucket, offsets, single)`` where ``offsets`` has one
-    row per (key, bucket) with ``_off`` (rows before the bucket) and ``_bn`` (rows in it), and
-    ``single`` says every key has one bucket."""
+              cuts: list[float] | None = None) -> tuple[DataFrame, DataFrame]:
+    """Steps 2-3 of the rank plan: ``(hist + bucket, offsets)`` where ``offsets`` has one
+    row per (key, bucket) with ``_off`` (rows before the bucket) and ``_bn`` (rows in it)."""
     keys = _keys(keys)
-    b = buckets if buckets is not None else _bucket_count(hist, keys)
-    if b > 1:
-        probs = [i / b for i in range(1, b)]
-        acc = max(10_000, 20 * b)
-        cuts = hist.groupBy(*keys).agg(F.percentile_approx(F.col(value), probs, acc).alias("_cuts"))
-        # without keys the cuts are one row; with keys they are one row per key, and Spark's own size limit decides
-        hb = hist.crossJoin(F.broadcast(cuts)) if not keys else hist.join(cuts, keys)
-        hb = hb.withColumn("bucket", F.size(F.filter("_cuts", lambda c: c < F.col(value)))).drop("_cuts")
-    else:
-        hb = hist.withColumn("bucket", F.lit(0))
+    cuts = range_cuts(hist, value) if cuts is None else cuts
+    hb = hist.withColumn("bucket", range_bucket(_number(F.col(value), hist.schema[value].dataType), cuts))
     sizes = hb.groupBy(*keys, "bucket").agg(F.sum(n_col).alias("_bn"))
     w_off = Window.partitionBy(*keys).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(*keys, "bucket", "_bn", F.coalesce(F.sum("_bn").over(w_off), F.lit(0)).alias("_off"))
-    return hb, offsets, b == 1
+    return hb, offsets
 
 
-def _rank_within(hb: DataFrame, offsets: DataFrame, keys: list[str], value: str, n_col: str,
-                 single: bool = False) -> DataFrame:
-    if single:
-        # one bucket per key: no offsets to add (and no join on a constant bucket id)
-        ranked = hb.withColumn("_off", F.lit(0).cast("long"))
-    else:
-        ranked = hb.join(offsets.select(*keys, "bucket", "_off"), keys + ["bucket"])
+def _rank_within(hb: DataFrame, offsets: DataFrame, keys: list[str], value: str, n_col: str) -> DataFrame:
+    small = offsets.select(*keys, "bucket", "_off")
+    # without keys the offsets are at most MAX_BUCKETS rows; with keys Spark's own size limit decides
+    ranked = hb.join(small if keys else F.broadcast(small), keys + ["bucket"])
     # one window partition per (key, bucket): at most about TARGET_BUCKET_ROWS distinct values
     w_in = Window.partitionBy(*keys, "bucket").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
     cum = (F.col("_off") + F.coalesce(F.sum(n_col).over(w_in), F.lit(0))).cast("long")
@@ -117,29 +133,72 @@ def _rank_within(hb: DataFrame, offsets: DataFrame, keys: list[str], value: str,
             .withColumn("avg_rank", F.col("cum_before") + (F.col(n_col) + 1) / 2.0))
 
 
-def rank_distinct(hist: DataFrame, keys, value: str = "value", n_col: str = "n",
-                  buckets: int | None = None) -> DataFrame:
+def rank_distinct(hist: DataFrame, keys, value: str = "value", n_col: str = "n", cuts: list[float] | None = None) -> DataFrame:
     """Add ``cum_before``, ``rank_lo``, ``rank_hi``, ``avg_rank`` and ``bucket`` to a value histogram.
 
     ``avg_rank`` is the average 1-based rank of the tied rows holding ``value``
-    (pandas ``rank(method='average')``), computed per key.
+    (pandas ``rank(method='average')``), computed per key. ``cuts`` from ``range_cuts`` over the
+    rows spare a pass over the histogram.
     """
     keys = _keys(keys)
-    hb, offsets, single = bucketize(hist, keys, value, n_col, buckets)
-    return _rank_within(hb, offsets, keys, value, n_col, single)
+    hb, offsets = bucketize(hist, keys, value, n_col, cuts)
+    return _rank_within(hb, offsets, keys, value, n_col)
+
+
+def join_by_counts(rows: DataFrame, table: DataFrame, on: list[str], n_col: str, spread: F.Column, how: str = "left",
+                   hot_rows: int | None = None) -> DataFrame:
+    """``rows`` joined with ``table``, which has one row per key and its number of rows ``n_col``. A key of more than
+    ``hot_rows`` rows is dealt over as many tasks as it has that many rows; ``spread`` is a column of ``rows`` to deal
+    by. The hot keys are at most ``rows / hot_rows``, so they are broadcast."""
+    limit = HOT_ROWS if hot_rows is None else hot_rows
+    deals = F.ceil(F.col(n_col) / limit).cast("int")
+    hot = F.broadcast(table.where(F.col(n_col) > limit).select(*[F.col(c).alias(f"__hot_{c}") for c in on], deals.alias("__deals")))
+    dealt = rows.join(hot, [rows[c] == hot[f"__hot_{c}"] for c in on], "left") \
+                .withColumn("__deal", F.when(F.col("__deals").isNull(), 0).otherwise(F.pmod(F.xxhash64(spread), F.col("__deals"))).cast("int")) \
+                .drop("__deals", *[f"__hot_{c}" for c in on])
+    last = F.when(F.col(n_col) > limit, deals - 1).otherwise(0)
+    copies = table.withColumn("__deal", F.explode(F.sequence(F.lit(0), last)))
+    return dealt.join(copies, [*on, "__deal"], how).drop("__deal")
+
+
+def row_ranks(df: DataFrame, value: str, keys, out: str, few_keys: bool = False) -> DataFrame:
+    """``df`` with the average rank of ``value`` per key as column ``out``, without a join on the value.
+
+    Rows carry their range bucket through one shuffle and are ranked by a window inside it. Every cut is a bucket of its
+    own, so a value that many rows hold (the sketch puts a cut on it) needs no window: its rank follows from the bucket
+    sizes, and its rows stay spread. ``few_keys`` says that the number of keys is set by the caller, not by the data;
+    the bucket sizes are then broadcast. NULL values get a NULL rank; with NULL keys too."""
+    keys = _keys(keys)
+    dtype = df.schema[value].dataType
+    cuts = range_cuts(df.where(F.col(value).isNotNull()), value)
+    x = _number(F.col(value), dtype)
+    at = range_bucket(x, cuts)
+    alone = F.lit(False)
+    if cuts and isinstance(dtype, (T.FractionalType, T.IntegralType, T.DateType)) and not isinstance(dtype, T.DecimalType):
+        on_cut = F.get(F.array(*[F.lit(float(c)) for c in cuts]), F.col("__at")) == x
+        alone = F.coalesce(on_cut & (F.abs(x) < float(1 << 53)), F.lit(False))  # beyond it several whole numbers share a double
+    rows = (df.withColumn("__at", at).withColumn("__alone", alone)
+            .withColumn("__bucket", F.when(F.col(value).isNotNull(), 2 * F.col("__at") + F.col("__alone").cast("int"))).drop("__at"))
+    sizes = rows.where("__bucket is not null").groupBy(*keys, "__bucket").agg(F.count(F.lit(1)).alias("__bn"))
+    before = Window.partitionBy(*keys).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.withColumn("__off", F.coalesce(F.sum("__bn").over(before), F.lit(0)))
+    if not keys or few_keys:  # at most keys x 2 x MAX_BUCKETS rows
+        placed = rows.join(F.broadcast(sizes), [*keys, "__bucket"], "left")
+    else:
+        placed = join_by_counts(rows, sizes, [*keys, "__bucket"], "__bn", F.struct(*df.columns))
+    placed = placed.withColumn("__deal", F.when(F.col("__alone") | F.col("__bucket").isNull(), F.spark_partition_id()).otherwise(-1))
+    inside = Window.partitionBy(*keys, "__bucket", "__deal")
+    ties = Window.partitionBy(*keys, "__bucket", "__deal", value)
+    rank = F.rank().over(inside.orderBy(value)) + (F.count(F.lit(1)).over(ties) - 1) / 2.0
+    rank = F.when(F.col("__alone"), (F.col("__bn") + 1) / 2.0).otherwise(rank) + F.col("__off")
+    return placed.select(*df.columns, F.when(F.col("__bucket").isNotNull(), rank).alias(out))
 
 
 def avg_rank_column(df: DataFrame, col: str, out: str | None = None, by=None) -> DataFrame:
     """``df`` with the average rank of ``col`` (within ``by`` groups) as a new column.
 
-    NULL values get a NULL rank; ranks count only non-null values.
-    """
-    by = _keys(by)
-    out = out or f"{col}_rank"
-    base = df.where(F.col(col).isNotNull()).select(*by, F.col(col).alias("_v"))
-    ranks = rank_distinct(value_histogram(base, by, "_v"), by, "_v").select(*by, "_v", F.col("avg_rank").alias(out))
-    return df.join(ranks, [*(df[k] == ranks[k] for k in by), df[col] == ranks["_v"]], "left") \
-             .drop(*(ranks[k] for k in by)).drop("_v")
+    NULL values and values of a NULL group get a NULL rank; ranks count only non-null values."""
+    return row_ranks(df, col, by, out or f"{col}_rank")
 
 
 # ---------------------------------------------------------------- quantiles
@@ -158,30 +217,70 @@ def _quantiles_percentile(df: DataFrame, cols: list[str], probs: list[float], by
 def _quantiles_rank(df: DataFrame, cols: list[str], probs: list[float], by: list[str]) -> DataFrame:
     keys = by + ["column"]
     long_df = unpivot_values(df, cols, keep=by)
-    hb, offsets, single = bucketize(value_histogram(long_df, keys), keys)
-    totals = offsets.groupBy(*keys).agg(F.sum("_bn").alias("_N"))
+    hb, offsets = bucketize(value_histogram(long_df, keys), keys, cuts=range_cuts(long_df))
+    return _positions(hb, offsets, _totals(offsets, keys, probs), keys).select(*by, "column", "q_index", "prob", "value")
+
+
+def _totals(offsets: DataFrame, keys: list[str], probs: list[float]) -> DataFrame:
+    return offsets.groupBy(*keys).agg(F.sum("_bn").alias("_N")).withColumn("_probs", F.array(*[F.lit(float(p)) for p in probs]))
+
+
+def _positions(hb: DataFrame, offsets: DataFrame, totals: DataFrame, keys: list[str]) -> DataFrame:
+    """Linear quantiles per key from a bucketed histogram: ``(key..., q_index, prob, value)``; ``totals`` has the rows ``_N``
+    and the wanted ``_probs`` of every key. Only buckets that hold a wanted position are ranked value by value."""
     # target positions (1-based) of the two neighbours of h = (N-1) q
-    pr = F.explode(F.array(*[F.struct(F.lit(i).alias("q_index"), F.lit(float(p)).alias("prob"))
-                             for i, p in enumerate(probs)])).alias("_p")
-    tg = totals.select(*keys, "_N", pr).select(*keys, "_N", "_p.q_index", "_p.prob")
+    tg = totals.select(*keys, "_N", F.posexplode("_probs").alias("q_index", "prob"))
     tg = tg.withColumn("_h", (F.col("_N") - 1) * F.col("prob")) \
            .withColumn("_frac", F.col("_h") - F.floor("_h")) \
            .withColumn("_side", F.explode(F.array(F.lit(0), F.lit(1)))) \
            .withColumn("_pos", F.when(F.col("_side") == 0, F.floor("_h")).otherwise(F.ceil("_h")).cast("long") + 1)
-    # the bucket holding each target position comes from the (small) offsets table, and only
-    # those buckets are ranked value by value
+    # the bucket holding each target position comes from the (small) offsets table
     tgb = tg.join(offsets, keys).where((F.col("_pos") > F.col("_off")) & (F.col("_pos") <= F.col("_off") + F.col("_bn"))) \
             .select(*keys, "bucket", "q_index", "prob", "_frac", "_side", "_pos")
     need = tgb.select(*keys, "bucket").distinct()
-    ranked = _rank_within(hb.join(F.broadcast(need), keys + ["bucket"], "left_semi"), offsets, keys, "value", "n", single)
-    hit = ranked.select(*keys, "bucket", "value", "rank_lo", "rank_hi").join(F.broadcast(tgb), keys + ["bucket"]) \
+    ranked = _rank_within(hb.join(need, keys + ["bucket"], "left_semi"), offsets, keys, "value", "n")
+    hit = ranked.select(*keys, "bucket", "value", "rank_lo", "rank_hi").join(tgb, keys + ["bucket"]) \
                 .where((F.col("_pos") >= F.col("rank_lo")) & (F.col("_pos") <= F.col("rank_hi")))
     res = hit.groupBy(*keys, "q_index", "prob").agg(
         F.max(F.when(F.col("_side") == 0, F.col("value"))).alias("_lo"),
         F.max(F.when(F.col("_side") == 1, F.col("value"))).alias("_hi"),
         F.first("_frac").alias("_frac"))
-    return res.select(*by, "column", "q_index", "prob",
-                      (F.col("_lo") + F.col("_frac") * (F.col("_hi") - F.col("_lo"))).alias("value"))
+    return res.select(*keys, "q_index", "prob", (F.col("_lo") + F.col("_frac") * (F.col("_hi") - F.col("_lo"))).alias("value"))
+
+
+class GroupedValues:
+    """The values of one column per group as one written histogram, from which all statistics of a group's distribution
+    come: rows ``(group..., bucket, value, n, <sums>)``, one per distinct value, in range buckets that no group fills
+    beyond its share of the bucket. Statistics of a group reach its values through ``(group, bucket)``, so the values of
+    a group that holds much of the table stay spread. Rows with a NULL group or value do not count."""
+
+    def __init__(self, df: DataFrame, by, value: str, sums: dict[str, str] | None = None):
+        self.by = _keys(by)
+        rows = df.select(*self.by, F.col(value).cast("double").alias("value"),
+                         *[F.col(c).cast("double").alias(f"_in_{out}") for out, c in (sums or {}).items()]).dropna(subset=[*self.by, "value"])
+        hist = value_histogram(rows, self.by, "value", {out: f"_in_{out}" for out in sums or {}})
+        self.hist = written(hist.withColumn("bucket", range_bucket(F.col("value"), range_cuts(rows))), "grouped-values")
+        sizes = self.hist.groupBy(*self.by, "bucket").agg(F.sum("n").alias("_bn"), F.count(F.lit(1)).alias("_distinct"),
+                                                          F.min("value").alias("_lo"), F.max("value").alias("_hi"))
+        before = Window.partitionBy(*self.by).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+        self.buckets = written(sizes.withColumn("_off", F.coalesce(F.sum("_bn").over(before), F.lit(0))), "grouped-buckets")
+
+    def groups(self) -> DataFrame:
+        """``(group..., n, distinct, min, max)``."""
+        return self.buckets.groupBy(*self.by).agg(F.sum("_bn").alias("n"), F.sum("_distinct").alias("distinct"),
+                                                  F.min("_lo").alias("min"), F.max("_hi").alias("max"))
+
+    def quantiles(self, probs) -> DataFrame:
+        """``(group..., q_index, prob, value)``: linear quantiles at ``probs``, or at the array that ``probs`` (a function of
+        the columns of ``groups``) gives for a group."""
+        wanted = probs if callable(probs) else lambda: F.array(*[F.lit(float(p)) for p in probs])
+        totals = self.groups().select(*self.by, F.col("n").alias("_N"), wanted().alias("_probs"))
+        return _positions(self.hist, self.buckets.select(*self.by, "bucket", "_bn", "_off"), totals, self.by)
+
+    def values_with(self, stats: DataFrame) -> DataFrame:
+        """The histogram with the columns of ``stats`` (one row per group; groups without one fall out)."""
+        per_bucket = self.buckets.select(*self.by, "bucket").join(stats, self.by)
+        return self.hist.join(per_bucket, [*self.by, "bucket"])
 
 
 def quantiles(df: DataFrame, cols: list[str], probs: list[float], by=None, mode: str = "auto") -> DataFrame:
@@ -190,20 +289,15 @@ def quantiles(df: DataFrame, cols: list[str], probs: list[float], by=None, mode:
     Returns the long table ``(by..., column, q_index, prob, value)``; NULLs are ignored,
     an all-NULL column (or group) gives no value.
 
-    ``mode``: ``"exact"`` = Spark ``percentile`` (one aggregation, memory grows with
-    distinct values per group), ``"rank"`` = the bucketed rank plan (same answer,
-    bounded memory per task), ``"approx"`` = ``percentile_approx`` (data values,
-    not interpolated), ``"auto"`` = whole-table quantiles by the two-pass bracket
-    plan (falling back to the rank plan), grouped quantiles by ``percentile`` for
-    columns whose estimated distinct count per group is small, rank plan for the others.
+    ``mode``: ``"auto"`` = whole-table quantiles by narrowing brackets, grouped quantiles by the bucketed rank plan;
+    ``"rank"`` = the rank plan (same answer); ``"exact"`` = Spark ``percentile`` (same answer, one aggregation whose
+    buffer holds every distinct value of a group); ``"approx"`` = ``percentile_approx`` (data values, not interpolated).
     """
     by = _keys(by)
     cols = list(cols)
     probs = [float(p) for p in probs]
     if mode == "exact":
         return _quantiles_percentile(df, cols, probs, by)
-    if mode == "rank":
-        return _quantiles_rank(df, cols, probs, by)
     if mode == "approx":
         aggs = [F.percentile_approx(F.col(c).cast("double"), probs, 100_000).alias(c) for c in cols]
         wide = df.groupBy(*by).agg(*aggs)
@@ -212,118 +306,145 @@ def quantiles(df: DataFrame, cols: list[str], probs: list[float], by=None, mode:
         return (st.select(*by, "_s.column", F.posexplode("_s._qs").alias("q_index", "value"))
                 .withColumn("prob", F.element_at(F.array(*[F.lit(p) for p in probs]), F.col("q_index") + 1))
                 .select(*by, "column", "q_index", "prob", "value"))
-    if mode != "auto":
+    if mode not in ("auto", "rank"):
         raise ValueError(f"unknown quantile mode {mode!r}")
-    if not by:
-        return _quantiles_bracket(df, cols, probs)
-    est = distinct_estimates(df, cols, by)
-    small = [c for c in cols if est.get(c, 0) <= EXACT_PERCENTILE_MAX_DISTINCT]
-    big = [c for c in cols if c not in small]
-    parts = []
-    if small:
-        parts.append(_quantiles_percentile(df, small, probs, by))
-    if big:
-        parts.append(_quantiles_rank(df, big, probs, by))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+    if by or mode == "rank":
+        return _quantiles_rank(df, cols, probs, by)
+    return _quantiles_select(df, cols, probs)
+
+
+class _Bracket:
+    """Values of one column from ``lo`` to ``hi`` (None: no end) that should hold the 0-based ``positions``."""
+
+    def __init__(self, col: str, lo: float | None, hi: float | None, positions: set[int]):
+        self.col, self.lo, self.hi, self.positions = col, lo, hi, positions
+
+    def value(self) -> F.Column:
+        x = F.col(self.col).cast("double")
+        return F.when(~F.isnan(x), x)
+
+    def holds(self, strictly: bool = False) -> F.Column:
+        x = self.value()
+        ok = x.isNotNull()
+        if self.lo is not None:
+            ok &= (x > F.lit(self.lo)) if strictly else (x >= F.lit(self.lo))
+        if self.hi is not None:
+            ok &= (x < F.lit(self.hi)) if strictly else (x <= F.lit(self.hi))
+        return ok
+
+    def below(self) -> F.Column:
+        return F.lit(False) if self.lo is None else F.coalesce(self.value() < F.lit(self.lo), F.lit(False))
+
+
+def _merged(brackets: list[_Bracket]) -> list[_Bracket]:
+    """Overlapping brackets of a column become one, so no value is counted twice."""
+    out: list[_Bracket] = []
+    low, high = -math.inf, math.inf
+    for b in sorted(brackets, key=lambda b: (b.col, low if b.lo is None else b.lo)):
+        last = out[-1] if out else None
+        if last is not None and last.col == b.col and (last.hi is None or b.lo is None or b.lo <= last.hi):
+            ends = [high if h is None else h for h in (last.hi, b.hi)]
+            out[-1] = _Bracket(b.col, last.lo, None if max(ends) == high else max(ends), last.positions | b.positions)
+        else:
+            out.append(b)
     return out
 
 
-def _quantiles_bracket(df: DataFrame, cols: list[str], probs: list[float]) -> DataFrame:
-    """Whole-table exact quantiles in two parallel passes.
-
-    Pass 1: row count and ``percentile_approx`` values a little below and above
-    each target probability (rank error at most ``N / BRACKET_ACCURACY``).
-    Pass 2: per target, a grouped count of the values inside the bracket, with
-    every value below it folded into one "below" row (partial aggregation keeps
-    a hot value to one row per task). The sketch bounds the ranks between the
-    two bracket ends, so each target has at most about ``8 N / BRACKET_ACCURACY``
-    distinct values; the interpolation is finished on those. A bracket that
-    misses a target position, more distinct values than ``BRACKET_MAX_VALUES``,
-    or a column too large for bounded brackets goes to the bucketed rank plan,
-    so the answer is always exact."""
+def _count_inside(df: DataFrame, brackets: list[_Bracket]) -> dict[tuple[str, int], float]:
+    """Value at every wanted position that its bracket holds. One scan groups the values inside the brackets, one counts
+    those below; a window per bracket places them, and one row per position reaches the driver."""
     spark = df.sparkSession
-    eps = 1.0 / BRACKET_ACCURACY
-    agg1 = []
+    hits = F.filter(F.array(*[F.when(b.holds(), F.struct(F.lit(i).alias("t"), b.value().alias("v"))) for i, b in enumerate(brackets)]),
+                    lambda s: s.isNotNull())
+    some = brackets[0].holds()
+    for b in brackets[1:]:
+        some |= b.holds()
+    hist = df.where(some).select(F.explode(hits).alias("_s")).groupBy(F.col("_s.t").alias("t"), F.col("_s.v").alias("v")) \
+             .agg(F.count(F.lit(1)).alias("n"))
+    inside = hist.withColumn("upto", F.sum("n").over(Window.partitionBy("t").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)))
+    below = df.agg(*[F.count_if(b.below()).alias(f"b{i}") for i, b in enumerate(brackets)])
+    below = below.select(F.explode(F.array(*[F.struct(F.lit(i).alias("t"), F.col(f"b{i}").alias("below")) for i in range(len(brackets))])).alias("_s")) \
+                 .select("_s.*")
+    wanted = spark.createDataFrame([(i, p) for i, b in enumerate(brackets) for p in sorted(b.positions)], "t int, pos long")
+    # both small sides hold one row per bracket or position, a number set by the call
+    at = F.col("pos") - F.col("below")
+    rows = (inside.join(F.broadcast(wanted), "t").join(F.broadcast(below), "t")
+            .where((at < F.col("upto")) & (at >= F.col("upto") - F.col("n"))).select("t", "pos", "v").collect())
+    return {(brackets[r["t"]].col, r["pos"]): r["v"] for r in rows}
+
+
+def _narrowed(df: DataFrame, brackets: list[_Bracket]) -> tuple[list[_Bracket], list[_Bracket]]:
+    """(brackets of at most ``FINISH_ROWS`` values between their ends, narrower brackets for the others), from one
+    aggregate: rows below and inside each bracket, and a sketch of the values inside. A bracket that misses a position
+    is replaced by what lies on that side of it."""
+    grid = [j / NARROW_GRID for j in range(NARROW_GRID + 1)]
+    aggs = []
+    for i, b in enumerate(brackets):
+        aggs += [F.count_if(b.below()).alias(f"b{i}"), F.count_if(b.holds()).alias(f"n{i}"), F.count_if(b.holds(strictly=True)).alias(f"o{i}"),
+                 _sketch_quantiles(F.when(b.holds(), b.value()), grid).alias(f"g{i}")]
+    row = df.agg(*aggs).first()
+    ready, again = [], []
+    margin = math.ceil(2 * SKETCH_ERROR * NARROW_GRID)
+    for i, b in enumerate(brackets):
+        below, inside, g = int(row[f"b{i}"]), int(row[f"n{i}"]), row[f"g{i}"]
+        held = {p for p in b.positions if below <= p < below + inside}
+        if held and int(row[f"o{i}"]) <= FINISH_ROWS:
+            ready.append(_Bracket(b.col, b.lo, b.hi, held))
+        else:
+            for p in held:
+                at = (p - below) / inside * NARROW_GRID
+                lo, hi = math.floor(at) - margin, math.ceil(at) + margin
+                again.append(_Bracket(b.col, g[lo] if lo > 0 else b.lo, g[hi] if hi < NARROW_GRID else b.hi, {p}))
+        for p in b.positions - held:
+            again.append(_Bracket(b.col, None, b.lo, {p}) if p < below else _Bracket(b.col, b.hi, None, {p}))
+    return ready, _merged(again)
+
+
+def _quantiles_select(df: DataFrame, cols: list[str], probs: list[float]) -> DataFrame:
+    """Whole-table exact quantiles by selection.
+
+    One sketch of every column brackets the wanted positions. Brackets that may hold more than ``FINISH_ROWS`` values are
+    narrowed by sketches over the values inside them, each time to about one hundredth; then the values inside are
+    counted exactly on the executors. The sketches only choose the brackets: counts below and inside say which position
+    a value has, and a bracket that misses its position is widened, so the answer is exact. The driver sees bracket ends
+    and one value per position."""
+    grid = sorted({min(1.0, max(0.0, p + d)) for p in probs for d in (-2 * SKETCH_ERROR, 2 * SKETCH_ERROR)})
+    aggs = []
     for i, c in enumerate(cols):
-        x = F.col(c).cast("double")
-        agg1.append(F.count(x).alias(f"n{i}"))
-        grid = sorted({min(1.0, max(0.0, p + d)) for p in probs for d in (-3 * eps, 3 * eps)})
-        agg1.append(F.percentile_approx(x, grid, BRACKET_ACCURACY).alias(f"g{i}"))
-    r1 = df.agg(*agg1).first()
-    plan, rank_cols, out_rows = {}, [], []
+        x = _Bracket(c, None, None, set()).value()
+        aggs += [F.count(x).alias(f"n{i}"), _sketch_quantiles(x, grid).alias(f"g{i}")]
+    row = df.agg(*aggs).first()
+    sizes, ready, wide = {}, [], []
     for i, c in enumerate(cols):
-        n = int(r1[f"n{i}"] or 0)
+        n = int(row[f"n{i}"])
         if n == 0:
             continue
-        if 8 * eps * n + 8 > BRACKET_MAX_VALUES:
-            rank_cols.append(c)
-            continue
-        grid = sorted({min(1.0, max(0.0, p + d)) for p in probs for d in (-3 * eps, 3 * eps)})
-        gv = dict(zip(grid, r1[f"g{i}"]))
+        sizes[c] = n
+        ends = dict(zip(grid, row[f"g{i}"], strict=True))
+        brackets = []
+        for p in probs:
+            h = (n - 1) * p
+            lo, hi = p - 2 * SKETCH_ERROR, p + 2 * SKETCH_ERROR
+            brackets.append(_Bracket(c, ends[lo] if lo > 0 else None, ends[hi] if hi < 1 else None, {math.floor(h), math.ceil(h)}))
+        small = 5 * SKETCH_ERROR * n * len(probs) <= FINISH_ROWS
+        (ready if small else wide).extend(_merged(brackets))
+    found: dict[tuple[str, int], float] = {}
+    while ready or wide:
+        if wide:
+            more, wide = _narrowed(df, wide)
+            ready += more
+        if ready and not wide:
+            found |= _count_inside(df, ready)
+            missed = [b for b in ready if any((b.col, p) not in found for p in b.positions)]
+            ready, wide = [], [_Bracket(b.col, b.lo, b.hi, {p for p in b.positions if (b.col, p) not in found}) for b in missed]
+    out = []
+    for c, n in sizes.items():
         for qi, p in enumerate(probs):
-            plan[len(plan)] = (c, qi, n, p, gv[min(1.0, max(0.0, p - 3 * eps))], gv[min(1.0, max(0.0, p + 3 * eps))])
-    if plan:
-        # one row per input row for the "below" counts (t = -1, summed flags) plus one row
-        # per bracket the value falls into; partial aggregation folds the t = -1 rows
-        flags, inside = [], [F.struct(F.lit(-1).alias("t"), F.lit(None).cast("double").alias("v"))]
-        for t, (c, qi, n, p, lo, hi) in plan.items():
-            x = F.col(c).cast("double")
-            flags.append(F.coalesce((x < F.lit(lo)).cast("long"), F.lit(0)).alias(f"b{t}"))
-            inside.append(F.when((x >= F.lit(lo)) & (x <= F.lit(hi)), F.struct(F.lit(t).alias("t"), x.alias("v"))))
-        ex = df.select(*flags, F.explode(F.array(*inside)).alias("_s")).where(F.col("_s").isNotNull())
-        grouped = ex.groupBy(F.col("_s.t").alias("t"), F.col("_s.v").alias("v")).agg(
-            F.count(F.lit(1)).alias("n"), *[F.sum(f"b{t}").alias(f"b{t}") for t in plan])
-        limit = BRACKET_MAX_VALUES * len(plan) + 2
-        rows = grouped.limit(limit).collect()
-        by_t: dict[int, list] = {}
-        below: dict[int, int] = {}
-        for r in rows:
-            if r["t"] == -1:
-                below = {t: int(r[f"b{t}"] or 0) for t in plan}
-            else:
-                by_t.setdefault(r["t"], []).append((r["v"], r["n"]))
-        for t, (c, qi, n, p, lo, hi) in plan.items():
-            vals = sorted(by_t.get(t, []))
-            if len(rows) >= limit or len(vals) > BRACKET_MAX_VALUES:
-                if c not in rank_cols:
-                    rank_cols.append(c)
-                continue
             h = (n - 1) * p
             a, b = math.floor(h), math.ceil(h)
-            va = vb = None
-            pos = below.get(t, 0)           # rows before the first bracket value
-            for v, cnt in vals:
-                if va is None and a < pos + cnt and a >= pos:
-                    va = v
-                if vb is None and b < pos + cnt and b >= pos:
-                    vb = v
-                pos += cnt
-            if va is None or vb is None:
-                if c not in rank_cols:
-                    rank_cols.append(c)
-                continue
-            v = va if a == b or va == vb else (b - h) * va + (h - a) * vb
-            out_rows.append((c, qi, p, float(v)))
-    out_rows = [r for r in out_rows if r[0] not in rank_cols]
-    res = spark.createDataFrame(out_rows, "column string, q_index int, prob double, value double")
-    if rank_cols:
-        res = res.unionByName(_quantiles_rank(df, rank_cols, probs, []).select(
-            "column", F.col("q_index").cast("int"), "prob", "value"))
-    return res
-
-
-def distinct_estimates(df: DataFrame, cols: list[str], by=None) -> dict[str, int]:
-    """Largest HyperLogLog distinct estimate per column over the ``by`` groups (one small job)."""
-    by = _keys(by)
-    aggs = [F.approx_count_distinct(F.col(c)).alias(c) for c in cols]
-    if by:
-        per = df.groupBy(*by).agg(*aggs)
-        row = per.agg(*[F.max(c).alias(c) for c in cols]).first()
-    else:
-        row = df.agg(*aggs).first()
-    return {c: int(row[c] or 0) for c in cols}
+            va, vb = found[c, a], found[c, b]
+            out.append((c, qi, p, float(va if va == vb else (b - h) * va + (h - a) * vb)))
+    return df.sparkSession.createDataFrame(out, "column string, q_index int, prob double, value double")
 
 
 def quantile_map(df: DataFrame, cols: list[str], probs: list[float], mode: str = "auto") -> dict:
@@ -446,17 +567,3 @@ def safe_stratify_bins(df: DataFrame, col: str, max_q: int = 12, min_q: int = 5,
     if len(e) < 2:
         return df.withColumn(out, F.lit(0))
     return df.withColumn(out, F.coalesce(qcut_code(x, F.array(*[F.lit(float(v)) for v in e])), F.lit(0)))
-
-
-def with_rank_columns(df: DataFrame, cols: list[str], suffix: str = "__rank") -> DataFrame:
-    """``df`` plus the average rank of each column in ``cols`` (over its non-null values).
-
-    All columns are ranked in one bucketed rank plan keyed by column name, then
-    each rank table is joined back on the value (small ones are broadcast by AQE)."""
-    long_df = unpivot_values(df, cols)
-    ranked = rank_distinct(value_histogram(long_df, "column"), "column").select("column", "value", "avg_rank")
-    out = df
-    for c in cols:
-        r = ranked.where(F.col("column") == c).select(F.col("value").alias(f"_v_{c}"), F.col("avg_rank").alias(f"{c}{suffix}"))
-        out = out.join(r, F.col(c).cast("double") == F.col(f"_v_{c}"), "left").drop(f"_v_{c}")
-    return out

@@ -1,20 +1,20 @@
 """Target-aware tables (A16-A27, X10): the numbers behind the reference's relationship plots.
 
-Grouped statistics are grouped aggregations; grouped quantile edges are
-small (groups x quantiles) and are joined back, never computed by a window
-over the rows.
+Grouped statistics are grouped aggregations; statistics of a group's
+distribution come from one histogram of its values (``GroupedValues``), never
+from a window over the rows or a buffer per group.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lathe.operators.columns import numeric_columns, split_columns, distinct_counts, is_numeric_type
 from lathe.operators.profile import spearman_with_target
-from lathe.operators.ranks import quantiles, qcut_code
+from lathe.operators.ranks import GroupedValues, join_by_counts, qcut_code
 
 OTHER = "__OTHER__"
 NA_LABEL = "<NA>"
@@ -85,15 +85,13 @@ def hexbin_mean(df: DataFrame, x: str, y: str, target: str, gridsize: int = 50)
 def collapse_rare(df: DataFrame, col: str, min_count: int = 50, out: str | None = None) -> DataFrame:
     """Categories seen fewer than ``min_count`` times (and missing) become ``__OTHER__``.
 
-    The frequent set is a count aggregate joined back; it holds at most
-    ``rows / min_count`` values, and the join is left to the planner (AQE
-    broadcasts it when its measured size is small).
+    The frequent set is a count aggregate joined back by its counts: it holds at most ``rows / min_count`` values, and
+    the rows of a common category are dealt over many tasks.
     """
     out = out or col
-    freq = (df.groupBy(F.col(col).alias("_cat")).agg(F.count(F.lit(1)).alias("_n"))
-            .where(F.col("_cat").isNotNull() & (F.col("_n") >= min_count)).select("_cat", F.lit(True).alias("_keep")))
-    j = df.join(freq, df[col] == freq["_cat"], "left")
-    val = F.when(F.col("_keep"), F.col(col).cast("string")).otherwise(F.lit(OTHER))
+    freq = (df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") >= min_count))
+    j = join_by_counts(df, freq, [col], "__n", F.struct(*df.columns))
+    val = F.when(F.col("__n").isNotNull(), F.col(col).cast("string")).otherwise(F.lit(OTHER))
     cols = [val.alias(out) if c == out else F.col(c) for c in df.columns]
     if out not in df.columns:
         cols.append(val.alias(out))
@@ -102,61 +100,29 @@ def collapse_rare(df: DataFrame, col: str, min_count: int = 50, out: str | None
 
 def target_rate_by_category(df: DataFrame, feature: str, target: str, min_count: int = 50,
                             top_n: int = 20) -> DataFrame:
-    """After collapsing rare categories: the ``top_n`` largest groups with their mean target."""
-    d = collapse_rare(df.select(feature, target), feature, min_count).where(F.col(target).isNotNull())
-    g = d.groupBy(feature).agg(F.count(F.lit(1)).alias("n"), F.avg(F.col(target).cast("double")).alias("rate"))
-    return g.orderBy(F.desc("n"), feature).limit(top_n)
+    """After collapsing rare categories: the ``top_n`` largest groups with their mean target. Rows are aggregated once,
+    per category as it stands; rare categories are collapsed among those sums."""
+    y = F.col(target).cast("double")
+    g = df.groupBy(F.col(feature)).agg(F.count(F.lit(1)).alias("_all"), F.count(y).alias("_k"), F.sum(y).alias("_s"))
+    cat = F.when(F.col(feature).isNotNull() & (F.col("_all") >= min_count), F.col(feature).cast("string")).otherwise(F.lit(OTHER))
+    g = g.groupBy(cat.alias(feature)).agg(F.sum("_k").alias("n"), F.sum("_s").alias("_s")).where("n > 0")
+    return g.select(feature, "n", (F.col("_s") / F.col("n")).alias("rate")).orderBy(F.desc("n"), feature).limit(top_n)
 
 
-def numeric_by_category_trend(df: DataFrame, x: str, cat: str, target: str, q: int = 15,
-                              min_count: int = 2000, mode: str = "auto") -> DataFrame:
+def numeric_by_category_trend(df: DataFrame, x: str, cat: str, target: str, q: int = 15, min_count: int = 2000) -> DataFrame:
     """Per frequent category: quantile bins of ``x`` (``q`` capped at its distinct count),
     mean target and bin centre per bin. Categories with < 2 distinct ``x`` are skipped."""
-    d = df.select(cat, F.col(x).cast("double").alias("_x"), F.col(target).cast("double").alias("_y"))
-    cnt = df.groupBy(cat).agg(F.count(F.lit(1)).alias("_n")).where((F.col("_n") >= min_count) & F.col(cat).isNotNull())
-    d = d.join(cnt.select(cat), cat, "left_semi").where(F.col("_x").isNotNull() & F.col("_y").isNotNull())
-    nd = d.groupBy(cat).agg(F.count_distinct("_x").alias("_nd")).where(F.col("_nd") >= 2)
-    # edges for every q' <= q are not needed: q' = min(q, nd) differs per group only when nd < q,
-    # and then every distinct value is its own quantile edge candidate
-    probs = [i / q for i in range(q + 1)]
-    qs = quantiles(d, ["_x"], probs, by=[cat], mode=mode)
-    edges_q = qs.groupBy(cat).agg(F.array_sort(F.array_distinct(F.collect_list("value"))).alias("_eq"))
-    small = d.join(nd.where(F.col("_nd") < q), cat, "left_semi")
-    edges_small = _small_group_edges(small, cat, mode)
-    edges = (nd.join(edges_q, cat, "left").join(edges_small, cat, "left")
-             .select(cat, F.when(F.col("_nd") < q, F.col("_es")).otherwise(F.col("_eq")).alias("_edges")))
-    j = d.join(edges, cat)
-    code = qcut_code(F.col("_x"), F.col("_edges"))
-    b = j.select(cat, "_y", "_edges", code.alias("bin"))
-    g = b.groupBy(cat, "bin").agg(F.avg("_y").alias("mean_target"), F.count(F.lit(1)).alias("n"),
-                                  F.first("_edges").alias("_edges"))
-    lo = F.element_at("_edges", F.col("bin") + 1)
-    hi = F.element_at("_edges", F.col("bin") + 2)
-    return g.select(cat, "bin", ((lo + hi) / 2).alias("center"), "mean_target", "n")
-
-
-def _small_group_edges(d: DataFrame, cat: str, mode: str) -> DataFrame:
-    """Edges for groups whose distinct count ``nd`` is below ``q``: quantiles at ``i/nd``.
-
-    Computed by ranking distinct values (bounded: these groups have fewer than
-    ``q`` distinct values) rather than a per-group percentile call."""
-    # positions of the i/nd quantiles over the group's rows, via per-value counts
-    hist = d.groupBy(cat, "_x").agg(F.count(F.lit(1)).alias("_c"))
-    w = Window.partitionBy(cat).orderBy("_x").rowsBetween(Window.unboundedPreceding, 0)
-    hist = hist.withColumn("_cum", F.sum("_c").over(w))
-    tot = hist.groupBy(cat).agg(F.sum("_c").alias("_N"), F.count(F.lit(1)).alias("_nd"),
-                                F.sort_array(F.collect_list(F.struct("_cum", "_x"))).alias("_vals"))
-    # value at 0-based position p = first distinct value whose cumulative count > p
-    def at(p):
-        return F.filter("_vals", lambda s: s["_cum"] > p)[0]["_x"]
-    qi = F.sequence(F.lit(0), F.col("_nd"))
-
-    def edge(i):
-        h = (F.col("_N") - 1) * i / F.col("_nd")
-        lo, hi = F.floor(h), F.ceil(h)
-        return at(lo) + (h - lo) * (at(hi) - at(lo))
-    e = tot.select(cat, F.array_sort(F.array_distinct(F.transform(qi, edge))).alias("_es"))
-    return e
+    rows = df.select(F.col(cat).alias("_cat"), F.col(x).cast("double").alias("_x"), F.col(target).cast("double").alias("_y"))
+    often = rows.groupBy("_cat").agg(F.count(F.lit(1)).alias("_all")).where(F.col("_all") >= min_count).select("_cat")
+    values = GroupedValues(rows.where(F.col("_y").isNotNull()), "_cat", "_x", {"y": "_y"})
+    bins = F.least(F.lit(q), F.col("distinct"))
+    edges = (values.quantiles(lambda: F.transform(F.sequence(F.lit(0), bins), lambda i: i / bins))
+             .groupBy("_cat").agg(F.array_sort(F.collect_set("value")).alias("_edges")))  # at most q + 1 edges
+    kept = values.groups().where("distinct >= 2").select("_cat").join(often, "_cat").join(edges, "_cat")
+    code = qcut_code(F.col("value"), F.col("_edges"))
+    g = values.values_with(kept).groupBy("_cat", code.alias("bin"), "_edges").agg(F.sum("y").alias("_s"), F.sum("n").alias("n"))
+    lo, hi = F.element_at("_edges", F.col("bin") + 1), F.element_at("_edges", F.col("bin") + 2)
+    return g.select(F.col("_cat").alias(cat), "bin", ((lo + hi) / 2).alias("center"), (F.col("_s") / F.col("n")).alias("mean_target"), "n")
 
 
 def cat_cat_table(df: DataFrame, a: str, b: str, target: str, min_count: int = 500) -> DataFrame:
@@ -169,9 +135,12 @@ def cat_cat_table(df: DataFrame, a: str, b: str, target: str, min_count: int = 5
     return g.where(F.col("count") >= min_count).orderBy(a, b)
 
 
-def cat_cat_matrix(table: DataFrame, a: str, b: str) -> DataFrame:
-    """The label-ordered matrix (rows = ``a`` labels, one column per ``b`` label)."""
-    return table.groupBy(a).pivot(b).agg(F.first("mean")).orderBy(a)
+def cat_cat_matrix(table: DataFrame, a: str, b: str, labels: list[str] | None = None) -> DataFrame:
+    """The label-ordered matrix (rows = ``a`` labels, one column per ``b`` label in ``labels``; without it, per
+    label in the table, read from its pairs first)."""
+    if labels is None:
+        labels = [r[0] for r in table.select(b).distinct().orderBy(b).collect()]
+    return table.groupBy(a).pivot(b, labels).agg(F.first("mean")).orderBy(a)
 
 
 def ordered_category_mean(df: DataFrame, cat: str, target: str, order: list[str]) -> DataFrame:
@@ -228,35 +197,33 @@ def top_categorical_by_range(df: DataFrame, cols: list[str], target: str, min_co
     return r.where(F.col("groups") >= 2).select("feature", "range").orderBy(F.desc("range"), "feature").limit(k)
 
 
-def box_stats(df: DataFrame, group: str, value: str, mode: str = "auto") -> DataFrame:
+def _box(values: GroupedValues) -> DataFrame:
+    q = values.quantiles([0.25, 0.5, 0.75]).groupBy(*values.by).agg(
+        *[F.max(F.when(F.col("q_index") == i, F.col("value"))).alias(n) for i, n in enumerate(["q1", "median", "q3"])])
+    reach = 1.5 * (F.col("q3") - F.col("q1"))
+    inside = F.col("value").between(F.col("q1") - reach, F.col("q3") + reach)
+    return values.values_with(q).groupBy(*values.by, "q1", "median", "q3").agg(
+        F.min(F.when(inside, F.col("value"))).alias("whisker_lo"), F.max(F.when(inside, F.col("value"))).alias("whisker_hi"),
+        F.sum(F.when(inside, 0).otherwise(F.col("n"))).alias("outliers"), F.sum("n").alias("n"))
+
+
+def box_stats(df: DataFrame, group: str, value: str) -> DataFrame:
     """Per group: quartiles, whiskers at the last point within 1.5 IQR of the box,
     and the outlier count."""
-    d = df.select(group, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
-    qs = quantiles(d, ["_v"], [0.25, 0.5, 0.75], by=[group], mode=mode)
-    qw = qs.groupBy(group).agg(*[F.max(F.when(F.col("q_index") == i, F.col("value"))).alias(n)
-                                 for i, n in enumerate(["q1", "median", "q3"])])
-    qw = qw.withColumn("_lf", F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))) \
-           .withColumn("_hf", F.col("q3") + 1.5 * (F.col("q3") - F.col("q1")))
-    j = d.join(qw, group)
-    inside = (F.col("_v") >= F.col("_lf")) & (F.col("_v") <= F.col("_hf"))
-    return j.groupBy(group, "q1", "median", "q3").agg(
-        F.min(F.when(inside, F.col("_v"))).alias("whisker_lo"), F.max(F.when(inside, F.col("_v"))).alias("whisker_hi"),
-        F.count_if(~inside).alias("outliers"), F.count(F.lit(1)).alias("n"))
-
-
-def violin_stats(df: DataFrame, group: str, value: str, bins: int = 20, mode: str = "auto") -> dict[str, DataFrame]:
-    """Box statistics plus a per-group density histogram (``n / (N w)``) over the group's range."""
-    d = df.select(group, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
-    st = d.groupBy(group).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.count(F.lit(1)).alias("_N"))
-    st = st.withColumn("_w", (F.col("_hi") - F.col("_lo")) / bins)
-    j = d.join(st, group)
-    b = F.when(F.col("_w") == 0, F.lit(0)).otherwise(F.least(F.floor((F.col("_v") - F.col("_lo")) / F.col("_w")).cast("int"),
-                                                          F.lit(bins - 1)))
-    h = j.groupBy(group, b.alias("bin"), "_lo", "_w", "_N").agg(F.count(F.lit(1)).alias("n"))
+    return _box(GroupedValues(df, group, value))
+
+
+def violin_stats(df: DataFrame, group: str, value: str, bins: int = 20) -> dict[str, DataFrame]:
+    """Box statistics plus a per-group density histogram (``n / (N w)``) over the group's range, both from one
+    histogram of the group's values."""
+    values = GroupedValues(df, group, value)
+    st = values.groups().select(group, F.col("min").alias("_lo"), F.col("n").alias("_N"), ((F.col("max") - F.col("min")) / bins).alias("_w"))
+    b = F.when(F.col("_w") == 0, F.lit(0)).otherwise(F.least(F.floor((F.col("value") - F.col("_lo")) / F.col("_w")).cast("int"), F.lit(bins - 1)))
+    h = values.values_with(st).groupBy(group, b.alias("bin"), "_lo", "_w", "_N").agg(F.sum("n").alias("n"))
     dens = h.select(group, "bin", (F.col("_lo") + F.col("bin") * F.col("_w")).alias("lo"),
                     (F.col("_lo") + (F.col("bin") + 1) * F.col("_w")).alias("hi"), "n",
                     F.when(F.col("_w") == 0, F.lit(None)).otherwise(F.col("n") / (F.col("_N") * F.col("_w"))).alias("density"))
-    return {"box": box_stats(df, group, value, mode), "density": dens}
+    return {"box": _box(values), "density": dens}
 
 
 def run_eda(df: DataFrame, target: str, max_cat_card: int = 30, num_count: int = 10, cat_count: int = 10,

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
@@ -69,6 +69,26 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return cur
 
 
+def scratch_folder(spark: SparkSession) -> str:
+    """The folder of this application's written tables, under the shared checkpoint folder."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/lathe-scratch/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared checkpoint folder for written tables, with the folder's scheme."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/lathe-scratch/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh path in ``scratch_folder``, with the folder's scheme."""
+    return f"{scratch_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet to a scratch path and read back: it is computed once, a lost executor costs a re-read, and
+    the planner knows its size."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def clear_scratch(spark: SparkSession) -> bool:
+    """Remove this application's written tables (call it when no frame read from them is needed any more); true if there
+    were any."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(scratch_folder(spark))
+    return bool(path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True))

@@ -194,14 +194,20 @@ def test_winsorizer_on_nan_column(spark):
     assert sorted(r[0] for r in m.transform(df).collect() if r[0] is not None) == [1.0, 2.0]
 
 
-@pytest.mark.parametrize("accuracy", [10_000, 3])
-def test_bracket_quantiles_equal_exact_with_ties(spark, monkeypatch, accuracy):
-    # accuracy 3 makes brackets miss, which must fall back to the rank plan
-    monkeypatch.setattr(R, "BRACKET_ACCURACY", accuracy)
+@pytest.mark.parametrize("finish,error", [(1_000_000, R.SKETCH_ERROR), (20, R.SKETCH_ERROR), (0, 1e-4), (5, 1e-9)])
+def test_selected_quantiles_equal_exact_with_ties(spark, monkeypatch, finish, error):
+    # few finishing rows make several narrowing rounds; a claimed error that is too small makes brackets miss, which must be widened
+    monkeypatch.setattr(R, "FINISH_ROWS", finish)
+    monkeypatch.setattr(R, "SKETCH_ERROR", error)
+    monkeypatch.setattr(R, "SKETCH_SIZE", 64 if error < 1e-3 else R.SKETCH_SIZE)
     df = spark.range(0, 3000).select((F.round((F.col("id") * 7919 % 1000) / 1000.0, 2)).alias("x"),
-                                     (F.col("id") % 3 * 1.0).alias("y"))
+                                     (F.col("id") % 3 * 1.0).alias("y"), (F.col("id") * 17 % 2999 - 0.5).alias("z"),
+                                     F.when(F.col("id") % 5 == 0, F.lit(float("nan"))).when(F.col("id") % 5 == 1, F.col("id")).alias("u"),
+                                     F.lit(None).cast("double").alias("none"))
     probs = [i / 10 for i in range(11)] + [0.002, 0.998]
-    a = {(r["column"], r["q_index"]): r["value"] for r in R.quantiles(df, ["x", "y"], probs, mode="exact").collect()}
-    b = {(r["column"], r["q_index"]): r["value"] for r in R.quantiles(df, ["x", "y"], probs, mode="auto").collect()}
+    exact = df.withColumn("u", F.when(~F.isnan("u"), F.col("u")))
+    a = {(r["column"], r["q_index"]): r["value"] for r in R.quantiles(exact, ["x", "y", "z", "u"], probs, mode="exact").collect()}
+    b = {(r["column"], r["q_index"]): r["value"] for r in R.quantiles(df, ["x", "y", "z", "u", "none"], probs, mode="auto").collect()}
     assert a.keys() == b.keys()
-    assert all(abs(a[k] - b[k]) < 1e-12 for k in a)
+    assert all(abs(a[k] - b[k]) < 1e-9 for k in a)
+    assert R.quantiles(df.limit(0), ["x"], probs).count() == 0
