@@ -103,7 +103,8 @@ def op12_permuterm_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op13_concatenate_and_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.piece_digests(packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_TOKENIZER), WORD_END_ID))
+    path = public_tokenizers.path(WORD_TOKENIZER)
+    return packing.piece_digests(packing.pack_documents(table(spark, sf_dir, "documents"), path, WORD_END_ID), path)
 
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"

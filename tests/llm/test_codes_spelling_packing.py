@@ -234,7 +234,7 @@ def unpack(sequences, length):
 def test_packs_hold_every_document_once(spark, parts, length):
     texts = TEXTS if length > 1 else TEXTS[:12]
     df = spark.createDataFrame([(i, t, 5, "x", 3) for i, t in enumerate(texts)], "doc_id long, text string, at long, ids string, part int")
-    docs = unpack(packing.pack_documents(df.repartition(parts), WORDS, 1, length), length)
+    docs = unpack(packing.id_arrays(packing.pack_documents(df.repartition(parts), WORDS, 1, length), WORDS), length)
     tok = Tokenizer.from_file(WORDS)
     assert sorted(d for d, _ in docs) == list(range(len(texts)))
     for (d, n), pieces in docs.items():
@@ -249,9 +249,9 @@ def test_packs_with_repeated_and_missing_ids_and_empty_tables(spark):
     rows = packing.pack_documents(df, WORDS, 1, 8).collect()
     assert sorted((p.doc_id or 0, p.length) for r in rows for p in r.pieces) == [(0, 1), (0, 2), (1, 3), (1, 3)]
     assert packing.pack_documents(df.where("doc_id > 5"), WORDS, 1, 8).count() == 0
-    assert packing.piece_digests(packing.pack_documents(df.where("doc_id > 5"), WORDS, 1, 8)).count() == 0
+    assert packing.piece_digests(packing.pack_documents(df.where("doc_id > 5"), WORDS, 1, 8), WORDS).count() == 0
     named = spark.createDataFrame([("a", "one"), ("b", "two")], "doc_id string, text string")
-    assert sorted(r.doc_id for r in packing.piece_digests(packing.pack_documents(named, WORDS, 1, 8)).collect()) == ["a", "b"]
+    assert sorted(r.doc_id for r in packing.piece_digests(packing.pack_documents(named, WORDS, 1, 8), WORDS).collect()) == ["a", "b"]
 
 
 def test_padding_stops_at_a_power_of_two(spark):
