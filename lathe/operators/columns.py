@@ -71,12 +71,48 @@ def describe_roles(df: DataFrame, target: str | None = None, candidates=None) ->
     return t, numeric_columns(df, exclude=[t, "id"])
 
 
+#: A distinct sketch of this many bits keeps up to 2^12 values as they are: below that its count is exact.
+SKETCH_BITS = 12
+
+
+def _sketch_value(df: DataFrame, col: str) -> F.Column:
+    """A column as the distinct sketch takes it, one value per distinct value (the sketch skips empty text)."""
+    dt = df.schema[col].dataType
+    if isinstance(dt, _INTEGRAL):
+        return F.col(col).cast("bigint")
+    if isinstance(dt, (T.FloatType, T.DoubleType)):
+        return F.col(col).cast("double")
+    return F.concat(F.lit("="), F.col(col).cast("string"))
+
+
+def distinct_up_to(df: DataFrame, cols: list[str], k: int) -> dict[str, int | None]:
+    """Distinct non-null values per column where there are at most ``k``, else None: one scan whose state is one sketch a
+    column, merged from task to task, of at least four times ``k`` hashes (4,096 or more; ``k`` up to 16 million). So
+    many values a sketch holds as their 64-bit hashes, all of them, so its count is that of the values (among 4,096 two
+    share a hash in one of 10^12 columns)."""
+    if not cols:
+        return {}
+    row = _sketch_counts(df, cols, max(SKETCH_BITS, (4 * k).bit_length()))
+    return {c: row[c] if row[c] <= k else None for c in cols}
+
+
+def _sketch_counts(df: DataFrame, cols: list[str], bits: int = SKETCH_BITS) -> dict[str, int]:
+    row = df.agg(*[F.theta_sketch_estimate(F.theta_sketch_agg(_sketch_value(df, c), bits)).alias(f"d{i}") for i, c in enumerate(cols)]).first()
+    return {c: int(row[f"d{i}"] or 0) for i, c in enumerate(cols)}
+
+
 def distinct_counts(df: DataFrame, cols: list[str]) -> dict[str, int]:
-    """Exact distinct counts of many columns in one aggregation job."""
+    """Exact distinct non-null counts of many columns: one scan of sketches settles the columns with few values; each
+    other column is counted by an aggregate over that column alone, all of them in one job."""
     if not cols:
         return {}
-    row = df.agg(*[F.count_distinct(F.col(c)).alias(c) for c in cols]).first()
-    return {c: int(row[c]) for c in cols}
+    out = _sketch_counts(df, cols)
+    wide = [c for c in cols if out[c] > 1 << SKETCH_BITS]
+    counted = None
+    for c in wide:
+        one = df.agg(F.count_distinct(F.col(c)).alias("n")).select(F.lit(c).alias("c"), "n")
+        counted = one if counted is None else counted.union(one)
+    return out | ({r["c"]: int(r["n"]) for r in counted.collect()} if wide else {})
 
 
 def split_columns(df: DataFrame, max_cardinality: int = 30, exclude=None) -> tuple[list[str], list[str]]:
@@ -88,11 +124,10 @@ def split_columns(df: DataFrame, max_cardinality: int = 30, exclude=None) -> tup
     flts = [c for c in columns_by_kind(df, "float") if c not in exclude]
     cats = [c for c in columns_by_kind(df, "categorical") if c not in exclude]
     bools = [c for c in columns_by_kind(df, "bool") if c not in exclude]
-    nd = distinct_counts(df, ints + cats + bools)
-    numeric = flts + [c for c in ints if nd[c] > max_cardinality]
+    few = distinct_up_to(df, ints + cats + bools, max_cardinality)
+    numeric = flts + [c for c in ints if few[c] is None]
     numeric = [c for c in df.columns if c in set(numeric)]
-    categorical = [c for c in ints if nd[c] <= max_cardinality]
-    categorical += [c for c in cats + bools if nd[c] <= max_cardinality]
+    categorical = [c for c in ints + cats + bools if few[c] is not None]
     return numeric, sorted(set(categorical))
 
 
@@ -100,14 +135,14 @@ def is_discrete_numeric(df: DataFrame, col: str, max_unique: int = 20) -> bool:
     """Numeric with at most ``max_unique`` distinct values."""
     if not is_numeric_type(df.schema[col].dataType):
         return False
-    return distinct_counts(df, [col])[col] <= max_unique
+    return distinct_up_to(df, [col], max_unique)[col] is not None
 
 
 def is_regression(df: DataFrame, target: str, max_unique: int = 20) -> bool:
     """Numeric target with more than ``max_unique`` distinct values."""
     if not is_numeric_type(df.schema[target].dataType):
         return False
-    return distinct_counts(df, [target])[target] > max_unique
+    return distinct_up_to(df, [target], max_unique)[target] is None
 
 
 def narrow_types(df: DataFrame, cols: list[str] | None = None, floats: bool = True) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lathe.operators.columns import columns_by_kind, numeric_columns
+from lathe.operators.columns import columns_by_kind, distinct_counts, numeric_columns
 from lathe.operators.ranks import quantiles, row_ranks
 from lathe.session import written
 
@@ -272,11 +272,10 @@ def profile_table(df: DataFrame, mode: str = "auto", max_top: int = 5) -> dict[s
     zeros, numeric moments and quantiles), top values, duplicate rows, correlations."""
     num = numeric_columns(df)
     cats = columns_by_kind(df, "categorical") + columns_by_kind(df, "bool")
-    overview = per_column_stats(df, df.columns, {
-        "n": F.count, "missing": lambda c: F.count_if(c.isNull()), "distinct": F.count_distinct},
-        {"n": "long", "missing": "long", "distinct": "long"})
-    meta = df.sparkSession.createDataFrame([(f.name, f.dataType.simpleString()) for f in df.schema.fields],
-                                           "column string, dtype string")
+    overview = per_column_stats(df, df.columns, {"n": F.count, "missing": lambda c: F.count_if(c.isNull())}, {"n": "long", "missing": "long"})
+    distinct = distinct_counts(df, df.columns)
+    meta = df.sparkSession.createDataFrame([(f.name, f.dataType.simpleString(), distinct[f.name]) for f in df.schema.fields],
+                                           "column string, dtype string, distinct long")
     overview = overview.join(F.broadcast(meta), "column")
     if num:
         zeros = per_column_stats(df, num, {"zeros": lambda c: F.count_if(c == 0)}, {"zeros": "long"})
@@ -326,6 +325,30 @@ def compare_tables(a: DataFrame, b: DataFrame, cols: list[str] | None = None, mo
     return out
 
 
+def pearson_with_target(df: DataFrame, cols: list[str], target: str) -> DataFrame:
+    """``(feature, r)``: Pearson of each column with the target over rows where both are present, in one aggregation."""
+    y = F.col(target).cast("double")
+    aggs = []
+    for i, c in enumerate(cols):
+        both = F.col(c).isNotNull() & y.isNotNull()
+        aggs.append(safe_corr(F.when(both, F.col(c).cast("double")), F.when(both, y)).alias(f"r{i}"))
+    rows = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"r{i}").alias("r")) for i, c in enumerate(cols)])
+    return df.agg(*aggs).select(F.explode(rows).alias("_r")).select("_r.*")
+
+
+def compare_target_correlations(a: DataFrame, b: DataFrame, target: str, cols: list[str] | None = None, k: int = 5) -> DataFrame:
+    """The ``k`` columns of each side with the largest absolute correlation with the target:
+    ``(side, rank, feature, r)``; columns without a correlation are left out, ties go by name."""
+    from pyspark.sql import Window
+    cols = cols or [c for c in numeric_columns(a) if c in set(numeric_columns(b)) and c != target]
+    both = None
+    for side, df in (("a", a), ("b", b)):
+        one = pearson_with_target(df, cols, target).where("r is not null and not isnan(r)").select(F.lit(side).alias("side"), "feature", "r")
+        both = one if both is None else both.union(one)
+    rank = F.row_number().over(Window.partitionBy("side").orderBy(F.abs("r").desc(), "feature"))  # one row per column and side
+    return both.withColumn("rank", rank).where(F.col("rank") <= k).select("side", "rank", "feature", "r")
+
+
 def shape_summary(df: DataFrame) -> DataFrame:
     """Rows, columns, missing cells and duplicate rows of one table as one row."""
     n_cols = len(df.columns)

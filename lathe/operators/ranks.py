@@ -39,6 +39,8 @@ SKETCH_SIZE = 2000
 SKETCH_ERROR = 2.3 / SKETCH_SIZE ** 0.9
 # values between the ends of a bracket that one window partition may sort
 FINISH_ROWS = 1_000_000
+# brackets told apart by one generated expression
+HIT_BRACKETS = 32
 # quantiles asked of a sketch over the values inside a bracket
 NARROW_GRID = 400
 # rows of one key that a task may meet in a join back to the rows
@@ -79,28 +81,41 @@ def _number(c: F.Column, dtype: T.DataType) -> F.Column:
     return F.unix_date(c).cast("double") if isinstance(dtype, T.DateType) else c.cast("double")
 
 
+def _numbers(x: F.Column) -> F.Column:
+    return F.count_if(x.isNotNull() & ~F.isnan(x))
+
+
 def _sketch_quantiles(x: F.Column, probs: list[float]) -> F.Column:
-    """Aggregate: values of ``x`` near the given probabilities (within ``SKETCH_ERROR`` of the rank); NULL without values."""
+    """Aggregate: values of ``x`` near the given probabilities (within ``SKETCH_ERROR`` of the rank), NaN left out; NULL
+    without values."""
     sketch = F.kll_sketch_agg_double(x, F.lit(SKETCH_SIZE))
-    return F.when(F.count(x) > 0, F.kll_sketch_get_quantile_double(sketch, F.array(*[F.lit(float(p)) for p in probs])))
+    return F.when(_numbers(x) > 0, F.kll_sketch_get_quantile_double(sketch, F.array(*[F.lit(float(p)) for p in probs])))
 
 
 def range_cuts(df: DataFrame, value: str = "value") -> list[float]:
     """Cut points of ``value`` for the rank plan, from one sketch over the rows of ``df``: at least one bucket per shuffle
     partition, and about ``TARGET_BUCKET_ROWS`` rows in a bucket, up to ``MAX_BUCKETS``."""
     x = _number(F.col(value), df.schema[value].dataType)
-    grid = [i / MAX_BUCKETS for i in range(1, MAX_BUCKETS)]
-    row = df.agg(F.count(x).alias("n"), _sketch_quantiles(F.when(~F.isnan(x), x), grid).alias("g")).first()
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    b = min(MAX_BUCKETS, max(2, parts, math.ceil(int(row["n"]) / TARGET_BUCKET_ROWS)))
-    grid = row["g"] or []
-    return sorted({grid[round(i * MAX_BUCKETS / b) - 1] for i in range(1, b)}) if grid else []
+    parts = max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+    def cuts(b: int):
+        return df.agg(_numbers(x).alias("n"), _sketch_quantiles(x, [i / b for i in range(1, b)]).alias("g")).first()
+    row = cuts(min(MAX_BUCKETS, parts))
+    wanted = min(MAX_BUCKETS, math.ceil(int(row["n"]) / TARGET_BUCKET_ROWS))
+    if wanted > parts:
+        row = cuts(wanted)
+    return sorted(set(row["g"] or []))
 
 
 def range_bucket(x: F.Column, cuts: list[float]) -> F.Column:
     """Number of cuts below ``x``, found by halving."""
-    if not cuts:
-        return F.lit(0)
+    def halve(lo: int, hi: int) -> F.Column:
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        return F.when(x > F.lit(float(cuts[mid])), halve(mid + 1, hi)).otherwise(halve(lo, mid))
+    if len(cuts) < 32:  # compiled comparisons; more of them would not be compiled by the JVM
+        return halve(0, len(cuts))
     table = F.array(*[F.lit(float(c)) for c in cuts])
     steps = F.array(*[F.lit(1 << k) for k in reversed(range(len(cuts).bit_length()))])
     return F.aggregate(steps, F.lit(0), lambda at, step: F.when(F.get(table, at + step - 1) < x, at + step).otherwise(at))
@@ -314,89 +329,92 @@ def quantiles(df: DataFrame, cols: list[str], probs: list[float], by=None, mode:
 
 
 class _Bracket:
-    """Values of one column from ``lo`` to ``hi`` (None: no end) that should hold the 0-based ``positions``."""
+    """Values from ``lo`` to ``hi`` of the ``at``-th column that should hold the 0-based ``positions``."""
 
-    def __init__(self, col: str, lo: float | None, hi: float | None, positions: set[int]):
-        self.col, self.lo, self.hi, self.positions = col, lo, hi, positions
+    def __init__(self, at: int, lo: float, hi: float, positions: set[int]):
+        self.at, self.lo, self.hi, self.positions = at, lo, hi, positions
 
     def value(self) -> F.Column:
-        x = F.col(self.col).cast("double")
-        return F.when(~F.isnan(x), x)
-
-    def holds(self, strictly: bool = False) -> F.Column:
-        x = self.value()
-        ok = x.isNotNull()
-        if self.lo is not None:
-            ok &= (x > F.lit(self.lo)) if strictly else (x >= F.lit(self.lo))
-        if self.hi is not None:
-            ok &= (x < F.lit(self.hi)) if strictly else (x <= F.lit(self.hi))
-        return ok
-
-    def below(self) -> F.Column:
-        return F.lit(False) if self.lo is None else F.coalesce(self.value() < F.lit(self.lo), F.lit(False))
+        return F.col(f"x{self.at}")
 
 
 def _merged(brackets: list[_Bracket]) -> list[_Bracket]:
     """Overlapping brackets of a column become one, so no value is counted twice."""
     out: list[_Bracket] = []
-    low, high = -math.inf, math.inf
-    for b in sorted(brackets, key=lambda b: (b.col, low if b.lo is None else b.lo)):
+    for b in sorted(brackets, key=lambda b: (b.at, b.lo)):
         last = out[-1] if out else None
-        if last is not None and last.col == b.col and (last.hi is None or b.lo is None or b.lo <= last.hi):
-            ends = [high if h is None else h for h in (last.hi, b.hi)]
-            out[-1] = _Bracket(b.col, last.lo, None if max(ends) == high else max(ends), last.positions | b.positions)
+        if last is not None and last.at == b.at and b.lo <= last.hi:
+            out[-1] = _Bracket(b.at, last.lo, max(last.hi, b.hi), last.positions | b.positions)
         else:
             out.append(b)
     return out
 
 
-def _count_inside(df: DataFrame, brackets: list[_Bracket]) -> dict[tuple[str, int], float]:
+def _below(b: _Bracket) -> F.Column:
+    return F.count_if(b.value() < F.lit(b.lo))
+
+
+def _hits(xs: DataFrame, some: list[tuple[int, _Bracket]]) -> DataFrame:
+    """``(t, v)``: values of ``xs`` inside the numbered brackets, one row each."""
+    of: dict[int, F.Column] = {}
+    for t, b in some:
+        inside, number = b.value().between(F.lit(b.lo), F.lit(b.hi)), F.lit(t)
+        of[b.at] = of[b.at].when(inside, number) if b.at in of else F.when(inside, number)
+    cols = [f"x{at}" for at in of]
+    marked = xs.select(*cols, *[e.alias(f"t{at}") for at, e in of.items()])
+    return (marked.select(F.explode(F.array(*[F.struct(F.col(f"t{at}").alias("t"), F.col(f"x{at}").alias("v")) for at in of])).alias("s"))
+            .select("s.*").where("t is not null"))
+
+
+def _count_inside(xs: DataFrame, brackets: list[_Bracket]) -> dict[tuple[int, int], float]:
     """Value at every wanted position that its bracket holds. One scan groups the values inside the brackets, one counts
     those below; a window per bracket places them, and one row per position reaches the driver."""
-    spark = df.sparkSession
-    hits = F.filter(F.array(*[F.when(b.holds(), F.struct(F.lit(i).alias("t"), b.value().alias("v"))) for i, b in enumerate(brackets)]),
-                    lambda s: s.isNotNull())
-    some = brackets[0].holds()
-    for b in brackets[1:]:
-        some |= b.holds()
-    hist = df.where(some).select(F.explode(hits).alias("_s")).groupBy(F.col("_s.t").alias("t"), F.col("_s.v").alias("v")) \
-             .agg(F.count(F.lit(1)).alias("n"))
+    spark = xs.sparkSession
+    numbered = list(enumerate(brackets))
+    hits = None
+    while numbered:  # a few columns at a time: the generated code stays small enough to be compiled
+        last = numbered[min(len(numbered), HIT_BRACKETS) - 1][1].at
+        some = [(t, b) for t, b in numbered if b.at <= last]
+        numbered = numbered[len(some):]
+        part = _hits(xs, some)
+        hits = part if hits is None else hits.union(part)
+    hist = hits.groupBy("t", "v").agg(F.count(F.lit(1)).alias("n"))
     inside = hist.withColumn("upto", F.sum("n").over(Window.partitionBy("t").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)))
-    below = df.agg(*[F.count_if(b.below()).alias(f"b{i}") for i, b in enumerate(brackets)])
-    below = below.select(F.explode(F.array(*[F.struct(F.lit(i).alias("t"), F.col(f"b{i}").alias("below")) for i in range(len(brackets))])).alias("_s")) \
-                 .select("_s.*")
+    below = xs.agg(F.array(*[F.struct(F.lit(i).alias("t"), _below(b).alias("below")) for i, b in enumerate(brackets)]).alias("b")) \
+              .select(F.explode("b").alias("b")).select("b.*")
     wanted = spark.createDataFrame([(i, p) for i, b in enumerate(brackets) for p in sorted(b.positions)], "t int, pos long")
     # both small sides hold one row per bracket or position, a number set by the call
     at = F.col("pos") - F.col("below")
-    rows = (inside.join(F.broadcast(wanted), "t").join(F.broadcast(below), "t")
+    rows = (inside.join(F.broadcast(below), "t").join(F.broadcast(wanted), "t")
             .where((at < F.col("upto")) & (at >= F.col("upto") - F.col("n"))).select("t", "pos", "v").collect())
-    return {(brackets[r["t"]].col, r["pos"]): r["v"] for r in rows}
+    return {(brackets[r["t"]].at, r["pos"]): r["v"] for r in rows}
 
 
-def _narrowed(df: DataFrame, brackets: list[_Bracket]) -> tuple[list[_Bracket], list[_Bracket]]:
+def _narrowed(xs: DataFrame, brackets: list[_Bracket]) -> tuple[list[_Bracket], list[_Bracket]]:
     """(brackets of at most ``FINISH_ROWS`` values between their ends, narrower brackets for the others), from one
     aggregate: rows below and inside each bracket, and a sketch of the values inside. A bracket that misses a position
     is replaced by what lies on that side of it."""
     grid = [j / NARROW_GRID for j in range(NARROW_GRID + 1)]
     aggs = []
     for i, b in enumerate(brackets):
-        aggs += [F.count_if(b.below()).alias(f"b{i}"), F.count_if(b.holds()).alias(f"n{i}"), F.count_if(b.holds(strictly=True)).alias(f"o{i}"),
-                 _sketch_quantiles(F.when(b.holds(), b.value()), grid).alias(f"g{i}")]
-    row = df.agg(*aggs).first()
+        x, lo, hi = b.value(), F.lit(float(b.lo)), F.lit(float(b.hi))
+        aggs += [_below(b).alias(f"b{i}"), F.count_if(x.between(lo, hi)).alias(f"n{i}"), F.count_if((x > lo) & (x < hi)).alias(f"o{i}"),
+                 _sketch_quantiles(F.when(x.between(lo, hi), x), grid).alias(f"g{i}")]
+    row = xs.agg(*aggs).first()
     ready, again = [], []
     margin = math.ceil(2 * SKETCH_ERROR * NARROW_GRID)
     for i, b in enumerate(brackets):
         below, inside, g = int(row[f"b{i}"]), int(row[f"n{i}"]), row[f"g{i}"]
         held = {p for p in b.positions if below <= p < below + inside}
         if held and int(row[f"o{i}"]) <= FINISH_ROWS:
-            ready.append(_Bracket(b.col, b.lo, b.hi, held))
+            ready.append(_Bracket(b.at, b.lo, b.hi, held))
         else:
             for p in held:
                 at = (p - below) / inside * NARROW_GRID
                 lo, hi = math.floor(at) - margin, math.ceil(at) + margin
-                again.append(_Bracket(b.col, g[lo] if lo > 0 else b.lo, g[hi] if hi < NARROW_GRID else b.hi, {p}))
+                again.append(_Bracket(b.at, g[lo] if lo > 0 else b.lo, g[hi] if hi < NARROW_GRID else b.hi, {p}))
         for p in b.positions - held:
-            again.append(_Bracket(b.col, None, b.lo, {p}) if p < below else _Bracket(b.col, b.hi, None, {p}))
+            again.append(_Bracket(b.at, -math.inf, b.lo, {p}) if p < below else _Bracket(b.at, b.hi, math.inf, {p}))
     return ready, _merged(again)
 
 
@@ -408,42 +426,40 @@ def _quantiles_select(df: DataFrame, cols: list[str], probs: list[float]) -> Dat
     counted exactly on the executors. The sketches only choose the brackets: counts below and inside say which position
     a value has, and a bracket that misses its position is widened, so the answer is exact. The driver sees bracket ends
     and one value per position."""
+    # NaN is above every number: no bracket holds it, no sketch takes it, so only the row counts must leave it out
+    xs = df.select(*[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(cols)])
     grid = sorted({min(1.0, max(0.0, p + d)) for p in probs for d in (-2 * SKETCH_ERROR, 2 * SKETCH_ERROR)})
-    aggs = []
-    for i, c in enumerate(cols):
-        x = _Bracket(c, None, None, set()).value()
-        aggs += [F.count(x).alias(f"n{i}"), _sketch_quantiles(x, grid).alias(f"g{i}")]
-    row = df.agg(*aggs).first()
+    row = xs.agg(*[a for c in xs.columns for a in (_numbers(F.col(c)).alias(f"n_{c}"), _sketch_quantiles(F.col(c), grid).alias(f"g_{c}"))]).first()
     sizes, ready, wide = {}, [], []
-    for i, c in enumerate(cols):
-        n = int(row[f"n{i}"])
+    for i, c in enumerate(xs.columns):
+        n = int(row[f"n_{c}"])
         if n == 0:
             continue
-        sizes[c] = n
-        ends = dict(zip(grid, row[f"g{i}"], strict=True))
+        sizes[i] = n
+        ends = dict(zip(grid, row[f"g_{c}"], strict=True))
         brackets = []
         for p in probs:
             h = (n - 1) * p
             lo, hi = p - 2 * SKETCH_ERROR, p + 2 * SKETCH_ERROR
-            brackets.append(_Bracket(c, ends[lo] if lo > 0 else None, ends[hi] if hi < 1 else None, {math.floor(h), math.ceil(h)}))
+            brackets.append(_Bracket(i, ends[lo] if lo > 0 else -math.inf, ends[hi] if hi < 1 else math.inf, {math.floor(h), math.ceil(h)}))
         small = 5 * SKETCH_ERROR * n * len(probs) <= FINISH_ROWS
         (ready if small else wide).extend(_merged(brackets))
-    found: dict[tuple[str, int], float] = {}
+    found: dict[tuple[int, int], float] = {}
     while ready or wide:
         if wide:
-            more, wide = _narrowed(df, wide)
+            more, wide = _narrowed(xs, wide)
             ready += more
         if ready and not wide:
-            found |= _count_inside(df, ready)
-            missed = [b for b in ready if any((b.col, p) not in found for p in b.positions)]
-            ready, wide = [], [_Bracket(b.col, b.lo, b.hi, {p for p in b.positions if (b.col, p) not in found}) for b in missed]
+            found |= _count_inside(xs, sorted(ready, key=lambda b: b.at))
+            missed = [b for b in ready if any((b.at, p) not in found for p in b.positions)]
+            ready, wide = [], [_Bracket(b.at, b.lo, b.hi, {p for p in b.positions if (b.at, p) not in found}) for b in missed]
     out = []
-    for c, n in sizes.items():
+    for i, n in sizes.items():
         for qi, p in enumerate(probs):
             h = (n - 1) * p
             a, b = math.floor(h), math.ceil(h)
-            va, vb = found[c, a], found[c, b]
-            out.append((c, qi, p, float(va if va == vb else (b - h) * va + (h - a) * vb)))
+            va, vb = found[i, a], found[i, b]
+            out.append((cols[i], qi, p, float(va if va == vb else (b - h) * va + (h - a) * vb)))
     return df.sparkSession.createDataFrame(out, "column string, q_index int, prob double, value double")
 
 

@@ -12,9 +12,10 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lathe.operators.columns import numeric_columns, split_columns, distinct_counts, is_numeric_type
+from lathe.operators.columns import numeric_columns, split_columns, distinct_up_to, is_numeric_type
 from lathe.operators.profile import spearman_with_target
 from lathe.operators.ranks import GroupedValues, join_by_counts, qcut_code
+from lathe.session import written
 
 OTHER = "__OTHER__"
 NA_LABEL = "<NA>"
@@ -226,25 +227,86 @@ def violin_stats(df: DataFrame, group: str, value: str, bins: int = 20) -> dict[
     return {"box": _box(values), "density": dens}
 
 
-def run_eda(df: DataFrame, target: str, max_cat_card: int = 30, num_count: int = 10, cat_count: int = 10,
-            min_count: int = 200) -> dict[str, DataFrame]:
-    """Column split, regression test, top numeric/categorical features, then the
-    relationship tables for them. Returns an empty dict when the target is absent."""
+#: Fixed order of the day parts in the line by time of day.
+DAY_PARTS = ["morning", "afternoon", "evening"]
+
+
+def run_eda(df: DataFrame, target: str, max_cat_card: int = 30, num_count: int = 10, cat_count: int = 10, min_count: int = 200,
+            trend_count: int = 3000, cell_count: int | None = None) -> dict[str, DataFrame]:
+    """Column split, regression test, and the relationship tables of the strongest features, by section:
+
+    ``roles``, and for a numeric target with more than 20 values ``top_numeric`` (largest absolute rank correlation; the
+    first ``num_count`` columns where none has one), ``top_categorical`` (largest range of means; the first columns
+    likewise), ``pairs`` (hexagonal counts of each top number with the target), ``box`` and ``density`` (per top category),
+    ``trend`` (strongest number by strongest category), ``cells`` (two strongest categories) and ``hex_mean`` (two
+    strongest numbers). Any other target: ``category_rates`` of the first six categories, ``trend`` (12 bins) and ``cells``
+    of the first columns. Both: ``day_parts`` where there is a column time_of_day, and ``signal``. A section without
+    features is left out. Returns an empty dict when the target is absent."""
     if target not in df.columns:
         return {}
-    feats = df.drop(target)
-    num, cats = split_columns(feats, max_cat_card)
-    y_nd = distinct_counts(df, [target])[target]
-    regression = is_numeric_type(df.schema[target].dataType) and y_nd > 20
+    num, cats = split_columns(df.drop(target), max_cat_card)
+    regression = is_numeric_type(df.schema[target].dataType) and distinct_up_to(df, [target], 20)[target] is None
     spark = df.sparkSession
     out = {"roles": spark.createDataFrame(
         [(c, "numeric") for c in num] + [(c, "categorical") for c in cats] + [(target, "regression" if regression else "classification")],
         "column string, role string")}
-    top_num = top_numeric_by_spearman(df, num, target, num_count) if num else None
-    top_cat = top_categorical_by_range(df, cats, target, min_count, cat_count) if cats else None
-    if top_num is not None:
-        out["top_numeric"] = top_num
-    if top_cat is not None:
-        out["top_categorical"] = top_cat
-        out["category_rates"] = {c: target_rate_by_category(df, c, target) for c in cats}
+    if regression:
+        if num:
+            out["top_numeric"] = written(top_numeric_by_spearman(df, num, target, num_count), "eda-numeric")
+        if cats:
+            out["top_categorical"] = written(top_categorical_by_range(df, cats, target, min_count, cat_count), "eda-categorical")
+        # names of at most num_count + cat_count columns
+        nums = [r["feature"] for r in out["top_numeric"].orderBy(F.desc("abs_rho"), "feature").collect()] if num else []
+        best = [r["feature"] for r in out["top_categorical"].orderBy(F.desc("range"), "feature").collect()] if cats else []
+        nums, best = nums or num[:num_count], best or cats[:cat_count]
+        if nums:
+            out["pairs"] = hexbin_count(df, [(c, target) for c in nums])
+        violins = {c: violin_stats(df, c, target) for c in best}
+        for section, part in (("box", "box"), ("density", "density")):
+            if violins:
+                out[section] = _stacked([v[part].withColumn("feature", F.lit(c)).withColumnRenamed(c, "category")
+                                         .withColumn("category", F.col("category").cast("string")) for c, v in violins.items()])
+        bins, cells = 15, 1000
+        if len(nums) > 1:
+            out["hex_mean"] = hexbin_mean(df, nums[0], nums[1], target).select(F.lit(nums[0]).alias("x"), F.lit(nums[1]).alias("y"), "*")
+    else:
+        nums, best, bins, cells = num[:6], cats[:6], 12, 1500
+        rates = [target_rate_by_category(df, c, target, 100, 20).select(F.lit(c).alias("feature"), F.col(c).cast("string").alias("category"), "n", "rate")
+                 for c in best]
+        if rates:
+            out["category_rates"] = _stacked(rates)
+    if nums and best:
+        t = numeric_by_category_trend(df, nums[0], best[0], target, bins, trend_count)
+        out["trend"] = t.select(F.lit(nums[0]).alias("x"), F.lit(best[0]).alias("feature"), F.col(best[0]).cast("string").alias("category"),
+                                "bin", "center", "mean_target", "n")
+    if len(best) > 1:
+        t = cat_cat_table(df, best[0], best[1], target, cell_count or cells)
+        out["cells"] = t.select(F.lit(best[0]).alias("feature"), F.lit(best[1]).alias("feature2"), F.col(best[0]).alias("category"),
+                                F.col(best[1]).alias("category2"), "mean", "count")
+    if "time_of_day" in df.columns:
+        out["day_parts"] = ordered_category_mean(df, "time_of_day", target, DAY_PARTS)
+    signal = [t.select(F.lit(kind).alias("kind"), "feature", F.col("rho" if kind == "numeric" else "range").alias("score"))
+              for kind, t in feature_signal_ranking(df, target).items()]
+    if signal:
+        out["signal"] = _stacked(signal)
+    return out
+
+
+def _stacked(frames: list[DataFrame]) -> DataFrame:
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
     return out
+
+
+def long_form(sections: dict[str, DataFrame]) -> DataFrame:
+    """The tables of ``run_eda`` as one: ``(section, key, stat, value)``. ``key`` joins a row's names, labels and cell numbers
+    by ``|``; every measure of the row is one row here."""
+    out = []
+    for name, t in sections.items():
+        keys = [c for c, d in t.dtypes if d == "string" or c in ("grid", "i", "j", "bin", "position")]
+        stats = [c for c in t.columns if c not in keys] or [None]
+        key = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit(NA_LABEL)) for c in keys])
+        pairs = F.array(*[F.struct(F.lit(c or "").alias("stat"), (F.col(c) if c else F.lit(None)).cast("double").alias("value")) for c in stats])
+        out.append(t.select(F.lit(name).alias("section"), key.alias("key"), F.explode(pairs).alias("p")).select("section", "key", "p.*"))
+    return _stacked(out)

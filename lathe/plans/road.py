@@ -74,8 +74,8 @@ class RoadFeaturesModel:
         cols["curvature_bin"] = cb
         cols["curvature_sq"] = S.square("curvature")
         cols["speed_limit_sq"] = F.col("speed_limit") * F.col("speed_limit")
-        cols["speed_x_curvature_bin"] = F.concat_ws("_", F.col("speed_limit").cast("string"), cb)
-        cols["holiday_x_lighting"] = F.concat_ws("_", S.bool_text("holiday"), F.col("lighting").cast("string"))
+        cols["speed_x_curvature_bin"] = S.string_interaction("speed_limit", cb)
+        cols["holiday_x_lighting"] = S.string_interaction("holiday", "lighting")
         types = dict(d.dtypes)
         for c, t in types.items():          # P16
             if t == "boolean":

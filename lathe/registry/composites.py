@@ -1,6 +1,8 @@
 """Fit/transform composites (X4-X8), sources and sinks (S1-S4, S8), prose-only operators
 (T3, T7-T9) and sort/top-k forms (K1, K2), with DuckDB oracles."""
 
+import re
+
 from pyspark.sql import functions as F
 
 from lathe.functions import scalars as S
@@ -109,6 +111,10 @@ def x5_audio_v1(spark, sf):
 
 
 TOPS = ["Energy", "MoodScore", "VocalContent"]
+X6_COLUMNS = [c for c in AUDIO_COLS if c not in ("TrackDurationMs", "AudioLoudness")] + [
+    "TrackDurationMs", "log_duration", "AudioLoudness", "loud_mag", "Energy_sq", "drive", "stage", "bright", "mood_energy", "acoustic_energy", "rhythm_mood",
+    "vocal_to_instr", "vocal_log_ratio", "vocal_rel", "vocal_minus_instr", "vocal_to_instr_log1p", "vocal_to_instr_asinh", "energy_minus_acoustic", "high_energy",
+    "low_energy", "long_track", "Energy MoodScore", "Energy VocalContent", "MoodScore VocalContent"]
 
 
 def _x6_sql():
@@ -150,12 +156,31 @@ def x6_audio_v2(spark, sf):
     return _round_doubles(m.transform(a, drop_target=True))
 
 
-@register("x6_audio_v2_float32_types", """SELECT column_name AS "column", 'float' AS dtype FROM (VALUES ('RhythmScore'), ('Energy_sq'), ('vocal_to_instr')) t(column_name)""")
+@register("x6_audio_v2_float32_types", f"""SELECT c AS "column", 'float' AS dtype, n FROM
+  (SELECT unnest([{', '.join(f"'{c}'" for c in X6_COLUMNS)}]) AS c), (SELECT count(*) AS n FROM lineitem)""")
 def x6_float32(spark, sf):
+    """Type of every output column, with its number of values."""
     a = AU.audio_like(table(spark, sf, "lineitem"))
-    m = AU.fit_audio_v2(a, "BeatsPerMinute", top_features=TOPS)
-    t = dict(m.transform(a).dtypes)
-    return spark.createDataFrame([(c, t[c]) for c in ["RhythmScore", "Energy_sq", "vocal_to_instr"]], "column string, dtype string")
+    out = AU.fit_audio_v2(a, "BeatsPerMinute", top_features=TOPS).transform(a, drop_target=True)
+    return P.profile_shape(out).select("column", "dtype", F.col("non_null").alias("n"))
+
+
+@register("x6_audio_v2_float32_rows", re.sub(r"round\(([^,]*(?:\([^)]*\)[^,]*)*), 6\) \+ 0\.0 AS", r"CAST((\1) + 0.0 AS FLOAT) AS", _x6_sql())
+          .replace("CAST(log_duration > dlong AS TINYINT)", "CAST(log_duration > dlong AS FLOAT)"))
+def x6_float32_rows(spark, sf):
+    """Every row of the float32 form (X6 narrows its numbers to four bytes)."""
+    a = AU.audio_like(table(spark, sf, "lineitem"))
+    out = AU.fit_audio_v2(a, "BeatsPerMinute", top_features=TOPS).transform(a, drop_target=True)
+    return out.select(*[(F.col(f"`{c}`").cast("double") + 0.0).cast("float").alias(c) for c in out.columns])
+
+
+@register("x6_audio_v2_learned_features")
+def x6_learned(spark, sf):
+    """X6 with its own six strongest features, learned by boosted trees, and all their products."""
+    a = AU.audio_like(table(spark, sf, "lineitem"))
+    m = AU.fit_audio_v2(a, "BeatsPerMinute")
+    m.float32 = False
+    return _round_doubles(m.transform(a, drop_target=True))
 
 
 @register("x8_target_winsorizer", """WITH b AS (SELECT quantile_cont(o_totalprice, 0.0005) AS lo, quantile_cont(o_totalprice, 0.9995) AS hi FROM orders)
@@ -196,6 +221,23 @@ def x7_road(spark, sf):
     return _round_doubles(out)
 
 
+ROAD_MISSING = {"lighting": "num_lanes = 2", "holiday": "num_reported_accidents = 1", "weather": "num_lanes = 4", "speed_limit": "num_lanes = 5", "curvature": "num_lanes = 6"}
+X7_MISSING_SQL = X7_SQL.replace(ROAD_SQL, f"(SELECT * REPLACE ({', '.join(f'CASE WHEN {w} THEN NULL ELSE {c} END AS {c}' for c, w in ROAD_MISSING.items())}) FROM {ROAD_SQL})") \
+    .replace("count(DISTINCT curvature) AS nd", "count(DISTINCT curvature) AS nd") \
+    .replace("weather || '_' || lighting", "coalesce(weather, 'nan') || '_' || coalesce(lighting, 'nan')") \
+    .replace("CAST(speed_limit AS VARCHAR) || '_'", "coalesce(CAST(speed_limit AS VARCHAR), 'nan') || '_'") \
+    .replace("CASE WHEN holiday THEN 'True' ELSE 'False' END || '_' || lighting", "CASE WHEN holiday IS NULL THEN 'nan' WHEN holiday THEN 'True' ELSE 'False' END || '_' || coalesce(lighting, 'nan')")
+
+
+@register("x7_road_features_missing", X7_MISSING_SQL)
+def x7_road_missing(spark, sf):
+    """Missing lighting, holiday, weather, speed and curvature, put in by fixed rules: text features spell them ``nan``."""
+    r = RD.road_like(table(spark, sf, "lineitem"), table(spark, sf, "orders"))
+    r = r.select(*[F.when(~F.expr(ROAD_MISSING[c]), F.col(c)).alias(c) if c in ROAD_MISSING else F.col(c) for c in r.columns])
+    out = RD.RoadFeaturesModel().transform(r)
+    return _round_doubles(out.withColumn("speed_curvature_ratio", r6("speed_curvature_ratio", 4)))
+
+
 @register("x7_road_features_dedup", X7_SQL.replace(ROAD_SQL, f"(SELECT DISTINCT * FROM {ROAD_SQL})"))
 def x7_road_dedup(spark, sf):
     r = RD.road_like(table(spark, sf, "lineitem"), table(spark, sf, "orders"))
@@ -224,11 +266,11 @@ def s1_csv(spark, sf):
     return IO.read_table_csv(spark, path, schema=CUST_SCHEMA)
 
 
-@register("s1_read_csv_inferred", "SELECT c_custkey, c_acctbal FROM customer")
+@register("s1_read_csv_inferred", "SELECT * FROM customer")
 def s1_csv_infer(spark, sf):
-    path = IO.write_csv(table(spark, sf, "customer"), scratch_path(spark, "customer-csv"))
-    df = IO.read_table_csv(spark, path, infer_schema=True)
-    return df.select(F.col("c_custkey").cast("long"), F.col("c_acctbal").cast("double"))
+    c = table(spark, sf, "customer")
+    df = IO.read_table_csv(spark, IO.write_csv(c, scratch_path(spark, "customer-csv")), infer_schema=True)
+    return df.select(*[F.col(f.name).cast(f.dataType) for f in c.schema.fields])
 
 
 @register("s2_read_delimited", "SELECT * FROM customer")

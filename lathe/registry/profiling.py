@@ -239,6 +239,23 @@ def a29_compare(spark, sf):
                     *[F.col(f"rank_{s}").cast("int") for s in ("std", "max", "mean")])
 
 
+def _target_corr_sql(side, where):
+    return " UNION ALL ".join(f"SELECT '{side}' AS side, '{c}' AS feature, covar_samp({c}, l_extendedprice) / nullif(stddev_samp({c}) * stddev_samp(l_extendedprice), 0) AS r "
+                              f"FROM lineitem WHERE l_shipdate {where} TIMESTAMP '1995-06-17'" for c in CORR_COLS)
+
+
+CORR_COLS = ["l_quantity", "l_discount", "l_tax", "l_linenumber", "l_partkey", "l_suppkey"]
+
+
+@register("a29_target_correlations", f"""SELECT side, CAST(rank AS INT) AS rank, feature, round(r, 6) + 0.0 AS r FROM (
+  SELECT *, row_number() OVER (PARTITION BY side ORDER BY abs(r) DESC, feature) AS rank FROM (
+  {_target_corr_sql('a', '<')} UNION ALL {_target_corr_sql('b', '>=')}) WHERE r IS NOT NULL AND NOT isnan(r)) WHERE rank <= 5""")
+def a29_correlations(spark, sf):
+    li, cut = table(spark, sf, "lineitem"), F.lit("1995-06-17").cast("timestamp")
+    c = P.compare_target_correlations(li.where(F.col("l_shipdate") < cut), li.where(F.col("l_shipdate") >= cut), "l_extendedprice", CORR_COLS)
+    return c.select("side", F.col("rank").cast("int"), "feature", r6("r").alias("r"))
+
+
 LI_ALL = LI_NUM + ["l_returnflag", "l_linestatus", "l_shipdate"]
 
 

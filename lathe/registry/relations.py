@@ -64,9 +64,9 @@ def a19_rate(spark, sf):
     return r.select("p_brand", "n", r6("rate").alias("rate"))
 
 
-def trend_sql(x, cat, y, q, min_count):
-    return f"""WITH d AS (SELECT {cat} AS cat, CAST({x} AS DOUBLE) AS x, CAST({y} AS DOUBLE) AS y FROM lineitem
-  WHERE {cat} IN (SELECT {cat} FROM lineitem GROUP BY {cat} HAVING count(*) >= {min_count}) AND {x} IS NOT NULL AND {y} IS NOT NULL),
+def trend_sql(x, cat, y, q, min_count, tbl="lineitem"):
+    return f"""WITH d AS (SELECT {cat} AS cat, CAST({x} AS DOUBLE) AS x, CAST({y} AS DOUBLE) AS y FROM {tbl}
+  WHERE {cat} IN (SELECT {cat} FROM {tbl} GROUP BY {cat} HAVING count(*) >= {min_count}) AND {x} IS NOT NULL AND {y} IS NOT NULL),
 nd AS (SELECT cat, least({q}, count(DISTINCT x)) AS q, count(*) AS n FROM d GROUP BY cat HAVING count(DISTINCT x) >= 2),
 pts AS (SELECT cat, i, (n - 1) * (i / q) AS h FROM nd, range(0, {q} + 1) t(i) WHERE i <= q),
 r AS (SELECT cat, x, row_number() OVER (PARTITION BY cat ORDER BY x) - 1 AS pos FROM d),
@@ -201,10 +201,13 @@ def a26_box(spark, sf):
     return _box_out(R.box_stats(table(spark, sf, "orders"), "o_orderpriority", "o_totalprice"))
 
 
-@register("a27_violin_density", """WITH s AS (SELECT o_orderstatus, min(o_totalprice) AS lo, (max(o_totalprice) - min(o_totalprice)) / 20 AS w, count(*) AS nn FROM orders GROUP BY 1),
+DENSITY_SQL = """WITH s AS (SELECT o_orderstatus, min(o_totalprice) AS lo, (max(o_totalprice) - min(o_totalprice)) / 20 AS w, count(*) AS nn FROM orders GROUP BY 1),
 b AS (SELECT o.o_orderstatus, lo, w, nn, CAST(CASE WHEN w = 0 THEN 0 ELSE least(floor((o_totalprice - lo) / w), 19) END AS INT) AS bin FROM orders o JOIN s USING (o_orderstatus))
 SELECT o_orderstatus, bin, round(lo + bin * w, 4) + 0.0 AS lo, round(lo + (bin + 1) * w, 4) + 0.0 AS hi, count(*) AS n,
-  round(count(*) / (nn * w) * 1e6, 6) + 0.0 AS density_e6 FROM b GROUP BY o_orderstatus, bin, lo, w, nn""")
+  round(count(*) / (nn * w) * 1e6, 6) + 0.0 AS density_e6 FROM b GROUP BY o_orderstatus, bin, lo, w, nn"""
+
+
+@register("a27_violin_density", DENSITY_SQL)
 def a27_violin(spark, sf):
     v = R.violin_stats(table(spark, sf, "orders"), "o_orderstatus", "o_totalprice", 20)["density"]
     return v.select("o_orderstatus", F.col("bin").cast("int"), r6("lo", 4).alias("lo"), r6("hi", 4).alias("hi"), "n",
@@ -216,17 +219,80 @@ def a27_violin_box(spark, sf):
     return _box_out(R.violin_stats(table(spark, sf, "orders"), "o_orderstatus", "o_totalprice", 20)["box"])
 
 
-@register("x10_run_eda", f"""SELECT 'role' AS section, c AS name, r AS label, CAST(NULL AS DOUBLE) AS value FROM (VALUES ('o_orderkey', 'numeric'), ('o_custkey', 'numeric'),
-  ('o_orderstatus', 'categorical'), ('o_orderpriority', 'categorical'), ('o_totalprice', 'regression')) t(c, r)
-UNION ALL SELECT 'top_numeric', feature, NULL, round(abs(rho), 6) + 0.0 FROM ({_spear_target_sql('orders', ['o_orderkey', 'o_custkey'], 'o_totalprice')})
-UNION ALL SELECT 'top_categorical', feature, NULL, round(range, 6) + 0.0 FROM ({_range_sql('orders', ['o_orderpriority', 'o_orderstatus'], 'o_totalprice', 200)}) WHERE groups >= 2""")
+EDA_NUM, EDA_CAT = ["o_custkey", "o_orderkey"], ["o_orderpriority", "o_orderstatus"]
+
+
+def _long(section, table_sql, keys, stats):
+    key = " || '|' || ".join(f"CAST({k} AS VARCHAR)" for k in keys)
+    return " UNION ALL ".join(f"SELECT '{section}' AS section, {key} AS key, '{c}' AS stat, CAST({c} AS DOUBLE) AS value FROM ({table_sql})" for c in stats)
+
+
+def _eda_sql():
+    """The sections of the runner over ``orders``. The strongest features are found in SQL too: each section is written for
+    every choice and kept for the one that the ranking makes."""
+    tn = f"SELECT feature, abs(rho) AS abs_rho, row_number() OVER (ORDER BY abs(rho) DESC, feature) AS r FROM ({_spear_target_sql('orders', EDA_NUM, 'o_totalprice')})"
+    tc = f"SELECT feature, range, row_number() OVER (ORDER BY range DESC, feature) AS r FROM ({_range_sql('orders', EDA_CAT, 'o_totalprice', 200)}) WHERE groups >= 2"
+    n, c = (lambda f, k: f"'{f}' = (SELECT feature FROM tn WHERE r = {k})"), (lambda f, k: f"'{f}' = (SELECT feature FROM tc WHERE r = {k})")
+    parts = ["""SELECT 'roles' AS section, c || '|' || r AS key, '' AS stat, CAST(NULL AS DOUBLE) AS value FROM (VALUES ('o_orderkey', 'numeric'), ('o_custkey', 'numeric'),
+  ('o_orderstatus', 'categorical'), ('o_orderpriority', 'categorical'), ('o_totalprice', 'regression')) t(c, r)""",
+             _long("top_numeric", "SELECT * FROM tn", ["feature"], ["abs_rho"]), _long("top_categorical", "SELECT * FROM tc", ["feature"], ["range"])]
+    hexes = " UNION ALL ".join(f"SELECT '{x}' AS x, 'o_totalprice' AS y, * FROM ({hex_sql('orders', x, 'o_totalprice', 40)})" for x in EDA_NUM)
+    parts.append(_long("pairs", hexes, ["x", "y", "grid", "i", "j"], ["cx", "cy", "n"]))
+    boxes = " UNION ALL ".join(f"SELECT '{f}' AS feature, {f} AS category, q1, median, q3, whisker_lo, whisker_hi, outliers, n FROM ({BOX_SQL.replace('o_orderpriority', f)})"
+                               for f in EDA_CAT)
+    parts.append(_long("box", boxes, ["category", "feature"], ["q1", "median", "q3", "whisker_lo", "whisker_hi", "outliers", "n"]))
+    dens = " UNION ALL ".join(f"SELECT '{f}' AS feature, {f} AS category, bin, lo, hi, n, density_e6 AS density FROM ({DENSITY_SQL.replace('o_orderstatus', f)})" for f in EDA_CAT)
+    parts.append(_long("density", dens, ["category", "bin", "feature"], ["lo", "hi", "n", "density"]))
+    for x in EDA_NUM:
+        y = next(f for f in EDA_NUM if f != x)
+        parts.append(_long("hex_mean", f"SELECT '{x}' AS x, '{y}' AS y, * FROM ({hex_sql('orders', x, y, 50, 'o_totalprice')}) WHERE {n(x, 1)}",
+                           ["x", "y", "grid", "i", "j"], ["cx", "cy", "n", "mean"]))
+        for f in EDA_CAT:
+            trend = trend_sql(x, f, "o_totalprice", 15, 3000, "orders")
+            parts.append(_long("trend", f"SELECT '{x}' AS x, '{f}' AS feature, * FROM ({trend}) WHERE {n(x, 1)} AND {c(f, 1)}", ["x", "feature", f, "bin"],
+                               ["center", "mean_target", "n"]))
+    for f in EDA_CAT:
+        g = next(k for k in EDA_CAT if k != f)
+        cells = f"""SELECT {f} AS c1, {g} AS c2, avg(o_totalprice) AS mean, count(*) AS count FROM orders GROUP BY 1, 2 HAVING count(*) >= 500"""
+        parts.append(_long("cells", f"SELECT '{f}' AS f1, '{g}' AS f2, * FROM ({cells}) WHERE {c(f, 1)}", ["f1", "f2", "c1", "c2"], ["mean", "count"]))
+    parts.append("SELECT 'signal', 'numeric|' || feature, 'score', rho FROM (" + _spear_target_sql('orders', EDA_NUM, 'o_totalprice') + ")")
+    parts.append("SELECT 'signal', 'categorical|' || feature, 'score', range FROM (" + _range_sql('orders', EDA_CAT, 'o_totalprice', 1) + ") WHERE groups >= 2")
+    return f"WITH tn AS ({tn}), tc AS ({tc}) SELECT section, key, stat, round(value, 6) + 0.0 AS value FROM (" + " UNION ALL ".join(parts) + ")"
+
+
+def _eda_rows(sections):
+    """Long form, with the digits of the single queries (densities per million)."""
+    v = F.col("value")
+    value = F.when(F.col("stat").isin("cx", "cy", "lo", "hi"), r6(v, 4)).when(F.col("stat") == "density", r6(v * 1e6)).otherwise(r6(v))
+    return R.long_form(sections).select("section", "key", "stat", value.alias("value"))
+
+
+@register("x10_run_eda", _eda_sql())
 def x10_run_eda(spark, sf):
     o = table(spark, sf, "orders").drop("o_orderdate")
-    rep = R.run_eda(o, "o_totalprice", 30, 10, 10, 200)
-    roles = rep["roles"].select(F.lit("role").alias("section"), F.col("column").alias("name"), F.col("role").alias("label"),
-                                F.lit(None).cast("double").alias("value"))
-    tn = rep["top_numeric"].select(F.lit("top_numeric").alias("section"), F.col("feature").alias("name"),
-                                   F.lit(None).cast("string").alias("label"), r6("abs_rho").alias("value"))
-    tc = rep["top_categorical"].select(F.lit("top_categorical").alias("section"), F.col("feature").alias("name"),
-                                       F.lit(None).cast("string").alias("label"), r6("range").alias("value"))
-    return roles.unionByName(tn).unionByName(tc)
+    return _eda_rows(R.run_eda(o, "o_totalprice", 30, 10, 10, 200, cell_count=500))
+
+
+X10_CLASS = """(SELECT o_custkey, o_totalprice, o_orderpriority, ['morning', 'afternoon', 'evening'][o_orderkey % 3 + 1] AS time_of_day,
+  CAST(o_orderstatus = 'F' AS INT) AS y FROM orders)"""
+
+
+@register("x10_run_eda_classification", f"""WITH d AS {X10_CLASS} SELECT section, key, stat, round(value, 6) + 0.0 AS value FROM (
+SELECT 'roles' AS section, c || '|' || r AS key, '' AS stat, CAST(NULL AS DOUBLE) AS value FROM (VALUES ('o_custkey', 'numeric'), ('o_totalprice', 'numeric'),
+  ('o_orderpriority', 'categorical'), ('time_of_day', 'categorical'), ('y', 'classification')) t(c, r)
+UNION ALL {_long("category_rates", " UNION ALL ".join(f"SELECT '{f}' AS feature, {f} AS category, count(*) AS n, avg(y) AS rate FROM d GROUP BY 1, 2 HAVING count(*) >= 100"
+                                                     for f in ("o_orderpriority", "time_of_day")), ["feature", "category"], ["n", "rate"])}
+UNION ALL {_long("trend", "SELECT 'o_custkey' AS x, 'o_orderpriority' AS feature, * FROM (" + trend_sql("o_custkey", "o_orderpriority", "y", 12, 1000, "d") + ")",
+                 ["x", "feature", "o_orderpriority", "bin"], ["center", "mean_target", "n"])}
+UNION ALL {_long("cells", "SELECT 'o_orderpriority' AS f1, 'time_of_day' AS f2, o_orderpriority AS c1, time_of_day AS c2, avg(y) AS mean, count(*) AS count FROM d GROUP BY 3, 4 HAVING count(*) >= 100",
+                 ["f1", "f2", "c1", "c2"], ["mean", "count"])}
+UNION ALL {_long("day_parts", "SELECT p, l.t, m AS mean FROM (VALUES (0, 'morning'), (1, 'afternoon'), (2, 'evening')) l(p, t) LEFT JOIN (SELECT time_of_day AS t, avg(y) AS m FROM d GROUP BY 1) USING (t)",
+                 ["p", "t"], ["mean"])}
+UNION ALL SELECT 'signal', 'numeric|' || feature, 'score', rho FROM ({_spear_target_sql('d', ['o_custkey', 'o_totalprice'], 'y')})
+UNION ALL SELECT 'signal', 'categorical|' || feature, 'score', range FROM ({_range_sql('d', ['o_orderpriority', 'time_of_day'], 'y', 1)}) WHERE groups >= 2)""")
+def x10_run_eda_classification(spark, sf):
+    """The runner on a 0/1 target: rates, trend and cells of the first columns, the line by time of day."""
+    o = table(spark, sf, "orders")
+    part = F.element_at(F.array(*[F.lit(p) for p in R.DAY_PARTS]), (F.col("o_orderkey") % 3 + 1).cast("int"))
+    d = o.select("o_custkey", "o_totalprice", "o_orderpriority", part.alias("time_of_day"), (F.col("o_orderstatus") == "F").cast("int").alias("y"))
+    return _eda_rows(R.run_eda(d, "y", trend_count=1000, cell_count=100))
