@@ -92,11 +92,11 @@ def _sketch_quantiles(x: F.Column, probs: list[float]) -> F.Column:
     return F.when(_numbers(x) > 0, F.kll_sketch_get_quantile_double(sketch, F.array(*[F.lit(float(p)) for p in probs])))
 
 
-def range_cuts(df: DataFrame, value: str = "value") -> list[float]:
-    """Cut points of ``value`` for the rank plan, from one sketch over the rows of ``df``: at least one bucket per shuffle
-    partition, and about ``TARGET_BUCKET_ROWS`` rows in a bucket, up to ``MAX_BUCKETS``."""
+def range_cuts(df: DataFrame, value: str = "value", least: int = 2) -> list[float]:
+    """Cut points of ``value`` for the rank plan, from one sketch over the rows of ``df``: at least ``least`` buckets and one
+    per shuffle partition, and about ``TARGET_BUCKET_ROWS`` rows in a bucket, up to ``MAX_BUCKETS``."""
     x = _number(F.col(value), df.schema[value].dataType)
-    parts = max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    parts = max(least, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
     def cuts(b: int):
         return df.agg(_numbers(x).alias("n"), _sketch_quantiles(x, [i / b for i in range(1, b)]).alias("g")).first()
@@ -114,7 +114,7 @@ def range_bucket(x: F.Column, cuts: list[float]) -> F.Column:
             return F.lit(lo)
         mid = (lo + hi) // 2
         return F.when(x > F.lit(float(cuts[mid])), halve(mid + 1, hi)).otherwise(halve(lo, mid))
-    if len(cuts) < 32:  # compiled comparisons; more of them would not be compiled by the JVM
+    if len(cuts) < 64:  # compiled comparisons; more of them would not be compiled by the JVM
         return halve(0, len(cuts))
     table = F.array(*[F.lit(float(c)) for c in cuts])
     steps = F.array(*[F.lit(1 << k) for k in reversed(range(len(cuts).bit_length()))])
@@ -266,7 +266,7 @@ def _positions(hb: DataFrame, offsets: DataFrame, totals: DataFrame, keys: list[
 class GroupedValues:
     """The values of one column per group as one written histogram, from which all statistics of a group's distribution
     come: rows ``(group..., bucket, value, n, <sums>)``, one per distinct value, in range buckets that no group fills
-    beyond its share of the bucket. Statistics of a group reach its values through ``(group, bucket)``, so the values of
+    beyond its share of the bucket (64 or more: only those that hold a wanted position are sorted). Statistics of a group reach its values through ``(group, bucket)``, so the values of
     a group that holds much of the table stay spread. Rows with a NULL group or value do not count."""
 
     def __init__(self, df: DataFrame, by, value: str, sums: dict[str, str] | None = None):
@@ -274,7 +274,7 @@ class GroupedValues:
         rows = df.select(*self.by, F.col(value).cast("double").alias("value"),
                          *[F.col(c).cast("double").alias(f"_in_{out}") for out, c in (sums or {}).items()]).dropna(subset=[*self.by, "value"])
         hist = value_histogram(rows, self.by, "value", {out: f"_in_{out}" for out in sums or {}})
-        self.hist = written(hist.withColumn("bucket", range_bucket(F.col("value"), range_cuts(rows))), "grouped-values")
+        self.hist = written(hist.withColumn("bucket", range_bucket(F.col("value"), range_cuts(rows, least=64))), "grouped-values")
         sizes = self.hist.groupBy(*self.by, "bucket").agg(F.sum("n").alias("_bn"), F.count(F.lit(1)).alias("_distinct"),
                                                           F.min("value").alias("_lo"), F.max("value").alias("_hi"))
         before = Window.partitionBy(*self.by).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)

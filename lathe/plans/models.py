@@ -13,13 +13,15 @@ from __future__ import annotations
 import json
 import math
 import random
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark.ml import Pipeline
+from pyspark import SparkContext, inheritable_thread_target
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (GBTClassificationModel, GBTClassifier, LogisticRegression, LogisticRegressionModel,
                                        RandomForestClassificationModel, RandomForestClassifier)
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, RegressionEvaluator
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.feature import StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.regression import (GBTRegressionModel, GBTRegressor, LinearRegression, LinearRegressionModel,
                                    RandomForestRegressionModel, RandomForestRegressor)
 from pyspark.ml.tuning import CrossValidator
@@ -27,11 +29,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lathe.functions.scalars import from_model_space, to_model_space
+from lathe.operators.blend import apply_blend, load_blend_weights, save_blend_weights
 from lathe.operators.metrics import rmse, roc_auc
-from lathe.operators.ranks import kfold
+from lathe.operators.ranks import kfold, safe_stratify_bins, sample_n
 from lathe.session import checkpoint_dir
 
 FEATURES = "features"
+#: Fits whose Spark jobs are submitted side by side.
+PARALLEL_FITS = 4
 
 
 # ---------------------------------------------------------------- featurization
@@ -49,9 +54,12 @@ def featurizer(features: list[str], categorical: list[str] | None = None) -> Pip
 
 
 def prepare(df: DataFrame, features: list[str], label: str, categorical=None, id_col: str = "id",
-            k: int = 5, seed=42, stratify: bool = False, checkpoint: bool = True):
+            k: int = 5, seed=42, stratify: bool = False, checkpoint: bool = True, fit_rows: int | None = None):
     """Featurize once, add ``fold`` (exact, optionally stratified on the label), checkpoint.
-    Returns ``(frame, featurizer_model)`` with columns ``id, label, fold, features``."""
+    Returns ``(frame, featurizer_model)`` with columns ``id, label, fold, features``. ``fit_rows`` bounds the labelled rows
+    that models learn from: a sample of that many rows by hash of the id."""
+    if fit_rows is not None:
+        df = sample_n(df, fit_rows, id_col, seed)
     fm = featurizer(features, categorical).fit(df)
     x = fm.transform(df).select(id_col, F.col(label).cast("double").alias(label), FEATURES)
     x = kfold(x, id_col, k, seed, strata=[label] if stratify else None)
@@ -100,6 +108,27 @@ def best_iteration(model, valid: DataFrame, task: str) -> int:
     return int(min(range(len(losses)), key=lambda i: (losses[i], i))) + 1
 
 
+def first_rounds(model, rounds: int):
+    """The boosted model as it stood after ``rounds`` rounds: its first trees and their weights, no second fit."""
+    if rounds >= model.getNumTrees:
+        return model
+    context = SparkContext._active_spark_context
+    jvm, gateway = context._jvm, context._gateway
+    java = model._java_obj
+    trees = gateway.new_array(jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, rounds)
+    weights = gateway.new_array(gateway.jvm.double, rounds)
+    for i, (t, w) in enumerate(zip(java.trees()[:rounds], java.treeWeights()[:rounds], strict=True)):
+        trees[i], weights[i] = t, w
+    if isinstance(model, GBTClassificationModel):
+        cut = jvm.org.apache.spark.ml.classification.GBTClassificationModel(java.uid(), trees, weights, java.numFeatures(), java.numClasses())
+    else:
+        cut = jvm.org.apache.spark.ml.regression.GBTRegressionModel(java.uid(), trees, weights, java.numFeatures())
+    out = type(model)(cut)
+    model._copyValues(out)
+    out._transfer_params_to_java()
+    return out
+
+
 # ---------------------------------------------------------------- cross-validation
 
 @dataclass
@@ -123,11 +152,11 @@ def cross_validate(x: DataFrame, label: str, task: str, family: str = "gbt", k:
     A fold's scores are written once; its metric and the union read them."""
     checkpoint_dir(x.sparkSession)
     folds = sorted(r[0] for r in x.select("fold").distinct().collect()) if k is None else list(range(k))
-    parts, metrics, models, bests = [], [], [], []
-    for f in folds:
+
+    def one(f):
         tr = x.where(F.col("fold") != f)
         va = x.where(F.col("fold") == f)
-        lab = label
+        lab, best = label, None
         if task == "regression" and target_mode != "raw":
             tr = tr.withColumn("_t", to_model_space(label, target_mode))
             lab = "_t"
@@ -136,24 +165,26 @@ def cross_validate(x: DataFrame, label: str, task: str, family: str = "gbt", k:
             est = est.setWeightCol(weight)
         m = est.fit(tr)
         if early_stopping and family == "gbt":
-            b = best_iteration(m, va.withColumn(lab, to_model_space(label, target_mode)) if lab != label else va, task)
-            bests.append(b)
-            if b < m.getNumTrees:
-                m = est.copy({est.maxIter: b}).fit(tr)
+            best = best_iteration(m, va.withColumn(lab, to_model_space(label, target_mode)) if lab != label else va, task)
+            m = first_rounds(m, best)
         pred = score_col(m.transform(va), task)
         if task == "regression" and target_mode != "raw":
             pred = pred.withColumn("score", from_model_space("score", target_mode))
         pred = pred.select("id", "fold", label, "score").checkpoint(eager=True)
-        parts.append(pred)
-        if task == "binary":
-            metrics.append(roc_auc(pred, "score", label).first()["auc"])
-        else:
-            metrics.append(rmse(pred, "score", label).first()["rmse"])
-        models.append(m)
+        metric = roc_auc(pred, "score", label).first()["auc"] if task == "binary" else rmse(pred, "score", label).first()["rmse"]
+        return pred, metric, m, best
+
+    parts, metrics, models, bests = zip(*side_by_side(one, folds), strict=True)
     oof = parts[0]
     for p in parts[1:]:
         oof = oof.unionByName(p)
-    return CVResult(oof, metrics, models, bests)
+    return CVResult(oof, list(metrics), list(models), [b for b in bests if b is not None])
+
+
+def side_by_side(run, items: list) -> list:
+    """``run`` of every item, ``PARALLEL_FITS`` at a time on driver threads (small fits wait for jobs more than they compute)."""
+    with ThreadPoolExecutor(PARALLEL_FITS) as pool:
+        return list(pool.map(inheritable_thread_target(run), items))
 
 
 def refit_with_cv_rounds(x: DataFrame, label: str, task: str, cv: CVResult, min_rounds: int = 50, seed=42, **params):
@@ -163,32 +194,37 @@ def refit_with_cv_rounds(x: DataFrame, label: str, task: str, cv: CVResult, min_
     return estimator("gbt", task, label, seed, **params).fit(x), rounds
 
 
-def seed_fold_ensemble(df: DataFrame, features: list[str], label: str, test: DataFrame, seeds=(42, 43),
-                       k: int = 5, task: str = "regression", family: str = "gbt", id_col: str = "id", target_mode: str = "raw", **params):
-    """For each seed, folds by that seed, k models; test predictions are the average over
-    seeds of fold-averaged predictions; OOF predictions averaged over seeds. Scores of models fitted in
-    ``target_mode`` return to the original scale before they are averaged."""
-    fm = featurizer(features).fit(df)
-    xt = fm.transform(test).select(id_col, FEATURES)
-    oof_parts, test_cols = [], []
-    xt_scored = xt
-    for s in seeds:
-        x = fm.transform(df).select(F.col(id_col).alias("id"), F.col(label).cast("double").alias(label), FEATURES)
-        x = kfold(x, "id", k, s).checkpoint(eager=True)
-        cv = cross_validate(x, label, task, family, k, s, target_mode=target_mode, **params)
-        oof_parts.append(cv.oof.select("id", F.col("score").alias(f"s{s}")))
-        for i, m in enumerate(cv.models):
-            col = f"p_{s}_{i}"
-            xt_scored = _apply(m, xt_scored, task, col)
-            if task == "regression" and target_mode != "raw":
-                xt_scored = xt_scored.withColumn(col, from_model_space(col, target_mode))
-            test_cols.append(col)
-    oof = oof_parts[0]
-    for p in oof_parts[1:]:
-        oof = oof.join(p, "id")
-    oof = oof.select("id", (sum(F.col(f"s{s}") for s in seeds) / len(seeds)).alias("oof"))
-    pred = xt_scored.select(F.col(id_col).alias("id"), (sum(F.col(c) for c in test_cols) / len(test_cols)).alias("prediction"))
-    return oof, pred
+def fold_matrix(x: DataFrame, label: str, seeds, k: int = 5, id_col: str = "id", strata: str | None = None) -> DataFrame:
+    """``x`` with ``folds``: one fold number per seed, in the order of ``seeds``. Folds are stratified on ``strata``, or on
+    quantile bins of the label (W7), so in every seed the folds of a bin differ by at most one row."""
+    binned = x.withColumn("_bin", F.col(strata)) if strata else safe_stratify_bins(x, label, out="_bin")
+    for i, s in enumerate(seeds):
+        binned = kfold(binned, id_col, k, s, strata="_bin", out=f"_fold{i}")
+    return binned.select(*x.columns, F.array(*[F.col(f"_fold{i}") for i in range(len(seeds))]).alias("folds"))
+
+
+def seed_fold_ensemble(df: DataFrame, features: list[str], label: str, test: DataFrame, seeds=(42, 43, 44, 45, 46),
+                       k: int = 5, task: str = "regression", family: str = "gbt", id_col: str = "id", target_mode: str = "raw",
+                       fit_rows: int | None = None, categorical=None, **params):
+    """For each seed, folds by that seed (stratified on the class, or on quantile bins of a numeric label), k models;
+    test predictions are the average over seeds of fold-averaged predictions; OOF predictions averaged over seeds. Scores
+    of models fitted in ``target_mode`` return to the original scale before they are averaged. The table is featurized,
+    given all its folds and written once."""
+    checkpoint_dir(df.sparkSession)
+    if fit_rows is not None:
+        df = sample_n(df, fit_rows, id_col)
+    fm = featurizer(features, categorical).fit(df)
+    x = fm.transform(df).select(F.col(id_col).alias("id"), F.col(label).cast("double").alias(label), FEATURES)
+    x = fold_matrix(x, label, seeds, k, strata=label if task == "binary" else None).checkpoint(eager=True)
+    runs = [cross_validate(x.withColumn("fold", F.col("folds")[i]).drop("folds"), label, task, family, k, s, target_mode=target_mode, **params)
+            for i, s in enumerate(seeds)]
+    oof = None
+    for cv in runs:
+        oof = cv.oof.select("id", "score") if oof is None else oof.unionByName(cv.oof.select("id", "score"))
+    oof = oof.groupBy("id").agg(F.avg("score").alias("oof"))
+    scored = fm.transform(test).select(F.col(id_col).alias("id"), FEATURES)
+    pred = predict_ensemble([m for cv in runs for m in cv.models], scored, task, "prediction", target_mode)
+    return oof, pred.select("id", "prediction")
 
 
 def _apply(model, df: DataFrame, task: str, out: str) -> DataFrame:
@@ -203,15 +239,71 @@ def _apply(model, df: DataFrame, task: str, out: str) -> DataFrame:
     return m.transform(df).withColumnRenamed(f"{out}__pred", out)
 
 
-def predict_ensemble(models: list, df: DataFrame, task: str, out: str = "prediction") -> DataFrame:
-    """Apply every model to the featurized table and average."""
+def predict_ensemble(models: list, df: DataFrame, task: str, out: str = "prediction", target_mode: str = "raw") -> DataFrame:
+    """Apply every model to the featurized table and average (on the original scale of the label)."""
     cols = []
     for i, m in enumerate(models):
         df = _apply(m, df, task, f"_m{i}")
+        if task == "regression" and target_mode != "raw":
+            df = df.withColumn(f"_m{i}", from_model_space(f"_m{i}", target_mode))
         cols.append(f"_m{i}")
     return df.withColumn(out, sum(F.col(c) for c in cols) / len(cols)).drop(*cols)
 
 
+# ---------------------------------------------------------------- a saved ensemble of families
+
+def save_blend_ensemble(models: dict, weights: dict[str, float], featurizer_model, contract: "ScoringContract", path: str) -> str:
+    """Everything that scoring needs under one folder: the models per (family, fold), the weight per family, the fitted
+    featurizer and the contract."""
+    spark, path = SparkSession.getActiveSession(), path.rstrip("/")
+    save_models(models, f"{path}/models")
+    save_blend_weights(spark, weights, f"{path}/weights")
+    featurizer_model.write().overwrite().save(f"{path}/featurizer")
+    contract.save(spark, f"{path}/contract")
+    return path
+
+
+def score_saved_ensemble(spark: SparkSession, path: str, df: DataFrame, task: str, out: str = "prediction") -> DataFrame:
+    """``(id, p_<family>..., out)`` of a table by an ensemble saved with ``save_blend_ensemble``: the contract is checked, each family's
+    folds are averaged (M12), families are blended by the saved weights (M14)."""
+    path = path.rstrip("/")
+    x = PipelineModel.load(f"{path}/featurizer").transform(ScoringContract.load(spark, f"{path}/contract").check(df)).select("id", FEATURES)
+    weights, models = load_blend_weights(spark, f"{path}/weights"), load_model_folder(spark, f"{path}/models")
+    for family in sorted(weights):
+        x = predict_ensemble([m for (f, _), m in sorted(models.items()) if f == family], x, task, f"p_{family}")
+    return apply_blend(x, {f"p_{f}": w for f, w in weights.items()}, out).drop(FEATURES)
+
+
+# ---------------------------------------------------------------- holdout with fitted state
+
+def holdout_score(train: DataFrame, holdout: DataFrame, fit, label: str, task: str, categorical=None, id_col: str = "id", k: int = 5, seed=42,
+                  fit_rows: int | None = None, family: str = "gbt", **params) -> tuple[DataFrame, DataFrame]:
+    """``fit(train)`` gives a transform (a fitted X4, X6 or X7) that both tables go through; an ensemble of k fold
+    models learns from the training table and scores the other; missing numbers become -1, which trees can split off.
+    Returns ``(id, label, score)`` of the holdout and its metrics (``auc`` for a binary label, and ``rmse``, ``n``)."""
+    fitted = fit(train)
+
+    def transform(df):
+        out = fitted(df)
+        numbers = {c for c, t in out.dtypes if t in ("double", "float")}
+        return out.select(*[F.nanvl(F.coalesce(F.col(f"`{c}`"), F.lit(-1)), F.lit(-1)).alias(c) if c in numbers
+                            else F.coalesce(F.col(f"`{c}`"), F.lit(-1)).alias(c) if t in ("bigint", "int", "smallint", "tinyint") and c != id_col else F.col(f"`{c}`")
+                            for c, t in out.dtypes])
+    tr = transform(train)
+    text = [c for c, t in tr.dtypes if t == "string" and c not in (id_col, label)]
+    categorical = [c for c in (categorical or text) if c in tr.columns]
+    features = [c for c, t in tr.dtypes if c not in (id_col, label) and (c in categorical or t in ("double", "float", "bigint", "int", "smallint", "tinyint"))]
+    x, fm = prepare(tr, features, label, categorical, id_col, k, seed, stratify=task == "binary", fit_rows=fit_rows)
+    if family != "lr":  # trees need a bin for every label of a category
+        labels = max([len(v) for s in fm.stages if isinstance(s, StringIndexerModel) for v in s.labelsArray], default=0)
+        params = {"maxBins": max(32, labels + 2)} | params
+    cv = cross_validate(x.withColumnRenamed(id_col, "id"), label, task, family, k, seed, **params)
+    ho = fm.transform(transform(holdout)).select(F.col(id_col).alias("id"), F.col(label).cast("double").alias(label), FEATURES)
+    scored = predict_ensemble(cv.models, ho, task, "score").drop(FEATURES).checkpoint(eager=True)
+    metrics = rmse(scored, "score", label)
+    return scored, roc_auc(scored, "score", label).crossJoin(metrics) if task == "binary" else metrics
+
+
 # ---------------------------------------------------------------- importance, search, contract
 
 def feature_importances(model, features: list[str]) -> list[tuple[str, float]]:
@@ -221,8 +313,10 @@ def feature_importances(model, features: list[str]) -> list[tuple[str, float]]:
 
 
 def top_features_by_importance(df: DataFrame, features: list[str], target: str, n: int = 6,
-                               rounds: int = 20, depth: int = 5, seed=42) -> list[str]:
-    """K3: the ``n`` most important features of a quick boosted-tree regressor."""
+                               rounds: int = 100, depth: int = 5, seed=42, fit_rows: int | None = None) -> list[str]:
+    """K3: the ``n`` most important features of a boosted-tree regressor; ``fit_rows`` bounds the rows it learns from."""
+    if fit_rows is not None:
+        df = sample_n(df.withColumn("_row", F.xxhash64(*df.columns)), fit_rows, "_row", seed).drop("_row").checkpoint(eager=True)
     x = VectorAssembler(inputCols=features, outputCol=FEATURES, handleInvalid="keep").transform(df)
     m = GBTRegressor(featuresCol=FEATURES, labelCol=target, maxIter=rounds, maxDepth=depth, stepSize=0.1, seed=seed).fit(x)
     return [f for f, _ in feature_importances(m, features)[:n]]
@@ -230,55 +324,64 @@ def top_features_by_importance(df: DataFrame, features: list[str], target: str,
 
 def random_search_grid(space: dict, trials: int, seed=42, start: dict | None = None) -> list[dict]:
     """Seeded random points of a search space. Each entry of ``space`` is
-    ``("loguniform", lo, hi)``, ``("uniform", lo, hi)``, ``("int", lo, hi)`` or ``("choice", [..])``;
-    ``start`` (clamped into the ranges) is the first point."""
+    ``("loguniform", lo, hi)``, ``("uniform", lo, hi)``, ``("int", lo, hi)``, ``("choice", [..])`` or
+    ``("branch", {name: space})``: one of the nested spaces is chosen, and only its parameters are drawn.
+    ``start`` (clamped into the ranges, its branch being the first that holds all its nested names) is the first point."""
     rng = random.Random(seed)
 
-    def draw(spec):
-        kind = spec[0]
-        if kind == "loguniform":
-            return math.exp(rng.uniform(math.log(spec[1]), math.log(spec[2])))
-        if kind == "uniform":
-            return rng.uniform(spec[1], spec[2])
-        if kind == "int":
-            return rng.randint(spec[1], spec[2])
-        return rng.choice(spec[1])
-
-    def clamp(name, v):
-        spec = space[name]
-        if spec[0] in ("loguniform", "uniform", "int"):
-            return min(max(v, spec[1]), spec[2])
-        return v
-
-    pts = []
-    if start:
-        pts.append({k: clamp(k, v) for k, v in start.items() if k in space})
+    def draw(space):
+        point = {}
+        for name, spec in space.items():
+            kind = spec[0]
+            if kind == "branch":
+                point |= draw(spec[1][rng.choice(sorted(spec[1]))])
+            elif kind == "loguniform":
+                point[name] = math.exp(rng.uniform(math.log(spec[1]), math.log(spec[2])))
+            elif kind == "uniform":
+                point[name] = rng.uniform(spec[1], spec[2])
+            elif kind == "int":
+                point[name] = rng.randint(spec[1], spec[2])
+            else:
+                point[name] = rng.choice(spec[1])
+        return point
+
+    def clamped(space, values):
+        point = {}
+        for name, spec in space.items():
+            if spec[0] == "branch":
+                nested = {n for sub in spec[1].values() for n in sub} & set(values)
+                for sub in sorted(spec[1]):
+                    if nested <= set(spec[1][sub]):
+                        point |= clamped(spec[1][sub], values)
+                        break
+            elif name in values:
+                v = values[name]
+                point[name] = v if spec[0] == "choice" else min(max(v, spec[1]), spec[2])
+        return point
+
+    pts = [clamped(space, start)] if start else []
     while len(pts) < trials:
-        pts.append({k: draw(v) for k, v in space.items()})
+        pts.append(draw(space))
     return pts
 
 
-def parameter_search(x: DataFrame, label: str, task: str, space: dict, trials: int = 4, seed=42,
-                     parallelism: int = 2, family: str = "gbt"):
-    """Random points -> ``ParamGridBuilder`` maps -> ``CrossValidator(foldCol='fold')``.
-    Returns ``(best_params, metrics_per_point, cv_model)``."""
-    est = estimator(family, task, label, seed)
-    points = random_search_grid(space, trials, seed)
-    maps = []
-    for p in points:
-        pm = {}
-        for k, v in p.items():
-            pm[est.getParam(k)] = v
-        maps.append(pm)
+def parameter_search(x: DataFrame, label: str, task: str, space: dict, trials: int = 10, seed=42,
+                     parallelism: int = PARALLEL_FITS, family: str = "gbt", start: dict | None = None, **fixed):
+    """The start point and random points -> parameter maps -> ``CrossValidator(foldCol='fold')``; ``fixed`` parameters hold for
+    all points. Returns ``(best_params, points, metrics_per_point, cv_model)``."""
+    est = estimator(family, task, label, seed, **fixed)
+    points = random_search_grid(space, trials, seed, start)
+    maps = [{est.getParam(k): v for k, v in p.items()} for p in points]
     ev = (BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="prediction__raw", metricName="areaUnderROC")
           if task == "binary" else RegressionEvaluator(labelCol=label, predictionCol="prediction", metricName="rmse"))
-    cv = CrossValidator(estimator=est, estimatorParamMaps=maps, evaluator=ev, foldCol="fold",
+    folds = int(x.agg(F.max("fold")).first()[0]) + 1
+    cv = CrossValidator(estimator=est, estimatorParamMaps=maps, evaluator=ev, foldCol="fold", numFolds=folds,
                         parallelism=parallelism, seed=seed)
     cvm = cv.fit(x)
     metrics = list(cvm.avgMetrics)
-    best = max(range(len(metrics)), key=lambda i: metrics[i]) if task == "binary" else \
-        min(range(len(metrics)), key=lambda i: metrics[i])
-    return points[best], metrics, cvm
+    pick = max if task == "binary" else min
+    best = pick(range(len(metrics)), key=lambda i: metrics[i])
+    return points[best], points, metrics, cvm
 
 
 @dataclass

@@ -176,13 +176,24 @@ def x6_float32_rows(spark, sf):
 
 @register("x6_audio_v2_learned_features")
 def x6_learned(spark, sf):
-    """X6 with its own six strongest features, learned by boosted trees, and all their products."""
+    """X6 with its own six strongest features, learned by boosted trees from 10,000 tracks, and all their products."""
     a = AU.audio_like(table(spark, sf, "lineitem"))
-    m = AU.fit_audio_v2(a, "BeatsPerMinute")
+    m = AU.fit_audio_v2(a, "BeatsPerMinute", learn_rows=10_000)
     m.float32 = False
     return _round_doubles(m.transform(a, drop_target=True))
 
 
+@register("x3_category_table", """SELECT o_orderkey, CAST(dense_rank() OVER (ORDER BY c_name) - 1 AS BIGINT) AS c_name_code
+  FROM orders JOIN customer ON o_custkey = c_custkey""")
+def x3_category_table(spark, sf):
+    """Codes of a column with a category per customer, fitted, saved, reloaded and applied to the orders."""
+    from lathe.operators.encode import CategoryTable, fit_category_table
+    o, c = table(spark, sf, "orders"), table(spark, sf, "customer")
+    named = o.join(c, o.o_custkey == c.c_custkey).select("o_orderkey", "c_name")
+    path = fit_category_table(named, "c_name").save(scratch_path(spark, "category-table"))
+    return CategoryTable.load(spark, path).transform(named, drop_original=True)
+
+
 @register("x8_target_winsorizer", """WITH b AS (SELECT quantile_cont(o_totalprice, 0.0005) AS lo, quantile_cont(o_totalprice, 0.9995) AS hi FROM orders)
 SELECT o_orderkey, round(least(greatest(o_totalprice, lo), hi), 6) + 0.0 AS o_totalprice FROM orders, b""")
 def x8_target(spark, sf):

@@ -76,3 +76,48 @@ def test_random_search_is_seeded_and_clamps_start(spark):
     a = MD.random_search_grid(space, 5, 7, start={"subsamplingRate": 1.0, "maxDepth": 4})
     b = MD.random_search_grid(space, 5, 7, start={"subsamplingRate": 1.0, "maxDepth": 4})
     assert a == b and a[0]["subsamplingRate"] == 0.9 and len(a) == 5
+
+
+def test_boosted_model_cut_to_its_first_rounds(spark, frame):
+    x, _ = MD.prepare(frame, ["c_acctbal", "c_nationkey"], "yy", k=2)
+    full = MD.estimator("gbt", "binary", "yy", maxIter=4, maxDepth=2).fit(x)
+    cut, refit = MD.first_rounds(full, 2), MD.estimator("gbt", "binary", "yy", maxIter=2, maxDepth=2).fit(x)
+    assert cut.getNumTrees == 2 and MD.first_rounds(full, 4) is full
+    a, b = (MD.predict_ensemble([m], x.select("id", MD.FEATURES), "binary") for m in (cut, refit))
+    assert a.exceptAll(b).count() == 0
+
+
+def test_folds_of_every_seed_are_balanced_by_target_bin(spark, frame):
+    from lathe.operators.ranks import safe_stratify_bins
+    x = frame.select("id", "t")
+    m = MD.fold_matrix(x, "t", (1, 2, 3), 5)
+    binned = safe_stratify_bins(m, "t")
+    for i in range(3):
+        sizes = binned.groupBy("bin", F.col("folds")[i].alias("f")).count().groupBy("bin").agg((F.max("count") - F.min("count")).alias("d"), F.count("*").alias("k"))
+        assert all(r["d"] <= 1 and r["k"] == 5 for r in sizes.collect())
+    assert m.where(F.col("folds")[0] != F.col("folds")[1]).count() > 0 and m.columns == ["id", "t", "folds"]
+
+
+def test_search_never_draws_the_inactive_branch(spark):
+    space = {"stepSize": ("uniform", 0.1, 0.2), "growth": ("branch", {"deep": {"maxDepth": ("int", 4, 6)}, "wide": {"maxBins": ("int", 32, 64), "minInstancesPerNode": ("int", 1, 9)}})}
+    pts = MD.random_search_grid(space, 40, 3, start={"stepSize": 0.5, "maxDepth": 9})
+    assert pts[0] == {"stepSize": 0.2, "maxDepth": 6} and len(pts) == 40
+    kinds = {frozenset(p) for p in pts}
+    assert kinds == {frozenset({"stepSize", "maxDepth"}), frozenset({"stepSize", "maxBins", "minInstancesPerNode"})}
+    assert MD.random_search_grid(space, 1, 3, start={"maxBins": 40, "minInstancesPerNode": 2}) == [{"maxBins": 40, "minInstancesPerNode": 2}]
+
+
+def test_saved_families_score_like_their_parts(spark, frame):
+    feats = ["c_acctbal", "c_nationkey", "o_orderpriority"]
+    x, fm = MD.prepare(frame, feats, "yy", ["o_orderpriority"], k=2)
+    models = {(f, i): m for f, p in (("gbt", dict(maxIter=2, maxDepth=2)), ("lr", dict(maxIter=5))) for i, m in enumerate(MD.cross_validate(x, "yy", "binary", f, 2, **p).models)}
+    path = MD.save_blend_ensemble(models, {"gbt": 0.75, "lr": 0.25}, fm, MD.ScoringContract(feats, ["o_orderpriority"], "yy"), scratch_path(spark, "t-ensemble"))
+    got = MD.score_saved_ensemble(spark, path, frame, "binary")
+    assert got.count() == frame.count() and got.where(~F.col("prediction").between(0, 1)).count() == 0
+    z = fm.transform(frame).select("id", MD.FEATURES)
+    for f in ("gbt", "lr"):
+        z = MD.predict_ensemble([models[f, 0], models[f, 1]], z, "binary", f"p_{f}")
+    want = z.select("id", (0.75 * F.col("p_gbt") + 0.25 * F.col("p_lr")).alias("w"))
+    assert got.join(want, "id").where(F.abs(F.col("w") - F.col("prediction")) > 1e-12).count() == 0
+    with pytest.raises(ValueError):
+        MD.score_saved_ensemble(spark, path, frame.drop("c_acctbal"), "binary")

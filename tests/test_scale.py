@@ -189,3 +189,36 @@ def test_clear_scratch_removes_the_written_tables(spark):
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(scratch_folder(spark))
     fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     assert fs.exists(path) and clear_scratch(spark) and not fs.exists(path) and not clear_scratch(spark)
+
+
+@pytest.mark.parametrize("limit", [1_000_000, 1000])
+def test_codes_of_200_000_categories(spark, monkeypatch, limit):
+    monkeypatch.setattr(R, "HOT_ROWS", limit)
+    df = spark.range(200_000).select(F.format_string("c%07d", F.col("id") * 7 % 200_000).alias("c"), F.lit(1).alias("n")) \
+        .union(spark.range(5_000).select(F.lit("c0000003").alias("c"), F.lit(1).alias("n"))).union(spark.sql("select cast(null as string), 1"))
+    model = E.fit_category_table(df, "c")
+    assert model.size == 200_000
+    out = model.transform(df)
+    assert out.count() == 205_001 and out.where("c_code <> cast(substr(c, 2) as long)").count() == 0
+    assert out.where("c is null and c_code is null").count() == 1
+    new = spark.createDataFrame([("c0000005",), ("zz",), (None,)], "c string")
+    assert [r.category for r in model.unseen(new).collect()] == ["zz"]
+    with pytest.raises(Exception, match="unseen label"):
+        model.transform(new).collect()
+    model.handle_invalid = "keep"
+    assert sorted(str(r.c_code) for r in model.transform(new).collect()) == ["200000", "5", "None"]
+    assert dict(E.cast_category(new, {"c": model}).dtypes)["c"] == "int"
+    assert E.fit_category_table(df.where("n > 1"), "c").size == 0
+
+
+def test_distinct_counts_up_to_a_bound(spark):
+    from lathe.operators import columns as C
+    df = spark.range(30_000).select((F.col("id") % 20).alias("few"), F.col("id").alias("many"), F.when(F.col("id") % 3 > 0, F.concat(F.lit("v"), F.col("id") % 21)).alias("s"),
+                                    F.when(F.col("id") % 2 == 0, "").alias("empty"), (F.col("id") % 2 == 0).alias("b"), (F.col("id") % 3000 / 7).alias("d"),
+                                    F.lit(None).cast("int").alias("none"))
+    want = {"few": 20, "many": 30_000, "s": 14, "empty": 1, "b": 2, "d": 3000, "none": 0}
+    assert C.distinct_counts(df, df.columns) == want
+    assert C.distinct_up_to(df, df.columns, 20) == {c: n if n <= 20 else None for c, n in want.items()}
+    assert C.distinct_up_to(df, ["many", "d"], 3000) == {"many": None, "d": 3000}
+    assert "Expand" not in _nodes(df.agg(F.theta_sketch_agg("few", 12)))
+    assert C.is_regression(df, "many") and not C.is_regression(df, "few") and C.is_discrete_numeric(df, "few")
