@@ -155,3 +155,28 @@ def route_curviness(routes: DataFrame, geojson: str = "geojson", route_id: str =
     ang = vertex_angles(proj, route_id, block_size=block_size)
     agg = ang.groupBy(route_id).agg(F.count(F.lit(1)).alias("n_vertices"), F.avg("angle_deg").alias("mean_angle"))
     return agg.withColumn("curviness", curviness_score(F.col("mean_angle")))
+
+
+def whole_route_curviness(routes: DataFrame, geojson: str = "geojson", route_id: str = "route_id",
+                          origin_lat: str | None = None, origin_lng: str | None = None) -> DataFrame:
+    """X11 for a stream of whole routes: the same columns as ``route_curviness``, with each route's vertices walked inside
+    its row, so there is no window, no grouping and no state. A route must fit in a row; a table with routes of many
+    millions of vertices takes ``route_curviness``. Routes without vertices give no row, as there."""
+    g = F.from_json(F.col(geojson), GEOJSON_LINESTRING)["coordinates"]
+    r = routes.select(F.col(route_id), g.alias("_c")) if not origin_lat else routes.select(F.col(route_id), g.alias("_c"), F.col(origin_lat).alias("_la"), F.col(origin_lng).alias("_lo"))
+    olat, olng = (F.col("_la"), F.col("_lo")) if origin_lat else (F.col("_c")[0][1], F.col("_c")[0][0])
+    r = r.where(F.size("_c") > 0).withColumn("_olat", olat).withColumn("_zone", utm_zone(olat, olng))
+
+    def project(p):
+        e, n = utm_project(p[1], p[0], F.col("_zone"), F.col("_olat") < 0)
+        return F.struct(e.alias("x"), n.alias("y"))
+    r = r.withColumn("_p", F.transform("_c", project))
+    n = F.size("_p")
+
+    def angle(i):
+        a, b, c = F.get("_p", i - 1), F.get("_p", i), F.get("_p", i + 1)
+        return F.when((i == 0) | (i == n - 1), F.lit(180.0)).otherwise(turn_angle(a["x"], a["y"], b["x"], b["y"], c["x"], c["y"]))
+    angles = F.transform(F.sequence(F.lit(0), n - 1), angle)
+    out = r.withColumn("_a", angles).select(F.col(route_id), n.cast("long").alias("n_vertices"),
+                                            (F.aggregate("_a", F.lit(0.0), lambda s, v: s + v) / n).alias("mean_angle"))
+    return out.withColumn("curviness", curviness_score(F.col("mean_angle")))

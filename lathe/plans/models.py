@@ -32,7 +32,7 @@ from lathe.functions.scalars import from_model_space, to_model_space
 from lathe.operators.blend import apply_blend, load_blend_weights, save_blend_weights
 from lathe.operators.metrics import rmse, roc_auc
 from lathe.operators.ranks import kfold, safe_stratify_bins, sample_n
-from lathe.session import checkpoint_dir
+from lathe.session import checkpoint_dir, written
 
 FEATURES = "features"
 #: Fits whose Spark jobs are submitted side by side.
@@ -316,7 +316,8 @@ def top_features_by_importance(df: DataFrame, features: list[str], target: str,
                                rounds: int = 100, depth: int = 5, seed=42, fit_rows: int | None = None) -> list[str]:
     """K3: the ``n`` most important features of a boosted-tree regressor; ``fit_rows`` bounds the rows it learns from."""
     if fit_rows is not None:
-        df = sample_n(df.withColumn("_row", F.xxhash64(*df.columns)), fit_rows, "_row", seed).drop("_row").checkpoint(eager=True)
+        numbered = written(df.withColumn("_row", F.monotonically_increasing_id()), "importance-rows")
+        df = written(sample_n(numbered, fit_rows, "_row", seed).drop("_row"), "importance-sample")
     x = VectorAssembler(inputCols=features, outputCol=FEATURES, handleInvalid="keep").transform(df)
     m = GBTRegressor(featuresCol=FEATURES, labelCol=target, maxIter=rounds, maxDepth=depth, stepSize=0.1, seed=seed).fit(x)
     return [f for f, _ in feature_importances(m, features)[:n]]

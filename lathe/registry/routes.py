@@ -110,11 +110,14 @@ def f35_project(spark, sf):
     return v.select("route_id", F.col("seq").cast("int"), r6(e, 3).alias("x"), r6(n, 3).alias("y"))
 
 
-@register("x11_route_curviness", f"""WITH a AS (SELECT route_id, {_angle_sql('px', 'py', 'x', 'y', 'nx', 'ny')} AS angle FROM (
+X11_SQL = f"""WITH a AS (SELECT route_id, {_angle_sql('px', 'py', 'x', 'y', 'nx', 'ny')} AS angle FROM (
   SELECT route_id, x, y, lag(x) OVER w AS px, lag(y) OVER w AS py, lead(x) OVER w AS nx, lead(y) OVER w AS ny FROM {PROJ_SQL}
   WINDOW w AS (PARTITION BY route_id ORDER BY seq)))
 SELECT route_id, count(*) AS n_vertices, round(avg(angle), 6) + 0.0 AS mean_angle,
-  round((180.0 - greatest(avg(angle), 160.0)) / 20.0, 6) + 0.0 AS curviness FROM a GROUP BY route_id""")
+  round((180.0 - greatest(avg(angle), 160.0)) / 20.0, 6) + 0.0 AS curviness FROM a GROUP BY route_id"""
+
+
+@register("x11_route_curviness", X11_SQL)
 def x11_curviness(spark, sf):
     c = G.route_curviness(routes_geojson(spark, sf))
     return c.select("route_id", "n_vertices", r6("mean_angle").alias("mean_angle"), r6("curviness").alias("curviness"))

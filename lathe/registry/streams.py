@@ -2,8 +2,11 @@
 
 from pyspark.sql import functions as F
 
+from lathe.functions.geo import whole_route_curviness
 from lathe.operators.stats import Winsorizer, RobustScaler, FittedState, apply_fitted_broadcast
 from lathe.registry.base import register, table, r6
+from lathe.registry.routes import X11_SQL, routes_geojson
+from lathe.session import scratch_path
 from lathe.streaming.scoring import score_stream, stream_table
 
 STREAM_SQL = """WITH b AS (SELECT quantile_cont(value, 0.01) AS lo, quantile_cont(value, 0.99) AS hi FROM events),
@@ -53,3 +56,13 @@ def st2_broadcast(spark, sf):
         j = apply_fitted_broadcast(df, st, spark)
         return j.select("event_id", r6((F.col("value") - F.col("value__mean")) / F.col("value__std")).alias("z"))
     return score_stream(spark, stream_table(spark, sf, "events"), run, "events-z")
+
+
+@register("st3_stream_route_curviness", X11_SQL)
+def st3_routes(spark, sf):
+    """A stream of whole routes scored without a window: the batch result (X11)."""
+    path = scratch_path(spark, "routes")
+    routes_geojson(spark, sf).select("route_id", "geojson").write.parquet(path)
+    stream = spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
+    c = score_stream(spark, stream, whole_route_curviness, "routes-scored")
+    return c.select("route_id", "n_vertices", r6("mean_angle").alias("mean_angle"), r6("curviness").alias("curviness"))

@@ -96,7 +96,7 @@ def _windows(node):
 def _assert_no_single_task_window(df):
     """Every window has a partition key, except over tables of counts per range bucket or per md5 prefix (at most 65,536 rows)."""
     windows = _windows(df._jdf.queryExecution().optimizedPlan())
-    bad = [order for empty, order in windows if empty and not order.startswith(("bucket#", "_hb#"))]
+    bad = [order for empty, order in windows if empty and not order.startswith(("bucket#", "__bucket#", "_hb#"))]
     assert not bad, bad
 
 
