@@ -392,30 +392,36 @@ def _count_inside(xs: DataFrame, brackets: list[_Bracket]) -> dict[tuple[int, in
 
 def _narrowed(xs: DataFrame, brackets: list[_Bracket]) -> tuple[list[_Bracket], list[_Bracket]]:
     """(brackets of at most ``FINISH_ROWS`` values between their ends, narrower brackets for the others), from one
-    aggregate: rows below and inside each bracket, and a sketch of the values inside. A bracket that misses a position
-    is replaced by what lies on that side of it."""
+    aggregate: rows below each bracket, on its lower end and between its ends, and a sketch of the values between. A
+    position on an end has that value; any other bracket shrinks to values between its ends, so each round gets nearer.
+    A bracket that misses a position is replaced by what lies on that side of it."""
     grid = [j / NARROW_GRID for j in range(NARROW_GRID + 1)]
     aggs = []
     for i, b in enumerate(brackets):
         x, lo, hi = b.value(), F.lit(float(b.lo)), F.lit(float(b.hi))
-        aggs += [_below(b).alias(f"b{i}"), F.count_if(x.between(lo, hi)).alias(f"n{i}"), F.count_if((x > lo) & (x < hi)).alias(f"o{i}"),
-                 _sketch_quantiles(F.when(x.between(lo, hi), x), grid).alias(f"g{i}")]
+        between = (x > lo) & (x < hi)
+        aggs += [_below(b).alias(f"b{i}"), F.count_if(x == lo).alias(f"e{i}"), F.count_if(between).alias(f"o{i}"),
+                 F.count_if(x.between(lo, hi)).alias(f"n{i}"), _sketch_quantiles(F.when(between, x), grid).alias(f"g{i}")]
     row = xs.agg(*aggs).first()
     ready, again = [], []
     margin = math.ceil(2 * SKETCH_ERROR * NARROW_GRID)
     for i, b in enumerate(brackets):
-        below, inside, g = int(row[f"b{i}"]), int(row[f"n{i}"]), row[f"g{i}"]
-        held = {p for p in b.positions if below <= p < below + inside}
-        if held and int(row[f"o{i}"]) <= FINISH_ROWS:
-            ready.append(_Bracket(b.at, b.lo, b.hi, held))
-        else:
-            for p in held:
-                at = (p - below) / inside * NARROW_GRID
-                lo, hi = math.floor(at) - margin, math.ceil(at) + margin
-                again.append(_Bracket(b.at, g[lo] if lo > 0 else b.lo, g[hi] if hi < NARROW_GRID else b.hi, {p}))
-        for p in b.positions - held:
-            again.append(_Bracket(b.at, -math.inf, b.lo, {p}) if p < below else _Bracket(b.at, b.hi, math.inf, {p}))
-    return ready, _merged(again)
+        below, on_lo, between, inside, g = (row[f"{k}{i}"] for k in "beong")
+        for p in b.positions:
+            if p < below:
+                again.append(_Bracket(b.at, -math.inf, b.lo, {p}))
+            elif p >= below + inside:
+                again.append(_Bracket(b.at, b.hi, math.inf, {p}))
+            elif p < below + on_lo:
+                ready.append(_Bracket(b.at, b.lo, b.lo, {p}))
+            elif p >= below + on_lo + between:
+                ready.append(_Bracket(b.at, b.hi, b.hi, {p}))
+            elif between <= FINISH_ROWS:
+                ready.append(_Bracket(b.at, b.lo, b.hi, {p}))
+            else:
+                at = (p - below - on_lo) / between * NARROW_GRID
+                again.append(_Bracket(b.at, g[max(0, math.floor(at) - margin)], g[min(NARROW_GRID, math.ceil(at) + margin)], {p}))
+    return _merged(ready), again  # not merged: joined brackets would grow again
 
 
 def _quantiles_select(df: DataFrame, cols: list[str], probs: list[float]) -> DataFrame:
@@ -448,7 +454,7 @@ def _quantiles_select(df: DataFrame, cols: list[str], probs: list[float]) -> Dat
     while ready or wide:
         if wide:
             more, wide = _narrowed(xs, wide)
-            ready += more
+            ready = _merged(ready + more)
         if ready and not wide:
             found |= _count_inside(xs, sorted(ready, key=lambda b: b.at))
             missed = [b for b in ready if any((b.at, p) not in found for p in b.positions)]
