@@ -204,7 +204,7 @@ def test_selected_quantiles_equal_exact_with_ties(spark, monkeypatch, finish, er
                                      (F.col("id") % 3 * 1.0).alias("y"), (F.col("id") * 17 % 2999 - 0.5).alias("z"),
                                      F.when(F.col("id") % 5 == 0, F.lit(float("nan"))).when(F.col("id") % 5 == 1, F.col("id")).alias("u"),
                                      F.lit(None).cast("double").alias("none"))
-    probs = [i / 10 for i in range(11)] + [0.002, 0.998]
+    probs = [i / 10 for i in range(11)] + [0.002, 0.998] if finish > 1000 else [0.1, 0.998]  # each narrowing round compiles an aggregate per position
     exact = df.withColumn("u", F.when(~F.isnan("u"), F.col("u")))
     a = {(r["column"], r["q_index"]): r["value"] for r in R.quantiles(exact, ["x", "y", "z", "u"], probs, mode="exact").collect()}
     b = {(r["column"], r["q_index"]): r["value"] for r in R.quantiles(df, ["x", "y", "z", "u", "none"], probs, mode="auto").collect()}
