@@ -40,6 +40,14 @@ def words(text, drop: str = "") -> Column:
     return F.array_remove(F.split(flat, " "), "")
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until ``df`` has no column of that name (in any case of letters)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def let(value: Column, body) -> Column:
     """``body(value)`` with ``value`` computed once per row, however often ``body`` names it (the optimizer may copy a
     column's expression into each place that reads it, inside lambdas too)."""

@@ -9,9 +9,9 @@ its tokens found equal on one diagonal, or on all diagonals together that hold a
 12 (words put in or left out shift the diagonal). A document is contaminated by an item with an overlap of at least ``least``;
 a smaller overlap is a lower bound, from the hit diagonals alone.
 
-Tokens are whitespace words with A-Z lower-cased and common punctuation dropped. Items of ``MIN_WORDS`` to 11 words must lie
-whole within the document, longer ones may reach over its ends; shorter items are ignored (they would match ordinary
-prose). Repeated items count once, under their smallest item_id. Null or empty texts match nothing; null ids are kept as they
+Tokens are whitespace words with A-Z lower-cased and common punctuation dropped. Items of ``MIN_WORDS`` words or more may
+reach over the document's ends. A shorter item would match ordinary prose: it counts, with overlap 1.0, where its words are those of
+the whole text or of one of its lines. Repeated items count once, under their smallest item_id. Null or empty texts match nothing; null ids are kept as they
 are. Repeated rows are each judged. Extra columns are ignored. An empty benchmark leaves every document clean; empty
 documents give an empty result.
 """
@@ -94,8 +94,7 @@ def _laid(tok: Column, x: Column, masks: tuple[str, ...]) -> Column:
     """An item laid over a document on one diagonal: ``(item_id, len, n, wide)``, the number of equal positions, and the
     positions themselves where they hold a window under one of the masks."""
     span = len(masks[0])
-    inside = (x["len"] >= span) | ((x["diagonal"] >= 0) & (x["diagonal"] + x["len"] <= F.size(tok)))
-    at = F.transform(F.sequence(F.lit(0), x["len"] - 1), lambda k: F.coalesce(inside & (_at(tok, x["diagonal"] + k) == F.get(x["item"], k)), F.lit(False)))
+    at = F.transform(F.sequence(F.lit(0), x["len"] - 1), lambda k: F.coalesce(_at(tok, x["diagonal"] + k) == F.get(x["item"], k), F.lit(False)))
 
     def window(same: Column, i: Column) -> Column:
         return F.array_contains(F.array(*[F.forall(F.array(*[F.get(same, i + k) for k, c in enumerate(m) if c == "1"]), lambda e: e) for m in masks]), True)
@@ -109,14 +108,26 @@ def _laid(tok: Column, x: Column, masks: tuple[str, ...]) -> Column:
     return let(at, judged)
 
 
+def _whole_runs(docs: DataFrame, short: DataFrame) -> DataFrame:
+    """``(doc_id, th, item_id, overlap)`` where the words of an item are those of a whole text or of one of its lines."""
+    def runs(text: Column) -> Column:
+        lines = F.transform(F.split(text, "\n"), lambda line: words(line, PUNCTUATION))
+        few = F.filter(F.array_append(lines, words(text, PUNCTUATION)), lambda w: (F.size(w) > 0) & (F.size(w) < MIN_WORDS))
+        return F.array_distinct(F.transform(few, lambda w: F.transform(w, lambda x: F.xxhash64(x))))
+    held = docs.select("doc_id", "th", F.explode_outer(runs(F.col("text"))).alias("tok")).where("tok is not null")
+    return salted_join(held, short.select("tok", "item_id"), ["tok"], F.struct("doc_id", "th")).select(
+        "doc_id", "th", "item_id", F.lit(1.0).alias("overlap")).distinct()
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, masks: tuple[str, ...] = MASKS, least: float = LEAST,
                   broadcast_hashes: int = BROADCAST_HASHES) -> DataFrame:
     """``(doc_id, contaminated, overlap, item_id, n_items)``, one row per input row: the largest overlap with an item,
     the smallest item that reaches it, and the number of items at or above ``least`` (0.0, null and 0 without hits)."""
     docs = docs.select("doc_id", "text").withColumn("th", F.xxhash64("text"))
-    items = (benchmark.select("item_id", tokens("text").alias("tok")).where(F.size("tok") >= MIN_WORDS)
+    items = (benchmark.select("item_id", tokens("text").alias("tok")).where(F.size("tok") > 0)
              .groupBy("tok").agg(F.min("item_id").alias("item_id")))
     items = materialize(items.withColumn("len", F.size("tok")), "decon-items")
+    short, items = items.where(F.col("len") < MIN_WORDS), items.where(F.col("len") >= MIN_WORDS)
     plan = seeds_for([r["len"] for r in items.select("len").distinct().collect()], least)
 
     used = tuple(dict.fromkeys(m for family in plan for m in family)) or SEEDS[0]
@@ -142,6 +153,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, masks: tuple[str, ...]
     covered = F.greatest(F.max("n"), F.size(F.array_distinct(F.flatten(F.collect_list("wide")))))
     per_item = (laid.select("doc_id", "th", "x.*").groupBy("doc_id", "th", "item_id", "len")
                 .agg(covered.alias("covered")).withColumn("overlap", F.col("covered") / F.col("len")))
+    if not short.isEmpty():
+        per_item = per_item.select("doc_id", "th", "item_id", "overlap").union(_whole_runs(docs, short))
     verdict = materialize(per_item.groupBy("doc_id", "th").agg(
         F.max("overlap").alias("overlap"), F.min(F.struct(-F.col("overlap"), F.col("item_id").alias("item_id")))["item_id"].alias("item_id"),
         F.count_if(F.col("overlap") >= least).alias("n_items")), "decon-verdict")

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from lathe.llm.common import connected_components, materialize
 
 FIT_ROWS = 20_000
+LENGTH_ROWS = 256
 CELL_ROWS = 1_000
 MAX_CELLS = 4_096
 PROBES = 4
@@ -110,12 +111,17 @@ def _tile(least: float):
 
 
 def fit_cells(reps: DataFrame, n: int, fit_rows: int = FIT_ROWS, cell_rows: int = CELL_ROWS) -> dict[int, np.ndarray]:
-    """Centroids per vector length, from about ``fit_rows`` rows chosen by hash."""
-    share = min(1.0, fit_rows / max(n, 1))
-    sample = reps.where(F.pmod(F.xxhash64("rep", F.lit("fit")), F.lit(1_000_000)) < int(share * 1_000_000)).select("rep", "dim", "embedding").toPandas()
+    """Centroids per vector length, from about ``fit_rows`` rows chosen by hash, shared among the lengths by their rows,
+    but about ``LENGTH_ROWS`` of each length at least (all, if it has fewer), so no length goes without centroids."""
+    totals = {r["dim"]: r["count"] for r in reps.groupBy("dim").count().collect()}  # one row per vector length
+    least = F.lit(0)
+    for dim, rows in totals.items():
+        share = min(1.0, max(fit_rows / n, LENGTH_ROWS / rows))
+        least = F.when(F.col("dim") == dim, F.lit(int(share * (1 << 62)))).otherwise(least)
+    sample = reps.where(F.pmod(F.xxhash64("rep", F.lit("fit")), F.lit(1 << 62)) < least).select("rep", "dim", "embedding").toPandas()
     out = {}
     for dim, part in sample.sort_values("rep").groupby("dim"):
-        total = n * len(part) / len(sample)
+        total = totals[dim]
         out[int(dim)] = spherical_kmeans(_unit(part["embedding"]), int(max(1, min(MAX_CELLS, total // cell_rows))))
     return out
 

@@ -59,9 +59,9 @@ def assign_shards(df: DataFrame, key: str, shards: list[str], slots: int = SLOTS
     """``df`` with the columns ``slot`` and ``shard``; columns of those names in ``df`` are replaced."""
     df = df.drop(slot, shard)
     h = F.when(F.col(key).isNotNull(), F.xxhash64(key)).otherwise(F.xxhash64(*df.columns))
-    table = F.broadcast(lookup_table(df.sparkSession, shards, slots))
-    return (df.withColumn(slot, F.pmod(h, F.lit(slots)).cast("int"))
-            .join(table, F.col(slot) == F.col("_slot")).withColumnRenamed("_shard", shard).drop("_slot"))
+    # Slot and shard of the table are named after the output, so no column of the data can clash with them.
+    table = F.broadcast(lookup_table(df.sparkSession, shards, slots).toDF(slot, shard))
+    return df.withColumn(slot, F.pmod(h, F.lit(slots)).cast("int")).join(table, slot).select(*df.columns, slot, shard)
 
 
 def write_sharded(df: DataFrame, path: str, key: str, shards: list[str], slots: int = SLOTS, tasks_per_shard: int = 8) -> None:

@@ -6,8 +6,8 @@ siblings by weight; only what a whole node cannot hold is left to the node's own
 that of its subtree. Shares are whole tokens: rounding remainders go to the largest fractions, ties by name.
 
 A leaf repeats its documents for as many full epochs as its budget holds and takes, of one more epoch, the shortest prefix
-of the seeded order (md5 of seed, epoch and doc_id) whose tokens reach the rest. Documents are never cut, so a leaf
-exceeds its budget by less than one document. The order of a leaf is cut into 4,096 buckets of the hash; whole buckets
+of the seeded order (md5 of seed, epoch and doc_id) that holds the rest: the document in which the rest ends is cut after
+its last token within it, so a leaf's tokens are its budget. The order of a leaf is cut into 4,096 buckets of the hash; whole buckets
 before the crossing one need no sort, so a leaf with a third of all rows is no single task.
 
 Null domain, language or source are the leaf value ``(none)``. Tokens are whitespace words; a null or empty text has none
@@ -88,13 +88,22 @@ def leaf_budgets(leaves: DataFrame, share: float, max_epochs: int, weights: dict
     return leaves.join(nodes.drop("root"), list(LEVELS))
 
 
+def first_tokens(text: Column, n: Column) -> Column:
+    """The text up to the end of its ``n``-th token."""
+    pieces = F.regexp_extract_all(text, F.lit(r"[\x20\x09-\x0D]*+" + WORD), F.lit(0))
+    return F.array_join(F.slice(pieces, F.lit(1), n.cast("int")), "")
+
+
 def select_mixture(docs: DataFrame, share: float = SHARE, max_epochs: int = MAX_EPOCHS, seed: int = SEED, weights: dict | None = None,
                    domain: Column | None = None) -> DataFrame:
     """The selected documents, once per epoch in which they are taken: the columns of ``docs`` and ``mix_domain``,
-    ``mix_tokens`` and ``mix_epoch`` (0 for the first); columns of those names in ``docs`` are replaced."""
-    keep = [c for c in docs.columns if not c.startswith("mix_")]
+    ``mix_tokens`` (the tokens taken) and ``mix_epoch`` (0 for the first); columns of those names in ``docs`` are replaced.
+    The text of a cut document ends after its last token taken, and its ``n_chars``, if there is such a column, is the length of that."""
+    docs = docs.drop("mix_domain", "mix_tokens", "mix_epoch")
+    # The columns of the data travel under numbers, so they cannot clash with the working columns.
+    held = {c: f"in_{i}" for i, c in enumerate(docs.columns)}
     name = {c: F.coalesce(F.col(c), F.lit("(none)")) for c in ("lang", "source")}
-    docs = docs.select(*keep, F.coalesce(domain if domain is not None else domain_of(F.col("source")), F.lit("(none)")).alias("mix_domain"),
+    docs = docs.select(*[F.col(f"`{c}`").alias(h) for c, h in held.items()], F.coalesce(domain if domain is not None else domain_of(F.col("source")), F.lit("(none)")).alias("mix_domain"),
                        name["lang"].alias("mix_lang"), name["source"].alias("mix_source"), F.regexp_count(F.coalesce("text", F.lit("")), F.lit(WORD)).cast("long").alias("mix_tokens"))
     leaf = ["mix_domain", "mix_lang", "mix_source"]
     sums = docs.where("mix_tokens > 0").groupBy(*leaf).agg(F.sum("mix_tokens").alias("tokens"))
@@ -104,7 +113,7 @@ def select_mixture(docs: DataFrame, share: float = SHARE, max_epochs: int = MAX_
                                    F.expr("cast(budget div tokens as int)").alias("epochs"), F.expr("budget % tokens").alias("rest")), "mix-plan")
     # The plan has one row per leaf; as a written table it is broadcast when Spark's own size limit allows, else shuffled.
     rows = docs.where("mix_tokens > 0").join(plan, leaf).withColumn(
-        "mix_key", F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("epochs").cast("string"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))))
+        "mix_key", F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("epochs").cast("string"), F.coalesce(F.col(held["doc_id"]).cast("string"), F.lit("")))))
     rows = rows.withColumn("mix_bucket", F.substring("mix_key", 1, _BUCKET))
     sizes = rows.where("rest > 0").groupBy(*leaf, "mix_bucket", "rest").agg(F.sum("mix_tokens").alias("n"))
     run = F.sum("n").over(Window.partitionBy(*leaf).orderBy("mix_bucket"))
@@ -112,9 +121,18 @@ def select_mixture(docs: DataFrame, share: float = SHARE, max_epochs: int = MAX_
                            .select(*leaf, F.col("mix_bucket").alias("cross"), "before"), "mix-crossing")
     rows = rows.join(crossing, leaf, "left")
     full = rows.withColumn("take", F.when(F.col("mix_bucket") < F.col("cross"), F.col("epochs") + 1).otherwise(F.col("epochs")))
-    whole = full.where("cross is null or mix_bucket <> cross")
-    seen = Window.partitionBy(*leaf, "mix_bucket").orderBy("mix_key", "doc_id", "mix_tokens").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    whole = full.where("cross is null or mix_bucket <> cross").withColumn("last", F.col("mix_tokens"))
+    seen = Window.partitionBy(*leaf, "mix_bucket").orderBy("mix_key", held["doc_id"], "mix_tokens").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     edge = full.where("mix_bucket = cross").withColumn("at", F.col("before") + F.sum("mix_tokens").over(seen) - F.col("mix_tokens"))
-    edge = edge.withColumn("take", F.when(F.col("at") < F.col("rest"), F.col("epochs") + 1).otherwise(F.col("epochs"))).drop("at")
+    edge = edge.withColumn("take", F.when(F.col("at") < F.col("rest"), F.col("epochs") + 1).otherwise(F.col("epochs")))
+    edge = edge.withColumn("last", F.when(F.col("at") < F.col("rest"), F.least("mix_tokens", F.col("rest") - F.col("at"))).otherwise(F.col("mix_tokens"))).drop("at")
     both = whole.unionByName(edge).where("take > 0")
-    return both.select(*keep, "mix_domain", "mix_tokens", F.explode(F.sequence(F.lit(0), F.col("take") - 1)).alias("mix_epoch"))
+    both = both.select(*held.values(), "mix_domain", "mix_tokens", "take", "last", F.explode(F.sequence(F.lit(0), F.col("take") - 1)).alias("mix_epoch"))
+    both = both.withColumn("taken", F.when(F.col("mix_epoch") == F.col("take") - 1, F.col("last")).otherwise(F.col("mix_tokens")))
+    cut = F.col("taken") < F.col("mix_tokens")
+    text = F.when(cut, first_tokens(F.col(held["text"]), F.col("taken"))).otherwise(F.col(held["text"]))
+    out = {c: F.col(h) for c, h in held.items()} | {"text": text}
+    if "n_chars" in held:
+        kind = docs.schema[held["n_chars"]].dataType
+        out["n_chars"] = F.when(cut, F.length(text).cast(kind)).otherwise(F.col(held["n_chars"]))
+    return both.select(*[v.alias(c) for c, v in out.items()], "mix_domain", F.col("taken").alias("mix_tokens"), "mix_epoch")

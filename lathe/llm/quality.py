@@ -18,6 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lathe.llm.common import fresh
 from lathe.llm.shingles import _SPACE, chunks, mix, word_hashes
 
 BITS = 18
@@ -126,7 +127,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, allowed: Colum
     known = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull()).select("doc_id", F.col(label).alias("label")).where(allowed).distinct()
     n = known.count()
     share = min(1.0, fit_rows / max(1, n))
-    picked = known.where(F.pmod(F.xxhash64("doc_id", F.lit("fit")), F.lit(1_000_000)) < int(share * 1_000_000))
+    picked = known.where(F.pmod(F.xxhash64("doc_id", F.lit("fit")), F.lit(1 << 62)) < int(share * (1 << 62)))
     rows = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id")  # at most about fit_rows ids
     return rows.toPandas().sort_values(["doc_id", "label"])
 
@@ -149,4 +150,5 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", allowed: Col
 
 def keep_good(docs: DataFrame, model: tuple[np.ndarray, float], least: float = 0.5) -> DataFrame:
     """``docs`` without the documents that score below ``least``; all columns stay."""
-    return score_documents(docs, model, name="_quality").where(f"_quality >= {least}").select(*docs.columns)
+    name = fresh(docs, "_quality")
+    return score_documents(docs, model, name=name).where(F.col(name) >= least).select(*docs.columns)

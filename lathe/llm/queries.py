@@ -140,8 +140,9 @@ b{k} AS (SELECT {up}, {level}, (base + CASE WHEN NOT is_full AND row_number() OV
 p AS (SELECT leaf.domain, leaf.lang AS l, leaf.source AS s, budget // tokens AS epochs, budget % tokens AS rest FROM leaf JOIN b3 USING (domain, lang, source)),
 q AS (SELECT d.*, epochs, rest, sum(n) OVER (PARTITION BY domain, l, s ORDER BY md5('{mixture.SEED}|' || epochs || '|' || coalesce(doc_id::VARCHAR, '')), doc_id, n
   ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - n AS seen FROM d JOIN p USING (domain, l, s) WHERE n > 0),
-t AS (SELECT *, epochs + CASE WHEN seen < rest THEN 1 ELSE 0 END AS take FROM q)
-SELECT doc_id, domain, lang, source, unnest(range(take::BIGINT))::INT AS epoch, n AS n_tokens FROM t WHERE take > 0"""
+t AS (SELECT *, epochs + CASE WHEN seen < rest THEN 1 ELSE 0 END AS take, CASE WHEN seen < rest THEN least(n, rest - seen) ELSE n END AS last FROM q),
+e AS (SELECT *, unnest(range(take::BIGINT))::INT AS epoch FROM t WHERE take > 0)
+SELECT doc_id, domain, lang, source, epoch, (CASE WHEN epoch = take - 1 THEN last ELSE n END)::BIGINT AS n_tokens FROM e"""
     return sql
 
 
