@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 from lathe.llm import decontaminate, minmax_dedup, mixture, quality, token_files
 from lathe.llm.common import materialize, table
 from lathe.llm.queries import END_ID, TOKENIZER, held_out
 
-#: The mixture keeps this share of the tokens that reach it, each document at most once.
+#: The mixture holds this share of the tokens that reach it; it may take a document in as many epochs.
 MIX_SHARE = 0.8
+MIX_EPOCHS = 4
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,15 +32,19 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents selected to the target weights of domains, languages and sources."""
-    return mixture.select_mixture(docs, share=MIX_SHARE, max_epochs=1).select(*docs.columns)
+    """Documents selected to the target weights of domains, languages and sources; a document taken in several epochs is as
+    many rows, and the document in which a leaf's budget ends is cut there."""
+    return mixture.select_mixture(docs, share=MIX_SHARE, max_epochs=MIX_EPOCHS).select(*docs.columns)
 
 
 def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token files of the documents, read back: ``(doc_id, start, n_tokens, ids_crc32)``."""
+    """Token files of the documents, read back: ``(doc_id, start, n_tokens, ids_crc32, epoch)``; the rows of one document
+    are numbered as its epochs."""
     path = token_files.new_path(spark, "corpus-tokens")
     token_files.write_tokens(docs, path, public_tokenizers.path(TOKENIZER), END_ID)
-    return token_files.read_digests(spark, path)
+    # A row without doc_id is a document of its own.
+    same = Window.partitionBy("doc_id", F.when(F.col("doc_id").isNull(), F.col("start"))).orderBy("start")
+    return token_files.read_digests(spark, path).withColumn("epoch", F.row_number().over(same) - 1)
 
 
 STAGES = [("quality", good_quality), ("near_dedup", without_near_duplicates), ("decontamination", without_benchmark),
