@@ -137,21 +137,27 @@ def _interval(held: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(cumulative frequency, frequency) of branch ``n`` of each node."""
     at = np.arange(0, held.size, 16) + n
     flat = held.ravel()
-    low = np.where(n > 0, flat.take(at), 0).astype(np.int64)
-    return low, np.where(n < 15, flat.take(at + 1, mode="clip"), _NODE) - low
-
-
-def _shifting(low: np.ndarray, span: np.ndarray) -> np.ndarray:
-    """Blocks whose top 16 bits are settled, or whose range has become too small to go on."""
-    return np.flatnonzero(((low ^ (low + span)) < _TOP) | (span < _LOW_RANGE))
-
-
-def _shift(low: np.ndarray, span: np.ndarray, k: np.ndarray) -> None:
-    """Move the top 16 bits of blocks ``k`` out; a small range that straddles a carry is cut at the carry."""
-    lw, sp = low[k], span[k]
-    sp = np.where((lw ^ (lw + sp)) < _TOP, sp, (~lw + _U(1)) & _LOW_MASK)
-    low[k] = lw << _U(16)
-    span[k] = sp << _U(16)
+    low = flat.take(at, mode="clip") * (n > 0)
+    high = np.where(n < 15, flat.take(at + 1, mode="clip"), np.int16(_NODE))
+    return low.astype(np.int64), (high - low).astype(np.int64)
+
+
+def _shifts(low: np.ndarray, span: np.ndarray):
+    """The blocks, again and again until there are none, whose top 16 bits are settled or whose range has become too small to
+    go on, with these bits; they are then moved out. A small range that straddles a carry is cut at the carry."""
+    settled = (low ^ (low + span)) < _TOP
+    k = np.flatnonzero(settled | (span < _LOW_RANGE))
+    if not len(k):
+        return
+    lw, sp, settled = low[k], span[k], settled[k]
+    while len(k):
+        yield k, lw >> _U(48)
+        sp = np.where(settled, sp, (~lw + _U(1)) & _LOW_MASK) << _U(16)
+        lw = lw << _U(16)
+        low[k], span[k] = lw, sp
+        settled = (lw ^ (lw + sp)) < _TOP
+        more = np.flatnonzero(settled | (sp < _LOW_RANGE))
+        k, lw, sp, settled = k[more], lw[more], sp[more], settled[more]
 
 
 def _encode_group(ids: np.ndarray) -> tuple[np.ndarray, list[bytes]]:
@@ -170,10 +176,10 @@ def _encode_group(ids: np.ndarray) -> tuple[np.ndarray, list[bytes]]:
     at_word = np.arange(blocks, dtype=np.int64) * width
 
     def out(lw, sp, aw):
-        while len(k := _shifting(lw, sp)):
-            words[aw[k]] = lw[k] >> _U(48)
-            aw[k] += 1
-            _shift(lw, sp, k)
+        for k, top in _shifts(lw, sp):
+            at = aw[k]
+            words[at] = top
+            aw[k] = at + 1
 
     for t in range(BLOCK):
         m = blocks if t < tail else blocks - 1
@@ -228,10 +234,10 @@ def _decode_group(words: np.ndarray, at_word: np.ndarray, n: int) -> np.ndarray:
     most = (1 << _TOTAL_BITS) - 1
 
     def out(lw, sp, cd, aw):
-        while len(k := _shifting(lw, sp)):
-            cd[k] = cd[k] << _U(16) | words.take(aw[k], mode="clip")
-            aw[k] += 1
-            _shift(lw, sp, k)
+        for k, _ in _shifts(lw, sp):
+            at = aw[k]
+            cd[k] = cd[k] << _U(16) | words.take(at, mode="clip")
+            aw[k] = at + 1
 
     for t in range(BLOCK):
         m = blocks if t < tail else blocks - 1

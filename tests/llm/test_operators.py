@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from lathe.llm import queries as Q
-from lathe.llm import decontaminate, embedding_dedup, maglev, minmax_dedup, mixture, pii, quality, rollups, token_files, url_rules
+from lathe.llm import decontaminate, embedding_dedup, maglev, minmax_dedup, mixture, pii, quality, range_coder, rollups, token_files, url_rules
 from lathe.llm.common import connected_components, table
 from lathe.llm.range_coder import decode, encode
 
@@ -271,7 +271,8 @@ def test_connected_components_long_chain(spark):
 @pytest.mark.parametrize("n", [0, 1, 255, 4097, 30_000])
 def test_range_coder_round_trip_and_damage(n):
     rng = np.random.default_rng(n)
-    for ids in (rng.integers(0, 65536, n), np.minimum(rng.zipf(1.2, n), 65535), np.full(n, 65535), np.arange(n) % 50):
+    for ids in (rng.integers(0, 65536, n), np.minimum(rng.zipf(1.2, n), 65535), np.full(n, 65535), np.arange(n) % 50, rng.integers(0, 2**32, n),
+                65_500 + np.arange(n) % 90):
         data = encode(ids)
         assert (decode(data) == ids).all()
         if n > 300:
@@ -279,8 +280,27 @@ def test_range_coder_round_trip_and_damage(n):
             hurt[-len(hurt) // 3] ^= 0x55
             with pytest.raises(ValueError):
                 decode(bytes(hurt))
-    with pytest.raises(ValueError):
-        encode(np.array([70_000]))
+    for bad in (1 << 32, -1):
+        with pytest.raises(ValueError):
+            encode(np.array([bad]))
+
+
+def test_blocks_do_not_depend_on_their_group(monkeypatch):
+    ids = np.minimum(np.random.default_rng(4).zipf(1.3, 5 * range_coder.BLOCK + 17), 65535)
+    want = encode(ids)
+    monkeypatch.setattr(range_coder, "GROUP", 2)
+    assert encode(ids) == want and (decode(want) == ids).all()
+    # a block alone is coded as among others
+    assert encode(ids[:range_coder.BLOCK])[28:] in want
+
+
+def test_files_are_smaller_than_adaptive_order_0(spark):
+    """8.6 bits an id is what adaptive order 0 alone takes in blocks of 4,096 ids of these documents."""
+    import public_tokenizers
+    out = token_files.new_path(spark, "test-tokens")
+    token_files.write_tokens(table(spark, "/root/testdata/sf0.01", "documents"), out, public_tokenizers.path(Q.TOKENIZER), Q.END_ID)
+    n, size = spark.read.parquet(out).agg(F.sum("n_ids"), F.sum(F.length("payload"))).first()
+    assert 8 * size / n < 8.4
 
 
 def test_token_files_equal_the_library(spark, docs_of):
