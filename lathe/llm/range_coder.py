@@ -1,7 +1,7 @@
 """Adaptive context-mixing range coder for token ids, many blocks side by side (numpy).
 
 A sequence of ids is cut into blocks of ``BLOCK`` ids, whatever its length; each starts with a fresh model and a fresh coder
-and carries the crc32 of its ids. Three predictions of the next id are mixed: the id that last followed the last two ids
+and carries the crc32 of its ids and its coded form. Three predictions of the next id are mixed: the id that last followed the last two ids
 (order 2), the id that last followed the last id (order 1), and the frequencies of whole ids in the block (order 0). The
 weights of the mixture are adaptive, one set per pair of confidences of the two context predictions.
 
@@ -23,7 +23,7 @@ import numpy as np
 
 MAGIC = b"LTC2"
 BLOCK = 4_096
-GROUP = 1_024
+GROUP = 1_536
 
 _U = np.uint64
 _TOTAL_BITS = 30
@@ -277,16 +277,22 @@ def _decode_group(words: np.ndarray, at_word: np.ndarray, n: int) -> np.ndarray:
     return np.ascontiguousarray(grid.T).ravel()[:n].astype("<u4")
 
 
+def _group(blocks: int) -> int:
+    """Blocks a group: as few groups as ``GROUP`` allows, of even size."""
+    return -(-blocks // -(-blocks // GROUP))
+
+
 def _encode_plane(ids: np.ndarray) -> bytes:
     used, coded = [], []
-    for at in range(0, len(ids), GROUP * BLOCK):
-        some, parts = _encode_group(ids[at:at + GROUP * BLOCK])
+    step = _group(-(-len(ids) // BLOCK)) * BLOCK
+    for at in range(0, len(ids), step):
+        some, parts = _encode_group(ids[at:at + step])
         used.append(some)
         coded += parts
     flat = ids.astype("<u4")
     index = np.empty((len(coded), 2), dtype="<u4")
     index[:, 0] = np.concatenate(used)
-    index[:, 1] = [zlib.crc32(flat[b * BLOCK:(b + 1) * BLOCK].tobytes()) for b in range(len(coded))]
+    index[:, 1] = [zlib.crc32(part, zlib.crc32(flat[b * BLOCK:(b + 1) * BLOCK].tobytes())) for b, part in enumerate(coded)]
     return index.tobytes() + b"".join(coded)
 
 
@@ -298,9 +304,10 @@ def _decode_plane(data: bytes, at: int, n: int) -> tuple[np.ndarray, int]:
     total = int(index[:, 0].sum())
     words = np.concatenate((np.frombuffer(data, dtype="<u2", count=total, offset=at).astype(_U), np.zeros(8, dtype=_U)))
     starts = np.cumsum(index[:, 0]) - index[:, 0]
-    ids = np.concatenate([_decode_group(words, starts[b:b + GROUP], min(n, (b + GROUP) * BLOCK) - b * BLOCK) for b in range(0, blocks, GROUP)])
-    for b in range(blocks):
-        if zlib.crc32(ids[b * BLOCK:(b + 1) * BLOCK].tobytes()) != index[b, 1]:
+    step = _group(blocks)
+    ids = np.concatenate([_decode_group(words, starts[b:b + step], min(n, (b + step) * BLOCK) - b * BLOCK) for b in range(0, blocks, step)])
+    for b, (first, used) in enumerate(zip((at + starts * 2).tolist(), (index[:, 0] * 2).tolist(), strict=True)):
+        if zlib.crc32(data[first:first + used], zlib.crc32(ids[b * BLOCK:(b + 1) * BLOCK].tobytes())) != index[b, 1]:
             raise ValueError(f"block {b} is damaged")
     return ids, at + total * 2
 

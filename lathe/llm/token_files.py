@@ -1,11 +1,11 @@
 """Token-id output: documents in ascending doc_id order, tokenized and written as coded segments; and reading them back.
 
-File format: a Parquet table of segments. A segment is a run of whole documents of about ``SEGMENT_IDS`` ids (a longer
-document is a segment of its own): ``shard, segment`` (their order is the order of the documents), ``doc_ids``,
+File format: a Parquet table of segments. A segment is a run of whole documents of about ``SEGMENT_IDS`` ids, half as many more at
+most (a longer document is a segment of its own; the last segments of a task share what is left evenly): ``shard, segment`` (their order is the order of the documents), ``doc_ids``,
 ``lengths`` (ids per document, end id included), ``n_ids`` and ``payload``, the coded ids with the crc32 of each block
 (see range_coder). Segments are decoded independently of each other.
 
-Each task reads one doc_id range, so no task sees more than its range, and holds one segment at a time. Null or empty
+Each task reads one doc_id range, so no task sees more than its range, and holds two segments at a time. Null or empty
 texts are the end id alone. Rows without doc_id come first. Rows that repeat a doc_id follow each other, ordered by text.
 Extra columns are ignored; an empty table writes a table without segments.
 """
@@ -170,12 +170,15 @@ def _write(path: str, end: int, segment_ids: int):
         enc, shard, number = _encoder(path), TaskContext.get().partitionId(), 0
         docs, sizes, parts, held = [], [], [], 0
 
-        def segment():
+        def segment(most):
+            """The next documents of at most ``most`` ids, one document at least."""
             nonlocal docs, sizes, parts, held, number
+            k = max(1, int(np.searchsorted(np.cumsum(sizes), most, side="right")))
+            n = sum(sizes[:k])
             out = pa.RecordBatch.from_arrays(
-                [pa.array([x], t) for x, t in zip((shard, number, docs, sizes, held, encode(np.concatenate(parts))), kinds, strict=True)],
+                [pa.array([x], t) for x, t in zip((shard, number, docs[:k], sizes[:k], n, encode(np.concatenate(parts[:k]))), kinds, strict=True)],
                 ["shard", "segment", "doc_ids", "lengths", "n_ids", "payload"])
-            docs, sizes, parts, held, number = [], [], [], 0, number + 1
+            docs, sizes, parts, held, number = docs[k:], sizes[k:], parts[k:], held - n, number + 1
             return out
 
         for batch in batches:
@@ -188,15 +191,15 @@ def _write(path: str, end: int, segment_ids: int):
                 got, lengths = enc.encode(texts.slice(at, stop - at), end)
                 cut = np.concatenate(([0], np.cumsum(lengths)))
                 for k in range(stop - at):
-                    if held and held + lengths[k] > segment_ids:
-                        yield segment()
+                    while held > 2 * segment_ids:
+                        yield segment(segment_ids)
                     docs.append(ids[at + k])
                     sizes.append(int(lengths[k]))
                     parts.append(got[cut[k]:cut[k + 1]])
                     held += int(lengths[k])
                 at = stop
-        if docs:
-            yield segment()
+        while docs:
+            yield segment(held if held <= segment_ids * 3 // 2 else min(segment_ids, held // 2 + 1))
     return run
 
 

@@ -311,7 +311,7 @@ def test_token_files_equal_the_library(spark, docs_of):
     texts = [r.text for r in table(spark, SMALL, "documents").collect()]
     texts += [None, "", " ", "  two  spaces \n\n x ", "it's don't WE'LL", "日本語 mixed ascii", "<|endoftext|> a", "a" * 3000, "½ ²3 \x85\xa0z\x1c\x1dq", "é" * 2000, "tab\tnew\r\nline"]
     rows = [(5 * i % 1009, t) for i, t in enumerate(texts)] + [(0, "same id")]
-    for segment in (1 << 22, 500):
+    for segment in (1 << 22, 20_000):
         out = token_files.new_path(spark, "test-tokens")
         token_files.write_tokens(docs_of(rows + [(None, "no id")]), out, path, 2, segment_ids=segment)
         want, start = [], 0
