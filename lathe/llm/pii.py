@@ -1,6 +1,9 @@
 """Information-theoretic sanitisation of personal data (DataFrame functions only).
 
-Protected entities are the personal values found by pattern: e-mail, IP, card (Luhn) and phone numbers. Terms that accompany
+Protected entities are the personal values found by pattern: e-mail, IP, card (Luhn) and phone numbers, however they are written
+(letters in lower case, numbers as their digits). A value that stands in one text alone gives no statistics, so its parts are
+entities too: local part and domain of an e-mail, network of an IP, first six digits of a card, all but the last four of a phone
+number. A part that more than one in ``COMMON`` documents hold identifies nobody and is none. Terms that accompany
 an entity can give it away even when the value itself is masked. Over the whole corpus, a term t discloses an entity e by
 
     PMI(t; e) / IC(e) = log(df(t, e) * N / (df(t) * df(e))) / log(N / df(e)),
@@ -8,7 +11,8 @@ an entity can give it away even when the value itself is masked. Over the whole
 the share of e's information that seeing t reveals (1: t occurs only with e). Both df count documents: t counts as with e
 when one document holds both, however far apart. In every document that holds e, each occurrence of a term at or above
 ``generalise`` becomes ``[TERM]``, at or above ``remove`` it vanishes; pairs seen in fewer than ``support`` different texts are no
-evidence. Terms are words of four or more letters outside the entities (surrounding punctuation aside).
+evidence. Terms are all words outside the entities, of letters and digits with inner hyphens and apostrophes; of scripts written
+without spaces, pieces of two characters. Case does not tell terms apart.
 
 Offsets are code points, end exclusive. Null or empty texts have no spans. Rows are judged by (doc_id, text); repeated
 rows each get their result. Extra columns are ignored; an empty table gives an empty result.
@@ -32,11 +36,13 @@ PATTERNS = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 _BYTE = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]?[0-9])"
-TERM = r"(?<=\s[\p{P}\p{S}]{0,3})\p{L}{4,}+(?=[\p{P}\p{S}]{0,3}\s)"
+_DENSE = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}"
+_SPACED = rf"[\p{{L}}\p{{M}}\p{{N}}&&[^{_DENSE}]]"
+TERM = rf"{_SPACED}++(?:['\u2019-]{_SPACED}++)*+|[{_DENSE}]{{1,2}}"
 _OPEN, _CLOSE = "\x01", "\x02"
 #: Matches of a text are put together in blocks of this many: appending to one long array copies it each time.
 BLOCK = 500
-GENERALISE, REMOVE, SUPPORT = 0.75, 0.999, 2
+GENERALISE, REMOVE, SUPPORT, COMMON = 0.75, 0.999, 2, 20
 #: Hashes of texts with terms to replace are broadcast up to this many.
 BROADCAST_TEXTS = 2_000_000
 
@@ -112,7 +118,17 @@ def _blanked(text: Column, base: Column) -> Column:
 
 
 def _entities(base: Column) -> Column:
-    return F.array_distinct(F.transform(base, lambda s: F.concat(s["kind"], F.lit(":"), F.lower(s["value"]))))
+    """Distinct keys of the entities and their parts; those of parts begin with ``~``."""
+    def key(name: str, value: Column) -> Column:
+        return F.concat(F.lit(f"{name}:"), value)
+
+    def keys(kind: Column, v: Column, d: Column) -> Column:
+        address = F.regexp_replace(v, r"(?<![0-9])0+(?=[0-9])", "")
+        return (F.when(kind == 0, F.array(key("email", v), key("~local", F.substring_index(v, "@", 1)), key("~domain", F.substring_index(v, "@", -1))))
+                .when(kind == 1, F.array(key("ip", address), key("~net", F.substring_index(address, ".", 3))))
+                .when(kind == 2, F.array(key("card", d), key("~issuer", F.substring(d, 1, 6))))
+                .otherwise(F.array(key("phone", d), key("~exchange", F.substring(d, F.lit(1), F.length(d) - 4)))))
+    return F.array_distinct(F.flatten(F.transform(base, lambda s: keys(s["kind"], F.lower(s["value"]), _digits(s["value"])))))
 
 
 def occurrences(docs: DataFrame) -> DataFrame:
@@ -137,8 +153,8 @@ def together(found: DataFrame, entities: DataFrame) -> DataFrame:
 
 
 def disclosing_terms(docs: DataFrame, found: DataFrame, entities: DataFrame, generalise: float, remove: float, support: int) -> DataFrame:
-    """``(entity, term, kind)`` of the pairs whose disclosed share reaches a threshold."""
-    n = docs.agg(F.count("*").alias("n"))
+    """``(entity, term, kind)`` of the pairs whose disclosed share reaches a threshold. ``entities`` has the number of all
+    documents as ``n``."""
     pairs = (together(found, entities).select("doc_id", "th", "entity", "term").distinct()
              .groupBy("entity", "term").agg(F.count("*").alias("df_te"), F.count_distinct("th").alias("texts")).where(F.col("texts") >= support))
     pairs = materialize(pairs, "pii-pairs")
@@ -148,7 +164,7 @@ def disclosing_terms(docs: DataFrame, found: DataFrame, entities: DataFrame, gen
     # An inner join: a semi-join would be moved below the aggregation and shuffle every word of every document.
     terms = df_t.join(pairs.select("term").distinct(), "term")
     share = F.log(F.col("df_te") * F.col("n") / (F.col("df_t") * F.col("df_e"))) / F.log(F.col("n") / F.col("df_e"))
-    return (pairs.join(terms, "term").join(entities, "entity").crossJoin(F.broadcast(n)).where("n > df_e")
+    return (pairs.join(terms, "term").join(entities, "entity").where("n > df_e")
             .withColumn("share", share).where(F.col("share") >= generalise)
             .select("entity", "term", F.when(F.col("share") >= remove, KINDS.index("drop")).otherwise(KINDS.index("term")).alias("kind")))
 
@@ -167,14 +183,17 @@ def _rewrite(text: Column, spans: Column) -> Column:
     return let(done, lambda d: F.concat(F.array_join(d["out"], ""), F.substring(text, d["at"] + 1, F.length(text))))
 
 
-def sanitise(docs: DataFrame, generalise: float = GENERALISE, remove: float = REMOVE, support: int = SUPPORT) -> DataFrame:
+def sanitise(docs: DataFrame, generalise: float = GENERALISE, remove: float = REMOVE, support: int = SUPPORT,
+             common: int = COMMON) -> DataFrame:
     """``(doc_id, base, spans, clean_text)``, one row per input row: base and all spans as arrays of (start, kind, end),
     and the text with entities masked and disclosing terms generalised or removed."""
     docs = docs.select("doc_id", "text")
     found = materialize(occurrences(docs), "pii-occurrences")
     # Entities in fewer texts have no pair with support.
     entities = materialize(found.select("th", F.explode("entities").alias("entity")).groupBy("entity")
-                           .agg(F.count("*").alias("df_e"), F.count_distinct("th").alias("texts")).where(F.col("texts") >= support).drop("texts"), "pii-entities")
+                           .agg(F.count("*").alias("df_e"), F.count_distinct("th").alias("texts")).where(F.col("texts") >= support).drop("texts")
+                           .withColumn("n", F.lit(docs.count()).cast("long")).where((F.substring("entity", 1, 1) != "~") | (F.col("df_e") * common <= F.col("n"))),
+                           "pii-entities")
     flagged = materialize(disclosing_terms(docs, found, entities, generalise, remove, support), "pii-flagged")
     hits = salted_join(together(found, entities), flagged, ["entity", "term"], F.struct("doc_id", "start"))
     extra = materialize(hits.groupBy("doc_id", "th", "start", "end").agg(F.max("kind").alias("kind"))

@@ -6,6 +6,7 @@ import zlib
 
 import numpy as np
 import pytest
+import regex
 import xxhash
 from pyspark.sql import functions as F
 
@@ -170,6 +171,78 @@ def test_pii_terms_anywhere_in_the_document(spark, docs_of):
     assert [(m.start, m.value) for m in got] == [(m.start(), m[0]) for m in re.finditer(r"[a-z]+", many)]
 
 
+def brute_terms(docs, generalise=pii.GENERALISE, remove=pii.REMOVE, support=pii.SUPPORT, common=pii.COMMON):
+    """(base and added spans per document) by counting every pair in memory."""
+    dense = r"\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}"
+    spaced = rf"[[\p{{L}}\p{{M}}\p{{N}}]--[{dense}]]"
+    term = regex.compile(rf"(?V1){spaced}+(?:['\u2019-]{spaced}+)*|[{dense}]{{1,2}}")
+
+    def keys(kind, v):
+        d, v = digits(v), v.lower()
+        if kind == 0:
+            return {"email" + v, "~l" + v.split("@")[0], "~d" + v.split("@")[-1]}
+        if kind == 1:
+            v = ".".join(str(int(x)) for x in v.split("."))
+            return {"ip" + v, "~n" + v.rsplit(".", 1)[0]}
+        return {"card" + d, "~i" + d[:6]} if kind == 2 else {"phone" + d, "~e" + d[:-4]}
+    held = []
+    for t in docs:
+        base = sorted((m.start(), k, m.end()) for k, (_, p, ok) in enumerate(KINDS) for m in re.finditer(p, t) if ok(m[0]))
+        bare = list(t)
+        for a, _, b in base:
+            bare[a:b] = " " * (b - a)
+        words = [(m.start(), m.end(), m[0].lower()) for m in term.finditer("".join(bare))]
+        held.append((base, set().union(*[keys(k, t[a:b]) for a, k, b in base]), words))
+    n = len(docs)
+    df_t, df_e, both, in_texts, e_texts = {}, {}, {}, {}, {}
+    for t, (_, es, words) in zip(docs, held, strict=True):
+        for w in {w for *_, w in words}:
+            df_t[w] = df_t.get(w, 0) + 1
+            for e in es:
+                both[e, w] = both.get((e, w), 0) + 1
+                in_texts.setdefault((e, w), set()).add(t)
+        for e in es:
+            df_e[e] = df_e.get(e, 0) + 1
+            e_texts.setdefault(e, set()).add(t)
+    out = []
+    for base, es, words in held:
+        spans = list(base)
+        for a, b, w in words:
+            shares = [np.log(both[e, w] * n / (df_t[w] * df_e[e])) / np.log(n / df_e[e]) for e in es
+                      if len(in_texts[e, w]) >= support and n > df_e[e] and (e[0] != "~" or df_e[e] * common <= n)]
+            if shares and max(shares) >= generalise:
+                spans.append((a, 5 if max(shares) >= remove else 4, b))
+        out.append(",".join(f"{pii.KINDS[k]}:{a}:{b}" for a, k, b in sorted(spans)))
+    return out
+
+
+def test_pii_terms_equal_brute_force(spark, docs_of):
+    rng = np.random.default_rng(21)
+    names = ["Kim", "Smith-Jones", "O\u2019Brien", "K48213", "ab", "x", "Zo\u00e9", "\u5c71\u7530\u592a\u90ce", "1999"]
+    docs = []
+    for i in range(240):
+        w = [f"w{int(x)}" for x in np.minimum(rng.zipf(1.4, 25), 90)] + list(rng.choice(names, 2))
+        if i % 6 == 0:
+            k = int(rng.integers(0, 12))
+            w.insert(int(rng.integers(0, 25)), str(rng.choice([f"u{i}@mail{k}.org", f"Bob{k}@h{i}.net", f"+1 555 {100 + k} {1000 + i}", f"+1-555-{100 + k}-{1000 + i % 12}",
+                                                               f"10.0.{k}.{i % 250}", f"010.00.{k}.7", "4111 1111 1111 1111"])))
+            w.append(f"secret{k}")
+        docs.append(" ".join(map(str, w)))
+    docs += docs[:12]
+    got = {r.doc_id: r.s for r in pii.sanitise(docs_of(list(enumerate(docs)))).select("doc_id", pii.span_digest("spans").alias("s")).collect()}
+    want = brute_terms(docs)
+    assert [got[i] for i in range(len(docs))] == want
+    assert sum(s.count("term:") for s in want) > 0 and sum(s.count("drop:") for s in want) > 0
+
+
+def test_pii_query_adds_terms_on_the_tables(spark):
+    rows = Q.op3_information_pii(spark, "/root/testdata/sf0.01").collect()
+    texts = {r.doc_id: r.text for r in table(spark, "/root/testdata/sf0.01", "documents").collect()}
+    ids = [r.doc_id for r in rows]
+    assert [r.spans for r in rows] == brute_terms([texts[i] or "" for i in ids])
+    assert sum(r.spans.count("term:") + r.spans.count("drop:") for r in rows) > 0
+
+
 # 4 rollups (exact SQL oracle in test_oracles)
 
 def test_rollups_are_idempotent_and_signed(spark, tmp_path, docs_of):
