@@ -2,8 +2,8 @@
 
 Protected entities are the personal values found by pattern: e-mail, IP, card (Luhn) and phone numbers, however they are written
 (letters in lower case, numbers as their digits). A value that stands in one text alone gives no statistics, so its parts are
-entities too: local part and domain of an e-mail, network of an IP, first six digits of a card, all but the last four of a phone
-number. A part that more than one in ``COMMON`` documents hold identifies nobody and is none. Terms that accompany
+entities too: local part, domain and last two labels of the domain of an e-mail, first three and first two parts of an IP, first
+six digits of a card, all but the last four and all but the last seven digits of a phone number. A part that more than one in ``COMMON`` documents hold identifies nobody and is none. Terms that accompany
 an entity can give it away even when the value itself is masked. Over the whole corpus, a term t discloses an entity e by
 
     PMI(t; e) / IC(e) = log(df(t, e) * N / (df(t) * df(e))) / log(N / df(e)),
@@ -124,10 +124,12 @@ def _entities(base: Column) -> Column:
 
     def keys(kind: Column, v: Column, d: Column) -> Column:
         address = F.regexp_replace(v, r"(?<![0-9])0+(?=[0-9])", "")
-        return (F.when(kind == 0, F.array(key("email", v), key("~local", F.substring_index(v, "@", 1)), key("~domain", F.substring_index(v, "@", -1))))
-                .when(kind == 1, F.array(key("ip", address), key("~net", F.substring_index(address, ".", 3))))
+        return (F.when(kind == 0, F.array(key("email", v), key("~local", F.substring_index(v, "@", 1)), key("~domain", F.substring_index(v, "@", -1)),
+                                         key("~site", F.substring_index(F.substring_index(v, "@", -1), ".", -2))))
+                .when(kind == 1, F.array(key("ip", address), key("~net", F.substring_index(address, ".", 3)), key("~range", F.substring_index(address, ".", 2))))
                 .when(kind == 2, F.array(key("card", d), key("~issuer", F.substring(d, 1, 6))))
-                .otherwise(F.array(key("phone", d), key("~exchange", F.substring(d, F.lit(1), F.length(d) - 4)))))
+                .otherwise(F.array(key("phone", d), key("~exchange", F.substring(d, F.lit(1), F.length(d) - 4)),
+                                    key("~area", F.substring(d, F.lit(1), F.length(d) - 7)))))
     return F.array_distinct(F.flatten(F.transform(base, lambda s: keys(s["kind"], F.lower(s["value"]), _digits(s["value"])))))
 
 

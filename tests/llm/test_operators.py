@@ -180,11 +180,11 @@ def brute_terms(docs, generalise=pii.GENERALISE, remove=pii.REMOVE, support=pii.
     def keys(kind, v):
         d, v = digits(v), v.lower()
         if kind == 0:
-            return {"email" + v, "~l" + v.split("@")[0], "~d" + v.split("@")[-1]}
+            return {"email" + v, "~l" + v.split("@")[0], "~d" + v.split("@")[-1], "~s" + ".".join(v.split("@")[-1].split(".")[-2:])}
         if kind == 1:
             v = ".".join(str(int(x)) for x in v.split("."))
-            return {"ip" + v, "~n" + v.rsplit(".", 1)[0]}
-        return {"card" + d, "~i" + d[:6]} if kind == 2 else {"phone" + d, "~e" + d[:-4]}
+            return {"ip" + v, "~n" + v.rsplit(".", 1)[0], "~r" + v.rsplit(".", 2)[0]}
+        return {"card" + d, "~i" + d[:6]} if kind == 2 else {"phone" + d, "~e" + d[:-4], "~a" + d[:-7]}
     held = []
     for t in docs:
         base = sorted((m.start(), k, m.end()) for k, (_, p, ok) in enumerate(KINDS) for m in re.finditer(p, t) if ok(m[0]))
