@@ -23,7 +23,7 @@ import numpy as np
 
 MAGIC = b"LTC2"
 BLOCK = 4_096
-GROUP = 1_536
+GROUP = 1_024
 
 _U = np.uint64
 _TOTAL_BITS = 30
@@ -164,7 +164,7 @@ def _encode_group(ids: np.ndarray) -> tuple[np.ndarray, list[bytes]]:
     """(words used, coded form) of each block of at most ``GROUP`` blocks of ids below 65,536."""
     n = len(ids)
     blocks = -(-n // BLOCK)
-    grid = np.zeros((blocks, BLOCK), dtype=np.int64)
+    grid = np.zeros((blocks, BLOCK), dtype=np.uint16)
     grid.ravel()[:n] = ids
     grid = np.ascontiguousarray(grid.T)
     tail = n - (blocks - 1) * BLOCK  # the last block may be shorter
@@ -185,7 +185,7 @@ def _encode_group(ids: np.ndarray) -> tuple[np.ndarray, list[bytes]]:
         m = blocks if t < tail else blocks - 1
         if not m:
             break
-        x = grid[t, :m]
+        x = grid[t, :m].astype(np.int64)
         model.predict(m)
         hit2 = model.p2 == x
         only1 = (model.p1 == x) & ~hit2
@@ -230,7 +230,7 @@ def _decode_group(words: np.ndarray, at_word: np.ndarray, n: int) -> np.ndarray:
         code = code << _U(16) | words.take(at_word, mode="clip")
         at_word += 1
     tail = n - (blocks - 1) * BLOCK
-    grid = np.zeros((BLOCK, blocks), dtype=np.int64)
+    grid = np.zeros((BLOCK, blocks), dtype=np.uint16)
     most = (1 << _TOTAL_BITS) - 1
 
     def out(lw, sp, cd, aw):
