@@ -217,6 +217,11 @@ def sanitise(docs: DataFrame, generalise: float = GENERALISE, remove: float = RE
     return rows.select("doc_id", both.alias("o")).select("doc_id", "o.*")
 
 
+def count_of(spans, kind: str) -> Column:
+    """Number of spans of a kind (``filter`` hands a second parameter of its function, even one with a default, the index)."""
+    return F.size(F.filter(spans, lambda s: s["kind"] == KINDS.index(kind)))
+
+
 def span_digest(spans) -> Column:
     """``kind:start:end`` of each span, comma-joined."""
     names = F.array(*map(F.lit, KINDS))

@@ -32,7 +32,7 @@ def op2_hierarchical_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_information_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.sanitise(table(spark, sf_dir, "documents"))
-    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{pii.KINDS[k]}") for k in range(4)]
+    counts = [pii.count_of("base", k).cast("long").alias(f"n_{k}") for k in pii.PATTERNS]
     return found.select("doc_id", *counts, F.sha2(pii.span_digest("base"), 256).alias("base_sha256"), pii.span_digest("spans").alias("spans"),
                         F.sha2("clean_text", 256).alias("clean_sha256"))
 

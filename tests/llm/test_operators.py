@@ -151,6 +151,15 @@ def test_pii_base_spans(spark, small, docs_of):
     assert pii.sanitise(docs_of([])).count() == 0
 
 
+def test_pii_query_counts_every_kind(spark, docs_of, tmp_path):
+    texts = ["a@b.cd, e@f.gh, i@j.kl", "1.2.3.4 and 5.6.7.8", "4111 1111 1111 1111", "+1 (555) 123-4567 or +1 555 765 4321; x@y.zw", "", None]
+    docs_of([*enumerate(texts), (None, texts[1]), (2, texts[2])]).write.parquet(f"{tmp_path}/documents.parquet")
+    got = sorted((r.base_sha256, r.n_email, r.n_ip, r.n_card, r.n_phone) for r in Q.op3_information_pii(spark, str(tmp_path)).collect())
+    want = [(base_text(t), *[base_text(t).count(f"{k}:") for k, _, _ in KINDS]) for t in [*texts, texts[1], texts[2]]]
+    assert got == sorted((hashlib.sha256(b.encode()).hexdigest(), *n) for b, *n in want)
+    assert [sum(w[k] for w in want) for k in range(1, 5)] == [4, 4, 2, 2]
+
+
 def test_pii_disclosing_terms(spark, docs_of):
     rows = [(i, f"hello zanzibar person mail bob@x.com about common thing {i}") for i in range(4)] + [(10 + i, f"person about common thing hello {i}") for i in range(30)]
     out = {r.doc_id: r for r in pii.sanitise(docs_of(rows)).collect()}
