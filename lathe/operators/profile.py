@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lathe.operators.columns import columns_by_kind, distinct_counts, numeric_columns
-from lathe.operators.ranks import quantiles, row_ranks
+from lathe.operators.ranks import dealt, quantiles, row_ranks
 from lathe.session import written
 
 
@@ -169,7 +169,8 @@ def spearman_pairs(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
     long_df = (rows.select("_row", F.explode(F.array(*[held(k, c) for k, c in ranked])).alias("_s")).where(F.col("_s").isNotNull())
                .select("_row", "_s.*"))
     ranks = row_ranks(long_df, "_v", "_name", "_rank", few_keys=True)
-    wide = ranks.groupBy("_row").pivot("_name", list(name.values())).agg(F.first("_rank"))
+    wide = (dealt(ranks, rows.count() * len(ranked), "_row").groupBy("_row")
+            .agg(*[F.max(F.when(F.col("_name") == n, F.col("_rank"))).alias(n) for n in name.values()]))
     one = wide.agg(*[safe_corr(F.col(name[of[p], p[0]]), F.col(name[of[p], p[1]])).alias(f"p{i}") for i, p in enumerate(pairs)])
     return one.select(F.explode(F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"p{i}").alias("rho"))
                                           for i, (a, b) in enumerate(pairs)])).alias("_p")).select("_p.*")

@@ -222,3 +222,25 @@ def test_distinct_counts_up_to_a_bound(spark):
     assert C.distinct_up_to(df, ["many", "d"], 3000) == {"many": None, "d": 3000}
     assert "Expand" not in _nodes(df.agg(F.theta_sketch_agg("few", 12)))
     assert C.is_regression(df, "many") and not C.is_regression(df, "few") and C.is_discrete_numeric(df, "few")
+
+
+def test_rank_tasks_stay_small_as_the_table_grows(spark, monkeypatch):
+    """The window of the row ranks and the join of a row's ranks deal rows into tasks of bounded size."""
+    from lathe.operators import profile, ranks
+    monkeypatch.setattr(ranks, "TASK_ROWS", 1000)
+    monkeypatch.setattr(ranks, "TARGET_BUCKET_ROWS", 1000)
+    df = spark.range(40_000).select(F.col("id"), F.hash("id").cast("double").alias("x"), (F.col("id") % 7).cast("double").alias("y"),
+                                    F.when(F.col("id") % 3 == 0, F.hash("id", "id").cast("double")).alias("z"))
+    for col in ("x", "z"):
+        out = ranks.avg_rank_column(df, col)
+        per_task = out.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+        assert per_task < 20_000 and out.select(F.spark_partition_id().alias("p")).distinct().count() >= 10, (col, per_task)
+        want = df.where(F.col(col).isNotNull()).toPandas().set_index("id")[col].rank()
+        got = out.where(F.col(col).isNotNull()).toPandas().set_index("id")[f"{col}_rank"]
+        assert (got.sort_index() == want.sort_index()).all()
+    parts = []
+    monkeypatch.setattr(profile, "dealt", lambda d, rows, *by: parts.append((rows, by)) or ranks.dealt(d, rows, *by))
+    rho = {(r.a, r.b): r.rho for r in profile.spearman_matrix(df, ["x", "y", "z"]).collect()}
+    assert len(parts) == 1 and parts[0][0] >= 40_000 * 3 and parts[0][1] == ("_row",)
+    want = df.toPandas()[["x", "y", "z"]].corr("spearman")
+    assert all(abs(rho[k] - want.loc[k]) < 1e-9 for k in rho)
