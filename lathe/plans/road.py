@@ -1,4 +1,4 @@
-"""Road-segment features (X7): one statistics job (bin edges), then one projection."""
+"""Road-segment features (X7): the table written once when its own bin edges are wanted, the edges, then one projection."""
 
 from __future__ import annotations
 
@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from lathe.functions import scalars as S
 from lathe.operators.encode import LabelEncoderModel, cast_category, fit_label_encoder
 from lathe.operators.ranks import quantile_map
+from lathe.session import written
 
 # fixed values: the curvature bin grid and labels, and the categorical outputs
 CURVATURE_PROBS = [0.0, 0.25, 0.75, 1.0]
@@ -66,6 +67,8 @@ class RoadFeaturesModel:
 
     def transform(self, df: DataFrame, drop_duplicates: bool = False, mode: str = "auto") -> DataFrame:
         d = df.dropDuplicates() if drop_duplicates else df
+        if self.binner is None:  # the edges take several scans: what the table is made of (joins, distinct rows) runs once
+            d = written(d, "road")
         binner = self.binner or fit_quantile_binner(d, "curvature", mode=mode)
         cols = {c: F.col(c) for c in d.columns}
         cb = binner.expr()

@@ -244,3 +244,18 @@ def test_rank_tasks_stay_small_as_the_table_grows(spark, monkeypatch):
     assert len(parts) == 1 and parts[0][0] >= 40_000 * 3 and parts[0][1] == ("_row",)
     want = df.toPandas()[["x", "y", "z"]].corr("spearman")
     assert all(abs(rho[k] - want.loc[k]) < 1e-9 for k in rho)
+
+
+def test_road_table_runs_once(spark):
+    """The rows that the bin edges and the projection need come from one written table: no join, no distinct is left."""
+    from lathe.plans import road as RD
+    r = spark.range(500).select((F.col("id") % 3).cast("string").alias("road_type"), (F.col("id") % 2).cast("string").alias("lighting"), F.lit("w").alias("weather"),
+                                F.lit("t").alias("time_of_day"), (F.col("id") % 10 / 10.0).alias("curvature"), (F.col("id") % 50).cast("int").alias("speed_limit"),
+                                (F.col("id") % 2 == 0).alias("holiday"))
+    twice = r.unionByName(r)
+    out = RD.RoadFeaturesModel().transform(twice, drop_duplicates=True)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" not in plan and "Join" not in plan and "parquet" in plan
+    assert out.count() == r.distinct().count() and {x[0] for x in out.select("curvature_bin").distinct().collect()} == {"low", "medium", "high"}
+    kept = RD.RoadFeaturesModel(RD.fit_quantile_binner(r, "curvature")).transform(r)
+    assert "parquet" not in kept._jdf.queryExecution().optimizedPlan().toString()  # fitted edges: a projection, usable on streams
