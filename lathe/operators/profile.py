@@ -171,7 +171,11 @@ def spearman_pairs(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
     ranks = row_ranks(long_df, "_v", "_name", "_rank", few_keys=True)
     wide = (dealt(ranks, rows.count() * len(ranked), "_row").groupBy("_row")
             .agg(*[F.max(F.when(F.col("_name") == n, F.col("_rank"))).alias(n) for n in name.values()]))
-    one = wide.agg(*[safe_corr(F.col(name[of[p], p[0]]), F.col(name[of[p], p[1]])).alias(f"p{i}") for i, p in enumerate(pairs)])
+
+    def varies(c: str) -> F.Column:  # merging partial sums leaves a constant a variance near zero, not zero
+        return F.min(c) < F.max(c)
+    of_pair = [(name[of[p], p[0]], name[of[p], p[1]]) for p in pairs]
+    one = wide.agg(*[F.when(varies(a) & varies(b), safe_corr(F.col(a), F.col(b))).alias(f"p{i}") for i, (a, b) in enumerate(of_pair)])
     return one.select(F.explode(F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"p{i}").alias("rho"))
                                           for i, (a, b) in enumerate(pairs)])).alias("_p")).select("_p.*")
 
