@@ -121,3 +121,45 @@ def test_saved_families_score_like_their_parts(spark, frame):
     assert got.join(want, "id").where(F.abs(F.col("w") - F.col("prediction")) > 1e-12).count() == 0
     with pytest.raises(ValueError):
         MD.score_saved_ensemble(spark, path, frame.drop("c_acctbal"), "binary")
+
+
+@pytest.mark.parametrize("task,label", [("binary", "y"), ("regression", "t")])
+def test_boosted_fits_learn_from_cells_whose_number_does_not_grow(spark, monkeypatch, task, label):
+    df = spark.range(20_000).select("id", (F.col("id") % 7).cast("double").alias("a"), (F.col("id") * 37 % 11).cast("double").alias("b"),
+                                    (F.col("id") % 3).cast("string").alias("c"), (1.0 + F.col("id") % 2).alias("w"), (F.xxhash64("id") % 5 / 1.0).alias("noise"))
+    df = df.withColumn("t", F.col("a") * F.col("b") + F.col("noise")).withColumn("y", (F.col("t") > 20).cast("int"))
+    x, _ = MD.prepare(df, ["a", "b", "c"], label, ["c"], k=3)
+    x = x.join(df.select("id", "w"), "id").checkpoint()
+    est = MD.estimator("gbt", task, label).setWeightCol("w")
+    rows = MD.cross_validate(x, label, task, "gbt", 3, weight="w", maxIter=4)
+    monkeypatch.setattr(MD, "CELL_ROWS", 0)
+    once, twice = MD.row_cells(x, est, ["fold"]), MD.row_cells(x.unionByName(x), est, ["fold"])
+    assert once.count() == twice.count() < 2_000
+    assert twice.agg(F.sum("_n")).first()[0] == pytest.approx(2 * df.agg(F.sum("w")).first()[0])
+    cells = MD.cross_validate(x, label, task, "gbt", 3, weight="w", maxIter=4)
+    both = rows.oof.join(cells.oof.withColumnRenamed("score", "other"), "id")
+    assert both.count() == 20_000 and both.where(F.abs(F.col("score") - F.col("other")) > 1e-9).count() == 0
+    assert cells.models[0].getMaxBins() == 32
+
+
+def test_cells_leave_learners_of_single_rows_alone(spark, monkeypatch):
+    monkeypatch.setattr(MD, "CELL_ROWS", 0)
+    df = spark.range(4_000).select("id", (F.col("id") % 2).cast("double").alias("a"), (F.col("id") % 3 % 2).cast("double").alias("y"))
+    x, _ = MD.prepare(df, ["a"], "y", k=2)
+    assert MD.row_cells(x, MD.estimator("gbt", "binary", "y")).count() == 4
+    for est in (MD.estimator("gbt", "binary", "y", subsamplingRate=0.8), MD.estimator("gbt", "binary", "y", minInstancesPerNode=5),
+                MD.estimator("rf", "binary", "y"), MD.estimator("lr", "binary", "y")):
+        assert MD.row_cells(x, est) is None
+
+
+def test_cell_bins_split_values_as_the_fitted_trees_do(spark, monkeypatch):
+    """More values than bins, NaN and a value on a threshold: the row's cell and the scored row go the same way."""
+    monkeypatch.setattr(MD, "CELL_ROWS", 0)
+    df = spark.range(20_000).select("id", F.when(F.col("id") % 50 == 0, F.lit(float("nan"))).otherwise((F.col("id") % 997).cast("double")).alias("a"))
+    df = df.withColumn("t", F.when(F.isnan("a"), 900.0).otherwise(F.floor(F.col("a") / 250) * 100.0))
+    x, _ = MD.prepare(df, ["a"], "t", k=2)
+    est = MD.estimator("gbt", "regression", "t", maxIter=3)
+    cells = MD.row_cells(x, est)
+    model = MD.fit_cells(est, cells)
+    inside = model.transform(cells).agg(F.sum(F.col("prediction") * F.col("_n"))).first()[0]
+    assert cells.count() <= 32 and model.transform(x).agg(F.sum("prediction")).first()[0] == pytest.approx(inside, rel=1e-9)
