@@ -259,3 +259,15 @@ def test_road_table_runs_once(spark):
     assert out.count() == r.distinct().count() and {x[0] for x in out.select("curvature_bin").distinct().collect()} == {"low", "medium", "high"}
     kept = RD.RoadFeaturesModel(RD.fit_quantile_binner(r, "curvature")).transform(r)
     assert "parquet" not in kept._jdf.queryExecution().optimizedPlan().toString()  # fitted edges: a projection, usable on streams
+
+
+def test_blend_bounds_settle_scores_that_crowd(spark):
+    """A few far scores and no signal: bins follow the scores, few weights are left to rank exactly."""
+    from lathe.operators import blend as BL
+    df = spark.range(20_000, numPartitions=4).select((F.rand(1) < 0.33).cast("int").alias("y"), *[(F.lit(0.33) + sd * F.randn(k)).alias(p)
+                                                     for k, (p, sd) in enumerate((("a", 0.03), ("b", 0.001), ("c", 0.0003)), 2)])
+    df = df.withColumn("a", F.when(F.rand(9) < 0.0005, F.lit(0.95)).otherwise(F.col("a"))).checkpoint()
+    left = BL.undecided_weights(df, ["a", "b", "c"], "y", 0.25)
+    assert len(left) <= 4
+    best = BL.blend_auc_grid(df, ["a", "b", "c"], "y", 0.25).orderBy(F.desc("auc"), "weight_id").first()
+    assert best["weight_id"] in left and BL.blend_weights(df, ["a", "b", "c"], "y", 0.25).first()["auc"] == pytest.approx(best["auc"], abs=1e-15)
