@@ -147,6 +147,8 @@ def test_cells_leave_learners_of_single_rows_alone(spark, monkeypatch):
     df = spark.range(4_000).select("id", (F.col("id") % 2).cast("double").alias("a"), (F.col("id") % 3 % 2).cast("double").alias("y"))
     x, _ = MD.prepare(df, ["a"], "y", k=2)
     assert MD.row_cells(x, MD.estimator("gbt", "binary", "y")).count() == 4
+    wide, _ = MD.prepare(df.select("id", "y", *[F.rand(i).alias(f"r{i}") for i in range(4)]), [f"r{i}" for i in range(4)], "y", k=2)
+    assert MD.row_cells(wide, MD.estimator("gbt", "binary", "y")) is None  # nearly every row is a cell of its own
     for est in (MD.estimator("gbt", "binary", "y", subsamplingRate=0.8), MD.estimator("gbt", "binary", "y", minInstancesPerNode=5),
                 MD.estimator("rf", "binary", "y"), MD.estimator("lr", "binary", "y")):
         assert MD.row_cells(x, est) is None
