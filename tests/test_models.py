@@ -155,13 +155,17 @@ def test_cells_leave_learners_of_single_rows_alone(spark, monkeypatch):
 
 
 def test_cell_bins_split_values_as_the_fitted_trees_do(spark, monkeypatch):
-    """More values than bins, NaN and a value on a threshold: the row's cell and the scored row go the same way."""
+    """More values than bins: the row's cell and the scored row go the same way; NaN is refused as by the learner on rows."""
     monkeypatch.setattr(MD, "CELL_ROWS", 0)
-    df = spark.range(20_000).select("id", F.when(F.col("id") % 50 == 0, F.lit(float("nan"))).otherwise((F.col("id") % 997).cast("double")).alias("a"))
-    df = df.withColumn("t", F.when(F.isnan("a"), 900.0).otherwise(F.floor(F.col("a") / 250) * 100.0))
+    df = spark.range(20_000).select("id", (F.col("id") % 997).cast("double").alias("a"))
+    df = df.withColumn("t", F.floor(F.col("a") / 250) * 100.0)
     x, _ = MD.prepare(df, ["a"], "t", k=2)
     est = MD.estimator("gbt", "regression", "t", maxIter=3)
     cells = MD.row_cells(x, est)
     model = MD.fit_cells(est, cells)
     inside = model.transform(cells).agg(F.sum(F.col("prediction") * F.col("_n"))).first()[0]
     assert cells.count() <= 32 and model.transform(x).agg(F.sum("prediction")).first()[0] == pytest.approx(inside, rel=1e-9)
+    holes, _ = MD.prepare(df.withColumn("a", F.when(F.col("id") > 9, F.col("a")).otherwise(F.lit(float("nan")))), ["a"], "t", k=2)
+    for fit in (est.fit, lambda rows: MD.fit_model(est, rows)):
+        with pytest.raises(Exception, match="NaN"):
+            fit(holes)
