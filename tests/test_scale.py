@@ -271,3 +271,22 @@ def test_blend_bounds_settle_scores_that_crowd(spark):
     assert len(left) <= 4
     best = BL.blend_auc_grid(df, ["a", "b", "c"], "y", 0.25).orderBy(F.desc("auc"), "weight_id").first()
     assert best["weight_id"] in left and BL.blend_weights(df, ["a", "b", "c"], "y", 0.25).first()["auc"] == pytest.approx(best["auc"], abs=1e-15)
+
+
+def test_wide_rows_round_like_round_outside_the_one_large_method(spark):
+    """Ties, numbers next to ties, large, tiny and missing numbers round as ``r6`` does; few numbers take the slow path."""
+    from lathe.registry.base import r6
+    from lathe.registry.composites import _round_doubles
+    ties = [k / 2e6 for k in range(-41, 42)] + [1.0000005, 2.0000015, 123456.7890125, 0.1234565, 99999.9999995]
+    odd = [0.0, -0.0, 1e-7, -1e-7, 5e-324, 1e5, 100000.00000049, 123456789.123456789, -98765432109.87654, 1e17, 1e300, -1e300, float("inf"), float("-inf"), float("nan"), None]
+    near = [float(np.nextafter(t, s)) for t in ties for s in (-np.inf, np.inf)]
+    rng = np.random.default_rng(5)
+    values = ties + odd + near + [float(v) for v in np.concatenate([rng.normal(0, s, 2000) for s in (1e-5, 1, 1e4, 1e6)])]
+    df = spark.createDataFrame([(v, i) for i, v in enumerate(values)], "x double, i int").withColumn("f", F.col("x").cast("float"))
+    out = _round_doubles(df)
+    assert [(n, t) for n, t in out.dtypes] == [("x", "double"), ("i", "int"), ("f", "double")]
+    want = df.select(r6("x").alias("x"), "i", r6("f").alias("f"))
+    key = lambda r: (repr(r["x"]), r["i"], repr(r["f"]))
+    assert list(map(key, out.orderBy("i").collect())) == list(map(key, want.orderBy("i").collect()))
+    wide = spark.range(10).select(*[(F.col("id") / (k + 3)).alias(f"x{k}") for k in range(30)])
+    assert _round_doubles(wide)._jdf.queryExecution().executedPlan().nodeName() == "Project"  # not in one generated method
