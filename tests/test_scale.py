@@ -290,3 +290,25 @@ def test_wide_rows_round_like_round_outside_the_one_large_method(spark):
     assert list(map(key, out.orderBy("i").collect())) == list(map(key, want.orderBy("i").collect()))
     wide = spark.range(10).select(*[(F.col("id") / (k + 3)).alias(f"x{k}") for k in range(30)])
     assert _round_doubles(wide)._jdf.queryExecution().executedPlan().nodeName() == "Project"  # not in one generated method
+
+
+def test_the_learners_sample_does_not_copy_the_table(spark, monkeypatch):
+    from lathe.plans import models as MD
+    df = spark.range(30_000, numPartitions=3).select(F.rand(3).alias("a"), F.rand(4).alias("b")).withColumn("y", F.col("a") * 3 + F.col("b")).checkpoint()
+    sizes = []
+
+    def recorded(d, name):
+        out = written(d, name)
+        sizes.append(out.count())
+        return out
+    monkeypatch.setattr(MD, "written", recorded)
+    assert MD.top_features_by_importance(df, ["a", "b"], "y", 2, rounds=1, fit_rows=500) == ["a", "b"]
+    assert max(sizes) < 2000 and sizes[-1] == 500
+    numbered = written(df.withColumn("_row", F.monotonically_increasing_id()), "rows")
+    for n in (1, 500, 30_000, 40_000):
+        want = R.sample_n(numbered, n, "_row", 42).drop("_row")
+        got = MD._first_by_hash(df, n, 42)
+        assert sorted(got.collect()) == sorted(want.collect()) and got.count() == min(n, 30_000)
+    assert MD._first_by_hash(df.limit(0), 5, 42).count() == 0
+    monkeypatch.setattr(MD.math, "sqrt", lambda _: -49.0)  # a bound below the wanted number is widened
+    assert sorted(MD._first_by_hash(df, 500, 42).collect()) == sorted(R.sample_n(numbered, 500, "_row", 42).drop("_row").collect())
