@@ -169,3 +169,40 @@ def test_cell_bins_split_values_as_the_fitted_trees_do(spark, monkeypatch):
     for fit in (est.fit, lambda rows: MD.fit_model(est, rows)):
         with pytest.raises(Exception, match="NaN"):
             fit(holes)
+
+
+def _few_values(spark):
+    df = spark.range(20_000).select("id", (F.col("id") % 7).cast("double").alias("a"), (F.col("id") * 37 % 11).cast("double").alias("b"),
+                                    (F.col("id") % 3).cast("string").alias("c"), (F.xxhash64("id") % 5 / 1.0).alias("noise"))
+    df = df.withColumn("y", (F.col("a") * F.col("b") + F.col("noise") > 20).cast("int"))
+    return MD.prepare(df, ["a", "b", "c"], "y", ["c"], k=3)[0]
+
+
+def test_fits_that_draw_rows_learn_from_cells_with_every_round_s_counts(spark, monkeypatch):
+    """Each row is drawn by itself in each round; with all rows drawn the trees are the learner's own, leaf sizes included."""
+    monkeypatch.setattr(MD, "CELL_ROWS", 0)
+    x = _few_values(spark)
+    ests = [MD.estimator("gbt", "binary", "y", maxIter=3, minInstancesPerNode=700), MD.estimator("gbt", "binary", "y", maxIter=2, subsamplingRate=0.8)]
+    cells = MD.drawn_cells(x, ests, ["fold"])
+    n = cells.agg(*[F.sum(c).alias(c) for c in cells.columns if c.startswith("_n")]).first().asDict()
+    assert cells.count() < 1_000 and n["_n"] == n["_n0_0"] == n["_n0_2"] == 20_000
+    assert n["_n1_0"] != n["_n1_1"] and all(abs(n[c] - 16_000) < 400 for c in ("_n1_0", "_n1_1"))
+    both = [MD.score_col(m.transform(x), "binary") for m in (ests[0].fit(x), MD.fit_drawn(ests[0], cells, 0))]
+    pair = both[0].select("id", "score").join(both[1].select("id", F.col("score").alias("other")), "id")
+    assert pair.where(F.abs(F.col("score") - F.col("other")) > 1e-9).count() == 0
+    assert MD.drawn_cells(x.withColumn("y", F.col("y") * 2), ests) is None  # the learner itself refuses the label
+    assert MD.drawn_cells(x.withColumn("w", F.lit(1.0)), [ests[0].copy().setWeightCol("w")]) is None
+
+
+def test_drawn_folds_do_not_visit_rows_again(spark, monkeypatch):
+    x = _few_values(spark)
+    rows = MD.cross_validate(x, "y", "binary", "gbt", 3, maxIter=3, subsamplingRate=0.8, featureSubsetStrategy="all")
+    monkeypatch.setattr(MD, "CELL_ROWS", 0)
+    seen, fit = [], MD.fit_drawn
+    monkeypatch.setattr(MD, "fit_drawn", lambda est, cells, i=0: seen.append(cells.count()) or fit(est, cells, i))
+    drawn = MD.cross_validate(x, "y", "binary", "gbt", 3, maxIter=3, subsamplingRate=0.8, featureSubsetStrategy="all")
+    assert len(seen) == 3 and max(seen) < 1_000 and drawn.oof.count() == 20_000
+    assert drawn.mean_metric == pytest.approx(rows.mean_metric, abs=0.01) and drawn.models[0].getMaxBins() == 32
+    path = MD.save_models({("gbt", 0): drawn.models[0]}, scratch_path(spark, "t-drawn"))["gbt", 0]
+    again = MD.GBTClassificationModel.load(path)
+    assert again.toDebugString.split("\n")[1:] == drawn.models[0].toDebugString.split("\n")[1:]
