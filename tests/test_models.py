@@ -206,3 +206,14 @@ def test_drawn_folds_do_not_visit_rows_again(spark, monkeypatch):
     path = MD.save_models({("gbt", 0): drawn.models[0]}, scratch_path(spark, "t-drawn"))["gbt", 0]
     again = MD.GBTClassificationModel.load(path)
     assert again.toDebugString.split("\n")[1:] == drawn.models[0].toDebugString.split("\n")[1:]
+
+
+def test_search_on_cells_scores_points_as_on_rows(spark, monkeypatch):
+    x = _few_values(spark).withColumn("fold", F.col("fold").cast("int"))
+    space = {"stepSize": ("uniform", 0.1, 0.3), "growth": ("branch", {"deep": {"maxDepth": ("int", 2, 4)}, "wide": {"maxBins": ("int", 32, 40), "minInstancesPerNode": ("int", 5, 900)}})}
+    rows = MD.parameter_search(x, "y", "binary", space, trials=3, seed=5, maxIter=2)
+    monkeypatch.setattr(MD, "CELL_ROWS", 0)
+    monkeypatch.setattr(MD.CrossValidator, "fit", None)  # no point goes through rows
+    cells = MD.parameter_search(x, "y", "binary", space, trials=3, seed=5, maxIter=2)
+    assert cells[:2] == rows[:2] and cells[2] == pytest.approx(rows[2], abs=1e-6) and cells[3].avgMetrics == cells[2]
+    assert cells[3].bestModel.getNumTrees == 2 and cells[3].transform(x).count() == 20_000
