@@ -142,6 +142,19 @@ def test_boosted_fits_learn_from_cells_whose_number_does_not_grow(spark, monkeyp
     assert cells.models[0].getMaxBins() == 32
 
 
+@pytest.mark.parametrize("task,label,weight", [("binary", "y", None), ("regression", "t", None), ("binary", "y", "w")])
+def test_early_stopping_judges_rounds_of_models_learned_from_cells(spark, monkeypatch, task, label, weight):
+    df = spark.range(8_000).select("id", (F.col("id") % 7).cast("double").alias("a"), (1.0 + F.col("id") % 2).alias("w"), (F.xxhash64("id") % 5 / 1.0).alias("noise"))
+    df = df.withColumn("t", F.col("a") + F.col("noise")).withColumn("y", (F.col("t") > 4).cast("int"))
+    x, _ = MD.prepare(df, ["a"], label, k=2)
+    x = x.join(df.select("id", "w"), "id").checkpoint()
+    rows = MD.cross_validate(x, label, task, "gbt", 2, weight=weight, early_stopping=True, maxIter=3)
+    monkeypatch.setattr(MD, "CELL_ROWS", 0)
+    cells = MD.cross_validate(x, label, task, "gbt", 2, weight=weight, early_stopping=True, maxIter=3)
+    assert cells.best_iterations == rows.best_iterations and cells.fold_metrics == pytest.approx(rows.fold_metrics, abs=1e-9)
+    assert all(m.isSet("weightCol") == (weight is not None) for m in cells.models)
+
+
 def test_cells_leave_learners_of_single_rows_alone(spark, monkeypatch):
     monkeypatch.setattr(MD, "CELL_ROWS", 0)
     df = spark.range(4_000).select("id", (F.col("id") % 2).cast("double").alias("a"), (F.col("id") % 3 % 2).cast("double").alias("y"))
