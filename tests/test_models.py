@@ -4,7 +4,7 @@ score like the originals, and the scoring contract rejects missing features."""
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import MID
+from conftest import MID, SMALL
 from lathe.operators.metrics import rmse, roc_auc
 from lathe.plans import models as MD
 from lathe.registry.modeling import orders_frame
@@ -230,3 +230,26 @@ def test_search_on_cells_scores_points_as_on_rows(spark, monkeypatch):
     cells = MD.parameter_search(x, "y", "binary", space, trials=3, seed=5, maxIter=2)
     assert cells[:2] == rows[:2] and cells[2] == pytest.approx(rows[2], abs=1e-6) and cells[3].avgMetrics == cells[2]
     assert cells[3].bestModel.getNumTrees == 2 and cells[3].transform(x).count() == 20_000
+
+
+def test_rounds_of_the_refit_follow_the_folds(spark, monkeypatch):
+    """Folds may take more rounds than the final model's least number, and the final model takes the rounds they found."""
+    from lathe.registry import modeling
+    asked, validate = [], MD.cross_validate
+
+    def folds(*args, **params):
+        asked.append(params["maxIter"])
+        cv = validate(*args, **(params | {"maxIter": 1}))
+        cv.best_iterations = [asked[0] - i for i in range(5)]
+        return cv
+
+    class Fitted(Exception):
+        pass
+
+    def fit(est, x):
+        raise Fitted(est.getMaxIter())
+    monkeypatch.setattr(MD, "cross_validate", folds)
+    monkeypatch.setattr(MD, "fit_model", fit)
+    with pytest.raises(Fitted) as found:
+        modeling.m10_refit(spark, SMALL)
+    assert found.value.args[0] == asked[0] - 2 > 50
