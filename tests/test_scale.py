@@ -177,6 +177,26 @@ def test_bounded_blend_finds_the_winner_of_all_weights(spark, monkeypatch, bins)
     assert M.roc_auc(known.withColumn("s", score), "s", "y").first()["auc"] == pytest.approx(best["auc"], abs=1e-12)
 
 
+def test_blend_bounds_do_not_depend_on_the_passes(spark, monkeypatch):
+    """A pass over the rows counts under a few weights only (its groups stay few); scores are placed as by a search in the knots."""
+    rows = BL._labelled(_scores(spark), ["a", "b", "c"], "y")
+    n, points = rows.count(), dict(enumerate(BL.simplex_grid(3, 0.25)))
+    knots = BL._knots(rows, 3, 0.0, 1.0)
+    once = BL._auc_bounds(rows, n, points, 64, knots)
+    scored, seen = BL._scored, []
+    monkeypatch.setattr(BL, "PASS_SCORES", 0)
+    monkeypatch.setattr(BL, "PASS_GROUPS", 256)
+    monkeypatch.setattr(BL, "_scored", lambda rows, some: seen.append(len(some)) or scored(rows, some))
+    assert BL._auc_bounds(rows, n, points, 64, knots) == once and set(once) == set(points)
+    assert seen == [2] * 7 + [1]
+    for ends in (knots, [0.0, 1.0], [0.0, 0.3, 0.7, 1.0]):
+        got = BL._placed(scored(rows, points), ends).select("_s", "_at").toPandas()
+        at = np.clip(np.searchsorted(ends, got["_s"], side="right") - 1, 0, len(ends) - 2)
+        low, high = np.asarray(ends)[at], np.asarray(ends)[at + 1]
+        assert np.allclose(got["_at"], at + np.clip((got["_s"] - low) / (high - low), 0, 1), atol=1e-12)
+    assert BL.undecided_weights(_scores(spark).withColumn("c", F.lit(float("inf"))), ["a", "b", "c"], "y", 0.25) == sorted(points)
+
+
 def test_blend_of_one_class_or_equal_scores(spark):
     df = spark.createDataFrame([(1, 0.5, 0.5), (0, 0.5, 0.5), (1, 0.5, 0.5)], "y int, a double, b double")
     assert BL.blend_weights(df, ["a", "b"], "y", 0.5).first()["auc"] == 0.5
