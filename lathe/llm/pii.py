@@ -43,8 +43,10 @@ _OPEN, _CLOSE = "\x01", "\x02"
 #: Matches of a text are put together in blocks of this many: appending to one long array copies it each time.
 BLOCK = 500
 GENERALISE, REMOVE, SUPPORT, COMMON = 0.75, 0.999, 2, 20
-#: Hashes of texts with terms to replace are broadcast up to this many.
-BROADCAST_TEXTS = 2_000_000
+#: Hashes of texts with terms to replace are broadcast up to this many, and entities and flagged terms up to so many rows. Size on
+#: disk, by which the planner would choose, says little of rows in the driver's memory: a file of words may hold ten times its size.
+BROADCAST_TEXTS = 1_000_000
+BROADCAST_ROWS = 100_000
 
 
 def _plain(text: Column) -> Column:
@@ -147,10 +149,23 @@ def occurrences(docs: DataFrame) -> DataFrame:
             .where("o is not null").select("doc_id", "th", "o.*").dropDuplicates(["doc_id", "th"]))
 
 
+def _joined(big: DataFrame, small: DataFrame, on: list[str], spread: Column) -> DataFrame:
+    """``big`` joined with the written table ``small``, which is broadcast once where it has few rows and else never: hot keys
+    of ``big`` are then dealt over several tasks."""
+    if small.count() <= BROADCAST_ROWS:
+        return big.join(F.broadcast(small), on)
+    return salted_join(big, small.hint("merge"), on, spread)
+
+
 def together(found: DataFrame, entities: DataFrame) -> DataFrame:
     """``(doc_id, th, entity, start, end, term)``: all terms of the documents that hold one of the entities."""
-    held = found.select("doc_id", "th", F.explode("entities").alias("entity"), "terms")
-    held = salted_join(held, entities.select("entity"), ["entity"], F.col("doc_id"))
+    few = entities.count() <= BROADCAST_ROWS
+    held = found.select("doc_id", "th", F.explode("entities").alias("entity"), *(["terms"] if few else []))
+    held = _joined(held, entities.select("entity"), ["entity"], F.col("doc_id"))
+    if not few:  # a document's terms move once, not with each of its entities
+        kept = held.groupBy("doc_id", "th").agg(F.collect_list("entity").alias("kept")).hint("merge").alias("k")
+        same = F.col("f.doc_id").eqNullSafe(F.col("k.doc_id")) & (F.col("f.th") == F.col("k.th"))
+        held = found.alias("f").join(kept, same).select("f.doc_id", "f.th", F.explode("k.kept").alias("entity"), "f.terms")
     return held.select("doc_id", "th", "entity", F.explode("terms").alias("t")).select("doc_id", "th", "entity", "t.*")
 
 
@@ -164,9 +179,10 @@ def disclosing_terms(docs: DataFrame, found: DataFrame, entities: DataFrame, gen
     df_t = (docs.select(F.explode_outer(F.array_distinct(all_terms)).alias("term"))
             .where("term is not null").groupBy("term").agg(F.count("*").alias("df_t")))
     # An inner join: a semi-join would be moved below the aggregation and shuffle every word of every document.
-    terms = df_t.join(pairs.select("term").distinct(), "term")
+    terms = df_t.join(pairs.select("term").distinct().hint("merge"), "term")
     share = F.log(F.col("df_te") * F.col("n") / (F.col("df_t") * F.col("df_e"))) / F.log(F.col("n") / F.col("df_e"))
-    return (pairs.join(terms, "term").join(entities, "entity").where("n > df_e")
+    small = F.broadcast(entities) if entities.count() <= BROADCAST_ROWS else entities.hint("merge")
+    return (pairs.join(terms.hint("merge"), "term").join(small, "entity").where("n > df_e")
             .withColumn("share", share).where(F.col("share") >= generalise)
             .select("entity", "term", F.when(F.col("share") >= remove, KINDS.index("drop")).otherwise(KINDS.index("term")).alias("kind")))
 
@@ -197,14 +213,14 @@ def sanitise(docs: DataFrame, generalise: float = GENERALISE, remove: float = RE
                            .withColumn("n", F.lit(docs.count()).cast("long")).where((F.substring("entity", 1, 1) != "~") | (F.col("df_e") * common <= F.col("n"))),
                            "pii-entities")
     flagged = materialize(disclosing_terms(docs, found, entities, generalise, remove, support), "pii-flagged")
-    hits = salted_join(together(found, entities), flagged, ["entity", "term"], F.struct("doc_id", "start"))
+    hits = _joined(together(found, entities), flagged, ["entity", "term"], F.struct("doc_id", "start"))
     extra = materialize(hits.groupBy("doc_id", "th", "start", "end").agg(F.max("kind").alias("kind"))
                         .groupBy("doc_id", "th").agg(F.collect_list(F.struct("start", "kind", "end")).alias("extra")), "pii-extra")
     # Texts without terms to replace stay where they are; only the others move to their terms.
     docs = docs.withColumn("th", F.xxhash64("text"))
     near = materialize(extra.select("th").distinct(), "pii-near")
     few = near.count() <= BROADCAST_TEXTS
-    d, x = (docs.join(F.broadcast(near), "th", "left_semi") if few else docs).alias("d"), extra.alias("x")
+    d, x = (docs.join(F.broadcast(near), "th", "left_semi") if few else docs).alias("d"), extra.hint("merge").alias("x")
     same = F.col("d.doc_id").eqNullSafe(F.col("x.doc_id")) & (F.col("d.th") == F.col("x.th"))
     rows = d.join(x, same, "left").select("d.doc_id", "d.text", "x.extra")
     if few:

@@ -578,3 +578,21 @@ def test_pipeline_stages_hand_on_documents(spark):
     assert sorted(r.doc_id for r in out) == sorted(ids)
     assert sorted((r.doc_id, r.epoch) for r in out) == sorted((i, k) for i in set(ids) for k in range(ids.count(i)))
     assert sorted(tuple(r) for r in P.run(spark, SMALL).collect()) == sorted(tuple(r) for r in out)
+
+
+def test_sanitising_broadcasts_by_rows_not_by_size_on_disk(spark, monkeypatch):
+    """Tables of more rows than the bound are never broadcast, whatever their files' size, and results stay; documents without id too."""
+    texts = [f"{w} wrote to anna{i}@mail{i}.example.org about project{i} twice" for i in range(6) for w in ("somebody", "nobody", "everybody")]
+    docs = spark.createDataFrame([(None if k % 7 == 3 else k, t) for k, t in enumerate(texts)], "doc_id long, text string").unionByName(
+        spark.createDataFrame([(100 + k, f"plain words of text {k}") for k in range(120)], "doc_id long, text string"))
+
+    def rows():
+        return sorted(map(str, pii.sanitise(docs).select("doc_id", pii.span_digest("spans"), "clean_text").collect()))
+    want = rows()
+    assert any("drop:" in r or "term:" in r for r in want)
+    monkeypatch.setattr(pii, "BROADCAST_ROWS", 0)
+    assert rows() == want
+    found = pii.occurrences(docs)
+    entities = found.select(F.explode("entities").alias("entity")).distinct()
+    plan = pii.together(found.localCheckpoint(), entities.localCheckpoint())._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
